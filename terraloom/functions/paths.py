@@ -56,7 +56,7 @@ def patch_id(tile: Column | str, row: Column | str, col: Column | str) -> Column
 
 def join_uri(base: Column | str, *parts: Column) -> Column:
     """Join with single slashes; NULL and empty parts are left out."""
-    trimmed = [F.nullif(F.trim(F.lit("/"), p), F.lit("")) for p in parts]
+    trimmed = [F.nullif(F.trim(p, F.lit("/")), F.lit("")) for p in parts]
     return F.concat_ws("/", F.regexp_replace(_col(base), "/+$", ""), *trimmed)
 
 

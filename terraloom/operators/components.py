@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import at_most, lookup, materialize
+from ..session import lookup, materialize
 
 SMALL_EDGES = 200_000
 
@@ -18,18 +18,16 @@ def connected_components(edges: DataFrame, small: int = SMALL_EDGES) -> DataFram
     shrinks by at least half a round. Once few edges are left - the count is checked -
     they are settled in memory.
     """
-    e = materialize(
-        edges.select("cloud_id", F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(),
-        "edges",
-    )
+    e = edges.select("cloud_id", F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    few = e.limit(small + 1).collect()
     maps = []
-    while True:
-        if at_most(e, small):
-            maps.append(_settle(e))
-            break
+    while len(few) > small:
+        e = materialize(e, "edges")
         parents = _hook(e)
         maps.append(parents)
-        e = materialize(_contract(e, parents), "edges")
+        e = _contract(e, parents)
+        few = e.limit(small + 1).collect()
+    maps.append(_settle(edges.sparkSession, few))
     labels = maps[0].select("cloud_id", "node", F.col("parent").alias("label"))
     for later in maps[1:]:
         step = later.select("cloud_id", F.col("node").alias("label"), F.col("parent").alias("_next"))
@@ -41,7 +39,7 @@ def connected_components(edges: DataFrame, small: int = SMALL_EDGES) -> DataFram
     return labels
 
 
-def _settle(edges: DataFrame) -> DataFrame:
+def _settle(spark: SparkSession, edges: list[Row]) -> DataFrame:
     """Union-find over a checked, small number of edges."""
     parent: dict[tuple[str, int], tuple[str, int]] = {}
 
@@ -51,12 +49,12 @@ def _settle(edges: DataFrame) -> DataFrame:
             v = parent[v]
         return v
 
-    for cloud, a, b in edges.select("cloud_id", "a", "b").collect():
+    for cloud, a, b in edges:
         ra, rb = root((cloud, a)), root((cloud, b))
         if ra != rb:
             parent[max(ra, rb)] = min(ra, rb)
     rows = [(v[0], v[1], root(v)[1]) for v in list(parent)]
-    return edges.sparkSession.createDataFrame(rows, "cloud_id string, node bigint, parent bigint")
+    return spark.createDataFrame(rows, "cloud_id string, node bigint, parent bigint")
 
 
 def _hook(edges: DataFrame) -> DataFrame:

@@ -120,19 +120,25 @@ def _near_counts(tagged: DataFrame, adjacent: DataFrame, grid: _Grid) -> DataFra
 
 
 def _touches(near: DataFrame, thin: DataFrame, grid: _Grid) -> DataFrame:
-    """(point of a thin cell, adjacent cell) where a core point of that cell is within eps."""
-    full = near.where(F.col("b_n") >= grid.min_points).select("cloud_id", "point_id", "a_cell", "b_cell")
-    some = near.where(F.col("b_n") < grid.min_points).select("cloud_id", "point_id", "a_cell", "b_cell")
+    """Points of thin cells with the adjacent cells holding a core point within eps of them.
+
+    Cells go by the name of their smallest core id.
+    """
+    full = near.where(F.col("b_n") >= grid.min_points).select("cloud_id", "point_id", F.col("b_cell").alias("b"))
+    some = near.where(F.col("b_n") < grid.min_points).select("cloud_id", "point_id", "b_cell")
     p = _prefixed(thin.select("cloud_id", "point_id", *grid.c), "p_", grid.c)
-    q = _prefixed(thin.where("core").select("cloud_id", F.col("cell").alias("b_cell"), *grid.c), "q_", grid.c)
+    q = _prefixed(
+        thin.where("core").select("cloud_id", F.col("cell").alias("b_cell"), F.col("name").alias("b"), *grid.c), "q_", grid.c
+    )
     proven = (
         some.join(p, ["cloud_id", "point_id"])
         .join(q, ["cloud_id", "b_cell"])
         .where(grid.dist2("p_", "q_") <= grid.eps2)
-        .select("cloud_id", "point_id", "a_cell", "b_cell")
+        .select("cloud_id", "point_id", "b")
         .distinct()
     )
-    return full.unionByName(proven)
+    facts = thin.select("cloud_id", "point_id", F.col("name").alias("a"), "core")
+    return full.unionByName(proven).join(facts, ["cloud_id", "point_id"])
 
 
 def _resolve_full_pairs(open_pairs: DataFrame, full_points: DataFrame, grid: _Grid) -> list[DataFrame]:
@@ -217,24 +223,24 @@ def dbscan(points: DataFrame, min_points: int = 10, eps: float = 2.0, dims: tupl
     )
     near = materialize(_near_counts(tagged, adjacent, grid), "near")
     total = near.groupBy("cloud_id", "point_id").agg(F.sum("near").alias("near"))
+    core = F.coalesce("near", F.lit(0)) + F.col("n") >= min_points
+    # A thin cell has fewer than min_points rows, so this window never grows.
+    in_cell = Window.partitionBy("cloud_id", "cell")
     thin = materialize(
         tagged.where(~is_full)
         .join(total, ["cloud_id", "point_id"], "left")
-        .select(
-            "cloud_id", "point_id", "cell", *grid.c,
-            (F.coalesce("near", F.lit(0)) + F.col("n") >= min_points).alias("core"),
-        ),
+        .select("cloud_id", "point_id", "cell", *grid.c, core.alias("core"))
+        .withColumn("name", F.min(F.when(F.col("core"), F.col("point_id"))).over(in_cell)),
         "thin",
     )
-    touches = materialize(
-        _touches(near, thin, grid).join(thin.select("cloud_id", "point_id", "core"), ["cloud_id", "point_id"]), "touches"
-    )
-    edges = touches.where("core").select("cloud_id", F.col("a_cell").alias("a"), F.col("b_cell").alias("b"))
+    touches = materialize(_touches(near, thin, grid), "touches")
     full_pairs = adjacent.where((F.col("a_n") >= min_points) & (F.col("b_n") >= min_points)).withColumn(
         "sure", grid.span2("a_", "b_") <= grid.eps2
     )
-    edges = edges.unionByName(full_pairs.where("sure").select("cloud_id", F.col("a_cell").alias("a"), F.col("b_cell").alias("b")))
-    comps = materialize(connected_components(edges), "components")
+    edges = touches.where("core").select("cloud_id", "a", "b").unionByName(
+        full_pairs.where("sure").select("cloud_id", F.col("a_cell").alias("a"), F.col("b_cell").alias("b"))
+    )
+    comps = connected_components(edges)
     unsure = full_pairs.where("NOT sure").select(
         "cloud_id", F.col("a_cell").alias("a"), F.col("b_cell").alias("b"),
         F.array(*["a_" + g for g in grid.g]).alias("sa"), F.array(*["b_" + g for g in grid.g]).alias("sb"),
@@ -243,60 +249,39 @@ def dbscan(points: DataFrame, min_points: int = 10, eps: float = 2.0, dims: tupl
     for end in "ab":
         names = comps.select("cloud_id", F.col("node").alias(end), F.col("label").alias(f"l{end}"))
         unsure = unsure.join(names, ["cloud_id", end], "left")
-    unsure = materialize(
-        unsure.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("cloud_id", "a", "b", "sa", "sb"), "unsure"
-    )
+    unsure = unsure.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("cloud_id", "a", "b", "sa", "sb")
     if not unsure.isEmpty():
         full_points = tagged.where(is_full).select("cloud_id", "cell", *grid.c)
-        for more in _resolve_full_pairs(unsure, full_points, grid):
+        for more in _resolve_full_pairs(materialize(unsure, "unsure"), full_points, grid):
             edges = edges.unionByName(more)
-        comps = materialize(connected_components(edges), "components")
+        comps = connected_components(edges)
 
-    core_cells = (
-        cells.where(is_full)
-        .select("cloud_id", "cell", F.col("cell").alias("first_core"), "n")
-        .unionByName(
-            thin.where("core").groupBy("cloud_id", "cell").agg(F.min("point_id").alias("first_core"), F.count("*").alias("n"))
-        )
-    )
-    rooted = materialize(
-        core_cells.join(comps.withColumnRenamed("node", "cell"), ["cloud_id", "cell"], "left").select(
-            "cloud_id", "cell", "first_core", "n", F.coalesce("label", "cell").alias("root")
-        ),
-        "rooted",
-    )
-    names = materialize(
-        rooted.groupBy("cloud_id", "root").agg(F.min("first_core").alias("cluster_id"), F.count("*").alias("cells")), "names"
-    )
-    if renumber:
-        names = _numbered(names)
-    labels = materialize(
-        lookup(rooted, names, ["cloud_id", "root"], "cells", "inner").select("cloud_id", "cell", "cluster_id", "n"), "labels"
-    )
-    by_cell = labels.select("cloud_id", "cell", "cluster_id")
-    in_full = lookup(tagged.where(is_full).select("cloud_id", "point_id", "cell"), labels, ["cloud_id", "cell"], "n", "inner")
-    in_thin = thin.where("core").join(by_cell, ["cloud_id", "cell"])
+    def labelled(df: DataFrame, name: str) -> DataFrame:
+        labels = comps.select("cloud_id", F.col("node").alias(name), "label")
+        return df.join(labels, ["cloud_id", name], "left").withColumn("cluster_id", F.coalesce("label", name)).drop("label")
+
+    full_cells = labelled(cells.where(is_full).select("cloud_id", "cell", "n"), "cell")
+    in_full = lookup(tagged.where(is_full).select("cloud_id", "point_id", "cell"), full_cells, ["cloud_id", "cell"], "n", "inner")
+    in_thin = labelled(thin.where("core").select("cloud_id", "point_id", "name"), "name")
     # A point shares the cluster of its own cell, if that has a core point, or of a cell it touches.
-    border = (
-        touches.where("NOT core")
-        .select("cloud_id", "point_id", F.col("b_cell").alias("cell"))
-        .unionByName(thin.where("NOT core").select("cloud_id", "point_id", "cell"))
-        .join(by_cell, ["cloud_id", "cell"])
-        .groupBy("cloud_id", "point_id")
-        .agg(F.min("cluster_id").alias("cluster_id"))
+    beside = touches.where("NOT core").select("cloud_id", "point_id", "b").unionByName(
+        thin.where("NOT core AND name IS NOT NULL").select("cloud_id", "point_id", F.col("name").alias("b"))
     )
+    border = labelled(beside, "b").groupBy("cloud_id", "point_id").agg(F.min("cluster_id").alias("cluster_id"))
     loose = thin.where("NOT core").select("cloud_id", "point_id").join(border, ["cloud_id", "point_id"], "left")
 
-    def out(df: DataFrame, core: bool) -> DataFrame:
+    def out(df: DataFrame, is_core: bool) -> DataFrame:
         return df.select(
-            "cloud_id", "point_id", F.lit(core).alias("is_core"), F.coalesce("cluster_id", F.lit(-1)).cast("bigint").alias("cluster_id")
+            "cloud_id", "point_id", F.lit(is_core).alias("is_core"), F.coalesce("cluster_id", F.lit(-1)).cast("bigint").alias("cluster_id")
         )
 
-    return out(in_full, True).unionByName(out(in_thin, True)).unionByName(out(loose, False))
+    found = out(in_full, True).unionByName(out(in_thin, True)).unionByName(out(loose, False))
+    return _numbered(materialize(found, "found")) if renumber else found
 
 
-def _numbered(names: DataFrame) -> DataFrame:
-    """Number cluster names 0..n-1 per cloud in their order, by range partitions and their offsets."""
+def _numbered(found: DataFrame) -> DataFrame:
+    """Replace cluster names by 0..n-1 per cloud in their order, by range partitions and their offsets."""
+    names = found.where("cluster_id >= 0").groupBy("cloud_id", "cluster_id").agg(F.count("*").alias("points"))
     ranged = materialize(
         names.repartitionByRange("cloud_id", "cluster_id").withColumn("part", F.spark_partition_id()), "ranged"
     )
@@ -305,10 +290,17 @@ def _numbered(names: DataFrame) -> DataFrame:
     # One row per partition, so the running sum is small however many clusters there are.
     offsets = counts.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
     place = F.row_number().over(Window.partitionBy("part").orderBy("cloud_id", "cluster_id"))
-    placed = materialize(ranged.withColumn("place", place).join(F.broadcast(offsets), "part").withColumn(
-        "place", F.col("place") + F.col("offset")
-    ), "placed")
+    placed = materialize(
+        ranged.withColumn("place", place).join(F.broadcast(offsets), "part").withColumn("place", F.col("place") + F.col("offset")),
+        "placed",
+    )
     first = placed.groupBy("cloud_id").agg(F.min("place").alias("first"), F.count("*").alias("clusters"))
-    return lookup(placed, materialize(first, "first"), ["cloud_id"], "clusters", "inner").select(
-        "cloud_id", "root", (F.col("place") - F.col("first")).alias("cluster_id"), "cells"
+    numbers = materialize(
+        lookup(placed, first, ["cloud_id"], "clusters", "inner").select(
+            "cloud_id", "cluster_id", (F.col("place") - F.col("first")).alias("number"), "points"
+        ),
+        "numbers",
+    )
+    return lookup(found, numbers, ["cloud_id", "cluster_id"], "points").select(
+        "cloud_id", "point_id", "is_core", F.coalesce("number", "cluster_id").cast("bigint").alias("cluster_id")
     )

@@ -250,10 +250,11 @@ def standardize_value(value: Column, channel: int, kind: str = "tile") -> Column
 
 def standardize_blocks(blocks: DataFrame, kind: str = "tile") -> DataFrame:
     """Three-band 8-bit blocks to standardized channels."""
-    bands = [
-        F.transform(F.element_at("bands", i + 1), lambda v, i=i: standardize_value(v, i, kind)) for i in range(3)
-    ]
-    return blocks.withColumns({"bands": F.array(*bands), "dtype": F.lit("float64")})
+
+    def channel(i: int) -> Column:
+        return F.transform(F.element_at("bands", i + 1), lambda v: standardize_value(v, i, kind))
+
+    return blocks.withColumns({"bands": F.array(channel(0), channel(1), channel(2)), "dtype": F.lit("float64")})
 
 
 def cut_tiles(blocks: DataFrame, headers: DataFrame, size: int = 256) -> DataFrame:

@@ -11,12 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..session import at_most
 from ..sources.tables import PATCH_BOUNDS, require_columns
 from . import spatial
 
-# Query vectors kept in one task at a time; 64 MiB of double values.
-QUERY_VALUES = 8_388_608
+# Query vectors held by one task; at 1024 values each they fill 64 MiB.
+MAX_QUERIES = 8192
 # Scores closer than this are the same score; it hides summation order from the ranks.
 SCORE_PLACES = 9
 
@@ -39,8 +38,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
 class _Best:
     """The k best patches seen so far for each query of a fixed set."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, own: np.ndarray | None):
-        self.ids, self.vectors, self.k, self.own = ids, vectors, k, own
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, skip_own: bool):
+        self.ids, self.vectors, self.k, self.skip_own = ids, vectors, k, skip_own
         self.scores = np.full((len(ids), 0), -np.inf)
         self.patches = np.empty((len(ids), 0), object)
 
@@ -48,8 +47,8 @@ class _Best:
         if not len(patch_ids) or not len(self.ids):
             return
         scores = np.round(self.vectors @ vectors.T, SCORE_PLACES) + 0.0
-        if self.own is not None:
-            scores[self.own[:, None] == patch_ids[None, :]] = -np.inf
+        if self.skip_own:
+            scores[self.ids[:, None] == patch_ids[None, :]] = -np.inf
         if len(patch_ids) > self.k:
             # Keep everything level with the k-th score, so ties are settled by id below.
             edge = np.partition(scores, len(patch_ids) - self.k, axis=1)[:, -self.k]
@@ -86,16 +85,13 @@ class _Best:
         )
 
 
-def _score_broadcast(patches: DataFrame, queries: DataFrame, k: int, own: bool) -> DataFrame:
-    table = queries.toArrow().combine_chunks()
-    ids = np.array(table["query_id"].to_pylist(), object)
-    owner = np.array(table["own_patch"].to_pylist(), object) if own else None
-    vectors = _matrix(table["vector"].combine_chunks()) if len(ids) else np.zeros((0, 0))
-    shared = patches.sparkSession.sparkContext.broadcast((ids, vectors, owner))
+def _score_broadcast(patches: DataFrame, queries: pa.Table, k: int, skip_own: bool) -> DataFrame:
+    ids = np.array(queries["query_id"].to_pylist(), object)
+    vectors = _matrix(queries["vector"].combine_chunks()) if len(ids) else np.zeros((0, 0))
+    shared = patches.sparkSession.sparkContext.broadcast((ids, vectors))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q_ids, q_vectors, q_own = shared.value
-        best = _Best(q_ids, q_vectors, k, q_own)
+        best = _Best(*shared.value, k, skip_own)
         for batch in batches:
             best.add(np.array(batch["patch_id"].to_pylist(), object), _matrix(batch["embedding"]))
         yield best.batch()
@@ -103,13 +99,12 @@ def _score_broadcast(patches: DataFrame, queries: DataFrame, k: int, own: bool)
     return patches.select("patch_id", "embedding").mapInArrow(scan, "query_id string, patch_id string, score double")
 
 
-def _score_blocks(patches: DataFrame, queries: DataFrame, k: int, own: bool, dim: int, query_values: int) -> DataFrame:
+def _score_blocks(patches: DataFrame, queries: DataFrame, k: int, skip_own: bool, per_block: int) -> DataFrame:
     """Queries too many for one task: both sides are dealt evenly into blocks that meet once each.
 
     Round-robin dealing is independent of ids and values, so copies cannot pile up
     in a block, and both sides of every group are of bounded size.
     """
-    per_block = max(query_values // max(dim, 1), 1)
     query_blocks = max(math.ceil(queries.count() / per_block), 1)
     patch_blocks = max(math.ceil(patches.count() / per_block), 1)
     dealt_patches = (
@@ -131,7 +126,7 @@ def _score_blocks(patches: DataFrame, queries: DataFrame, k: int, own: bool, dim
             np.array(q["query_id"].to_pylist(), object),
             _matrix(q["vector"].combine_chunks()),
             k,
-            np.array(q["own_patch"].to_pylist(), object) if own else None,
+            skip_own,
         )
         best.add(np.array(p["patch_id"].to_pylist(), object), _matrix(p["embedding"].combine_chunks()))
         return pa.Table.from_batches([best.batch()])
@@ -144,7 +139,7 @@ def _score_blocks(patches: DataFrame, queries: DataFrame, k: int, own: bool, dim
 
 
 def top_k(patches: DataFrame, queries: DataFrame, k: int = 5, exclude_self: bool = False,
-          query_values: int = QUERY_VALUES) -> DataFrame:
+          max_queries: int = MAX_QUERIES) -> DataFrame:
     """The k best patches per query by cosine, as ``query_id, patch_id, score, rank``.
 
     ``queries`` has ``query_id`` and ``vector``. Equal scores rank by patch id. With
@@ -155,16 +150,12 @@ def top_k(patches: DataFrame, queries: DataFrame, k: int = 5, exclude_self: bool
     if k < 1:
         raise ValueError("k must be at least 1")
     patches = non_null_embedding(patches)
-    queries = queries.where(F.col("vector").isNotNull()).select(
-        F.col("query_id").cast("string").alias("query_id"), "vector", F.col("query_id").cast("string").alias("own_patch")
-    )
-    first = queries.select(F.size("vector")).first()
-    dim = first[0] if first else 1
-    bound = max(query_values // max(dim, 1), 1)
-    if at_most(queries, bound):
-        partial = _score_broadcast(patches, queries, k, exclude_self)
+    queries = queries.where(F.col("vector").isNotNull()).select(F.col("query_id").cast("string").alias("query_id"), "vector")
+    few = queries.limit(max_queries + 1).toArrow()
+    if few.num_rows <= max_queries:
+        partial = _score_broadcast(patches, few, k, exclude_self)
     else:
-        partial = _score_blocks(patches, queries, k, exclude_self, dim, query_values)
+        partial = _score_blocks(patches, queries, k, exclude_self, max_queries)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "patch_id")
     return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 

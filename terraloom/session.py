@@ -72,11 +72,11 @@ def lookup(facts: DataFrame, dim: DataFrame, keys: list[str], weight: str, how:
     ``share``, so they can always be broadcast; the other facts are shuffled and no
     key is then large. Without heavy keys this is the plain join.
     """
-    total = dim.agg(F.sum(weight)).first()[0] or 0
-    bound = max(total // share, 10_000)
-    heavy = dim.where(F.col(weight) > bound)
-    if heavy.isEmpty():
+    total, top = dim.agg(F.sum(weight), F.max(weight)).first()
+    bound = max((total or 0) // share, 10_000)
+    if (top or 0) <= bound:
         return facts.join(dim, keys, how)
+    heavy = dim.where(F.col(weight) > bound)
     light = dim.where(F.col(weight) <= bound)
     small = F.broadcast(heavy)
     on_heavy = facts.join(small, keys, "inner")

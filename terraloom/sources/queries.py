@@ -11,7 +11,7 @@ from .files import list_files
 
 
 def _trimmed_items(text: Column, separator: str) -> Column:
-    return F.filter(F.transform(F.split(text, separator), F.trim), lambda v: v != "")
+    return F.filter(F.transform(F.split(text, separator), lambda v: F.trim(v)), lambda v: v != "")
 
 
 def path_items(text: Column) -> Column:

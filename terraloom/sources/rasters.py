@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +13,8 @@ from ..functions import paths
 from ..schemas import RASTER_BLOCK, RASTER_HEADER
 from . import geotiff
 
-_HEADER_COLUMNS = [c.split()[0] for c in RASTER_HEADER.split(", ")]
+_ARROW = {"string": pa.string(), "int": pa.int32(), "double": pa.float64()}
+_HEADER = pa.schema([(name, _ARROW[kind]) for name, kind in (c.split() for c in RASTER_HEADER.split(", "))])
 
 
 def _with_id(blobs: DataFrame) -> DataFrame:
@@ -25,22 +27,19 @@ def _with_id(blobs: DataFrame) -> DataFrame:
 def raster_headers(blobs: DataFrame) -> DataFrame:
     """One header row per file; an unreadable file keeps its row, with ``error`` set."""
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for raster, path, data in zip(batch["raster_id"], batch["path"], batch["content"]):
-                row = {"raster_id": raster, "path": path}
+            for row in batch.to_pylist():
+                data = row.pop("content")
                 try:
                     row.update(geotiff.read_header(data))
                 except Exception as problem:
                     row["error"] = f"{type(problem).__name__}: {problem}"
                 rows.append(row)
-            out = pd.DataFrame(rows, columns=_HEADER_COLUMNS)
-            for name in ("width", "height", "band_count"):
-                out[name] = out[name].astype("Int32")
-            yield out
+            yield pa.RecordBatch.from_pylist(rows, _HEADER)
 
-    return _with_id(blobs).select("raster_id", "path", "content").mapInPandas(scan, RASTER_HEADER)
+    return _with_id(blobs).select("raster_id", "path", "content").mapInArrow(scan, RASTER_HEADER)
 
 
 def raster_bounds(headers: DataFrame) -> DataFrame:

@@ -103,7 +103,7 @@ def _xyz(pdf: pd.DataFrame) -> np.ndarray:
 
 def _fit_trees(points: DataFrame, leaf_rows: int) -> dict[str, SpaceTree]:
     """Trees of the clouds larger than a leaf; number of clouds and sample size are both bounded."""
-    sizes = points.groupBy("cloud_id").count()
+    sizes = materialize(points.groupBy("cloud_id").count(), "sizes")
     total = sizes.agg(F.sum("count")).first()[0] or 0
     leaf_rows = max(leaf_rows, math.ceil(total / MAX_LEAVES))
     large = {r[0]: r[1] for r in sizes.where(F.col("count") > leaf_rows).collect()}

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,15 +41,18 @@ class _Best:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, skip_own: bool):
         self.ids, self.vectors, self.k, self.skip_own = ids, vectors, k, skip_own
+        self.known = pa.array(ids, pa.string())
         self.scores = np.full((len(ids), 0), -np.inf)
         self.patches = np.empty((len(ids), 0), object)
 
-    def add(self, patch_ids: np.ndarray, vectors: np.ndarray) -> None:
+    def add(self, patch_ids: pa.Array, vectors: np.ndarray) -> None:
         if not len(patch_ids) or not len(self.ids):
             return
         scores = np.round(self.vectors @ vectors.T, SCORE_PLACES) + 0.0
         if self.skip_own:
-            scores[self.ids[:, None] == patch_ids[None, :]] = -np.inf
+            own = pc.index_in(patch_ids, value_set=self.known).to_numpy(zero_copy_only=False)
+            hit = np.flatnonzero(~np.isnan(own.astype("float64")))
+            scores[own[hit].astype(int), hit] = -np.inf
         if len(patch_ids) > self.k:
             # Keep everything level with the k-th score, so ties are settled by id below.
             edge = np.partition(scores, len(patch_ids) - self.k, axis=1)[:, -self.k]
@@ -60,7 +64,10 @@ class _Best:
         old_row = np.repeat(np.arange(len(self.ids)), self.scores.shape[1])
         row = np.concatenate([old_row, row])
         score = np.concatenate([self.scores.ravel(), scores[row[len(old_row) :], col]])
-        patch = np.concatenate([self.patches.ravel(), patch_ids[col]])
+        # Only ids that reach the front are turned into strings.
+        front, place = np.unique(col, return_inverse=True)
+        names = np.array(patch_ids.take(pa.array(front, pa.int64())).to_pylist(), object)
+        patch = np.concatenate([self.patches.ravel(), names[place] if len(front) else np.empty(0, object)])
         live = score > -np.inf
         row, score, patch = row[live], score[live], patch[live]
         order = np.lexsort((patch.astype(str), -score, row))
@@ -93,7 +100,7 @@ def _score_broadcast(patches: DataFrame, queries: pa.Table, k: int, skip_own: bo
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(*shared.value, k, skip_own)
         for batch in batches:
-            best.add(np.array(batch["patch_id"].to_pylist(), object), _matrix(batch["embedding"]))
+            best.add(batch["patch_id"], _matrix(batch["embedding"]))
         yield best.batch()
 
     return patches.select("patch_id", "embedding").mapInArrow(scan, "query_id string, patch_id string, score double")
@@ -128,7 +135,7 @@ def _score_blocks(patches: DataFrame, queries: DataFrame, k: int, skip_own: bool
             k,
             skip_own,
         )
-        best.add(np.array(p["patch_id"].to_pylist(), object), _matrix(p["embedding"].combine_chunks()))
+        best.add(p["patch_id"].combine_chunks(), _matrix(p["embedding"].combine_chunks()))
         return pa.Table.from_batches([best.batch()])
 
     return (
@@ -171,11 +178,12 @@ def coords_to_vectors(coords: DataFrame, patches: DataFrame, tiles: DataFrame |
                       strict: bool = True) -> tuple[DataFrame, DataFrame]:
     """Turn map points into query vectors; returns (vectors, points without a vector).
 
+    Vectors come once per distinct coordinate, with the number of ``copies`` of it.
     Patch bounds decide where the table has them; otherwise the tile holding the
     point, and that tile's first patch. ``strict`` fails on points left over.
     """
     patches = non_null_embedding(patches)
-    spots = coords.select("query_x", "query_y").distinct()
+    spots = coords.groupBy("query_x", "query_y").agg(F.count("*").alias("copies"))
     if set(PATCH_BOUNDS) <= set(patches.columns):
         hit = spatial.first_match(spots, patches, "patch_id", PATCH_BOUNDS)
     else:
@@ -186,7 +194,7 @@ def coords_to_vectors(coords: DataFrame, patches: DataFrame, tiles: DataFrame |
         first = patches.groupBy("tile_id").agg(F.min("patch_id").alias("patch_id"))
         hit = tile.join(first, "tile_id").select("query_x", "query_y", "patch_id")
     found = hit.join(patches.select("patch_id", F.col("embedding").alias("vector")), "patch_id")
-    vectors = found.select(coord_id("query_x", "query_y").alias("query_id"), "query_x", "query_y", "patch_id", "vector")
+    vectors = found.join(spots, ["query_x", "query_y"]).select("query_x", "query_y", "copies", "patch_id", "vector")
     missed = spatial.unmatched(coords, hit, ["query_x", "query_y"])
     if strict:
         lost = missed.first()
@@ -195,10 +203,6 @@ def coords_to_vectors(coords: DataFrame, patches: DataFrame, tiles: DataFrame |
     return vectors, missed
 
 
-def coord_id(x: str, y: str) -> Column:
-    return F.concat_ws(" ", F.col(x).cast("string"), F.col(y).cast("string"))
-
-
 def match_rows(hits: DataFrame, patches: DataFrame, tiles: DataFrame | None = None) -> DataFrame:
     """Attach tile, path and bounds to ranked hits; tile bounds stand in where patches have none.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import paths
 from ..operators import catalog, dbscan, embed, neighbours, raster, similarity
-from ..session import materialize
+from ..session import lookup, materialize
 from ..sources import files, pointclouds, rasters, tables
 
 
@@ -53,13 +54,22 @@ def find_similar_patches(patches: DataFrame, path_vectors: DataFrame | None = No
 
 def coordinate_matches(patches: DataFrame, coords: DataFrame, tiles: DataFrame | None = None, k: int = 5,
                        exclude_self: bool = False, strict: bool = True) -> DataFrame:
-    """Matches of each coordinate; points in the same patch share one search."""
+    """Matches of each coordinate; points in the same patch share one search.
+
+    The k matches of a patch are packed into one row, so handing them out to many
+    coordinates, and those to many repeated queries, are one-to-many lookups.
+    """
     vectors, _ = similarity.coords_to_vectors(coords, patches, tiles, strict)
-    found = materialize(vectors, "coords")
-    seeds = found.select(F.col("patch_id").alias("query_id"), "vector").dropDuplicates(["query_id"])
-    hits = similarity.match_rows(similarity.top_k(patches, seeds, k, exclude_self), patches, tiles)
-    spots = found.select("query_x", "query_y", F.col("patch_id").alias("query_id"))
-    return coords.select("query_x", "query_y").join(spots, ["query_x", "query_y"]).join(hits, "query_id")
+    found = materialize(vectors.withColumnRenamed("patch_id", "query_id"), "coords")
+    seeds = found.groupBy("query_id").agg(F.any_value("vector").alias("vector"), F.count("*").alias("spots"))
+    hits = similarity.match_rows(similarity.top_k(patches, seeds.select("query_id", "vector"), k, exclude_self), patches, tiles)
+    packed = hits.groupBy("query_id").agg(F.collect_list(F.struct(*[c for c in hits.columns if c != "query_id"])).alias("hits"))
+    packed = materialize(packed.join(seeds.select("query_id", "spots"), "query_id"), "hits")
+    spots = lookup(found.select("query_x", "query_y", "query_id", "copies"), packed, ["query_id"], "spots", "inner")
+    spots = materialize(spots.select("query_x", "query_y", "query_id", "copies", "hits"), "spots")
+    return lookup(coords.select("query_x", "query_y"), spots, ["query_x", "query_y"], "copies", "inner").select(
+        "query_id", "query_x", "query_y", F.inline("hits")
+    )
 
 
 def ingest_rasters(blobs: DataFrame, table_dir: str, dest: str = "raw", red_band: int = 1, nir_band: int = 1,
@@ -67,11 +77,16 @@ def ingest_rasters(blobs: DataFrame, table_dir: str, dest: str = "raw", red_band
     """Land files, validate, derive NDVI, and collect statistics, catalog rows and the ingest log.
 
     Source bytes are read once, into the landed table; everything after reads that.
+    Each call adds one ``batch`` to every table and returns the rows of that batch.
     """
-    spark = blobs.sparkSession
-    landed = files.write_landed(files.land_files(blobs, dest), f"{table_dir}/landed")
+    batch = uuid.uuid4().hex
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        return tables.write_table(df, f"{table_dir}/{name}/batch={batch}")
+
+    landed = files.write_landed(files.land_files(blobs, dest), f"{table_dir}/landed", batch)
     content = landed.select(F.col("file_id").alias("raster_id"), "path", "content")
-    headers = tables.write_table(rasters.raster_headers(content), f"{table_dir}/headers")
+    headers = store(rasters.raster_headers(content), "headers")
     good, bad = raster.validate(headers, skip_validation)
     good = good.where("error IS NULL")
     blocks = rasters.raster_blocks(content, block).join(good.select("raster_id"), "raster_id", "left_semi")
@@ -79,11 +94,11 @@ def ingest_rasters(blobs: DataFrame, table_dir: str, dest: str = "raw", red_band
         blocks.join(good.where(F.col("band_count") >= max(red_band, nir_band)).select("raster_id"), "raster_id", "left_semi"),
         red_band, nir_band,
     ).withColumn("path", paths.processed_path("path", F.col("raster_id")))
-    index = tables.write_table(index, f"{table_dir}/ndvi")
+    index = store(index, "ndvi")
     index_headers = good.withColumns({"band_count": F.lit(1), "dtype": F.lit("float32")})
-    raw_stats = tables.write_table(raster.block_stats(blocks, good), f"{table_dir}/raw_stats")
+    raw_stats = store(raster.block_stats(blocks, good), "raw_stats")
     processed = raster.block_stats(index, index_headers)
-    metrics = tables.write_table(catalog.metrics_side_by_side(raw_stats, processed), f"{table_dir}/metrics")
+    metrics = store(catalog.metrics_side_by_side(raw_stats, processed), "metrics")
     rows = catalog.catalog_rows(
         raw_stats.withColumnRenamed("raster_id", "file_id"), landed.select("file_id", "path", "ingested_at")
     )
@@ -92,9 +107,8 @@ def ingest_rasters(blobs: DataFrame, table_dir: str, dest: str = "raw", red_band
         "headers": headers,
         "metrics": metrics,
         "ndvi": index,
-        "catalog": tables.write_table(rows, f"{table_dir}/pc_rasters", mode="append"),
-        "log": tables.write_table(catalog.ingest_log(good, bad), f"{table_dir}/pc_metadata", mode="append"),
-        "session": spark,
+        "catalog": store(rows, "pc_rasters"),
+        "log": store(catalog.ingest_log(good, bad), "pc_metadata"),
     }
 
 

@@ -390,6 +390,8 @@ FROM (SELECT raster_id, min(value) AS min_val, max(value) AS max_val, avg(value)
 JOIN (SELECT raster_id, min(value) AS min_val, max(value) AS max_val, avg(value) AS mean_val, stddev_pop(value) AS std_val FROM done GROUP BY 1) p USING (raster_id)"""
 ORACLE["incremental_land"] = _with(PIX) + """
 SELECT raster_id || '.tif' AS filename, 'ok' AS ingest_status, NULL::VARCHAR AS error_message FROM (SELECT DISTINCT raster_id FROM pix)"""
+ORACLE["list_and_land"] = _with(PIX) + """
+SELECT raster_id || '.tif' AS filename, true AS whole, true AS id_in_path FROM (SELECT DISTINCT raster_id FROM pix)"""
 ORACLE["pointcloud_files"] = """
 SELECT 'nation_' || c_nationkey || '_' || c_custkey // 10000 || '.las' AS cloud,
        row_number() OVER (PARTITION BY c_nationkey, c_custkey // 10000 ORDER BY c_custkey) - 1 AS point_id,

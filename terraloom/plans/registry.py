@@ -540,13 +540,14 @@ def raster_ingest(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def list_and_land(spark: SparkSession, sf: str) -> DataFrame:
     folder = _raster_files(spark, sf)
-    listed = files.list_files(spark, folder, "*.tif").select(paths.basename("path").alias("filename"), "length")
+    listed = files.list_files(spark, folder, "*.tif").select(paths.basename("path").alias("filename"), F.col("length").alias("listed"))
     landed = files.write_landed(files.land_files(files.blob_scan(spark, folder), "raw"), new_dir(spark, "landed"))
     checked = landed.select(
-        "filename", F.length("content").cast("bigint").alias("landed_length"),
-        (paths.landed_id("path") == F.col("file_id")).alias("id_in_path"),
+        "filename", F.length("content").alias("stored"), (paths.landed_id("path") == F.col("file_id")).alias("id_in_path")
+    )
+    return listed.join(checked, "filename").select(
+        "filename", (F.col("listed") == F.col("stored")).alias("whole"), "id_in_path"
     )
-    return listed.join(checked, "filename")
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -62,15 +63,14 @@ def land_files(blobs: DataFrame, dest: str, allowed: tuple[str, ...] | None = No
     )
 
 
-def write_landed(landed: DataFrame, table_dir: str) -> DataFrame:
-    """Append landed files, bytes included, to a table split by day, and return what was read back."""
-    (
-        landed.withColumn("landed_on", F.to_date("ingested_at"))
-        .write.mode("append")
-        .partitionBy("landed_on")
-        .parquet(table_dir)
-    )
-    return landed.sparkSession.read.parquet(table_dir)
+def write_landed(landed: DataFrame, table_dir: str, batch: str | None = None) -> DataFrame:
+    """Add landed files, bytes included, to a table split by batch and day; returns the batch as stored.
+
+    Writing the same batch again replaces it.
+    """
+    path = f"{table_dir}/batch={batch or uuid.uuid4().hex}"
+    landed.withColumn("landed_on", F.to_date("ingested_at")).write.mode("overwrite").partitionBy("landed_on").parquet(path)
+    return landed.sparkSession.read.parquet(path)
 
 
 def _open_fs(path: str):

@@ -11,10 +11,10 @@ def _col(c: Column | str) -> Column:
 
 
 def basename(path: Column | str) -> Column:
-    """Last segment of a path or URI; NULL where there is none."""
-    inside = F.regexp_replace(_col(path), r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/]*", "")
-    name = F.regexp_extract(F.regexp_replace(inside, "/+$", ""), "([^/]*)$", 1)
-    return F.nullif(name, F.lit(""))
+    """Last segment of a path or URI; NULL where there is none (a bare host has no name)."""
+    trimmed = F.rtrim(_col(path), F.lit("/"))
+    name = F.substring_index(trimmed, "/", -1)
+    return F.when((name != "") & ~trimmed.rlike(r"^[A-Za-z][^/:]*:(//[^/]*)?$"), name)
 
 
 def require(value: Column, message: str) -> Column:
@@ -24,22 +24,24 @@ def require(value: Column, message: str) -> Column:
 
 def suffix(path: Column | str) -> Column:
     """Extension with its dot, case kept, '' where there is none; leading dots belong to the name."""
-    return F.regexp_extract(basename(path), r"^\.*[^.].*?(\.[^.]*)$", 1)
+    return F.regexp_extract(basename(path), r"^\.*[^.].*(\.[^.]*)$", 1)
 
 
 def extension(path: Column | str) -> Column:
     return F.lower(suffix(path))
 
 
+_STEM = r"^(\.*[^.].*?)(\.[^.]*)?$"
+
+
 def stem(path: Column | str) -> Column:
     """File name without its extension."""
-    name = basename(path)
-    return F.substring(name, F.lit(1), F.length(name) - F.length(suffix(path)))
+    return F.regexp_extract(basename(path), _STEM, 1)
 
 
 def dataset_name(path: Column | str) -> Column:
     """File name up to its first dot."""
-    return F.split(basename(path), r"\.", 2)[0]
+    return F.substring_index(basename(path), ".", 1)
 
 
 def tile_id(dataset: Column | str, col: Column | str, row: Column | str) -> Column:
@@ -57,7 +59,7 @@ def patch_id(tile: Column | str, row: Column | str, col: Column | str) -> Column
 def join_uri(base: Column | str, *parts: Column) -> Column:
     """Join with single slashes; NULL and empty parts are left out."""
     trimmed = [F.nullif(F.trim(p, F.lit("/")), F.lit("")) for p in parts]
-    return F.concat_ws("/", F.regexp_replace(_col(base), "/+$", ""), *trimmed)
+    return F.concat_ws("/", F.rtrim(_col(base), F.lit("/")), *trimmed)
 
 
 def _replace_first(text: Column, old: str, new: str) -> Column:
@@ -90,7 +92,7 @@ def results_path(output: Column | str, embeddings_dir: Column | str) -> Column:
     name = F.lit("similarity_results.parquet")
     return (
         F.when(out == "", join_uri(embeddings_dir, name))
-        .when(out.endswith("/") | (suffix(out) == "") | suffix(out).isNull(), join_uri(out, name))
+        .when(out.endswith("/") | (F.coalesce(suffix(out), F.lit("")) == ""), join_uri(out, name))
         .otherwise(out)
     )
 
@@ -99,7 +101,7 @@ def csv_twin(path: Column | str) -> Column:
     """CSV path written beside a result table."""
     p = _col(path)
     return F.when(F.coalesce(suffix(p), F.lit("")) == "", join_uri(p, F.lit("similarity_results.csv"))).otherwise(
-        F.concat(F.substring(p, F.lit(1), F.length(p) - F.length(suffix(p))), F.lit(".csv"))
+        F.regexp_replace(p, r"\.[^.]*$", ".csv")
     )
 
 
@@ -111,21 +113,24 @@ def landed_path(dest: Column, ts: Column, file_id: Column, filename: Column) ->
     return F.concat(dest, F.lit("/"), F.date_format(ts, STAMP), F.lit("_"), file_id, F.lit("/"), filename)
 
 
-_LANDED = r"(?:^|/)(\d{8}_\d{6})_([^/]+)/[^/]+$"
+def _landed_folder(path: Column | str) -> Column:
+    """The ``{stamp}_{id}`` folder a landed file lies in; NULL for other paths."""
+    folder = F.substring_index(F.substring_index(_col(path), "/", -2), "/", 1)
+    return F.when(folder.rlike(r"^\d{8}_\d{6}_."), folder)
 
 
 def landed_id(path: Column | str) -> Column:
     """File id inside a landed path; NULL for other paths."""
-    return F.nullif(F.regexp_extract(_col(path), _LANDED, 2), F.lit(""))
+    return F.substring(_landed_folder(path), 17, 2**31 - 1)
 
 
 def landed_at(path: Column | str) -> Column:
     """Landing time inside a landed path."""
-    return F.try_to_timestamp(F.regexp_extract(_col(path), _LANDED, 1), F.lit(STAMP))
+    return F.try_to_timestamp(F.substring(_landed_folder(path), 1, 15), F.lit(STAMP))
 
 
 def enriched_name(path: Column | str) -> Column:
-    return F.concat(stem(path), F.lit("_enriched"), suffix(path))
+    return F.regexp_replace(basename(path), _STEM, "$1_enriched$2")
 
 
 def glob_regex(glob: str, cross_slash: bool = True) -> str:

@@ -23,7 +23,7 @@ def resolve_by_id(files: DataFrame, ids: DataFrame, pick: str = "first", base: s
     wanted = ids.select(F.trim("file_id").alias("file_id")).distinct()
     found = files
     if base:
-        found = found.where(F.col("path").rlike(f"(^|/){base}/"))
+        found = found.where(F.concat(F.lit("/"), "path").contains(f"/{base.strip('/')}/"))
     if suffix:
         found = found.where(F.col("path").rlike(paths.glob_regex(suffix)))
     reduce = F.min if pick == "first" else F.max

@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,12 +90,18 @@ def _runs(points: np.ndarray) -> list[np.ndarray]:
     return done
 
 
-def _lists(n: int, row, col, dist, points: np.ndarray, ids: np.ndarray) -> list[list[dict]]:
-    out: list[list[dict]] = [[] for _ in range(n)]
-    for r, c, d in zip(row.tolist(), col.tolist(), dist.tolist()):
-        x, y, z = points[c]
-        out[r].append({"d2": d, "id": int(ids[c]), "x": x, "y": y, "z": z})
-    return out
+def _lists(n: int, row: np.ndarray, col: np.ndarray, dist: np.ndarray, points: np.ndarray, ids: np.ndarray) -> pa.Array:
+    """Hits sorted by query row as one neighbour list per query."""
+    found = points[col]
+    cells = pa.StructArray.from_arrays(
+        [pa.array(dist), pa.array(ids[col]), *(pa.array(found[:, a]) for a in range(3))], ["d2", "id", "x", "y", "z"]
+    )
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32()), cells)
+
+
+def _columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    xyz = np.stack([table[a].to_numpy() for a in "xyz"], axis=1)
+    return xyz, table["point_id"].to_numpy()
 
 
 def _xyz(pdf: pd.DataFrame) -> np.ndarray:
@@ -211,31 +218,32 @@ def _union(found: DataFrame, crowded: DataFrame | None) -> DataFrame:
 def _search(placed: DataFrame, k: int, trees) -> DataFrame:
     """Search inside each leaf; ``probes`` names the other leaves a point must still ask."""
 
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        points, ids = _xyz(pdf), pdf["point_id"].to_numpy()
-        seek = np.flatnonzero(pdf["seeks"].to_numpy())
+    def search(table: pa.Table) -> pa.Table:
+        points, ids = _columns(table)
+        seek = np.flatnonzero(table["seeks"].to_numpy())
         row, col, dist = _nearest(points[seek], points, ids, k + 1)
         other = col != seek[row]
         row, col, dist = row[other], col[other], dist[other]
         place = np.arange(len(row)) - np.searchsorted(row, row)
-        row, col, dist = (v[place < k] for v in (row, col, dist))
+        row, col, dist, place = (v[place < k] for v in (row, col, dist, place))
         reach = np.full(len(seek), np.inf)
-        last = np.flatnonzero(place[place < k] == k - 1)
+        last = place == k - 1
         reach[row[last]] = np.sqrt(dist[last]) * (1 + 1e-9)
-        out = pdf.iloc[seek][["cloud_id", "point_id", "x", "y", "z"]].copy()
-        out["leaf"] = pdf["leaf"].iloc[seek]
-        out["nbrs"] = _lists(len(seek), row, col, dist, points, ids)
-        probes: list[list[int]] = [[] for _ in range(len(seek))]
-        tree = trees.value.get(pdf["cloud_id"].iloc[0])
+        who = leaf = np.zeros(0, np.int64)
+        tree = trees.value.get(table["cloud_id"][0].as_py())
         if tree is not None:
-            own = pdf["leaf"].iloc[0]
-            for who, leaf in zip(*(v.tolist() for v in tree.reach(points[seek], reach))):
-                if leaf != own:
-                    probes[who].append(leaf)
-        out["probes"] = probes
-        return out
-
-    return placed.groupBy("cloud_id", "leaf").applyInPandas(
+            who, leaf = tree.reach(points[seek], reach)
+            away = leaf != table["leaf"][0].as_py()
+            who, leaf = who[away], leaf[away]
+            order = np.argsort(who, kind="stable")
+            who, leaf = who[order], leaf[order]
+        probes = pa.ListArray.from_arrays(
+            pa.array(np.searchsorted(who, np.arange(len(seek) + 1)), pa.int32()), pa.array(leaf, pa.int32())
+        )
+        out = table.select(["cloud_id", "point_id", "x", "y", "z", "leaf"]).take(pa.array(seek))
+        return out.append_column("nbrs", _lists(len(seek), row, col, dist, points, ids)).append_column("probes", probes)
+
+    return placed.groupBy("cloud_id", "leaf").applyInArrow(
         search,
         f"cloud_id string, point_id bigint, x double, y double, z double, leaf int, nbrs {NEIGHBOURS}, probes array<int>",
     )
@@ -258,20 +266,22 @@ def _probe(probes: DataFrame, placed: DataFrame, k: int) -> DataFrame:
         "salt", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))
     )
 
-    def answer(askers: pd.DataFrame, pdf: pd.DataFrame) -> pd.DataFrame:
-        out = askers[["cloud_id", "point_id"]].copy()
-        if not len(askers) or not len(pdf):
-            return out.assign(nbrs=[[] for _ in range(len(out))])
-        points, ids = _xyz(pdf), pdf["point_id"].to_numpy()
-        bound = askers["bound"].fillna(np.inf).to_numpy("float64")
-        row, col, dist = _nearest(_xyz(askers), points, ids, k, bound)
-        return out.assign(nbrs=_lists(len(askers), row, col, dist, points, ids))
+    def answer(askers: pa.Table, table: pa.Table) -> pa.Table:
+        points, ids = _columns(table)
+        row = col = np.zeros(0, np.int64)
+        dist = np.zeros(0)
+        if askers.num_rows and len(points):
+            bound = askers["bound"].to_numpy().astype("float64")
+            bound[np.isnan(bound)] = np.inf
+            row, col, dist = _nearest(_columns(askers)[0], points, ids, k, bound)
+        lists = _lists(askers.num_rows, row, col, dist, points, ids)
+        return askers.select(["cloud_id", "point_id"]).append_column("nbrs", lists)
 
     return (
         salted.drop("groups")
         .groupBy("cloud_id", "leaf", "salt")
         .cogroup(leaves.select("cloud_id", "leaf", "salt", "point_id", "x", "y", "z").groupBy("cloud_id", "leaf", "salt"))
-        .applyInPandas(answer, f"cloud_id string, point_id bigint, nbrs {NEIGHBOURS}")
+        .applyInArrow(answer, f"cloud_id string, point_id bigint, nbrs {NEIGHBOURS}")
     )
 
 
@@ -308,7 +318,7 @@ def with_covariance(lists: DataFrame, include_self: bool = False) -> DataFrame:
 
 def normals(points: DataFrame, k: int = 8, include_self: bool = False) -> DataFrame:
     """Unit normal, turned upwards, and curvature per point."""
-    df = eigen.with_normal(eigen.with_eigenvalues(with_covariance(neighbour_lists(points, k), include_self)))
+    df = eigen.with_eigen(with_covariance(neighbour_lists(points, k), include_self))
     return df.select(
         "cloud_id", "point_id", "x", "y", "z", "nx", "ny", "nz", eigen.shape_features()["curvature"].alias("curvature")
     )
@@ -316,7 +326,7 @@ def normals(points: DataFrame, k: int = 8, include_self: bool = False) -> DataFr
 
 def eigen_features(points: DataFrame, k: int = 20, include_self: bool = False) -> DataFrame:
     """Eigenvalues, normal, shape features, and height and density measures per point."""
-    df = eigen.with_normal(eigen.with_eigenvalues(with_covariance(neighbour_lists(points, k), include_self)))
+    df = eigen.with_eigen(with_covariance(neighbour_lists(points, k), include_self))
     heights = F.transform("nbrs", lambda v: v["z"])
     n = F.size("nbrs")
     radius = F.sqrt(F.element_at("nbrs", -1)["d2"])

@@ -286,11 +286,11 @@ def extension_filter(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def derived_paths(spark: SparkSession, sf: str) -> DataFrame:
     p = F.col("path")
-    return views.landed(spark, sf).select(
+    return views.landed(spark, sf).withColumn("stem", paths.stem(p)).select(
         "event_id",
         paths.basename(p).alias("name"), paths.extension(p).alias("ext"), paths.dataset_name(p).alias("dataset"),
         paths.processed_path(p, F.col("file_id")).alias("processed"), paths.enriched_name(p).alias("enriched"),
-        paths.csv_twin(p).alias("twin"), paths.results_path(paths.stem(p), F.lit("emb/")).alias("results"),
+        paths.csv_twin(p).alias("twin"), paths.results_path(F.col("stem"), F.lit("emb/")).alias("results"),
         paths.join_uri(F.lit("s3://bucket/"), F.lit("/tiles/"), F.col("file_id"), F.lit("")).alias("uri"),
         paths.landed_id(p).alias("id"), F.date_format(paths.landed_at(p), "yyyy-MM-dd HH:mm:ss").alias("landed"),
     )
@@ -365,7 +365,7 @@ def knn(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def knn_eigen(spark: SparkSession, sf: str) -> DataFrame:
     lists = neighbours.neighbour_lists(views.points(spark, sf), 20)
-    values = eigen.with_eigenvalues(neighbours.with_covariance(lists))
+    values = eigen.with_eigen(neighbours.with_covariance(lists))
     return _rounded(values.select("point_id", "l1", "l2", "l3"), ["l1", "l2", "l3"], 5)
 
 

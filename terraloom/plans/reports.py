@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import time
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,13 +15,16 @@ NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.Do
 
 
 def distinct_counts(df: DataFrame) -> DataFrame:
-    """Exact distinct non-null values per column, in one pass over (column, value) pairs.
+    """Exact distinct non-null values per column.
 
-    Repeated values collapse before the shuffle, and no task holds a column's values.
+    Each column is scanned alone and its repeats collapse before the shuffle; no
+    task holds a column's values.
     """
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in df.columns]))
-    values = df.select(pairs.alias("p")).select("p.*").where("value IS NOT NULL").groupBy("column_name", "value").agg(F.lit(1))
-    return values.groupBy("column_name").agg(F.count("*").alias("distinct_values"))
+    def count(name: str) -> DataFrame:
+        values = df.select(F.col(f"`{name}`").alias("v")).where("v IS NOT NULL").distinct()
+        return values.agg(F.count("*").alias("distinct_values")).select(F.lit(name).alias("column_name"), "distinct_values")
+
+    return reduce(DataFrame.unionByName, [count(c) for c in df.columns])
 
 
 def profile(df: DataFrame, exact: bool = False, quantiles: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:

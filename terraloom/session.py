@@ -33,12 +33,12 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without that setting gets a temporary folder; on a
     cluster a machine-local folder would be lost with its executor.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("terraloom.shared.dir", None)
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="terraloom-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        spark.conf.set("terraloom.shared.dir", named)
     return named.rstrip("/")
 
 

@@ -102,11 +102,11 @@ def blocks_to_blobs(blocks: DataFrame, headers: DataFrame, dest: str) -> DataFra
 
     ``headers`` gives the transform and the reference system per raster.
     """
-    named = blocks.join(headers.select("raster_id", "a", "c", "e", "f", "crs", "nodata"), "raster_id").withColumn(
-        "out", paths.join_uri(F.lit(dest), F.coalesce(F.col("tile_path"), F.concat("raster_id", F.lit(".tif"))))
-        if "tile_path" in blocks.columns
-        else paths.join_uri(F.lit(dest), F.concat("raster_id", F.lit(".tif")))
+    name = F.col("tile_path") if "tile_path" in blocks.columns else F.concat("raster_id", F.lit(".tif"))
+    parts = blocks.select(
+        "raster_id", "dtype", "row_off", "col_off", "height", "width", "bands", paths.join_uri(F.lit(dest), name).alias("out")
     )
+    named = parts.join(headers.select("raster_id", "a", "c", "e", "f", "crs", "nodata"), "raster_id")
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np

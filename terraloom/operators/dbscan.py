@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from ..session import lookup, materialize
 from .components import connected_components
 
-# Points of one cell joined in one group; fuller cells are split over several.
+# Points of one block joined in one group; fuller blocks are dealt over several.
 GROUP_POINTS = 10_000
-# Cells per axis sharing a key in the search for adjacent cells.
-BLOCK = 4
+# Cells per axis sharing a key where cells or points look for their neighbours.
+BLOCK = 3
 REFINE_LIMIT = 40
 
 
@@ -30,6 +30,7 @@ class _Grid:
         self.g = [f"g{i}" for i in self.axes]
         self.lo = [f"lo{i}" for i in self.axes]
         self.hi = [f"hi{i}" for i in self.axes]
+        self.k = [f"k{i}" for i in self.axes]
 
     def bounds(self) -> list[Column]:
         return [F.min(c).alias(n) for c, n in zip(self.c, self.lo)] + [F.max(c).alias(n) for c, n in zip(self.c, self.hi)]
@@ -55,6 +56,10 @@ class _Grid:
         ]
         return reduce(lambda s, v: s + v, [v * v for v in spans])
 
+    def touching(self, a: str, b: str) -> Column:
+        """Whether two cells are near enough to hold points within eps of each other."""
+        return reduce(lambda p, q: p & q, [F.abs(F.col(a + g) - F.col(b + g)) <= self.reach for g in self.g])
+
     def dist2(self, a: str, b: str) -> Column:
         steps = [F.col(f"{a}{c}") - F.col(f"{b}{c}") for c in self.c]
         return reduce(lambda s, v: s + v, [v * v for v in steps])
@@ -64,81 +69,57 @@ def _prefixed(df: DataFrame, prefix: str, names: list[str]) -> DataFrame:
     return df.withColumnsRenamed({n: prefix + n for n in names})
 
 
-def _adjacent_cells(cells: DataFrame, grid: _Grid) -> DataFrame:
-    """Ordered pairs of different cells whose boxes come within eps.
+def _near_blocks(df: DataFrame, grid: _Grid, prefix: str) -> DataFrame:
+    """One row per coarse block that a cell's surroundings touch: eight or fewer in space."""
+    for k, g in zip(grid.k, grid.g):
+        at = F.col(prefix + g)
+        blocks = F.sequence(F.floor((at - grid.reach) / BLOCK), F.floor((at + grid.reach) / BLOCK))
+        df = df.withColumn(k, F.explode(blocks))
+    return df
 
-    Cells meet through coarse blocks: each is filed once and looks into the few
-    blocks its surroundings touch. A block holds a fixed number of cells at most.
-    """
-    keys = [f"k{i}" for i in grid.axes]
-    names = [*grid.g, *grid.lo, *grid.hi, "n", "cell"]
-    filed = _prefixed(
-        cells.withColumns({k: F.floor(F.col(g) / BLOCK) for k, g in zip(keys, grid.g)}), "b_", names
-    )
-    seeking = _prefixed(cells, "a_", names)
-    for k, g in zip(keys, grid.g):
-        near = F.sequence(
-            F.floor((F.col("a_" + g) - grid.reach) / BLOCK), F.floor((F.col("a_" + g) + grid.reach) / BLOCK)
-        )
-        seeking = seeking.withColumn(k, F.explode(near))
-    close = [F.abs(F.col("a_" + g) - F.col("b_" + g)) <= grid.reach for g in grid.g]
-    return (
-        seeking.join(filed, ["cloud_id", *keys])
-        .where(reduce(lambda p, q: p & q, close) & (F.col("a_cell") != F.col("b_cell")))
-        .where(grid.gap2("a_", "b_") <= grid.eps2)
-        .drop(*keys)
-    )
+
+def _own_block(df: DataFrame, grid: _Grid, prefix: str = "") -> DataFrame:
+    return df.withColumns({k: F.floor(F.col(prefix + g) / BLOCK) for k, g in zip(grid.k, grid.g)})
 
 
-def _near_counts(tagged: DataFrame, adjacent: DataFrame, grid: _Grid) -> DataFrame:
-    """For points of thin cells: how many points of each adjacent cell lie within eps.
+def _full_pairs(full: DataFrame, grid: _Grid) -> DataFrame:
+    """Pairs of different full cells whose boxes come within eps, each once.
 
-    Only thin cells ask, and they hold fewer than ``min_points`` points each, so a
-    crowded cell is compared with a bounded number of points; its own points are
-    split over groups.
+    Cells meet through coarse blocks, which hold a fixed number of cells at most.
+    ``sure`` says that the boxes lie within eps wholly.
     """
-    groups = F.ceil(F.col("n") / F.lit(GROUP_POINTS)).cast("int")
-    asked = adjacent.where(F.col("a_n") < grid.min_points).select(
-        "cloud_id", F.col("a_cell").alias("cell"), "b_cell", F.col("b_n").alias("n")
-    )
-    asking = (
-        _prefixed(tagged.where(F.col("n") < grid.min_points).drop("n", *grid.g), "p_", ["point_id", *grid.c])
-        .join(asked, ["cloud_id", "cell"])
-        .withColumn("group", F.explode(F.sequence(F.lit(0), groups - 1)))
-        .withColumnsRenamed({"cell": "a_cell", "n": "b_n"})
-    )
-    told = _prefixed(
-        tagged.withColumn("group", F.pmod(F.xxhash64("point_id"), groups).cast("int")).withColumnRenamed("cell", "b_cell"),
-        "q_", grid.c,
-    ).drop("n", "point_id", *grid.g)
+    names = [*grid.g, *grid.lo, *grid.hi, "cell"]
+    full = full.select("cloud_id", *names)
+    seeking = _near_blocks(_prefixed(full, "a_", names), grid, "a_")
+    filed = _own_block(_prefixed(full, "b_", names), grid, "b_")
     return (
-        asking.join(told, ["cloud_id", "b_cell", "group"])
-        .where(grid.dist2("p_", "q_") <= grid.eps2)
-        .groupBy("cloud_id", F.col("p_point_id").alias("point_id"), "a_cell", "b_cell", "b_n")
-        .agg(F.count("*").alias("near"))
+        seeking.join(filed, ["cloud_id", *grid.k])
+        .where(grid.touching("a_", "b_") & (F.col("a_cell") < F.col("b_cell")))
+        .where(grid.gap2("a_", "b_") <= grid.eps2)
+        .select(
+            "cloud_id", F.col("a_cell").alias("a"), F.col("b_cell").alias("b"),
+            F.array(*["a_" + g for g in grid.g]).alias("sa"), F.array(*["b_" + g for g in grid.g]).alias("sb"),
+            (grid.span2("a_", "b_") <= grid.eps2).alias("sure"),
+        )
     )
 
 
-def _touches(near: DataFrame, thin: DataFrame, grid: _Grid) -> DataFrame:
-    """Points of thin cells with the adjacent cells holding a core point within eps of them.
+def _close_pairs(thin: DataFrame, others: DataFrame, blocks: DataFrame, grid: _Grid, keep: list[str]) -> DataFrame:
+    """(p, q): points of thin cells with the points of other cells within eps.
 
-    Cells go by the name of their smallest core id.
+    Only points of thin cells ask, and those are fewer than ``min_points`` a cell, so
+    a crowded cell meets a bounded number of points; a block's points are dealt over
+    ``groups``, so no key grows with them. Pairs are aggregated by the callers before
+    any further exchange.
     """
-    full = near.where(F.col("b_n") >= grid.min_points).select("cloud_id", "point_id", F.col("b_cell").alias("b"))
-    some = near.where(F.col("b_n") < grid.min_points).select("cloud_id", "point_id", "b_cell")
-    p = _prefixed(thin.select("cloud_id", "point_id", *grid.c), "p_", grid.c)
-    q = _prefixed(
-        thin.where("core").select("cloud_id", F.col("cell").alias("b_cell"), F.col("name").alias("b"), *grid.c), "q_", grid.c
+    names = ["point_id", "cell", *grid.c, *grid.g, *keep]
+    asking = _near_blocks(_prefixed(thin.select("cloud_id", *names), "p_", names), grid, "p_")
+    asking = asking.join(blocks, ["cloud_id", *grid.k]).withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    told = others.withColumn("group", F.pmod(F.xxhash64("point_id"), F.col("groups")).cast("int"))
+    told = _own_block(_prefixed(told.select("cloud_id", "group", *names), "q_", names), grid, "q_")
+    return asking.join(told, ["cloud_id", *grid.k, "group"]).where(
+        grid.touching("p_", "q_") & (F.col("p_cell") != F.col("q_cell")) & (grid.dist2("p_", "q_") <= grid.eps2)
     )
-    proven = (
-        some.join(p, ["cloud_id", "point_id"])
-        .join(q, ["cloud_id", "b_cell"])
-        .where(grid.dist2("p_", "q_") <= grid.eps2)
-        .select("cloud_id", "point_id", "b")
-        .distinct()
-    )
-    facts = thin.select("cloud_id", "point_id", F.col("name").alias("a"), "core")
-    return full.unionByName(proven).join(facts, ["cloud_id", "point_id"])
 
 
 def _resolve_full_pairs(open_pairs: DataFrame, full_points: DataFrame, grid: _Grid) -> list[DataFrame]:
@@ -210,41 +191,51 @@ def dbscan(points: DataFrame, min_points: int = 10, eps: float = 2.0, dims: tupl
         "cloud_id", F.col("point_id").cast("bigint").alias("point_id"),
         *[F.col(d).cast("double").alias(c) for d, c in zip(dims, grid.c)],
     ).withColumns({g: F.floor(F.col(c) / grid.side).cast("bigint") for g, c in zip(grid.g, grid.c)})
-    cells = materialize(
-        pts.groupBy(*key).agg(F.count("*").alias("n"), F.min("point_id").alias("cell"), *grid.bounds()), "cells"
+    found = _own_block(
+        pts.groupBy(*key).agg(F.count("*").alias("n"), F.min("point_id").alias("cell"), *grid.bounds()), grid
     )
-    tagged = materialize(lookup(pts, cells.select(*key, "n", "cell"), key, "n", "inner"), "tagged")
+    # A window over one block sees at most BLOCK cells per axis.
+    in_block = Window.partitionBy("cloud_id", *grid.k)
+    groups = F.ceil(F.sum("n").over(in_block) / F.lit(GROUP_POINTS)).cast("int")
+    cells = materialize(found.withColumn("groups", groups), "cells")
+    blocks = cells.select("cloud_id", *grid.k, "groups").distinct()
+    tagged = materialize(lookup(pts, cells.select(*key, "n", "cell", "groups"), key, "n", "inner"), "tagged")
     is_full = F.col("n") >= min_points
-    adjacent = materialize(
-        _adjacent_cells(cells, grid).where(
-            (F.col("a_n") < min_points) | ((F.col("b_n") >= min_points) & (F.col("a_cell") < F.col("b_cell")))
-        ),
-        "adjacent",
+    seekers = tagged.where(~is_full)
+    near = (
+        _close_pairs(seekers, tagged, blocks, grid, [])
+        .groupBy("cloud_id", F.col("p_point_id").alias("point_id"))
+        .agg(F.count("*").alias("near"))
     )
-    near = materialize(_near_counts(tagged, adjacent, grid), "near")
-    total = near.groupBy("cloud_id", "point_id").agg(F.sum("near").alias("near"))
     core = F.coalesce("near", F.lit(0)) + F.col("n") >= min_points
     # A thin cell has fewer than min_points rows, so this window never grows.
     in_cell = Window.partitionBy("cloud_id", "cell")
     thin = materialize(
-        tagged.where(~is_full)
-        .join(total, ["cloud_id", "point_id"], "left")
-        .select("cloud_id", "point_id", "cell", *grid.c, core.alias("core"))
-        .withColumn("name", F.min(F.when(F.col("core"), F.col("point_id"))).over(in_cell)),
+        seekers.join(near, ["cloud_id", "point_id"], "left")
+        .withColumn("core", core)
+        .withColumn("name", F.min(F.when(F.col("core"), F.col("point_id"))).over(in_cell))
+        .drop("near", "n"),
         "thin",
     )
-    touches = materialize(_touches(near, thin, grid), "touches")
-    full_pairs = adjacent.where((F.col("a_n") >= min_points) & (F.col("b_n") >= min_points)).withColumn(
-        "sure", grid.span2("a_", "b_") <= grid.eps2
+    # Core cells go by their smallest core id. A core point links cells; any other point needs its own row.
+    cores = tagged.where(is_full).withColumns({"name": F.col("cell"), "core": F.lit(True)}).unionByName(
+        thin.where("core"), allowMissingColumns=True
+    )
+    touches = materialize(
+        _close_pairs(thin, cores, blocks, grid, ["name", "core"])
+        .select(
+            "cloud_id", F.when(~F.col("p_core"), F.col("p_point_id")).alias("point_id"),
+            F.when(F.col("p_core"), F.col("p_name")).alias("a"), F.col("q_name").alias("b"),
+        )
+        .distinct(),
+        "touches",
     )
-    edges = touches.where("core").select("cloud_id", "a", "b").unionByName(
-        full_pairs.where("sure").select("cloud_id", F.col("a_cell").alias("a"), F.col("b_cell").alias("b"))
+    pairs = materialize(_full_pairs(cells.where(is_full), grid), "pairs")
+    edges = touches.where("a IS NOT NULL").select("cloud_id", "a", "b").unionByName(
+        pairs.where("sure").select("cloud_id", "a", "b")
     )
     comps = connected_components(edges)
-    unsure = full_pairs.where("NOT sure").select(
-        "cloud_id", F.col("a_cell").alias("a"), F.col("b_cell").alias("b"),
-        F.array(*["a_" + g for g in grid.g]).alias("sa"), F.array(*["b_" + g for g in grid.g]).alias("sb"),
-    )
+    unsure = pairs.where("NOT sure").drop("sure")
     # Pairs already connected some other way need no answer.
     for end in "ab":
         names = comps.select("cloud_id", F.col("node").alias(end), F.col("label").alias(f"l{end}"))
@@ -264,7 +255,7 @@ def dbscan(points: DataFrame, min_points: int = 10, eps: float = 2.0, dims: tupl
     in_full = lookup(tagged.where(is_full).select("cloud_id", "point_id", "cell"), full_cells, ["cloud_id", "cell"], "n", "inner")
     in_thin = labelled(thin.where("core").select("cloud_id", "point_id", "name"), "name")
     # A point shares the cluster of its own cell, if that has a core point, or of a cell it touches.
-    beside = touches.where("NOT core").select("cloud_id", "point_id", "b").unionByName(
+    beside = touches.where("point_id IS NOT NULL").select("cloud_id", "point_id", "b").unionByName(
         thin.where("NOT core AND name IS NOT NULL").select("cloud_id", "point_id", F.col("name").alias("b"))
     )
     border = labelled(beside, "b").groupBy("cloud_id", "point_id").agg(F.min("cluster_id").alias("cluster_id"))
@@ -275,8 +266,8 @@ def dbscan(points: DataFrame, min_points: int = 10, eps: float = 2.0, dims: tupl
             "cloud_id", "point_id", F.lit(is_core).alias("is_core"), F.coalesce("cluster_id", F.lit(-1)).cast("bigint").alias("cluster_id")
         )
 
-    found = out(in_full, True).unionByName(out(in_thin, True)).unionByName(out(loose, False))
-    return _numbered(materialize(found, "found")) if renumber else found
+    labels = out(in_full, True).unionByName(out(in_thin, True)).unionByName(out(loose, False))
+    return _numbered(materialize(labels, "labels")) if renumber else labels
 
 
 def _numbered(found: DataFrame) -> DataFrame:

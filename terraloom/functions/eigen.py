@@ -1,101 +1,38 @@
-"""Closed-form eigen decomposition of symmetric 3x3 matrices, and shape features from it."""
+"""Eigen decomposition of neighbourhood covariances, and shape features from it."""
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SIX = ("xx", "xy", "xz", "yy", "yz", "zz")
-
-
-def _dot(u: Column, v: Column) -> Column:
-    return u[0] * v[0] + u[1] * v[1] + u[2] * v[2]
 
+def covariances(group: np.ndarray, points: np.ndarray, groups: int) -> np.ndarray:
+    """Population covariance of the points of each group, shaped (group, 3, 3); 0 for an empty one."""
+    count = np.maximum(np.bincount(group, minlength=groups), 1)
 
-def _cross(u, v) -> Column:
-    return F.array(u[1] * v[2] - u[2] * v[1], u[2] * v[0] - u[0] * v[2], u[0] * v[1] - u[1] * v[0])
+    def mean(values: np.ndarray) -> np.ndarray:
+        return np.bincount(group, values, groups) / count
 
+    centred = points - np.stack([mean(points[:, a]) for a in range(3)], axis=1)[group]
+    out = np.zeros((groups, 3, 3))
+    for i in range(3):
+        for j in range(i, 3):
+            out[:, i, j] = out[:, j, i] = mean(centred[:, i] * centred[:, j])
+    return out
 
-def _scaled(v: Column, by: Column) -> Column:
-    return F.array(*[v[i] * by for i in range(3)])
 
+def symmetric_eigen(matrices: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Eigenvalues, largest first and not below 0, and the unit eigenvector of the smallest, turned upwards.
 
-def with_eigen(df: DataFrame, prefix: str = "c_") -> DataFrame:
-    """Add ``l1 >= l2 >= l3`` and the unit eigenvector ``nx, ny, nz`` of ``l3``, turned upwards.
-
-    The matrix is the positive semi-definite one in ``{prefix}xx .. {prefix}zz``. The
-    root that stands apart comes from the trigonometric solution, its eigenvector
-    from a cross product, and the other two from the 2x2 problem left in the plane
-    across it, so nearly equal roots keep full precision. A direction that is not
-    determined is taken across the determined one, or +z where nothing is.
+    A zero matrix has no direction of its own and gets +z.
     """
-    xx, xy, xz, yy, yz, zz = (F.col(prefix + n) for n in _SIX)
-    zero, one = F.lit(0.0), F.lit(1.0)
-    df = df.withColumn("_q", (xx + yy + zz) / 3)
-    q = F.col("_q")
-    spread = (xx - q) * (xx - q) + (yy - q) * (yy - q) + (zz - q) * (zz - q) + (xy * xy + xz * xz + yz * yz) * 2
-    df = df.withColumn("_p", F.sqrt(spread / 6))
-    p = F.when(F.col("_p") == 0, one).otherwise(F.col("_p"))
-    bxx, byy, bzz, bxy, bxz, byz = (v / p for v in (xx - q, yy - q, zz - q, xy, xz, yz))
-    det = bxx * (byy * bzz - byz * byz) - bxy * (bxy * bzz - byz * bxz) + bxz * (bxy * byz - byy * bxz)
-    df = df.withColumn("_half", F.greatest(F.least(det / 2, one), -one))
-    high_apart = F.col("_half") >= 0
-    turn = F.acos("_half") / 3 + F.when(high_apart, zero).otherwise(F.lit(2 * math.pi / 3))
-    df = df.withColumn("_apart", q + F.col("_p") * 2 * F.cos(turn))
-    root = F.col("_apart")
-    rows = ((xx - root, xy, xz), (xy, yy - root, yz), (xz, yz, zz - root))
-    df = df.withColumns({"_ra": _cross(rows[0], rows[1]), "_rb": _cross(rows[0], rows[2]), "_rc": _cross(rows[1], rows[2])})
-    a, b, c = F.col("_ra"), F.col("_rb"), F.col("_rc")
-    longest = F.when((_dot(a, a) >= _dot(b, b)) & (_dot(a, a) >= _dot(c, c)), a).when(_dot(b, b) >= _dot(c, c), b).otherwise(c)
-    df = df.withColumn("_v", longest)
-    df = df.withColumn("_size", F.sqrt(_dot(F.col("_v"), F.col("_v"))))
-    nothing = F.col("_size") <= q * q * 1e-15
-    up = F.array(zero, zero, one)
-    df = df.withColumn("_v", F.when(nothing, up).otherwise(_scaled(F.col("_v"), one / F.col("_size"))))
-    v = F.col("_v")
-    df = df.withColumn(
-        "_u",
-        F.when(
-            F.abs(v[0]) > F.abs(v[1]), _scaled(F.array(-v[2], zero, v[0]), one / F.sqrt(v[0] * v[0] + v[2] * v[2]))
-        ).otherwise(_scaled(F.array(zero, v[2], -v[1]), one / F.sqrt(v[1] * v[1] + v[2] * v[2]))),
-    )
-    df = df.withColumn("_w", _cross(v, F.col("_u")))
-    u, w = F.col("_u"), F.col("_w")
-
-    def image(t: Column) -> Column:
-        return F.array(xx * t[0] + xy * t[1] + xz * t[2], xy * t[0] + yy * t[1] + yz * t[2], xz * t[0] + yz * t[1] + zz * t[2])
-
-    df = df.withColumns({"_uu": _dot(u, image(u)), "_uw": _dot(u, image(w)), "_ww": _dot(w, image(w)), "_vv": _dot(v, image(v))})
-    uu, uw, ww, vv = (F.col(n) for n in ("_uu", "_uw", "_ww", "_vv"))
-    df = df.withColumn("_r", F.hypot((uu - ww) / 2, uw))
-    df = df.withColumns({"_hi": (uu + ww) / 2 + F.col("_r"), "_lo": (uu + ww) / 2 - F.col("_r")})
-    hi, lo = F.col("_hi"), F.col("_lo")
-    # In the plane (u, w) the eigenvector of lo lies across either row of the 2x2 matrix less lo.
-    first = F.abs(uu - lo) >= F.abs(ww - lo)
-    on_u, on_w = F.when(first, -uw).otherwise(ww - lo), F.when(first, uu - lo).otherwise(-uw)
-    size = F.hypot(on_u, on_w)
-    flat = F.col("_r") <= vv * 1e-15
-    across = F.when(flat, u).otherwise(
-        F.array(*[(u[i] * on_u + w[i] * on_w) / F.nullif(size, zero) for i in range(3)])
-    )
-    df = df.withColumn("_n", F.when(nothing, up).when(high_apart, across).otherwise(v))
-    n = F.col("_n")
-    sign = F.when(n[2] < 0, F.lit(-1.0)).otherwise(one)
-    return df.withColumns(
-        {
-            "l1": F.greatest(F.when(high_apart, vv).otherwise(hi), zero),
-            "l2": F.greatest(F.when(high_apart, hi).otherwise(lo), zero),
-            "l3": F.greatest(F.when(high_apart, lo).otherwise(vv), zero),
-            "nx": sign * n[0] + 0.0,
-            "ny": sign * n[1] + 0.0,
-            "nz": sign * n[2] + 0.0,
-        }
-    ).drop(
-        "_q", "_p", "_half", "_apart", "_ra", "_rb", "_rc", "_v", "_size", "_u", "_w", "_uu", "_uw", "_ww", "_vv", "_r",
-        "_hi", "_lo", "_n",
-    )
+    values, vectors = np.linalg.eigh(matrices)
+    values = np.maximum(values[:, ::-1], 0.0)
+    normal = vectors[:, :, 0]
+    normal = np.where(normal[:, 2:] < 0, -normal, normal) + 0.0
+    normal[values[:, 0] <= 0] = (0.0, 0.0, 1.0)
+    return values, normal
 
 
 def shape_features() -> dict[str, Column]:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -293,49 +295,62 @@ def knn(points: DataFrame, k: int = 20, leaf_rows: int = LEAF_ROWS) -> DataFrame
     )
 
 
-def with_covariance(lists: DataFrame, include_self: bool = False) -> DataFrame:
-    """Population covariance of each neighbourhood, as ``c_xx .. c_zz``; computed in place, no shuffle."""
-    hood = F.col("nbrs")
-    if include_self:
-        own = F.struct(F.lit(0.0).alias("d2"), F.col("point_id").alias("id"), "x", "y", "z")
-        hood = F.concat(F.array(own).cast(NEIGHBOURS), hood)
-    df = lists.withColumn("_hood", hood).withColumn("_n", F.size("_hood").cast("double"))
+_SHAPE = (
+    "cloud_id string, point_id bigint, x double, y double, z double, c_xx double, c_xy double, c_xz double, c_yy double,"
+    " c_yz double, c_zz double, l1 double, l2 double, l3 double, nx double, ny double, nz double, neighbours int,"
+    " height_range double, radius double"
+)
 
-    def mean(value) -> F.Column:
-        return F.aggregate("_hood", F.lit(0.0), lambda acc, v: acc + value(v)) / F.nullif(F.col("_n"), F.lit(0.0))
 
-    df = df.withColumns({f"_m{a}": mean(lambda v, a=a: v[a]) for a in "xyz"})
-    pairs = ("xx", "xy", "xz", "yy", "yz", "zz")
-    return df.withColumns(
-        {
-            f"c_{p}": F.coalesce(
-                mean(lambda v, p=p: (v[p[0]] - F.col(f"_m{p[0]}")) * (v[p[1]] - F.col(f"_m{p[1]}"))), F.lit(0.0)
-            )
-            for p in pairs
-        }
-    ).drop("_hood", "_n", "_mx", "_my", "_mz")
+def neighbourhood_shapes(lists: DataFrame, include_self: bool = False) -> DataFrame:
+    """Population covariance, eigenvalues, normal and extent of each point's neighbourhood.
+
+    No shuffle: lists stream through in Arrow batches and leave as a few numbers. Batched
+    eigen decomposition there is several times faster than the same algebra as columns,
+    whose generated code grows beyond what the JVM compiles.
+    """
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, n = batch["nbrs"], batch.num_rows
+            sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            row, cells = np.repeat(np.arange(n), sizes), lists.flatten()
+            d2, _, *hood = (cells.field(i).to_numpy(zero_copy_only=False) for i in range(5))
+            hood = np.stack(hood, axis=1)
+            radius = np.zeros(n)
+            np.maximum.at(radius, row, np.sqrt(d2))
+            high, low = np.full(n, -np.inf), np.full(n, np.inf)
+            np.maximum.at(high, row, hood[:, 2])
+            np.minimum.at(low, row, hood[:, 2])
+            if include_self:
+                own = np.stack([batch[a].to_numpy() for a in "xyz"], axis=1)
+                row, hood = np.concatenate([row, np.arange(n)]), np.concatenate([hood, own])
+            cov = eigen.covariances(row, hood, n)
+            values, normal = eigen.symmetric_eigen(cov)
+            out = [batch[c] for c in ("cloud_id", "point_id", "x", "y", "z")]
+            out += [pa.array(cov[:, i, j]) for i, j in ((0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2))]
+            out += [pa.array(values[:, i]) for i in range(3)] + [pa.array(normal[:, i]) for i in range(3)]
+            out += [pa.array(sizes, pa.int32()), pa.array(np.where(sizes > 0, high - low, 0.0)), pa.array(radius)]
+            yield pa.RecordBatch.from_arrays(out, [c.split()[0] for c in _SHAPE.split(",")])
+
+    return lists.select("cloud_id", "point_id", "x", "y", "z", "nbrs").mapInArrow(measure, _SHAPE)
 
 
 def normals(points: DataFrame, k: int = 8, include_self: bool = False) -> DataFrame:
     """Unit normal, turned upwards, and curvature per point."""
-    df = eigen.with_eigen(with_covariance(neighbour_lists(points, k), include_self))
-    return df.select(
+    return neighbourhood_shapes(neighbour_lists(points, k), include_self).select(
         "cloud_id", "point_id", "x", "y", "z", "nx", "ny", "nz", eigen.shape_features()["curvature"].alias("curvature")
     )
 
 
 def eigen_features(points: DataFrame, k: int = 20, include_self: bool = False) -> DataFrame:
     """Eigenvalues, normal, shape features, and height and density measures per point."""
-    df = eigen.with_eigen(with_covariance(neighbour_lists(points, k), include_self))
-    heights = F.transform("nbrs", lambda v: v["z"])
-    n = F.size("nbrs")
-    radius = F.sqrt(F.element_at("nbrs", -1)["d2"])
-    volume = F.pow(radius, F.lit(3.0)) * (4 * math.pi / 3)
-    return df.select(
+    volume = F.pow("radius", F.lit(3.0)) * (4 * math.pi / 3)
+    return neighbourhood_shapes(neighbour_lists(points, k), include_self).select(
         "cloud_id", "point_id", "x", "y", "z", "l1", "l2", "l3", "nx", "ny", "nz",
         *[v.alias(name) for name, v in eigen.shape_features().items()],
         (1 - F.abs("nz")).alias("verticality"),
-        F.coalesce(F.array_max(heights) - F.array_min(heights), F.lit(0.0)).alias("height_range"),
-        F.sqrt(F.col("c_zz")).alias("height_std"),
-        F.when((n > 0) & (volume > 0), n / F.nullif(volume, F.lit(0.0))).otherwise(F.lit(0.0)).alias("density"),
+        "height_range",
+        F.sqrt("c_zz").alias("height_std"),
+        F.when(volume > 0, F.col("neighbours") / F.nullif(volume, F.lit(0.0))).otherwise(F.lit(0.0)).alias("density"),
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import crs, eigen, geometry, paths, text
+from ..functions import crs, geometry, paths, text
 from ..operators import catalog, dbscan, embed, neighbours, raster, similarity, spatial
 from ..session import materialize, new_dir
 from ..sources import files, pointclouds, queries, rasters, tables
@@ -365,7 +365,7 @@ def knn(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def knn_eigen(spark: SparkSession, sf: str) -> DataFrame:
     lists = neighbours.neighbour_lists(views.points(spark, sf), 20)
-    values = eigen.with_eigen(neighbours.with_covariance(lists))
+    values = neighbours.neighbourhood_shapes(lists)
     return _rounded(values.select("point_id", "l1", "l2", "l3"), ["l1", "l2", "l3"], 5)
 
 

@@ -119,28 +119,29 @@ def test_text(spark):
     assert row[0] == "1234.568" and row[1] == "" and row[2].k == 3 and row[3].k is None and row[4].k is None
 
 
-def test_eigen_against_numpy(spark):
+def test_eigen_helpers():
     import numpy as np
 
     rng = np.random.default_rng(5)
-    rows = []
-    for i in range(300):
-        m = rng.normal(size=(3, 3)) * rng.choice([1e-3, 1.0, 1e3], 3)
-        c = m @ m.T
-        rows.append((i, *map(float, (c[0, 0], c[0, 1], c[0, 2], c[1, 1], c[1, 2], c[2, 2]))))
-    rows.append((300, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0))
-    for i, axis in enumerate(np.eye(3).tolist() + [[0.6, 0.8, 0.0], [0.6, 0.0, 0.8], [1 / 3, 2 / 3, 2 / 3]]):
-        line = 4.0 * np.outer(axis, axis)
-        for shift in (0.0, 1e-9, 3.0):
-            c = line + shift * np.eye(3)
-            rows.append((400 + i, *map(float, (c[0, 0], c[0, 1], c[0, 2], c[1, 1], c[1, 2], c[2, 2]))))
-    rows.append((301, 2.0, 0.0, 0.0, 2.0, 0.0, 2.0))
-    names = "i int, c_xx double, c_xy double, c_xz double, c_yy double, c_yz double, c_zz double"
-    out = eigen.with_eigen(spark.createDataFrame(rows, names)).collect()
-    for r in out:
-        c = np.array([[r.c_xx, r.c_xy, r.c_xz], [r.c_xy, r.c_yy, r.c_yz], [r.c_xz, r.c_yz, r.c_zz]])
-        w, v = np.linalg.eigh(c)
-        assert np.allclose([r.l3, r.l2, r.l1], w, atol=1e-12 * max(w[2], 1e-300) + 1e-300)
-        assert r.nz >= 0 and math.isclose(r.nx**2 + r.ny**2 + r.nz**2, 1, rel_tol=1e-9)
-        if w[1] - w[0] > 1e-6 * w[2]:
-            assert abs(abs(np.dot([r.nx, r.ny, r.nz], v[:, 0])) - 1) < 1e-6
+    group = rng.integers(0, 40, 900)
+    group[group == 7] = 8
+    points = rng.normal(size=(900, 3)) * [100.0, 1.0, 0.01] + 1e5
+    cov = eigen.covariances(group, points, 41)
+    for g in range(41):
+        want = np.cov(points[group == g].T, bias=True) if (group == g).any() else np.zeros((3, 3))
+        assert np.allclose(cov[g], want, rtol=1e-9, atol=1e-9)
+    values, normal = eigen.symmetric_eigen(cov)
+    assert (np.diff(values, axis=1) <= 0).all() and (values >= 0).all() and (normal[:, 2] >= 0).all()
+    assert normal[7].tolist() == [0.0, 0.0, 1.0] and normal[40].tolist() == [0.0, 0.0, 1.0]
+    full = [g for g in range(40) if g != 7]
+    assert np.allclose(np.linalg.norm(normal, axis=1), 1)
+    image = np.einsum("gij,gj->gi", cov[full], normal[full])
+    assert np.allclose(image, values[full, 2:] * normal[full], atol=1e-9)
+
+
+def test_shape_features(spark):
+    df = spark.createDataFrame([(4.0, 2.0, 1.0), (1.0, 0.0, 0.0), (0.0, 0.0, 0.0)], "l1 double, l2 double, l3 double")
+    a, b, c = df.select(*[v.alias(n) for n, v in eigen.shape_features().items()]).collect()
+    assert (a.linearity, a.planarity, a.sphericity, a.anisotropy, a.eigen_sum, a.omnivariance) == (0.5, 0.25, 0.25, 0.75, 7.0, 2.0)
+    assert a.eigenentropy == pytest.approx(-sum(v / 7 * math.log(v / 7) for v in (4, 2, 1))) and a.curvature == pytest.approx(1 / 7)
+    assert b.linearity == 1 and b.eigenentropy == 0 and set(c) == {0.0}

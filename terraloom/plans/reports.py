@@ -30,28 +30,45 @@ def distinct_counts(df: DataFrame) -> DataFrame:
 def profile(df: DataFrame, exact: bool = False, quantiles: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
     """One row per column: type, rows, nulls, distinct values, extremes, mean, deviation, quantiles.
 
-    One pass with one wide partial aggregation. Quantiles are sketches, as are
-    distinct counts unless ``exact``, which adds a pass. Nested columns are left out.
+    Quantiles are sketches, as are distinct counts unless ``exact``. Numbers, other
+    columns and sketches are aggregated apart: together, the sketches would take the
+    plain aggregates out of generated code. Nested columns are left out.
     """
     columns = [f for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
     names = ["nulls", "distinct_values", "min_value", "max_value", "mean", "std", *[f"q{q * 100:g}" for q in quantiles]]
-    parts = []
+    no_double, no_long = F.lit(None).cast("double"), F.lit(None).cast("bigint")
+    cuts = F.array(*[F.lit(q) for q in quantiles])
+    numbers, others, sketches = [F.count("*").alias("rows")], [], []
+    have = set()
+
+    def add(part: list, i: int, **stats) -> None:
+        part += [v.alias(f"{i}_{k}") for k, v in stats.items()]
+        have.update(f"{i}_{k}" for k in stats)
+
     for i, field in enumerate(columns):
         c = F.col(f"`{field.name}`")
-        d = c.cast("double") if isinstance(field.dataType, NUMBERS) else F.lit(None).cast("double")
-        distinct = F.lit(None).cast("bigint") if exact else F.approx_count_distinct(c)
-        stats = {
-            "nulls": F.count_if(c.isNull()), "distinct_values": distinct, "min_value": F.min(c).cast("string"),
-            "max_value": F.max(c).cast("string"), "mean": F.avg(d), "std": F.stddev_samp(d),
-            "_q": F.percentile_approx(d, F.array(*[F.lit(q) for q in quantiles])),
-        }
-        parts += [v.alias(f"{i}_{k}") for k, v in stats.items()]
-    wide = df.agg(F.count("*").alias("rows"), *parts)
+        number = isinstance(field.dataType, NUMBERS)
+        add(numbers if number else others, i, filled=F.count(c), min_value=F.min(c).cast("string"), max_value=F.max(c).cast("string"))
+        if number:
+            add(numbers, i, mean=F.avg(c.cast("double")), std=F.stddev_samp(c.cast("double")))
+            add(sketches, i, cuts=F.percentile_approx(c.cast("double"), cuts))
+        if not exact:
+            add(sketches, i, distinct_values=F.approx_count_distinct(c))
+    one = F.lit(1).alias("_one")
+    wide = reduce(
+        lambda left, right: left.join(right, "_one"), [df.agg(*part).select(one, "*") for part in (numbers, others, sketches) if part]
+    )
+
+    def value(i: int, name: str, missing):
+        return F.col(f"`{i}_{name}`") if f"{i}_{name}" in have else missing
 
     def row(i: int, field: T.StructField):
-        values = [F.col(f"`{i}_{n}`").alias(n) for n in names[:6]]
-        values += [F.get(f"`{i}__q`", F.lit(j)).alias(n) for j, n in enumerate(names[6:])]
-        return F.struct(F.lit(field.name).alias("column_name"), F.lit(field.dataType.simpleString()).alias("column_type"), "rows", *values)
+        stats = [
+            (F.col("rows") - value(i, "filled", None)).alias("nulls"), value(i, "distinct_values", no_long).alias("distinct_values"),
+            *[value(i, n, None).alias(n) for n in ("min_value", "max_value")], *[value(i, n, no_double).alias(n) for n in ("mean", "std")],
+            *[(F.get(f"`{i}_cuts`", F.lit(j)) if f"{i}_cuts" in have else no_double).alias(n) for j, n in enumerate(names[6:])],
+        ]
+        return F.struct(F.lit(field.name).alias("column_name"), F.lit(field.dataType.simpleString()).alias("column_type"), "rows", *stats)
 
     out = wide.select(F.explode(F.array(*[row(i, f) for i, f in enumerate(columns)])).alias("r")).select("r.*")
     if exact:

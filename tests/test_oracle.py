@@ -58,3 +58,19 @@ def test_run_index_is_append_only(spark, tmp_path):
     got = {(r.run_id, r.name): (r.status, r.row_count) for r in table.collect()}
     assert got[("one", "all")] == ("ok", 25) and got[("two", "top")] == ("ok", 1)
     assert got[("one", "two")][0] == got[("one", "write")][0] == "failed" and len(got) == 10
+
+
+def test_profile_of_every_kind_of_column(spark):
+    from terraloom.plans import reports
+
+    df = spark.createDataFrame(
+        [(1, 2.5, "b", True, [1]), (3, None, "a", False, None), (2, 7.5, None, True, None)],
+        "i int, `odd name` double, s string, f boolean, a array<int>",
+    )
+    rows = {r.column_name: r for r in reports.profile(df).collect()}
+    assert set(rows) == {"i", "odd name", "s", "f"}
+    assert (rows["i"].rows, rows["i"].nulls, rows["i"].distinct_values, rows["i"].mean, rows["i"].q50) == (3, 0, 3, 2.0, 2.0)
+    assert (rows["odd name"].nulls, rows["odd name"].min_value, rows["odd name"].q75) == (1, "2.5", 7.5)
+    assert (rows["s"].nulls, rows["s"].max_value, rows["s"].mean, rows["s"].q25) == (1, "b", None, None)
+    exact = {r.column_name: r.distinct_values for r in reports.profile(df, exact=True).collect()}
+    assert exact == {"i": 3, "odd name": 2, "s": 2, "f": 2}

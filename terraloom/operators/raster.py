@@ -116,9 +116,11 @@ def raster_stats(pixels: DataFrame, by: tuple[str, ...] = ("raster_id",), value:
 
 
 def block_stats(blocks: DataFrame, headers: DataFrame) -> DataFrame:
-    """``raster_stats`` of packed blocks, all bands pooled, with the grid facts of the header."""
-    tagged = blocks.join(headers.select("raster_id", "nodata"), "raster_id")
-    pixels = tagged.select("raster_id", "nodata", F.explode(F.flatten("bands")).alias("value"))
+    """``raster_stats`` of packed blocks, all bands pooled, with the grid facts of the header.
+
+    Pixels are reduced where they are; only one row per task and raster is shuffled.
+    """
+    pixels = blocks.select("raster_id", "nodata", F.explode(F.flatten("bands")).alias("value"))
     return raster_stats(pixels, nodata="nodata").join(
         headers.select("raster_id", "width", "height", "crs", "band_count"), "raster_id"
     )
@@ -145,6 +147,19 @@ def validate(headers: DataFrame, skip: bool = False) -> tuple[DataFrame, DataFra
     return checked.where(F.size("errors") == 0).drop("errors"), checked.where(F.size("errors") > 0)
 
 
+def _tile_columns(df: DataFrame, size: int) -> dict[str, Column]:
+    """Index columns of the tile at ``col_off, row_off`` of a row carrying its raster's transform."""
+    dataset = F.col("dataset_id") if "dataset_id" in df.columns else paths.dataset_name("path")
+    tile = paths.tile_id(dataset, "col_off", "row_off")
+    bounds = geometry.window_bounds(
+        F.col("col_off"), F.col("row_off"), F.lit(size), F.lit(size), F.col("a"), F.col("c"), F.col("e"), F.col("f")
+    )
+    return {
+        "dataset_id": dataset, "tile_id": tile, **{k: v.cast("double") for k, v in bounds.items()},
+        "crs": F.coalesce(F.col("crs"), F.lit("None")), "tile_path": paths.tile_path(tile),
+    }
+
+
 def tile_grid(headers: DataFrame, size: int = 256, edges: bool = False) -> DataFrame:
     """Non-overlapping ``size`` x ``size`` windows, one row per tile.
 
@@ -159,18 +174,7 @@ def tile_grid(headers: DataFrame, size: int = 256, edges: bool = False) -> DataF
     cells = whole.withColumn("col_off", F.explode(F.sequence(F.lit(0), last_col.cast("int"), F.lit(size)))).withColumn(
         "row_off", F.explode(F.sequence(F.lit(0), last_row.cast("int"), F.lit(size)))
     )
-    dataset = F.col("dataset_id") if "dataset_id" in headers.columns else paths.dataset_name("path")
-    cells = cells.withColumn("dataset_id", dataset)
-    tile = paths.tile_id("dataset_id", "col_off", "row_off")
-    bounds = geometry.window_bounds(
-        F.col("col_off"), F.col("row_off"), F.lit(size), F.lit(size), F.col("a"), F.col("c"), F.col("e"), F.col("f")
-    )
-    return cells.select(
-        "raster_id", "dataset_id", tile.alias("tile_id"), "col_off", "row_off",
-        *[v.cast("double").alias(k) for k, v in bounds.items()],
-        F.coalesce(F.col("crs"), F.lit("None")).alias("crs"),
-        paths.tile_path(tile).alias("tile_path"),
-    )
+    return cells.select("raster_id", "col_off", "row_off", *[v.alias(k) for k, v in _tile_columns(cells, size).items()])
 
 
 def tile_counts(tiles: DataFrame) -> DataFrame:
@@ -271,13 +275,12 @@ def standardize_blocks(blocks: DataFrame, kind: str = "tile") -> DataFrame:
     return blocks.withColumns({"bands": F.array(channel(0), channel(1), channel(2)), "dtype": F.lit("float64")})
 
 
-def cut_tiles(blocks: DataFrame, headers: DataFrame, size: int = 256) -> DataFrame:
+def cut_tiles(blocks: DataFrame, size: int = 256) -> DataFrame:
     """Tile table with pixels, from blocks scanned with ``block=size``.
 
-    Scanning at the tile size makes every full block one tile, so no pixel moves.
+    Scanning at the tile size makes every full block one tile, and blocks carry
+    their raster's transform, so tiles are a projection: no pixel is shuffled.
     """
     full = blocks.where((F.col("height") == size) & (F.col("width") == size))
-    grid = tile_grid(headers, size)
-    return full.select("raster_id", "row_off", "col_off", "height", "width", "dtype", "bands").join(
-        grid, ["raster_id", "row_off", "col_off"]
-    )
+    kept = ("raster_id", "dtype", "nodata", "a", "c", "e", "f", "row_off", "col_off", "height", "width", "bands")
+    return full.select(*kept, *[v.alias(k) for k, v in _tile_columns(full, size).items()])

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from ..functions import paths
 from ..operators import catalog, dbscan, embed, neighbours, raster, similarity
+from ..schemas import RASTER_HEADER
 from ..session import lookup, materialize
 from ..sources import files, pointclouds, rasters, tables
 
 
 def tile_rasters(blobs: DataFrame, out_dir: str, size: int = 256) -> DataFrame:
     """Cut raster files into full tiles; writes ``tiles`` (with pixels) and ``index`` tables, returns the index."""
-    headers = rasters.raster_headers(blobs).where("error IS NULL")
-    cut = raster.cut_tiles(rasters.raster_blocks(blobs, size), headers, size)
+    cut = raster.cut_tiles(rasters.raster_blocks(blobs, size), size)
     stored = tables.write_table(cut, f"{out_dir}/tiles", "dataset_id")
     index = stored.select("dataset_id", "tile_id", "min_x", "min_y", "max_x", "max_y", "crs", "tile_path")
     return tables.write_table(index, f"{out_dir}/index", "dataset_id")
@@ -76,7 +76,8 @@ def ingest_rasters(blobs: DataFrame, table_dir: str, dest: str = "raw", red_band
                    skip_validation: bool = False, block: int = 256) -> dict[str, DataFrame]:
     """Land files, validate, derive NDVI, and collect statistics, catalog rows and the ingest log.
 
-    Source bytes are read once, into the landed table; everything after reads that.
+    Source bytes are read once, into the landed table, together with their headers;
+    later steps read the columns they need from there. Pixels are never shuffled.
     Each call adds one ``batch`` to every table and returns the rows of that batch.
     """
     batch = uuid.uuid4().hex
@@ -84,17 +85,15 @@ def ingest_rasters(blobs: DataFrame, table_dir: str, dest: str = "raw", red_band
     def store(df: DataFrame, name: str) -> DataFrame:
         return tables.write_table(df, f"{table_dir}/{name}/batch={batch}")
 
-    landed = files.write_landed(files.land_files(blobs, dest), f"{table_dir}/landed", batch)
-    content = landed.select(F.col("file_id").alias("raster_id"), "path", "content")
-    headers = store(rasters.raster_headers(content), "headers")
+    incoming = files.land_files(blobs, dest).withColumn("raster_id", F.col("file_id"))
+    with_headers = rasters.raster_headers(incoming, ("content", "file_id", "source_path", "filename", "ingested_at"))
+    landed = files.write_landed(with_headers, f"{table_dir}/landed", batch)
+    headers = landed.drop("content")
     good, bad = raster.validate(headers, skip_validation)
     good = good.where("error IS NULL")
-    blocks = rasters.raster_blocks(content, block).join(good.select("raster_id"), "raster_id", "left_semi")
-    index = raster.ndvi_blocks(
-        blocks.join(good.where(F.col("band_count") >= max(red_band, nir_band)).select("raster_id"), "raster_id", "left_semi"),
-        red_band, nir_band,
-    ).withColumn("path", paths.processed_path("path", F.col("raster_id")))
-    index = store(index, "ndvi")
+    blocks = rasters.raster_blocks(landed.where("error IS NULL").select("raster_id", "path", "content"), block)
+    index = raster.ndvi_blocks(blocks.where(F.size("bands") >= max(red_band, nir_band)), red_band, nir_band)
+    index = store(index.withColumn("path", paths.processed_path("path", F.col("raster_id"))), "ndvi")
     index_headers = good.withColumns({"band_count": F.lit(1), "dtype": F.lit("float32")})
     raw_stats = store(raster.block_stats(blocks, good), "raw_stats")
     processed = raster.block_stats(index, index_headers)
@@ -104,7 +103,7 @@ def ingest_rasters(blobs: DataFrame, table_dir: str, dest: str = "raw", red_band
     )
     return {
         "landed": landed,
-        "headers": headers,
+        "headers": headers.select(*[c.split()[0] for c in RASTER_HEADER.split(", ")]),
         "metrics": metrics,
         "ndvi": index,
         "catalog": store(rows, "pc_rasters"),

@@ -384,7 +384,7 @@ ORACLE["raster_ingest"] = _with(
     "done AS (SELECT raster_id, nullif(CAST(value AS FLOAT), 0)::DOUBLE AS value FROM idx)",
 ) + """
 SELECT r.raster_id || '.tif' AS filename, CAST(40 AS BIGINT) AS width, CAST(25 AS BIGINT) AS height, 'EPSG:3857' AS crs, """ + ", ".join(
-    f"{_r(f'{s[0]}.{n}', 5)} AS {s}_{n}" for s in ("raw", "processed") for n in ("min_val", "max_val", "mean_val", "std_val")
+    f"{_r(f'{s[0]}.{n}')} AS {s}_{n}" for s in ("raw", "processed") for n in ("min_val", "max_val", "mean_val", "std_val")
 ) + """
 FROM (SELECT raster_id, min(value) AS min_val, max(value) AS max_val, avg(value) AS mean_val, stddev_pop(value) AS std_val FROM raw GROUP BY 1) r
 JOIN (SELECT raster_id, min(value) AS min_val, max(value) AS max_val, avg(value) AS mean_val, stddev_pop(value) AS std_val FROM done GROUP BY 1) p USING (raster_id)"""

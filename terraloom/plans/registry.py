@@ -491,6 +491,8 @@ def _blocks(spark: SparkSession, sf: str) -> DataFrame:
     bands = [F.concat(F.col(f"cells.{b}"), rest) for b in ("b1", "b2")]
     return packed.select(
         "raster_id", F.concat(F.lit("raster_"), "raster_id").alias("path"), F.lit("float64").alias("dtype"),
+        F.lit("EPSG:3857").alias("crs"), F.lit(0.0).alias("nodata"), F.lit(1.0).alias("a"),
+        (F.col("raster_id").cast("double") * 1000).alias("c"), F.lit(-1.0).alias("e"), F.lit(1000.0).alias("f"),
         F.lit(0).alias("row_off"), F.lit(0).alias("col_off"), F.lit(25).alias("height"), F.lit(40).alias("width"),
         F.array(*bands).alias("bands"),
     )
@@ -499,7 +501,7 @@ def _blocks(spark: SparkSession, sf: str) -> DataFrame:
 def _raster_files(spark: SparkSession, sf: str) -> str:
     """Write the pixel view as raster files below the shared folder."""
     folder = new_dir(spark, "rasters")
-    blobs = rasters.blocks_to_blobs(_blocks(spark, sf), views.pixel_headers(spark, sf), folder)
+    blobs = rasters.blocks_to_blobs(_blocks(spark, sf), folder)
     materialize(files.write_blobs(blobs), "written")
     return folder
 
@@ -531,7 +533,7 @@ def raster_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return _longs(
         names.join(done["metrics"], "raster_id").select(
             "filename", "width", "height", "crs",
-            *[_r(f"{s}_{n}", 5).alias(f"{s}_{n}") for s in ("raw", "processed") for n in ("min_val", "max_val", "mean_val", "std_val")],
+            *[_r(f"{s}_{n}").alias(f"{s}_{n}") for s in ("raw", "processed") for n in ("min_val", "max_val", "mean_val", "std_val")],
         ),
         "width", "height",
     )
@@ -565,9 +567,8 @@ def tile_and_embed(spark: SparkSession, sf: str) -> DataFrame:
     """Raster files to tiles to patch vectors under the stand-in model, with patch bounds."""
     out = new_dir(spark, "embed")
     blobs = files.blob_scan(spark, _raster_files(spark, sf)).withColumn("raster_id", paths.dataset_name("path"))
-    headers = materialize(rasters.raster_headers(blobs), "headers")
     blocks = rasters.raster_blocks(blobs, 8).withColumn("bands", F.slice("bands", 1, 1))
-    tiles = tables.write_table(raster.cut_tiles(blocks, headers, 8), f"{out}/tiles", "dataset_id")
+    tiles = tables.write_table(raster.cut_tiles(blocks, 8), f"{out}/tiles", "dataset_id")
     patches = embed.embed_tiles(tiles, embed.mean_colour_model(2))
     return _rounded(
         patches.select(

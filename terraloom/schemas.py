@@ -5,8 +5,8 @@ RASTER_HEADER = (
     "nodata double, a double, b double, c double, d double, e double, f double, error string"
 )
 RASTER_BLOCK = (
-    "raster_id string, path string, dtype string, row_off int, col_off int, height int, width int, "
-    "bands array<array<double>>"
+    "raster_id string, path string, dtype string, crs string, nodata double, a double, c double, e double, f double, "
+    "row_off int, col_off int, height int, width int, bands array<array<double>>"
 )
 PIXEL = "raster_id string, row int, col int, band int, value double"
 TILE = (

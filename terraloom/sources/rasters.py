@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,22 +25,32 @@ def _with_id(blobs: DataFrame) -> DataFrame:
     return blobs.withColumn("raster_id", F.coalesce(paths.landed_id("path"), F.col("path")))
 
 
-def raster_headers(blobs: DataFrame) -> DataFrame:
-    """One header row per file; an unreadable file keeps its row, with ``error`` set."""
+def raster_headers(blobs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One header row per file; an unreadable file keeps its row, with ``error`` set.
+
+    ``keep`` names columns passed through, so that landing can store headers and
+    bytes in one pass over the files.
+    """
+    named = _with_id(blobs)
+    extra = [f"{f.name} {f.dataType.simpleString()}" for f in named.select(*keep).schema.fields]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for row in batch.to_pylist():
-                data = row.pop("content")
+            for raster, path, data in zip(batch["raster_id"].to_pylist(), batch["path"].to_pylist(), batch["_content"]):
+                row = {"raster_id": raster, "path": path}
                 try:
-                    row.update(geotiff.read_header(data))
+                    row.update(geotiff.read_header(data.as_buffer()))
                 except Exception as problem:
                     row["error"] = f"{type(problem).__name__}: {problem}"
                 rows.append(row)
-            yield pa.RecordBatch.from_pylist(rows, _HEADER)
+            heads = pa.RecordBatch.from_pylist(rows, _HEADER)
+            yield pa.RecordBatch.from_arrays(
+                [*heads.columns, *(batch[c] for c in keep)], [*_HEADER.names, *keep]
+            )
 
-    return _with_id(blobs).select("raster_id", "path", "content").mapInArrow(scan, RASTER_HEADER)
+    columns = list(dict.fromkeys(["raster_id", "path", *keep]))
+    return named.select(*columns, F.col("content").alias("_content")).mapInArrow(scan, ", ".join([RASTER_HEADER, *extra]))
 
 
 def raster_bounds(headers: DataFrame) -> DataFrame:
@@ -57,27 +68,26 @@ def raster_bounds(headers: DataFrame) -> DataFrame:
 def raster_blocks(blobs: DataFrame, block: int = 256) -> DataFrame:
     """Cut every raster into ``block`` x ``block`` windows of all bands; edge windows are smaller.
 
-    Unreadable files give no blocks: take them from ``raster_headers``.
+    Blocks carry the facts of their raster, so nothing downstream has to shuffle
+    pixels to find them. Unreadable files give no blocks: take them from ``raster_headers``.
     """
+    names = [c.split()[0] for c in RASTER_BLOCK.split(", ")]
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for raster, path, data in zip(batch["raster_id"], batch["path"], batch["content"]):
                 try:
-                    pixels = geotiff.read_array(data)
+                    head, pixels = geotiff.read_header(data), geotiff.read_array(data)
                 except Exception:
                     continue
-                _, height, width = pixels.shape
-                for row in range(0, height, block):
+                facts = (raster, path, *(head[k] for k in ("dtype", "crs", "nodata", "a", "c", "e", "f")))
+                for row in range(0, head["height"], block):
                     out = []
-                    for col in range(0, width, block):
+                    for col in range(0, head["width"], block):
                         part = pixels[:, row : row + block, col : col + block]
                         values = part.reshape(part.shape[0], -1).astype("float64")
-                        out.append((raster, path, pixels.dtype.name, row, col, part.shape[1], part.shape[2], list(values)))
-                    yield pd.DataFrame(
-                        out,
-                        columns=["raster_id", "path", "dtype", "row_off", "col_off", "height", "width", "bands"],
-                    )
+                        out.append((*facts, row, col, part.shape[1], part.shape[2], list(values)))
+                    yield pd.DataFrame(out, columns=names).astype({"nodata": "float64"})
 
     return _with_id(blobs).select("raster_id", "path", "content").mapInPandas(scan, RASTER_BLOCK)
 
@@ -97,20 +107,11 @@ def raster_pixels(blocks: DataFrame) -> DataFrame:
     )
 
 
-def blocks_to_blobs(blocks: DataFrame, headers: DataFrame, dest: str) -> DataFrame:
-    """Encode block rows as raster files, one per block, with the block's own origin.
-
-    ``headers`` gives the transform and the reference system per raster.
-    """
+def blocks_to_blobs(blocks: DataFrame, dest: str) -> DataFrame:
+    """Encode block rows as raster files below ``dest``, one per block, each with its own origin."""
     name = F.col("tile_path") if "tile_path" in blocks.columns else F.concat("raster_id", F.lit(".tif"))
-    parts = blocks.select(
-        "raster_id", "dtype", "row_off", "col_off", "height", "width", "bands", paths.join_uri(F.lit(dest), name).alias("out")
-    )
-    named = parts.join(headers.select("raster_id", "a", "c", "e", "f", "crs", "nodata"), "raster_id")
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import numpy as np
-
         for batch in batches:
             out = []
             for r in batch.itertuples(index=False):
@@ -121,6 +122,7 @@ def blocks_to_blobs(blocks: DataFrame, headers: DataFrame, dest: str) -> DataFra
                 out.append((r.out, geotiff.write(array, r.a, x, r.e, y, code, nodata)))
             yield pd.DataFrame(out, columns=["path", "content"])
 
-    return named.select(
-        "out", "dtype", "row_off", "col_off", "height", "width", "bands", "a", "c", "e", "f", "crs", "nodata"
+    return blocks.select(
+        paths.join_uri(F.lit(dest), name).alias("out"),
+        "dtype", "row_off", "col_off", "height", "width", "bands", "a", "c", "e", "f", "crs", "nodata",
     ).mapInPandas(encode, "path string, content binary")

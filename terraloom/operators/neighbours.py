@@ -261,6 +261,7 @@ def _probe(probes: DataFrame, placed: DataFrame, k: int) -> DataFrame:
         probes.groupBy("cloud_id", "leaf").agg(F.ceil(F.count("*") / F.lit(PROBES_PER_GROUP)).cast("int").alias("groups")),
         "asked",
     )
+    # ``asked`` has at most one row per leaf, and leaves are bounded by MAX_LEAVES.
     salted = probes.join(F.broadcast(asked), ["cloud_id", "leaf"]).withColumn(
         "salt", F.pmod(F.xxhash64("point_id"), F.col("groups")).cast("int")
     )

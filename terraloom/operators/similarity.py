@@ -17,6 +17,8 @@ from . import spatial
 
 # Query vectors held by one task; at 1024 values each they fill 64 MiB.
 MAX_QUERIES = 8192
+# Patches held by one task in the block-wise search.
+PATCH_ROWS = 65_536
 # Scores closer than this are the same score; it hides summation order from the ranks.
 SCORE_PLACES = 9
 
@@ -113,7 +115,7 @@ def _score_blocks(patches: DataFrame, queries: DataFrame, k: int, skip_own: bool
     in a block, and both sides of every group are of bounded size.
     """
     query_blocks = max(math.ceil(queries.count() / per_block), 1)
-    patch_blocks = max(math.ceil(patches.count() / per_block), 1)
+    patch_blocks = max(math.ceil(patches.count() / PATCH_ROWS), 1)
     dealt_patches = (
         patches.select("patch_id", "embedding")
         .repartition(patch_blocks)

@@ -42,9 +42,25 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_handed_out: dict[str, list[str]] = {}
+
+
 def new_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/terraloom/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/terraloom/{label}-{uuid.uuid4().hex}"
+    _handed_out.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete what this application wrote below the shared folder.
+
+    Results that still read from there become unreadable: write them out first.
+    """
+    context = spark.sparkContext
+    for name in _handed_out.pop(context.applicationId, []):
+        path = context._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
@@ -58,11 +74,6 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has no more than ``rows`` rows; reads no further than needed."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def lookup(facts: DataFrame, dim: DataFrame, keys: list[str], weight: str, how: str = "left",
            share: int = 1000) -> DataFrame:
     """Join every fact to its single ``dim`` row when a few keys may own most facts.
@@ -82,8 +93,3 @@ def lookup(facts: DataFrame, dim: DataFrame, keys: list[str], weight: str, how:
     on_heavy = facts.join(small, keys, "inner")
     on_light = facts.join(F.broadcast(heavy.select(*keys)), keys, "left_anti").join(light, keys, how)
     return on_heavy.unionByName(on_light)
-
-
-def bounded_broadcast(df: DataFrame, rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only if ``df`` is proven to have at most ``rows`` rows."""
-    return F.broadcast(df) if at_most(df, rows) else df

@@ -68,8 +68,9 @@ def brute(vectors, ids, queries, qids, k, skip=False):
 
 
 @pytest.mark.parametrize("max_queries,skip", [(8192, False), (20, False), (20, True), (8192, True)])
-def test_top_k_against_brute_force(spark, max_queries, skip):
+def test_top_k_against_brute_force(spark, monkeypatch, max_queries, skip):
     """A third of the patches are copies of one vector, so most ranks hang on ties."""
+    monkeypatch.setattr(similarity, "PATCH_ROWS", 100)
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(600, 8)).astype("float32")
     vectors[::3] = vectors[0]

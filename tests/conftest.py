@@ -6,7 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from terraloom.session import build_session  # noqa: E402
+from terraloom.session import build_session, ship  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -19,4 +19,5 @@ def spark(tmp_path_factory):
         },
     )
     session.sparkContext.setLogLevel("ERROR")
+    ship(session)
     return session

@@ -158,3 +158,26 @@ def test_no_full_tile_gives_a_typed_empty_table(spark):
     tiles = raster.tile_grid(heads, 256)
     assert tiles.count() == 0 and "min_x" in tiles.columns
     assert raster.tile_grid(heads, 256, edges=True).count() == 2
+
+
+def test_user_model_as_a_vectorised_function(spark, pair):
+    """Any vectorised column function can embed queries; blank paths are left out."""
+    import pandas as pd
+
+    @F.pandas_udf("array<float>")
+    def by_name(paths: pd.Series) -> pd.Series:
+        return paths.map(lambda p: [1.0, 0.0] if "a" in p else [0.0, 1.0])
+
+    images = spark.createDataFrame([("a.tif",), ("z.tif",), ("",), (None,)], "query_path string")
+    vectors = similarity.path_queries(images, by_name(F.col("query_path")))
+    found = {(r.query_path, r.match_tile_id) for r in jobs.find_similar_patches(pair, vectors, k=1).collect()}
+    assert found == {("a.tif", "tile_a"), ("z.tif", "tile_b")}
+
+
+def test_search_agrees_with_the_column_functions(spark, pair):
+    from terraloom.functions import vectors as v
+
+    query = spark.createDataFrame([("q", [3.0, 4.0])], "query_id string, vector array<double>")
+    got = {r.patch_id: r.score for r in similarity.top_k(pair, query, 2).collect()}
+    want = pair.select("patch_id", v.cosine(F.col("embedding"), F.array(F.lit(3.0), F.lit(4.0))).alias("s")).collect()
+    assert got == pytest.approx({r.patch_id: r.s for r in want}, abs=1e-9)

@@ -215,3 +215,17 @@ def test_resolve_by_id(spark):
     assert got(pick="latest") == {"a": listed[1], "b": listed[2]}
     with pytest.raises(FileNotFoundError):
         got(strict=True)
+
+
+def test_metrics_payload(spark):
+    rows = [(' {"raw": {"min": 1, "width": 4, "crs": "EPSG:1"}, "processed": {}} ',), ("{broken",), (None,)]
+    df = spark.createDataFrame(rows, "t string")
+    got = [r.m for r in df.select(catalog.metrics_payload(F.col("t")).alias("m")).collect()]
+    assert (got[0]["min"], got[0].width, got[0].crs, got[0]["max"]) == (1.0, 4, "EPSG:1", None)
+    assert all(m is None or m["min"] is None for m in got[1:])
+
+
+def test_sample_rows(spark):
+    from terraloom.plans import reports
+
+    assert reports.sample_rows(spark.range(100)).count() == 30

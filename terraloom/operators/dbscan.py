@@ -122,14 +122,15 @@ def _close_pairs(thin: DataFrame, others: DataFrame, blocks: DataFrame, grid: _G
     )
 
 
-def _resolve_full_pairs(open_pairs: DataFrame, full_points: DataFrame, grid: _Grid) -> list[DataFrame]:
+def _resolve_full_pairs(
+    open_pairs: DataFrame, full_points: DataFrame, sizes: DataFrame, grid: _Grid
+) -> list[DataFrame]:
     """Decide which pairs of full cells hold two points within eps, without pairing their points.
 
     Cells are halved level by level. Two sub-boxes wholly within eps prove the pair,
     boxes farther apart than eps are dropped, and only the undecided ones go on.
     """
     proven = []
-    sizes = full_points.groupBy("cloud_id", "cell").agg(F.count("*").alias("_points"))
     for level in range(1, REFINE_LIMIT + 1):
         if open_pairs.isEmpty():
             return proven
@@ -243,7 +244,8 @@ def dbscan(points: DataFrame, min_points: int = 10, eps: float = 2.0, dims: tupl
     unsure = unsure.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("cloud_id", "a", "b", "sa", "sb")
     if not unsure.isEmpty():
         full_points = tagged.where(is_full).select("cloud_id", "cell", *grid.c)
-        for more in _resolve_full_pairs(materialize(unsure, "unsure"), full_points, grid):
+        sizes = cells.where(is_full).select("cloud_id", "cell", F.col("n").alias("_points"))
+        for more in _resolve_full_pairs(materialize(unsure, "unsure"), full_points, sizes, grid):
             edges = edges.unionByName(more)
         comps = connected_components(edges)
 

@@ -10,6 +10,7 @@ import numpy as np
 # Tag numbers, field type codes and key numbers of the TIFF and GeoTIFF formats.
 WIDTH, HEIGHT, BITS, COMPRESSION = 256, 257, 258, 259
 PHOTOMETRIC, STRIP_OFFSETS, SAMPLES, STRIP_ROWS, STRIP_BYTES = 262, 273, 277, 278, 279
+PREDICTOR = 317
 PLANAR, TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_BYTES, SAMPLE_FORMAT = 284, 322, 323, 324, 325, 339
 PIXEL_SCALE, TIEPOINT, TRANSFORM, GEO_KEYS, GDAL_NODATA = 33550, 33922, 34264, 34735, 42113
 FIELD = {1: "B", 2: "s", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d"}
@@ -46,11 +47,19 @@ def _crs(tags: dict) -> str | None:
 
 
 def read_header(data: bytes) -> dict:
+    """Grid, type and georeference; fails on files whose pixels could not be read."""
     order, tags = _tags(data)
     bits = tags.get(BITS, (8,))
     kind = KIND.get(tags.get(SAMPLE_FORMAT, (1,))[0])
     if kind is None or len(set(bits)) != 1:
         raise ValueError("unsupported sample layout")
+    packing, predictor = tags.get(COMPRESSION, (RAW,))[0], tags.get(PREDICTOR, (1,))[0]
+    if packing not in (RAW, DEFLATE, OLD_DEFLATE) or predictor != 1:
+        raise ValueError(f"unsupported compression {packing}, predictor {predictor}")
+    starts = tags[TILE_OFFSETS] if TILE_OFFSETS in tags else tags[STRIP_OFFSETS]
+    sizes = tags[TILE_BYTES] if TILE_OFFSETS in tags else tags[STRIP_BYTES]
+    if any(at + size > len(data) for at, size in zip(starts, sizes)):
+        raise ValueError("truncated pixel data")
     a, e, c, f = 1.0, 1.0, 0.0, 0.0
     b = d = 0.0
     if TRANSFORM in tags:
@@ -77,8 +86,6 @@ def read_array(data: bytes) -> np.ndarray:
     order, tags = _tags(data)
     head = read_header(data)
     packing = tags.get(COMPRESSION, (RAW,))[0]
-    if packing not in (RAW, DEFLATE, OLD_DEFLATE) or tags.get(317, (1,))[0] != 1:
-        raise ValueError(f"unsupported compression {packing}")
     width, height, bands = head["width"], head["height"], head["band_count"]
     separate = tags.get(PLANAR, (1,))[0] == 2
     if TILE_OFFSETS in tags:

@@ -77,9 +77,11 @@ def raster_blocks(blobs: DataFrame, block: int = 256) -> DataFrame:
         for batch in batches:
             for raster, path, data in zip(batch["raster_id"], batch["path"], batch["content"]):
                 try:
-                    head, pixels = geotiff.read_header(data), geotiff.read_array(data)
+                    head = geotiff.read_header(data)
                 except Exception:
                     continue
+                # Pixels that break under a sound header fail the job rather than go missing.
+                pixels = geotiff.read_array(data)
                 facts = (raster, path, *(head[k] for k in ("dtype", "crs", "nodata", "a", "c", "e", "f")))
                 for row in range(0, head["height"], block):
                     out = []

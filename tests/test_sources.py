@@ -229,3 +229,21 @@ def test_sample_rows(spark):
     from terraloom.plans import reports
 
     assert reports.sample_rows(spark.range(100)).count() == 30
+
+
+def test_unreadable_pixels_are_quarantined_not_lost(spark, tmp_path):
+    whole = geotiff.write(np.arange(64, dtype="uint8").reshape(1, 8, 8), 1.0, 0.0, -1.0, 0.0)
+    at = whole.index((259).to_bytes(2, "little") + (3).to_bytes(2, "little"))
+    packed = bytearray(whole)
+    packed[at + 8] = 5
+    bad_strip = bytearray(whole)
+    strip = whole.index((279).to_bytes(2, "little") + (4).to_bytes(2, "little"))
+    bad_strip[strip + 8 : strip + 12] = (10**6).to_bytes(4, "little")
+    for name, data in (("whole", whole), ("packed", bytes(packed)), ("short", bytes(bad_strip))):
+        (tmp_path / f"{name}.tif").write_bytes(data)
+    heads = rasters.raster_headers(files.blob_scan(spark, str(tmp_path)))
+    good, bad = raster.validate(heads)
+    assert good.count() == 1
+    reasons = sorted(r.errors[0] for r in bad.collect())
+    assert "unsupported compression 5" in reasons[1] and "truncated" in reasons[0]
+    assert rasters.raster_blocks(files.blob_scan(spark, str(tmp_path))).count() == 1

@@ -6,6 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def coordinate(name: str) -> Column:
+    """A finite coordinate in double; a point without one fails the job instead of being misplaced."""
+    c = F.col(name).cast("double")
+    bad = F.raise_error(F.lit(f"point without a finite {name} coordinate")).cast("double")
+    return F.when(c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")), c).otherwise(bad)
+
+
 def window_bounds(col: Column, row: Column, width: Column, height: Column, a: Column, c: Column,
                   e: Column, f: Column) -> dict[str, Column]:
     """World bounds of a pixel window under a north-up transform with origin (c, f)."""

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.geometry import coordinate
 from ..session import lookup, materialize
 from .components import connected_components
 
@@ -24,7 +25,8 @@ class _Grid:
     def __init__(self, eps: float, dims: tuple[str, ...], min_points: int):
         self.eps, self.eps2, self.min_points = eps, eps * eps, min_points
         self.axes = range(len(dims))
-        self.side = eps / math.sqrt(len(dims)) * (1 - 1e-9)
+        # The margin outweighs rounding for coordinates up to a thousand million cells from the origin.
+        self.side = eps / math.sqrt(len(dims)) * (1 - 1e-6)
         self.reach = math.floor(eps / self.side) + 1
         self.c = [f"c{i}" for i in self.axes]
         self.g = [f"g{i}" for i in self.axes]
@@ -190,7 +192,7 @@ def dbscan(points: DataFrame, min_points: int = 10, eps: float = 2.0, dims: tupl
     key = ["cloud_id", *grid.g]
     pts = points.select(
         "cloud_id", F.col("point_id").cast("bigint").alias("point_id"),
-        *[F.col(d).cast("double").alias(c) for d, c in zip(dims, grid.c)],
+        *[coordinate(d).alias(c) for d, c in zip(dims, grid.c)],
     ).withColumns({g: F.floor(F.col(c) / grid.side).cast("bigint") for g, c in zip(grid.g, grid.c)})
     found = _own_block(
         pts.groupBy(*key).agg(F.count("*").alias("n"), F.min("point_id").alias("cell"), *grid.bounds()), grid

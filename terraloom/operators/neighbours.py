@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import eigen
+from ..functions.geometry import coordinate
 from ..session import lookup, materialize
 from .spacetree import SpaceTree
 
@@ -164,7 +165,7 @@ def neighbour_lists(points: DataFrame, k: int = 20, leaf_rows: int = LEAF_ROWS)
     copies never meet pairwise. The result is exact.
     """
     points = points.select("cloud_id", F.col("point_id").cast("bigint").alias("point_id"),
-                           *[F.col(c).cast("double").alias(c) for c in ("x", "y", "z")])
+                           *[coordinate(c).alias(c) for c in ("x", "y", "z")])
     crowd = _crowds(points, k)
     crowded = None
     data = points.withColumn("seeks", F.lit(True))

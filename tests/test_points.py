@@ -161,3 +161,20 @@ def test_components(spark, small):
             rx, ry = root((c, x)), root((c, y))
             parent[max(rx, ry)] = min(rx, ry)
     assert got == {v: root(v)[1] for v in list(parent)}
+
+
+@pytest.mark.parametrize("bad", ["NULL", "'NaN'", "'Infinity'"])
+def test_points_need_coordinates(spark, bad):
+    df = spark.sql(f"SELECT 'a' cloud_id, id point_id, 1.0D x, IF(id = 3, CAST({bad} AS DOUBLE), 2.0D) y, 0.0D z FROM range(9)")
+    for job in (lambda: dbscan.dbscan(df), lambda: neighbours.knn(df, 2)):
+        with pytest.raises(Exception, match="without a finite y"):
+            job().collect()
+
+
+def test_far_from_the_origin(spark):
+    rng = np.random.default_rng(11)
+    xyz = rng.uniform(0, 12, (500, 3)) + [385_000.0, 6_672_000.0, 20.0]
+    ids = np.arange(500)
+    got = dbscan.dbscan(frame(spark, xyz, ids), 6, 1.5).collect()
+    assert {r.point_id: (r.is_core, r.cluster_id) for r in got} == brute_dbscan(xyz, ids, 1.5, 6)
+    assert {k[1]: v for k, v in got_knn(frame(spark, xyz, ids), 8, leaf_rows=64).items()} == brute_knn(xyz, ids, 8)

@@ -2,32 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import lookup, materialize
 
-SMALL_EDGES = 200_000
 
-
-def connected_components(edges: DataFrame, small: int = SMALL_EDGES) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest node of each node's component: ``cloud_id, node, label``; only nodes with an edge.
 
     Every round lets each node follow its smallest neighbour, shortens the chains by
-    pointer jumping, and rewrites the edges between the groups formed; the graph
-    shrinks by at least half a round. Once few edges are left - the count is checked -
-    they are settled in memory.
+    pointer jumping, and rewrites the edges between the groups formed; the nodes left
+    at least halve, so the rounds grow with the logarithm of the input. Edges never
+    leave the cluster, and hubs are joined by ``lookup``, which splits them.
     """
-    e = edges.select("cloud_id", F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    few = e.limit(small + 1).collect()
+    e = materialize(
+        edges.select("cloud_id", F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges"
+    )
     maps = []
-    while len(few) > small:
-        e = materialize(e, "edges")
+    while not maps or not e.isEmpty():
         parents = _hook(e)
         maps.append(parents)
-        e = _contract(e, parents)
-        few = e.limit(small + 1).collect()
-    maps.append(_settle(edges.sparkSession, few))
+        e = materialize(_contract(e, parents), "edges")
     labels = maps[0].select("cloud_id", "node", F.col("parent").alias("label"))
     for later in maps[1:]:
         step = later.select("cloud_id", F.col("node").alias("label"), F.col("parent").alias("_next"))
@@ -39,24 +35,6 @@ def connected_components(edges: DataFrame, small: int = SMALL_EDGES) -> DataFram
     return labels
 
 
-def _settle(spark: SparkSession, edges: list[Row]) -> DataFrame:
-    """Union-find over a checked, small number of edges."""
-    parent: dict[tuple[str, int], tuple[str, int]] = {}
-
-    def root(v):
-        while parent.setdefault(v, v) != v:
-            parent[v] = parent[parent[v]]
-            v = parent[v]
-        return v
-
-    for cloud, a, b in edges:
-        ra, rb = root((cloud, a)), root((cloud, b))
-        if ra != rb:
-            parent[max(ra, rb)] = min(ra, rb)
-    rows = [(v[0], v[1], root(v)[1]) for v in list(parent)]
-    return spark.createDataFrame(rows, "cloud_id string, node bigint, parent bigint")
-
-
 def _hook(edges: DataFrame) -> DataFrame:
     """Each node's group root after following smallest neighbours to the end, with its degree."""
     ends = edges.select("cloud_id", F.col("a").alias("node"), F.col("b").alias("other")).unionByName(

@@ -96,17 +96,21 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: A key with more facts is joined by broadcast, however large the table is.
+HEAVY_ROWS = 2_000_000
+
+
 def lookup(facts: DataFrame, dim: DataFrame, keys: list[str], weight: str, how: str = "left",
            share: int = 1000) -> DataFrame:
     """Join every fact to its single ``dim`` row when a few keys may own most facts.
 
-    ``dim`` must be unique on ``keys`` and carry in ``weight`` the number of facts
-    per key. Keys owning more than 1/``share`` of the facts number fewer than
-    ``share``, so they can always be broadcast; the other facts are shuffled and no
-    key is then large. Without heavy keys this is the plain join.
+    ``dim`` must be unique on ``keys`` and carry in ``weight`` the number of facts per
+    key. Keys owning more than ``HEAVY_ROWS`` facts, or 1/``share`` of a smaller table,
+    are broadcast: there are at most total / bound of them. The rest is shuffled, and no
+    key in it owns more rows than one task takes. Without heavy keys this is the plain join.
     """
     total, top = dim.agg(F.sum(weight), F.max(weight)).first()
-    bound = max((total or 0) // share, 10_000)
+    bound = max(min((total or 0) // share, HEAVY_ROWS), 1000)
     if (top or 0) <= bound:
         return facts.join(dim, keys, how)
     heavy = dim.where(F.col(weight) > bound)

@@ -140,15 +140,14 @@ def test_normals_and_clusters_job(spark):
     assert out.count() == 200 and {"nx", "curvature", "cluster_id"} <= set(out.columns)
 
 
-@pytest.mark.parametrize("small", [0, 200_000])
-def test_components(spark, small):
+def test_components(spark):
     rng = np.random.default_rng(9)
     chain = [(i, i + 1) for i in range(0, 120)]
     star = [(500, 500 + i) for i in range(1, 200)]
     random = rng.integers(1000, 1400, (250, 2)).tolist()
     edges = [("a", int(x), int(y)) for x, y in chain + star + random] + [("b", 1, 2), ("b", 7, 7)]
     df = spark.createDataFrame(edges, "cloud_id string, a bigint, b bigint")
-    got = {(r.cloud_id, r.node): r.label for r in components.connected_components(df, small).collect()}
+    got = {(r.cloud_id, r.node): r.label for r in components.connected_components(df).collect()}
     parent = {}
 
     def root(v):

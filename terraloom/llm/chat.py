@@ -241,7 +241,7 @@ def format_chats(chats: DataFrame) -> DataFrame:
     No turns, or null, give an empty text and mask. Input columns of these names are replaced.
     """
     kept = [c for c in chats.columns if c not in ("formatted", "loss_mask")]
-    schema = chats.select(*kept).schema.add("formatted", "string").add("loss_mask", "array<int>")
+    schema = chats.select(*kept).schema.add("formatted", "string").add("loss_mask", T.ArrayType(T.IntegerType()))
 
     def run(batches):
         for batch in batches:
@@ -274,7 +274,7 @@ def chat_report(conversations: DataFrame) -> DataFrame:
     made = format_chats(canonical_turns(conversation_records(conversations)).select("conv_id", "turns")).select("conv_id", "formatted", "loss_mask")
     schema = made.select("conv_id").schema
     for name, kind in (("n_turns", "long"), ("turns_sha256", "string"), ("loss_chars", "long"), ("loss_sha256", "string"), ("formatted_chars", "long")):
-        schema = schema.add(name, kind)
+        schema = schema.add(name, T.DataType.fromDDL(kind))
 
     def run(batches):
         for batch in batches:

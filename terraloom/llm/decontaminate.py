@@ -13,8 +13,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 from . import textops
@@ -222,7 +223,7 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, block_bytes:
     kept = [c for c in documents.columns if c not in new]
     schema = documents.select(*kept).schema
     for name, kind in new.items():
-        schema = schema.add(name, kind)
+        schema = schema.add(name, T.DataType.fromDDL(kind))
     out, any_block = documents.select(*kept), False
     for block in _blocks(benchmark, block_bytes):
         names = sorted({item for item, _, _ in block})
@@ -272,11 +273,10 @@ def _merge(a: np.ndarray, b: list[int]) -> np.ndarray:
     return np.array(out, np.int64).ravel()
 
 
-def _n_hit():
-    size = F.size("hit_spans")
-    ends = F.aggregate(F.sequence(F.lit(1), size / 2), F.lit(0).cast("bigint"),
-                       lambda s, k: s + F.element_at("hit_spans", (k * 2).cast("int")) - F.element_at("hit_spans", (k * 2 - 1).cast("int")))
-    return F.when(size == 0, F.lit(0).cast("bigint")).otherwise(ends)
+def _n_hit() -> Column:
+    """Words in all runs: ends count plus, beginnings minus."""
+    signed = F.transform("hit_spans", lambda x, k: F.when(k % 2 == 0, -x).otherwise(x).cast("bigint"))
+    return F.aggregate(signed, F.lit(0).cast("bigint"), lambda total, x: total + x)
 
 
 def _judged(found: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import textops
 
@@ -226,7 +227,7 @@ def scan_licenses(documents: DataFrame) -> DataFrame:
     kept = [c for c in documents.columns if c not in new]
     schema = documents.select(*kept).schema
     for name, kind in new.items():
-        schema = schema.add(name, kind)
+        schema = schema.add(name, T.DataType.fromDDL(kind))
     index = build_index(*document_counts(documents, vocabulary()))
     shared = documents.sparkSession.sparkContext.broadcast(index)
     fields = pa.struct([("label", pa.string()), ("first", pa.int64()), ("last", pa.int64()), ("share", pa.float64())])

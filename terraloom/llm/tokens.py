@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 LIMIT = 2048
 #: Merged pre-tokens remembered per worker, and the longest that is remembered.
@@ -157,7 +158,7 @@ def count_tokens(documents: DataFrame, path: str, limit: int = LIMIT) -> DataFra
     kept = [c for c in documents.columns if c not in new]
     schema = documents.select(*kept).schema
     for name, kind in new.items():
-        schema = schema.add(name, kind)
+        schema = schema.add(name, T.DataType.fromDDL(kind))
     shared = documents.sparkSession.sparkContext.broadcast(prove(path))
 
     def run(batches):

@@ -5,13 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraloom.llm import decontaminate, mixing, quality
+from terraloom.llm import decontaminate, line_dedup, mixing, ngram_join, quality
 from terraloom.llm.queries import table
 from terraloom.session import materialize, ship
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
-
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     ship(spark)
@@ -19,6 +16,20 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return quality.score_quality(docs, model).where(F.col("score") >= quality.THRESHOLD).select(*docs.columns)
 
 
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without later copies of repeated line runs; ``n_chars`` follows the text. A document of copies only goes."""
+    out = line_dedup.dedup_lines(docs)
+    left = out.where(F.size("gone") < F.greatest("n_lines", F.lit(1)))
+    chars = F.when(F.size("gone") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return left.withColumn("n_chars", chars).select(*docs.columns)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every class of near duplicates."""
+    ship(spark)
+    return ngram_join.keep_one(docs)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passages to speak of."""
     ship(spark)
@@ -32,6 +43,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality", classify_quality),
+    ("line dedup", dedup_lines),
+    ("n-gram join", keep_one_of_each),
     ("decontamination", drop_contaminated),
     ("mixing", mix_sources),
 ]
@@ -45,5 +58,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs = materialize(docs, name)
+            docs = materialize(docs, name.replace(" ", "-"))
     return docs

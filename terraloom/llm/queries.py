@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, licenses, mixing, quality, tokens, toxicity, vector_dedup
+from . import chat, decontaminate, licenses, line_dedup, mixing, ngram_join, quality, tokens, toxicity, vector_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,10 +39,18 @@ def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.vector_links(table(spark, sf_dir, "embeddings"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_links(table(spark, sf_dir, "documents"))
+
+
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     rows = table(spark, sf_dir, "conversations").select(
@@ -61,6 +69,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
-    for fn in (op1_quality, op2_tokens, op3_toxicity, op4_decontaminate, op5_vector_dedup, op7_licenses, op9_chat, op10_mixing)
+    for fn in (op1_quality, op2_tokens, op3_toxicity, op4_decontaminate, op5_vector_dedup, op6_ngram_join, op7_licenses, op8_line_dedup,
+               op9_chat, op10_mixing)
 }
 ORACLE: dict[str, str] = {}

@@ -46,6 +46,7 @@ def _tokens(part: textops.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     real = kind[starts] != 0
     glued = np.zeros(len(starts), bool)
     glued[1:] = real[:-1]
+    glued &= ~np.isin(starts, part.offsets)  # a text's first token follows nothing
     starts, ends, bits, glued = starts[real], ends[real], bits[real], glued[real]
     docs = part.docs(starts)
     hashes = textops.run_hashes(textops.prefix_sums(textops.LOWER[part.data]), starts, ends)

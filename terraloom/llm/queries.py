@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, decontaminate, licenses, line_dedup, mixing, ngram_join, quality, tokens, toxicity, vector_dedup
+from .oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,4 +73,4 @@ QUERIES: dict[str, Query] = {
     for fn in (op1_quality, op2_tokens, op3_toxicity, op4_decontaminate, op5_vector_dedup, op6_ngram_join, op7_licenses, op8_line_dedup,
                op9_chat, op10_mixing)
 }
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES", "table"]

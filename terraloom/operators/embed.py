@@ -48,10 +48,13 @@ def prepare(blocks: DataFrame, kind: str) -> DataFrame:
 def embed_tiles(tiles: DataFrame, model: Callable[[], Model], grid: int | None = None) -> DataFrame:
     """Patch table of a tile table with pixels: one normalised vector per patch.
 
+    ``raster_id`` is kept where the tiles have it: ids of patches repeat between equally named rasters.
+
     A leading class token is dropped when the rest is a square grid; ``grid`` states
     the grid for models with other leading tokens, and keeps the last ``grid²`` ones.
     """
-    keep = ("dataset_id", "tile_id", "tile_path", "min_x", "min_y", "max_x", "max_y", "height", "width")
+    own = ("raster_id",) if "raster_id" in tiles.columns else ()
+    keep = ("dataset_id", *own, "tile_id", "tile_path", "min_x", "min_y", "max_x", "max_y", "height", "width")
     tokens = model_tokens(prepare(tiles, "tile"), model, keep)
     n = F.array_size("tokens")
     if grid is None:
@@ -61,7 +64,7 @@ def embed_tiles(tiles: DataFrame, model: Callable[[], Model], grid: int | None =
     gridded = raster.patch_grid(tokens.withColumns({"_side": side, "_patch": patch}), F.col("_side"), F.col("width"), F.col("height"))
     at = F.col("patch_row") * F.col("_side") + F.col("patch_col")
     return gridded.select(
-        "dataset_id", "tile_id", "tile_path", "patch_id", "patch_row", "patch_col",
+        "dataset_id", *own, "tile_id", "tile_path", "patch_id", "patch_row", "patch_col",
         "patch_min_x", "patch_min_y", "patch_max_x", "patch_max_y",
         vectors.unit(F.get("_patch", at)).cast("array<float>").alias("embedding"),
     )

@@ -46,21 +46,22 @@ def ndvi_value(red: Column, nir: Column, inf: str = "keep") -> Column:
     )
 
 
-def ndvi(red: DataFrame, nir: DataFrame, red_band: int = 1, nir_band: int = 1, inf: str = "keep") -> DataFrame:
-    """NDVI per pixel of two pixel tables, aligned on raster, row and column.
+def ndvi_bands(pixels: DataFrame, red_band: int = 1, nir_band: int = 2, inf: str = "keep") -> DataFrame:
+    """NDVI per pixel of two bands of one pixel table.
 
-    Two bands of one table are brought together by one aggregation instead of a
-    self-join: one shuffle, not two, and half of it is gone before the exchange.
+    The bands are brought together by one aggregation instead of a self-join: one shuffle,
+    not two. As in the join, a pixel needs a row in both bands, and a NULL value gives NULL.
     """
-    if red is nir:
-        def pick(index: int) -> Column:
-            return F.max(F.when(F.col("band") == index, F.col("value")))
-
-        both = red.where(F.col("band").isin(red_band, nir_band)).groupBy("raster_id", "row", "col").agg(
-            pick(red_band).alias("red"), pick(nir_band).alias("nir")
-        )
-        both = both.where(F.col("red").isNotNull() & F.col("nir").isNotNull())
-        return both.select("raster_id", "row", "col", ndvi_value(F.col("red"), F.col("nir"), inf).alias("ndvi"))
+    wanted = pixels.where(F.col("band").isin(red_band, nir_band))
+    both = wanted.groupBy("raster_id", "row", "col").agg(
+        *[F.max(F.when(F.col("band") == band, F.col("value"))).alias(name) for band, name in ((red_band, "red"), (nir_band, "nir"))],
+        F.max(F.col("band") == red_band).alias("_red"), F.max(F.col("band") == nir_band).alias("_nir"),
+    )
+    return both.where("_red AND _nir").select("raster_id", "row", "col", ndvi_value(F.col("red"), F.col("nir"), inf).alias("ndvi"))
+
+
+def ndvi(red: DataFrame, nir: DataFrame, red_band: int = 1, nir_band: int = 1, inf: str = "keep") -> DataFrame:
+    """NDVI per pixel of two pixel tables, aligned on raster, row and column; ``ndvi_bands`` serves two bands of one table."""
     left = band(red, red_band).select("raster_id", "row", "col", F.col("value").alias("red"))
     right = band(nir, nir_band).select("raster_id", "row", "col", F.col("value").alias("nir"))
     return left.join(right, ["raster_id", "row", "col"]).select(
@@ -78,6 +79,25 @@ def ndvi_blocks(blocks: DataFrame, red_band: int, nir_band: int, inf: str = "kee
     return blocks.withColumns({"bands": F.array(pair), "dtype": F.lit("float32")})
 
 
+def ndvi_pairs(red: DataFrame, nir: DataFrame, pairs: DataFrame, red_band: int = 1, nir_band: int = 1,
+               inf: str = "keep") -> DataFrame:
+    """NDVI of two different rasters, packed: blocks of the files of each pair meet on their place.
+
+    ``pairs`` has ``pair_id, red_id, nir_id`` (raster ids; check shapes by ``shape_check`` first).
+    Pixels stay packed; the result's blocks carry the pair as ``raster_id`` and the red file's facts.
+    """
+    place = ["raster_id", "row_off", "col_off", "height", "width"]
+
+    def side(blocks: DataFrame, key: str, band: int, name: str) -> DataFrame:
+        own = pairs.select(F.col(key).alias("_file"), F.col("pair_id").alias("_pair"))
+        out = blocks.withColumnRenamed("raster_id", "_file").join(own, "_file").withColumnRenamed("_pair", "raster_id").drop("_file")
+        return out.withColumn(name, F.element_at("bands", band)).drop("bands")
+
+    both = side(red, "red_id", red_band, "_red").join(side(nir, "nir_id", nir_band, "_nir").select(*place, "_nir"), place)
+    values = F.zip_with("_red", "_nir", lambda r, n: ndvi_value(r, n, inf).cast("float").cast("double"))
+    return both.withColumns({"bands": F.array(values), "dtype": F.lit("float32")}).drop("_red", "_nir")
+
+
 def shape_check(red: DataFrame, nir: DataFrame, on: str = "raster_id") -> tuple[DataFrame, DataFrame]:
     """Split header pairs into those with equal grids and those without."""
     r = red.select(on, F.col("width").alias("red_width"), F.col("height").alias("red_height"))

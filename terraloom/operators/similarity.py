@@ -12,18 +12,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..session import materialize
 from ..sources.tables import PATCH_BOUNDS, require_columns
 from . import spatial
 
-# Query vectors held by one task; at 1024 values each they fill 64 MiB.
-MAX_QUERIES = 8192
-# Patches held by one task in the block-wise search.
-PATCH_ROWS = 65_536
+# Query vectors held by one task, and scores it computes at once, in bytes.
+QUERY_BYTES = 64 << 20
+SCORE_BYTES = 64 << 20
 # Scores closer than this are the same score; it hides summation order from the ranks.
 SCORE_PLACES = 9
 
-_HITS = pa.schema([("query_id", pa.string()), ("patch_id", pa.string()), ("score", pa.float64())])
-
 
 def non_null_embedding(patches: DataFrame) -> DataFrame:
     return patches.where(F.col("embedding").isNotNull())
@@ -39,134 +37,115 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 class _Best:
-    """The k best patches seen so far for each query of a fixed set."""
+    """The k best patches seen so far for each query of a fixed set, with their facts."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, skip_own: bool):
-        self.ids, self.vectors, self.k, self.skip_own = ids, vectors, k, skip_own
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, key: str | None):
+        self.ids, self.vectors, self.k, self.key = ids, vectors, k, key
         self.known = pa.array(ids, pa.string())
-        self.scores = np.full((len(ids), 0), -np.inf)
-        self.patches = np.empty((len(ids), 0), object)
+        self.scores = np.full((len(ids), k), -np.inf)
+        self.rows = np.zeros((len(ids), k), np.int64)  # places in ``facts``
+        self.facts: pa.Table | None = None
 
-    def add(self, patch_ids: pa.Array, vectors: np.ndarray) -> None:
-        if not len(patch_ids) or not len(self.ids):
-            return
+    def add(self, facts: pa.RecordBatch, vectors: np.ndarray) -> None:
+        step = max(SCORE_BYTES // (8 * max(len(self.ids), 1)), 1)
+        for at in range(0, facts.num_rows if len(self.ids) else 0, step):
+            self._add(facts.slice(at, step), vectors[at : at + step])
+
+    def _add(self, facts: pa.RecordBatch, vectors: np.ndarray) -> None:
         scores = np.round(self.vectors @ vectors.T, SCORE_PLACES) + 0.0
-        if self.skip_own:
-            own = pc.index_in(patch_ids, value_set=self.known).to_numpy(zero_copy_only=False)
+        if self.key:
+            own = pc.index_in(facts.column(self.key), value_set=self.known).to_numpy(zero_copy_only=False)
             hit = np.flatnonzero(~np.isnan(own.astype("float64")))
             scores[own[hit].astype(int), hit] = -np.inf
-        if len(patch_ids) > self.k:
-            # Keep everything level with the k-th score, so ties are settled by id below.
-            edge = np.partition(scores, len(patch_ids) - self.k, axis=1)[:, -self.k]
-            if self.scores.shape[1] == self.k:
-                edge = np.maximum(edge, self.scores[:, -1])
-            row, col = np.nonzero(scores >= edge[:, None])
-        else:
-            row, col = np.nonzero(scores > -np.inf)
-        old_row = np.repeat(np.arange(len(self.ids)), self.scores.shape[1])
-        row = np.concatenate([old_row, row])
-        score = np.concatenate([self.scores.ravel(), scores[row[len(old_row) :], col]])
-        # Only ids that reach the front are turned into strings.
+        # Keep everything level with the k-th score, so ties are settled by id below.
+        edge = self.scores[:, -1]
+        if facts.num_rows > self.k:
+            edge = np.maximum(edge, np.partition(scores, facts.num_rows - self.k, axis=1)[:, -self.k])
+        row, col = np.nonzero((scores >= edge[:, None]) & (scores > -np.inf))
+        if not len(row):
+            return
         front, place = np.unique(col, return_inverse=True)
-        names = np.array(patch_ids.take(pa.array(front, pa.int64())).to_pylist(), object)
-        patch = np.concatenate([self.patches.ravel(), names[place] if len(front) else np.empty(0, object)])
-        live = score > -np.inf
-        row, score, patch = row[live], score[live], patch[live]
-        order = np.lexsort((patch.astype(str), -score, row))
-        row, score, patch = row[order], score[order], patch[order]
+        new = pa.Table.from_batches([facts.take(pa.array(front))])
+        before = self.facts.num_rows if self.facts else 0
+        table = pa.concat_tables([self.facts, new]) if self.facts else new
+        old_row, old_col = np.nonzero(self.scores > -np.inf)
+        row = np.concatenate([old_row, row])
+        score = np.concatenate([self.scores[old_row, old_col], scores[row[len(old_row) :], col]])
+        fact = np.concatenate([self.rows[old_row, old_col], before + place])
+        names = np.array(table["patch_id"].to_pylist(), object).astype(str)
+        order = np.lexsort((names[fact], -score, row))
+        row, score, fact = row[order], score[order], fact[order]
         place = np.arange(len(row)) - np.searchsorted(row, row)
         keep = place < self.k
-        row, place = row[keep], place[keep]
-        self.scores = np.full((len(self.ids), self.k), -np.inf)
-        self.patches = np.full((len(self.ids), self.k), "", object)
-        self.scores[row, place] = score[keep]
-        self.patches[row, place] = patch[keep]
-
-    def batch(self) -> pa.RecordBatch:
+        row, score, fact, place = row[keep], score[keep], fact[keep], place[keep]
+        live, fact = np.unique(fact, return_inverse=True)
+        self.facts = table.take(pa.array(live)).combine_chunks()
+        self.scores[:] = -np.inf
+        self.scores[row, place], self.rows[row, place] = score, fact
+
+    def batches(self) -> list[pa.RecordBatch]:
+        if self.facts is None:
+            return []
         row, col = np.nonzero(self.scores > -np.inf)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(self.ids[row], pa.string()),
-                pa.array(self.patches[row, col], pa.string()),
-                pa.array(self.scores[row, col], pa.float64()),
-            ],
-            schema=_HITS,
-        )
+        facts = self.facts.take(pa.array(self.rows[row, col]))
+        out = facts.append_column("query_id", pa.array(self.ids[row], pa.string())).append_column("score", pa.array(self.scores[row, col]))
+        return out.combine_chunks().to_batches()
 
 
-def _score_broadcast(patches: DataFrame, queries: pa.Table, k: int, skip_own: bool) -> DataFrame:
+def top_k(patches: DataFrame, queries: DataFrame, k: int = 5, exclude_self: bool = False, query_bytes: int = QUERY_BYTES,
+          carry: tuple[str, ...] = (), key: str = "patch_id") -> DataFrame:
+    """The k best patches per query by cosine, as ``query_id, patch_id, score, rank`` and the columns to ``carry``.
+
+    ``queries`` has ``query_id`` and ``vector``; a repeated query gets its matches as often
+    as it is asked, and an id with two vectors fails. Equal scores rank by patch id. With
+    ``exclude_self`` a query is never matched to the patch that has its id in ``key``.
+    Queries are broadcast in blocks of ``query_bytes`` and patches stay where they are: one
+    scan per block. Each task keeps k rows per query, with the facts of the patches.
+    """
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    names = list(dict.fromkeys(["patch_id", key, *carry]))
+    facts = non_null_embedding(patches).select(*names, "embedding")
+    asked = queries.where(F.col("vector").isNotNull()).select(F.col("query_id").cast("string").alias("query_id"), "vector")
+    one = F.when(F.min("vector") == F.max("vector"), F.min("vector")).otherwise(
+        F.raise_error(F.concat(F.lit("two vectors for query "), F.coalesce("query_id", F.lit("NULL")))).cast(asked.schema["vector"].dataType)
+    )
+    seeds = materialize(asked.groupBy("query_id").agg(one.alias("vector"), F.count("*").alias("_times")), "queries")
+    size = seeds.agg(F.sum(F.size("vector") * 8)).first()[0] or 0
+    blocks = max(math.ceil(size / query_bytes), 1)
+    schema = facts.drop("embedding").schema.add("query_id", "string").add("score", "double")
+    partial = None
+    for block in range(blocks):
+        mine = seeds.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).select("query_id", "vector").toArrow()
+        found = facts.mapInArrow(_scanner(patches, mine, k, key if exclude_self else None), schema)
+        partial = found if partial is None else partial.unionByName(found)
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), *dict.fromkeys(["patch_id", key]))
+    ranked = partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    often = seeds.where("_times > 1").select(F.col("query_id").alias("_again"), "_times")
+    out = ranked.join(often, F.col("query_id").eqNullSafe(F.col("_again")), "left")
+    out = out.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("bigint"), F.coalesce("_times", F.lit(1).cast("bigint")))))
+    return out.select("query_id", "patch_id", "score", "rank", *[c for c in names if c != "patch_id" and c in carry])
+
+
+def _scanner(patches: DataFrame, queries: pa.Table, k: int, key: str | None):
     ids = np.array(queries["query_id"].to_pylist(), object)
     vectors = _matrix(queries["vector"].combine_chunks()) if len(ids) else np.zeros((0, 0))
     shared = patches.sparkSession.sparkContext.broadcast((ids, vectors))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _Best(*shared.value, k, skip_own)
+        best = _Best(*shared.value, k, key)
         for batch in batches:
-            best.add(batch["patch_id"], _matrix(batch["embedding"]))
-        yield best.batch()
-
-    return patches.select("patch_id", "embedding").mapInArrow(scan, "query_id string, patch_id string, score double")
-
-
-def _score_blocks(patches: DataFrame, queries: DataFrame, k: int, skip_own: bool, per_block: int) -> DataFrame:
-    """Queries too many for one task: both sides are dealt evenly into blocks that meet once each.
-
-    Round-robin dealing is independent of ids and values, so copies cannot pile up
-    in a block, and both sides of every group are of bounded size.
-    """
-    query_blocks = max(math.ceil(queries.count() / per_block), 1)
-    patch_blocks = max(math.ceil(patches.count() / PATCH_ROWS), 1)
-    dealt_patches = (
-        patches.select("patch_id", "embedding")
-        .repartition(patch_blocks)
-        .withColumn("pb", F.spark_partition_id())
-        .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    )
-    dealt_queries = (
-        queries.repartition(query_blocks)
-        .withColumn("qb", F.spark_partition_id())
-        .withColumn("pb", F.explode(F.sequence(F.lit(0), F.lit(patch_blocks - 1))))
-    )
-
-    def score(q: pa.Table, p: pa.Table) -> pa.Table:
-        if not q.num_rows or not p.num_rows:
-            return _HITS.empty_table()
-        best = _Best(
-            np.array(q["query_id"].to_pylist(), object),
-            _matrix(q["vector"].combine_chunks()),
-            k,
-            skip_own,
-        )
-        best.add(p["patch_id"].combine_chunks(), _matrix(p["embedding"].combine_chunks()))
-        return pa.Table.from_batches([best.batch()])
-
-    return (
-        dealt_queries.groupBy("qb", "pb")
-        .cogroup(dealt_patches.groupBy("qb", "pb"))
-        .applyInArrow(score, "query_id string, patch_id string, score double")
-    )
+            best.add(batch.drop_columns(["embedding"]), _matrix(batch["embedding"]))
+        yield from best.batches()
 
+    return scan
 
-def top_k(patches: DataFrame, queries: DataFrame, k: int = 5, exclude_self: bool = False,
-          max_queries: int = MAX_QUERIES) -> DataFrame:
-    """The k best patches per query by cosine, as ``query_id, patch_id, score, rank``.
 
-    ``queries`` has ``query_id`` and ``vector``. Equal scores rank by patch id. With
-    ``exclude_self`` a query is never matched to the patch whose id it carries in
-    ``query_id``. Each task keeps k rows per query, so the shuffle before the final
-    rank is tasks x queries x k rows however many patches there are.
-    """
-    if k < 1:
-        raise ValueError("k must be at least 1")
-    patches = non_null_embedding(patches)
-    queries = queries.where(F.col("vector").isNotNull()).select(F.col("query_id").cast("string").alias("query_id"), "vector")
-    few = queries.limit(max_queries + 1).toArrow()
-    if few.num_rows <= max_queries:
-        partial = _score_broadcast(patches, few, k, exclude_self)
-    else:
-        partial = _score_blocks(patches, queries, k, exclude_self, max_queries)
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "patch_id")
-    return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+def patch_key(patches: DataFrame, name: str = "patch_id") -> Column:
+    """What tells patches (or tiles) of equally named rasters apart: the id, and the raster's where the table has it."""
+    if "raster_id" not in patches.columns:
+        return F.col(name).cast("string")
+    return F.concat_ws("\x1f", F.col(name).cast("string"), F.col("raster_id").cast("string"))
 
 
 def path_queries(images: DataFrame, embed: Column, path: str = "query_path") -> DataFrame:
@@ -184,19 +163,22 @@ def coords_to_vectors(coords: DataFrame, patches: DataFrame, tiles: DataFrame |
     Patch bounds decide where the table has them; otherwise the tile holding the
     point, and that tile's first patch. ``strict`` fails on points left over.
     """
-    patches = non_null_embedding(patches)
+    patches = non_null_embedding(patches).withColumn("patch_key", patch_key(patches))
     spots = coords.groupBy("query_x", "query_y").agg(F.count("*").alias("copies"))
     if set(PATCH_BOUNDS) <= set(patches.columns):
-        hit = spatial.first_match(spots, patches, "patch_id", PATCH_BOUNDS)
+        hit = spatial.first_match(spots, patches, "patch_key", PATCH_BOUNDS)
     else:
         if tiles is None:
             raise ValueError("tiles are required to look up coordinates without patch bounds")
         require_columns(tiles, {"tile_id", "min_x", "min_y", "max_x", "max_y"}, "tile index")
-        tile = spatial.first_match(spots, tiles, "tile_id", ("min_x", "min_y", "max_x", "max_y"))
-        first = patches.groupBy("tile_id").agg(F.min("patch_id").alias("patch_id"))
-        hit = tile.join(first, "tile_id").select("query_x", "query_y", "patch_id")
-    found = hit.join(patches.select("patch_id", F.col("embedding").alias("vector")), "patch_id")
-    vectors = found.join(spots, ["query_x", "query_y"]).select("query_x", "query_y", "copies", "patch_id", "vector")
+        both = {"raster_id"} <= set(tiles.columns) & set(patches.columns)
+        tile_key = patch_key(tiles, "tile_id") if both else F.col("tile_id").cast("string")
+        tile = spatial.first_match(spots, tiles.withColumn("tile_key", tile_key), "tile_key", ("min_x", "min_y", "max_x", "max_y"))
+        own = patch_key(patches, "tile_id") if both else F.col("tile_id").cast("string")
+        first = patches.groupBy(own.alias("tile_key")).agg(F.min("patch_key").alias("patch_key"))
+        hit = tile.join(first, "tile_key").select("query_x", "query_y", "patch_key")
+    found = hit.join(patches.select("patch_key", "patch_id", F.col("embedding").alias("vector")), "patch_key")
+    vectors = found.join(spots, ["query_x", "query_y"]).select("query_x", "query_y", "copies", "patch_key", "patch_id", "vector")
     missed = spatial.unmatched(coords, hit, ["query_x", "query_y"])
     if strict:
         lost = missed.first()
@@ -205,32 +187,37 @@ def coords_to_vectors(coords: DataFrame, patches: DataFrame, tiles: DataFrame |
     return vectors, missed
 
 
-def match_rows(hits: DataFrame, patches: DataFrame, tiles: DataFrame | None = None) -> DataFrame:
-    """Attach tile, path and bounds to ranked hits; tile bounds stand in where patches have none.
-
-    Hits are few, so they are joined to the patch table on its key.
-    """
-    bounds = {b: F.col(p) for b, p in zip(("min_x", "min_y", "max_x", "max_y"), PATCH_BOUNDS)}
-    names = [f"match_{b}" for b in bounds]
+def match_columns(patches: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
+    """``patches`` with the facts that a match shows, and their names, to be carried through the search."""
     have = set(PATCH_BOUNDS) <= set(patches.columns)
-    facts = patches.select(
-        "patch_id",
-        F.col("tile_id").alias("match_tile_id"),
-        (F.col("tile_path") if "tile_path" in patches.columns else F.lit(None).cast("string")).alias("match_tile_path"),
-        *([v.cast("double").alias(f"match_{b}") for b, v in bounds.items()] if have else []),
-    )
-    out = hits.join(facts, "patch_id")
-    if not have:
-        if tiles is not None:
-            boxes = tiles.groupBy(F.col("tile_id").alias("match_tile_id")).agg(
-                *[F.min_by(b, "tile_path" if "tile_path" in tiles.columns else b).cast("double").alias(f"match_{b}") for b in bounds]
-            )
-            out = out.join(boxes, "match_tile_id", "left")
-        else:
-            out = out.withColumns({n: F.lit(None).cast("double") for n in names})
-    return out.select(
-        "query_id", "match_tile_id", "match_tile_path", F.col("patch_id").alias("match_patch_id"), "score", "rank", *names
-    )
+    facts = {
+        "match_tile_id": F.col("tile_id"),
+        "match_tile_path": F.col("tile_path") if "tile_path" in patches.columns else F.lit(None).cast("string"),
+        "match_tile_key": patch_key(patches, "tile_id"),
+    }
+    for bound, own in zip(("min_x", "min_y", "max_x", "max_y"), PATCH_BOUNDS):
+        facts[f"match_{bound}"] = (F.col(own) if have else F.lit(None)).cast("double")
+    return patches.withColumns({**facts, "patch_key": patch_key(patches)}), tuple(facts)
+
+
+def match_rows(hits: DataFrame, patches: DataFrame, tiles: DataFrame | None = None) -> DataFrame:
+    """Matches of hits that carry ``match_columns``; tile bounds stand in where patches have none."""
+    names = [f"match_{b}" for b in ("min_x", "min_y", "max_x", "max_y")]
+    out = hits
+    if tiles is not None and not set(PATCH_BOUNDS) <= set(patches.columns):
+        both = {"raster_id"} <= set(tiles.columns) & set(patches.columns)
+        key = patch_key(tiles, "tile_id") if both else F.col("tile_id").cast("string")
+        mine = "match_tile_key" if both else "match_tile_id"
+        path = "tile_path" if "tile_path" in tiles.columns else "tile_id"
+        boxes = tiles.groupBy(key.alias(mine)).agg(*[F.min_by(n.removeprefix("match_"), path).cast("double").alias(n) for n in names])
+        out = out.drop(*names).join(boxes, mine, "left")
+    return out.select("query_id", "match_tile_id", "match_tile_path", F.col("patch_id").alias("match_patch_id"), "score", "rank", *names)
+
+
+def matches(patches: DataFrame, queries: DataFrame, k: int = 5, tiles: DataFrame | None = None, exclude_self: bool = False) -> DataFrame:
+    """Top-k search with the facts of each match; own patches are told by ``patch_key``."""
+    ready, names = match_columns(patches)
+    return match_rows(top_k(ready, queries, k, exclude_self, carry=names, key="patch_key"), patches, tiles)
 
 
 def union_results(path_matches: DataFrame | None, coord_matches: DataFrame | None) -> DataFrame:

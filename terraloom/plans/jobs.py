@@ -19,7 +19,7 @@ def tile_rasters(blobs: DataFrame, out_dir: str, size: int = 256) -> DataFrame:
     """Cut raster files into full tiles; writes ``tiles`` (with pixels) and ``index`` tables, returns the index."""
     cut = raster.cut_tiles(rasters.raster_blocks(blobs, size), size)
     stored = tables.write_table(cut, f"{out_dir}/tiles", "dataset_id")
-    index = stored.select("dataset_id", "tile_id", "min_x", "min_y", "max_x", "max_y", "crs", "tile_path")
+    index = stored.select("dataset_id", "raster_id", "tile_id", "min_x", "min_y", "max_x", "max_y", "crs", "tile_path")
     return tables.write_table(index, f"{out_dir}/index", "dataset_id")
 
 
@@ -46,7 +46,7 @@ def find_similar_patches(patches: DataFrame, path_vectors: DataFrame | None = No
         raise ValueError("patch table has no embeddings to search")
     by_path = by_coord = None
     if path_vectors is not None:
-        by_path = similarity.match_rows(similarity.top_k(usable, path_vectors, k), usable, tiles)
+        by_path = similarity.matches(usable, path_vectors, k, tiles)
     if coords is not None:
         by_coord = coordinate_matches(usable, coords, tiles, k, exclude_self, strict)
     return similarity.union_results(by_path, by_coord)
@@ -60,9 +60,9 @@ def coordinate_matches(patches: DataFrame, coords: DataFrame, tiles: DataFrame |
     coordinates, and those to many repeated queries, are one-to-many lookups.
     """
     vectors, _ = similarity.coords_to_vectors(coords, patches, tiles, strict)
-    found = materialize(vectors.withColumnRenamed("patch_id", "query_id"), "coords")
+    found = materialize(vectors.drop("patch_id").withColumnRenamed("patch_key", "query_id"), "coords")
     seeds = found.groupBy("query_id").agg(F.any_value("vector").alias("vector"), F.count("*").alias("spots"))
-    hits = similarity.match_rows(similarity.top_k(patches, seeds.select("query_id", "vector"), k, exclude_self), patches, tiles)
+    hits = similarity.matches(patches, seeds.select("query_id", "vector"), k, tiles, exclude_self)
     packed = hits.groupBy("query_id").agg(F.collect_list(F.struct(*[c for c in hits.columns if c != "query_id"])).alias("hits"))
     packed = materialize(packed.join(seeds.select("query_id", "spots"), "query_id"), "hits")
     spots = lookup(found.select("query_x", "query_y", "query_id", "copies"), packed, ["query_id"], "spots", "inner")
@@ -76,6 +76,8 @@ def ingest_rasters(blobs: DataFrame, table_dir: str, dest: str = "raw", red_band
                    skip_validation: bool = False, block: int = 256) -> dict[str, DataFrame]:
     """Land files, validate, derive NDVI, and collect statistics, catalog rows and the ingest log.
 
+    Files that cannot be read whole, or lack a band asked for, are logged with the reason
+    and give no statistics.
     Source bytes are read once, into the landed table, together with their headers;
     later steps read the columns they need from there. Pixels are never shuffled.
     Each call adds one ``batch`` to every table and returns the rows of that batch.
@@ -86,13 +88,16 @@ def ingest_rasters(blobs: DataFrame, table_dir: str, dest: str = "raw", red_band
         return tables.write_table(df, f"{table_dir}/{name}/batch={batch}")
 
     incoming = files.land_files(blobs, dest).withColumn("raster_id", F.col("file_id"))
-    with_headers = rasters.raster_headers(incoming, ("content", "file_id", "source_path", "filename", "ingested_at"))
+    with_headers = rasters.raster_headers(incoming, ("content", "file_id", "source_path", "filename", "ingested_at"), pixels=True)
+    most = max(red_band, nir_band)
+    short = F.format_string(f"band {most} out of range for %d bands", "band_count")
+    with_headers = with_headers.withColumn("error", F.coalesce("error", F.when(F.col("band_count") < most, short)))
     landed = files.write_landed(with_headers, f"{table_dir}/landed", batch)
     headers = landed.drop("content")
     good, bad = raster.validate(headers, skip_validation)
     good = good.where("error IS NULL")
     blocks = rasters.raster_blocks(landed.where("error IS NULL").select("raster_id", "path", "content"), block)
-    index = raster.ndvi_blocks(blocks.where(F.size("bands") >= max(red_band, nir_band)), red_band, nir_band)
+    index = raster.ndvi_blocks(blocks, red_band, nir_band)
     index = store(index.withColumn("path", paths.processed_path("path", F.col("raster_id"))), "ndvi")
     index_headers = good.withColumns({"band_count": F.lit(1), "dtype": F.lit("float32")})
     raw_stats = store(raster.block_stats(blocks, good), "raw_stats")

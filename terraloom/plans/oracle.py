@@ -134,7 +134,7 @@ SELECT query_id, b.patch_id AS match_patch_id,
        CASE rank WHEN 1 THEN 'first' WHEN 2 THEN 'second' ELSE 'other' END AS rank_class,
        'patch_id=' || b.patch_id || ' · tile_id=' || t.tile_id || ' · score=' || printf('%.4f', round(score, 4)) || ' · rank=' || rank AS label,
        printf('%.3f', t.x0) AS min_x_text
-FROM best b JOIN patches p USING (patch_id) JOIN tiles t ON t.tile_id = p.tile_id WHERE t.x0 > 0"""
+FROM best b JOIN patches p USING (patch_id) JOIN tiles t ON t.tile_id = p.tile_id"""
 
 ORACLE["results_csv"] = _with(PATCHES, PROTO, _ranked("best", "seeds", 5)) + f"""
 SELECT query_id AS query_path, patch_id AS match_patch_id, {_r('score')} AS score, rank, x0 AS match_min_x, y1 AS match_max_y

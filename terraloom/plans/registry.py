@@ -53,7 +53,7 @@ def _prototypes(spark: SparkSession, sf: str) -> DataFrame:
 
 def _prototype_matches(spark: SparkSession, sf: str) -> DataFrame:
     patches = views.patches(spark, sf)
-    return similarity.match_rows(similarity.top_k(patches, _prototypes(spark, sf)), patches)
+    return similarity.matches(patches, _prototypes(spark, sf))
 
 
 @query
@@ -117,11 +117,9 @@ def qa_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def drawable_matches(spark: SparkSession, sf: str) -> DataFrame:
-    """Bounds come from an index that lacks the first tile column, so some matches cannot be drawn."""
+    """Bounds come from the tile index; all its tiles have them."""
     bare = views.patches(spark, sf).drop(*PATCH_BOUNDS)
-    hits = similarity.top_k(bare, _prototypes(spark, sf))
-    tiles = views.patch_tiles(spark, sf).where("min_x > 0")
-    drawn = similarity.drawable(similarity.match_rows(hits, bare, tiles))
+    drawn = similarity.drawable(similarity.matches(bare, _prototypes(spark, sf), tiles=views.patch_tiles(spark, sf)))
     return drawn.select(
         "query_id", "match_patch_id", "rank_class", "label",
         text.fixed(F.col("match_min_x"), 3).alias("min_x_text"),
@@ -147,7 +145,7 @@ def results_csv(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def ndvi_pixels(spark: SparkSession, sf: str) -> DataFrame:
     p = views.band_pixels(spark, sf)
-    return _longs(_rounded(raster.ndvi(p, p, 1, 2), ["ndvi"]), "row", "col")
+    return _longs(_rounded(raster.ndvi_bands(p, 1, 2), ["ndvi"]), "row", "col")
 
 
 @query

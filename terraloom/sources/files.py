@@ -22,15 +22,20 @@ def blob_scan(spark: SparkSession, root: str, name_glob: str | None = None, recu
 
 
 def list_files(spark: SparkSession, root: str, key_glob: str | None = None, cross_slash: bool = True) -> DataFrame:
-    """Paths, sizes and times below ``root``; bytes are never read.
+    """Paths, sizes and times below ``root``; bytes are never read. A folder that is not there has no files.
 
     ``key_glob`` is matched on the path below ``root``; ``*`` crosses ``/`` as in an
     object store unless ``cross_slash`` is off.
     """
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(root)
+    filesystem = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    if not filesystem.exists(folder):
+        return spark.createDataFrame([], BLOB).select("path", "length", "modificationTime")
     files = blob_scan(spark, root).select("path", "length", "modificationTime")
     if key_glob:
-        base = root.rstrip("/").split("://")[-1].lstrip("/")
-        key = F.substring_index(F.col("path"), base + "/", -1)
+        base = filesystem.makeQualified(folder).toString().rstrip("/") + "/"
+        key = F.when(F.col("path").startswith(base), F.substring("path", len(base) + 1, 1 << 30)).otherwise(paths.basename("path"))
         files = files.where(key.rlike(paths.glob_regex(key_glob, cross_slash)))
     return files
 

@@ -97,15 +97,19 @@ def read_array(data: bytes) -> np.ndarray:
     across, down = -(-width // cw), -(-height // ch)
     dtype = np.dtype(head["dtype"]).newbyteorder(order)
     depth = 1 if separate else bands
+    if min(len(offsets), len(sizes)) < across * down * (bands if separate else 1):
+        raise ValueError(f"{min(len(offsets), len(sizes))} of {across * down * (bands if separate else 1)} chunks")
     out = np.zeros((bands, down * ch, across * cw), head["dtype"])
     for n, (at, size) in enumerate(zip(offsets, sizes)):
         chunk = bytes(data[at : at + size])
         if packing != RAW:
             chunk = zlib.decompress(chunk)
-        flat = np.frombuffer(chunk, dtype)
-        cell = flat[: flat.size // (cw * depth) * cw * depth].reshape(-1, cw, depth)
         plane, rest = divmod(n, across * down) if separate else (0, n)
         row, col = divmod(rest, across)
+        lines = ch if TILE_OFFSETS in tags else min(ch, height - row * ch)
+        if len(chunk) < lines * cw * depth * dtype.itemsize:
+            raise ValueError(f"chunk {n} holds {len(chunk)} of {lines * cw * depth * dtype.itemsize} bytes")
+        cell = np.frombuffer(chunk, dtype, lines * cw * depth).reshape(lines, cw, depth)
         target = slice(plane, plane + 1) if separate else slice(None)
         out[target, row * ch : row * ch + cell.shape[0], col * cw : (col + 1) * cw] = np.moveaxis(cell, -1, 0)
     return out[:, :height, :width]

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import paths
 from ..schemas import POINT
@@ -16,12 +18,37 @@ from . import las
 CHUNK = 65_536
 
 
+def las_problems(blobs: DataFrame) -> DataFrame:
+    """``path, error`` of the LAS files that cannot be read whole; their points are left out by ``las_points``."""
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [(path, _problem(data)) for path, data in zip(batch["path"], batch["content"])]
+            yield pd.DataFrame([f for f in found if f[1]], columns=["path", "error"])
+
+    return blobs.select("path", "content").mapInPandas(scan, "path string, error string")
+
+
+def _problem(data: bytes) -> str | None:
+    try:
+        head = las.read_header(data)
+        need = head["points_at"] + head["count"] * head["record_size"]
+        return None if len(data) >= need else f"ValueError: {len(data)} of {need} bytes"
+    except Exception as problem:
+        return f"{type(problem).__name__}: {problem}"
+
+
 def las_points(blobs: DataFrame) -> DataFrame:
-    """Points of LAS files; ``cloud_id`` is the path, ``point_id`` the record number."""
+    """Points of LAS files; ``cloud_id`` is the path, ``point_id`` the record number.
+
+    One malformed file does not stop the others: it has no points, and ``las_problems`` names it.
+    """
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, data in zip(batch["path"], batch["content"]):
+                if _problem(data):
+                    continue
                 head = las.read_header(data)
                 for first in range(0, head["count"], CHUNK):
                     xyz = las.read_points(data, first, min(CHUNK, head["count"] - first), head)
@@ -39,15 +66,37 @@ def las_points(blobs: DataFrame) -> DataFrame:
 
 
 def csv_points(spark: SparkSession, root: str) -> DataFrame:
-    """Points of CSV files with header ``point_id,x,y,z``; ``cloud_id`` is the path."""
-    return (
-        spark.read.schema("point_id bigint, x double, y double, z double")
-        .option("header", "true")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.[cC][sS][vV]")
-        .csv(root)
-        .select(F.col("_metadata.file_path").alias("cloud_id"), "point_id", "x", "y", "z")
-    )
+    """Points of CSV files whose header names ``x, y, z`` in any order; ``cloud_id`` is the path.
+
+    A file without a ``point_id`` column gets ids made up in reading order. A file whose
+    header lacks an axis fails the scan. Files are read once per header layout.
+    """
+    from .files import list_files
+
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[cC][sS][vV]")
+    found = list_files(spark, root).where(paths.extension("path") == ".csv")
+    if found.isEmpty():
+        return spark.createDataFrame([], POINT)
+    names = F.transform(F.split("value", ","), lambda c: F.lower(F.trim(F.regexp_replace(c, '[\ufeff"\r]', ""))))
+    heads = lines.text(root).select(F.col("_metadata.file_path").alias("path"), names.alias("names"))
+    # Only a header has words for cells, so it is known without relying on the order of lines.
+    heads = heads.where(F.arrays_overlap("names", F.array(*map(F.lit, "xyz")))).distinct()
+    clean = F.regexp_replace("path", "^file:/+", "file:/")
+    known = heads.select(clean.alias("path"), "names")
+    files = found.select(clean.alias("path")).join(known, "path", "left")
+    layouts = files.groupBy("names").agg(F.collect_list("path").alias("paths")).collect()
+    parts = []
+    for names_, files_ in layouts:
+        if names_ is None or not {"x", "y", "z"} <= set(names_):
+            raise ValueError(f"no header with x, y and z in {files_[0]}")
+        schema = T.StructType([T.StructField(f"_{k}_{n}", T.StringType()) for k, n in enumerate(names_)])
+        table = spark.read.schema(schema).option("header", "true").csv(files_)
+        at = {n: F.trim(f"_{k}_{n}") for k, n in reversed(list(enumerate(names_)))}
+        point = at["point_id"].cast("bigint") if "point_id" in at else F.monotonically_increasing_id()
+        parts.append(table.select(
+            F.col("_metadata.file_path").alias("cloud_id"), point.alias("point_id"), *[at[a].cast("double").alias(a) for a in "xyz"]
+        ))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def pointcloud_scan(spark: SparkSession, root: str) -> DataFrame:

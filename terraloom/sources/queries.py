@@ -29,7 +29,10 @@ def inline_paths(df: DataFrame, text: str, keep: tuple[str, ...] = ()) -> DataFr
 
 def query_paths(spark: SparkSession, inline: str | None = None, file: str | None = None,
                 root: str | None = None) -> DataFrame:
-    """Paths from inline text, a list file and a folder, appended in this order, repeats kept."""
+    """Paths from inline text, a list file and a folder, with their ``source`` (0, 1, 2) and ``position``, repeats kept.
+
+    Order by both to list them as given; a list file that begins like JSON and is not fails.
+    """
     parts = []
     if inline and inline.strip():
         text = spark.range(1).select(F.lit(inline).alias("text"))
@@ -38,8 +41,11 @@ def query_paths(spark: SparkSession, inline: str | None = None, file: str | None
         lines = spark.read.text(file).where(F.trim("value") != "")
         opening = lines.first()
         if opening and opening[0].lstrip().startswith("["):
-            whole = spark.read.option("wholetext", "true").text(file)
-            listed = whole.select(F.posexplode(F.from_json("value", "array<string>")).alias("position", "query_path"))
+            whole = spark.read.option("wholetext", "true").text(file).where(F.trim("value", F.lit(" \t\r\n")) != "")
+            items = F.from_json("value", "array<string>")
+            broken = F.raise_error(F.concat(F.lit("not a JSON list of paths: "), F.substring("value", 1, 80))).cast("array<string>")
+            items = F.when(items.isNotNull(), items).otherwise(broken)
+            listed = whole.select(F.posexplode(items).alias("position", "query_path"))
         else:
             listed = lines.select(F.monotonically_increasing_id().alias("position"), F.trim("value").alias("query_path"))
         parts.append(listed.select(F.lit(1).alias("source"), F.col("position").cast("bigint").alias("position"), "query_path"))
@@ -48,7 +54,7 @@ def query_paths(spark: SparkSession, inline: str | None = None, file: str | None
         parts.append(found.select(F.lit(2).alias("source"), F.lit(0).cast("bigint").alias("position"), F.col("path").alias("query_path")))
     if not parts:
         raise ValueError("no query inputs: give inline text, a list file or a folder")
-    return reduce(DataFrame.unionByName, parts).orderBy("source", "position", "query_path")
+    return reduce(DataFrame.unionByName, parts)
 
 
 _PAIR = "struct<x:double,y:double>"

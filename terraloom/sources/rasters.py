@@ -25,9 +25,11 @@ def _with_id(blobs: DataFrame) -> DataFrame:
     return blobs.withColumn("raster_id", F.coalesce(paths.landed_id("path"), F.col("path")))
 
 
-def raster_headers(blobs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def raster_headers(blobs: DataFrame, keep: tuple[str, ...] = (), pixels: bool = False) -> DataFrame:
     """One header row per file; an unreadable file keeps its row, with ``error`` set.
 
+    With ``pixels`` the pixels are decoded too, so that a file whose chunks are short or
+    broken is found here; a rotated grid, which blocks and bounds cannot state, is an error too.
     ``keep`` names columns passed through, so that landing can store headers and
     bytes in one pass over the files.
     """
@@ -40,7 +42,12 @@ def raster_headers(blobs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
             for raster, path, data in zip(batch["raster_id"].to_pylist(), batch["path"].to_pylist(), batch["_content"]):
                 row = {"raster_id": raster, "path": path}
                 try:
-                    row.update(geotiff.read_header(data.as_buffer()))
+                    head = geotiff.read_header(data.as_buffer())
+                    row.update(head)
+                    if head["b"] or head["d"]:
+                        raise ValueError("rotated grids are not supported")
+                    if pixels:
+                        geotiff.read_array(data.as_buffer())
                 except Exception as problem:
                     row["error"] = f"{type(problem).__name__}: {problem}"
                 rows.append(row)
@@ -69,7 +76,8 @@ def raster_blocks(blobs: DataFrame, block: int = 256) -> DataFrame:
     """Cut every raster into ``block`` x ``block`` windows of all bands; edge windows are smaller.
 
     Blocks carry the facts of their raster, so nothing downstream has to shuffle
-    pixels to find them. Unreadable files give no blocks: take them from ``raster_headers``.
+    pixels to find them. Files that cannot be read whole give no blocks: take them from
+    ``raster_headers`` with ``pixels``.
     """
     names = [c.split()[0] for c in RASTER_BLOCK.split(", ")]
 
@@ -78,10 +86,11 @@ def raster_blocks(blobs: DataFrame, block: int = 256) -> DataFrame:
             for raster, path, data in zip(batch["raster_id"], batch["path"], batch["content"]):
                 try:
                     head = geotiff.read_header(data)
+                    pixels = geotiff.read_array(data)
                 except Exception:
                     continue
-                # Pixels that break under a sound header fail the job rather than go missing.
-                pixels = geotiff.read_array(data)
+                if head["b"] or head["d"]:
+                    continue
                 facts = (raster, path, *(head[k] for k in ("dtype", "crs", "nodata", "a", "c", "e", "f")))
                 for row in range(0, head["height"], block):
                     out = []

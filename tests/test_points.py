@@ -177,3 +177,23 @@ def test_far_from_the_origin(spark):
     got = dbscan.dbscan(frame(spark, xyz, ids), 6, 1.5).collect()
     assert {r.point_id: (r.is_core, r.cluster_id) for r in got} == brute_dbscan(xyz, ids, 1.5, 6)
     assert {k[1]: v for k, v in got_knn(frame(spark, xyz, ids), 8, leaf_rows=64).items()} == brute_knn(xyz, ids, 8)
+
+
+def test_leaves_stay_even_where_a_coordinate_repeats():
+    """A wall: 60 percent of the points share the least value of the widest axis."""
+    from terraloom.operators.spacetree import SpaceTree
+
+    rng = np.random.default_rng(3)
+    xyz = np.column_stack([rng.uniform(0, 1000, 20_000), rng.uniform(0, 50, 20_000), rng.uniform(0, 9, 20_000)])
+    xyz[:12_000, 0] = 0.0
+    tree = SpaceTree.fit(xyz[::4], 64)
+    sizes = np.bincount(tree.leaf(xyz), minlength=64)
+    assert sizes.max() <= 2 * sizes.mean() and sizes.min() > 0
+
+
+def test_neighbours_on_a_wall(spark):
+    rng = np.random.default_rng(4)
+    xyz = np.column_stack([rng.uniform(0, 1000, 900), rng.uniform(0, 50, 900), rng.uniform(0, 9, 900)])
+    xyz[:540, 0] = 0.0
+    ids = np.arange(900)
+    assert {k[1]: v for k, v in got_knn(frame(spark, xyz, ids), 6, leaf_rows=64).items()} == brute_knn(xyz, ids, 6)

@@ -67,10 +67,10 @@ def brute(vectors, ids, queries, qids, k, skip=False):
     return out
 
 
-@pytest.mark.parametrize("max_queries,skip", [(8192, False), (20, False), (20, True), (8192, True)])
-def test_top_k_against_brute_force(spark, monkeypatch, max_queries, skip):
+@pytest.mark.parametrize("query_bytes,skip", [(8192, False), (600, False), (600, True), (8192, True)])
+def test_top_k_against_brute_force(spark, monkeypatch, query_bytes, skip):
     """A third of the patches are copies of one vector, so most ranks hang on ties."""
-    monkeypatch.setattr(similarity, "PATCH_ROWS", 100)
+    monkeypatch.setattr(similarity, "SCORE_BYTES", 10_000)
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(600, 8)).astype("float32")
     vectors[::3] = vectors[0]
@@ -79,7 +79,7 @@ def test_top_k_against_brute_force(spark, monkeypatch, max_queries, skip):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, vectors)], "patch_id string, embedding array<float>").repartition(5)
     qids, qvec = ids[:60], vectors[:60]
     queries = spark.createDataFrame([(i, v.tolist()) for i, v in zip(qids, qvec)], "query_id string, vector array<float>")
-    got = similarity.top_k(df, queries, 7, skip, max_queries=max_queries).collect()
+    got = similarity.top_k(df, queries, 7, skip, query_bytes=query_bytes).collect()
     want = brute(vectors.astype("float64"), ids, qvec.astype("float64"), qids, 7, skip)
     assert {(r.query_id, r.patch_id, r["rank"], round(r.score, 7)) for r in got} == want
 
@@ -129,7 +129,7 @@ def test_ndvi_edge_values(spark):
 def test_ndvi_join_and_band_range(spark):
     p = spark.createDataFrame([("a", 0, 0, 1, 1.0), ("a", 0, 0, 2, 3.0), ("a", 0, 1, 1, 5.0)], "raster_id string, row int, col int, band int, value double")
     other = p.select("*")
-    assert [tuple(r) for r in raster.ndvi(p, p, 1, 2).collect()] == [("a", 0, 0, 0.5)]
+    assert [tuple(r) for r in raster.ndvi_bands(p, 1, 2).collect()] == [("a", 0, 0, 0.5)]
     assert [tuple(r) for r in raster.ndvi(p, other, 1, 2).collect()] == [("a", 0, 0, 0.5)]
     heads = spark.createDataFrame([("a", 2)], "raster_id string, band_count int")
     with pytest.raises(ValueError, match="out of range"):
@@ -181,3 +181,30 @@ def test_search_agrees_with_the_column_functions(spark, pair):
     got = {r.patch_id: r.score for r in similarity.top_k(pair, query, 2).collect()}
     want = pair.select("patch_id", v.cosine(F.col("embedding"), F.array(F.lit(3.0), F.lit(4.0))).alias("s")).collect()
     assert got == pytest.approx({r.patch_id: r.s for r in want}, abs=1e-9)
+
+
+def test_repeated_image_query_is_answered_as_often(spark, pair):
+    vector = pair.first().embedding
+    queries = spark.createDataFrame([("q", vector), ("q", vector), ("r", vector)], "query_id string, vector array<float>")
+    got = sorted((r.query_path, r["rank"], r.match_patch_id) for r in jobs.find_similar_patches(pair, queries, k=2).collect())
+    one = [(rank, patch) for q, rank, patch in got if q == "r"]
+    assert got == sorted([("q", *x) for x in one] * 2 + [("r", *x) for x in one]) and len(one) == 2
+    other = spark.createDataFrame([("q", [1.0] * len(vector)), ("q", [0.5] * len(vector))], "query_id string, vector array<float>")
+    with pytest.raises(Exception, match="two vectors"):
+        jobs.find_similar_patches(pair, other, k=2).collect()
+
+
+def test_equally_named_rasters_stay_apart(spark, pair):
+    """Two folders, equal file names: all ids repeat, only the raster differs."""
+    moved = {b: F.col(b) + 1000 for b in ("patch_min_x", "patch_max_x")}
+    both = pair.withColumn("raster_id", F.lit("s1/scene.tif")).unionByName(
+        pair.withColumns({"raster_id": F.lit("s2/scene.tif"), **moved, "embedding": F.transform("embedding", lambda v: -v)})
+    )
+    query = spark.createDataFrame([("q", pair.first().embedding)], "query_id string, vector array<float>")
+    got = jobs.find_similar_patches(both, query, k=4).collect()
+    assert sorted(r["rank"] for r in got) == [1, 2, 3, 4] and len({(r.match_patch_id, r.match_min_x) for r in got}) == 4
+    coords = spark.createDataFrame([(50.0, 50.0), (1050.0, 50.0)], "query_x double, query_y double")
+    best = {r.query_x: r for r in jobs.find_similar_patches(both, coords=coords, k=1).collect()}
+    assert best[50.0].match_patch_id == best[1050.0].match_patch_id and best[50.0].match_min_x + 1000 == best[1050.0].match_min_x
+    others = jobs.find_similar_patches(both, coords=coords, k=4, exclude_self=True).groupBy("query_x").count().collect()
+    assert {r[0]: r[1] for r in others} == {50.0: 3, 1050.0: 3}

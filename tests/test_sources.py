@@ -44,6 +44,7 @@ def test_list_files(spark, raster_dir):
     assert names == {"ramp.tif", "zero.TIF", "broken.tif"}
     assert files.list_files(spark, raster_dir, "*.TIF").count() == 1
     assert files.list_files(spark, raster_dir, "*.TIF", cross_slash=False).count() == 0
+    assert files.list_files(spark, raster_dir + "/none", "*").count() == 0
     plan = files.list_files(spark, raster_dir)._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1]
 
@@ -154,7 +155,7 @@ def test_query_paths(spark, tmp_path, raster_dir):
     as_json.write_text('\n["d.tif", "e.tif"]')
 
     def got(**kw):
-        return [r.query_path for r in queries.query_paths(spark, **kw).collect()]
+        return [r.query_path for r in queries.query_paths(spark, **kw).orderBy("source", "position", "query_path").collect()]
 
     assert got(inline=" x.tif, ,y.tif", file=str(listing)) == ["x.tif", "y.tif", "b.tif", "c.tif"]
     assert got(inline='["x,1.tif", "x,1.tif"]') == ["x,1.tif", "x,1.tif"]
@@ -163,6 +164,9 @@ def test_query_paths(spark, tmp_path, raster_dir):
     assert [p.split("/")[-1] for p in got(inline="q", root=raster_dir)] == ["q", "broken.tif", "ramp.tif"]
     with pytest.raises(ValueError):
         queries.query_paths(spark)
+    as_json.write_text('["d.tif", ')
+    with pytest.raises(Exception, match="not a JSON list"):
+        got(file=str(as_json))
 
 
 def test_query_coords(spark):
@@ -247,3 +251,70 @@ def test_unreadable_pixels_are_quarantined_not_lost(spark, tmp_path):
     reasons = sorted(r.errors[0] for r in bad.collect())
     assert "unsupported compression 5" in reasons[1] and "truncated" in reasons[0]
     assert rasters.raster_blocks(files.blob_scan(spark, str(tmp_path))).count() == 1
+
+
+def test_globs_see_the_whole_key(spark, tmp_path):
+    """The folder's own name may come again below it."""
+    inner = tmp_path / "data" / "x" / "data"
+    inner.mkdir(parents=True)
+    (inner / "y.tif").write_bytes(b"1")
+    for root in (str(tmp_path / "data"), f"file://{tmp_path}/data/"):
+        assert files.list_files(spark, root, "x/data/*.tif").count() == 1
+        assert files.list_files(spark, root, "y.tif").count() == 0
+
+
+def test_short_and_broken_chunks_are_found(spark):
+    import zlib
+
+    from terraloom.sources import geotiff
+
+    pixels = np.full((1, 8, 8), 7, "uint8")
+    good = geotiff.write(pixels, 1.0, 0.0, -1.0, 8.0, deflate=True)
+    packed = zlib.compress(pixels.tobytes())
+    short = zlib.compress(bytes([7] * 24))
+    assert good.count(packed) == 1
+    files_ = [("ok", good), ("short", good.replace(packed, short.ljust(len(packed), b"\0"))), ("noise", good.replace(packed, b"\1" * len(packed)))]
+    blobs = spark.createDataFrame([(n, n, bytearray(b)) for n, b in files_], "raster_id string, path string, content binary")
+    errors = {r.raster_id: r.error for r in rasters.raster_headers(blobs, pixels=True).collect()}
+    assert errors["ok"] is None and "24 of 64" in errors["short"] and errors["noise"]
+    assert {r.raster_id for r in rasters.raster_blocks(blobs, 8).collect()} == {"ok"}
+
+
+def test_clouds_are_read_by_header_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y,z\n1.5,2.5,3.5\n4,5,6\n")
+    (tmp_path / "b.CSV").write_text("z, intensity ,y,point_id,x\n3,9,2,77,1\n")
+    (tmp_path / "c.las").write_bytes(las.write(np.array([[1.0, 2.0, 3.0]])))
+    (tmp_path / "d.las").write_bytes(las.write(np.ones((5, 3)))[:-7])
+    rows = pointclouds.pointcloud_scan(spark, str(tmp_path)).collect()
+    got = sorted((r.cloud_id.split("/")[-1], r.x, r.y, r.z) for r in rows)
+    assert got == [("a.csv", 1.5, 2.5, 3.5), ("a.csv", 4.0, 5.0, 6.0), ("b.CSV", 1.0, 2.0, 3.0), ("c.las", 1.0, 2.0, 3.0)]
+    assert {r.point_id for r in rows if r.cloud_id.endswith("b.CSV")} == {77} and len({r.point_id for r in rows if r.cloud_id.endswith("a.csv")}) == 2
+    odd = pointclouds.las_problems(files.blob_scan(spark, str(tmp_path), "*.las")).collect()
+    assert [r.path.split("/")[-1] for r in odd] == ["d.las"] and "bytes" in odd[0].error
+    (tmp_path / "e.csv").write_text("x,y\n1,2\n")
+    with pytest.raises(ValueError, match="no header with x, y and z"):
+        pointclouds.csv_points(spark, str(tmp_path))
+
+
+def test_rasters_without_the_band_are_logged(spark, tmp_path):
+    for name, bands in (("one", 1), ("two", 2)):
+        (tmp_path / f"{name}.tif").write_bytes(geotiff.write(np.ones((bands, 8, 8), "uint8"), 1.0, 0.0, -1.0, 8.0, 3067))
+    done = jobs.ingest_rasters(files.blob_scan(spark, str(tmp_path), "*.tif"), str(tmp_path / "lake"), nir_band=2)
+    log = {r.source_path.split("/")[-1]: (r.ingest_status, r.error_message) for r in done["log"].collect()}
+    assert log["two.tif"][0] == "ok" and log["one.tif"][0] != "ok" and "band 2 out of range" in log["one.tif"][1]
+    assert done["ndvi"].count() == 1
+
+
+def test_ndvi_of_two_files_stays_packed(spark):
+    red = geotiff.write(np.array([[[1, 2], [3, 4]]], "uint8"), 1.0, 0.0, -1.0, 2.0, 3067)
+    nir = geotiff.write(np.array([[[3, 2], [0, 4]]], "uint8"), 1.0, 0.0, -1.0, 2.0, 3067)
+    blobs = spark.createDataFrame([("r", "r", bytearray(red)), ("n", "n", bytearray(nir))], "raster_id string, path string, content binary")
+    pairs = spark.createDataFrame([("p", "r", "n")], "pair_id string, red_id string, nir_id string")
+    blocks = rasters.raster_blocks(blobs, 2)
+    out = raster.ndvi_pairs(blocks, blocks, pairs).collect()
+    assert [(r.raster_id, [round(v, 5) for v in r.bands[0]]) for r in out] == [("p", [0.5, 0.0, -1.0, 0.0])]
+
+
+def test_null_pixels_count_alike_in_both_ndvi_forms(spark):
+    p = spark.createDataFrame([("a", 0, 0, 1, 1.0), ("a", 0, 0, 2, None), ("a", 0, 1, 1, 1.0), ("a", 0, 1, 2, 3.0)], "raster_id string, row int, col int, band int, value double")
+    assert sorted(raster.ndvi_bands(p, 1, 2).collect()) == sorted(raster.ndvi(p, p, 1, 2).collect())

@@ -346,17 +346,27 @@ _NUMBERS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"
 def _profile(column: str, number: bool) -> str:
     stats = [f"avg({column})", f"stddev_samp({column})"] if number else ["NULL"] * 2
     names = ("mean", "std")
-    text = ("NULL::VARCHAR", "NULL::VARCHAR") if number else (f"min({column})", f"max({column})")
+    ends = (f"{_r(f'min({column})', 4)}", f"{_r(f'max({column})', 4)}") if number else ("NULL::DOUBLE", "NULL::DOUBLE")
+    shown = f"strftime({column}, '%Y-%m-%d')" if column == "l_shipdate" else column
+    text = ("NULL::VARCHAR", "NULL::VARCHAR") if number else (f"min({shown})", f"max({shown})")
     return (
         f"SELECT '{column}' AS column_name, count(*) AS rows, count(*) - count({column}) AS nulls, count(DISTINCT {column}) AS distinct_values, "
         + ", ".join(f"{_r(s, 4)} AS {n}" for s, n in zip(stats, names))
-        + f", {text[0]} AS min_text, {text[1]} AS max_text FROM lineitem"
+        + f", {ends[0]} AS min_number, {ends[1]} AS max_number, {text[0]} AS min_text, {text[1]} AS max_text FROM lineitem"
     )
 
 
 ORACLE["dataset_profile"] = "\nUNION ALL ".join(
-    [_profile(c, True) for c in _NUMBERS] + [_profile(c, False) for c in ("l_returnflag", "l_linestatus")]
+    [_profile(c, True) for c in _NUMBERS] + [_profile(c, False) for c in ("l_returnflag", "l_linestatus", "l_shipdate")]
 )
+_LINE_CELLS = {
+    c: f"CAST(CAST(ROUND({c} * 100) AS BIGINT) AS VARCHAR)" if c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    else "strftime(l_shipdate, '%Y-%m-%d')" if c == "l_shipdate" else f"CAST({c} AS VARCHAR)"
+    for c in sorted((*_NUMBERS, "l_returnflag", "l_linestatus", "l_shipdate"))
+}
+ORACLE["dataset_signature"] = "SELECT count(*) AS rows, CAST(CAST(sum(CAST(CAST('0x' || substr(md5(concat_ws(chr(31), " + ", ".join(
+    f"CASE WHEN {c} IS NULL THEN 'N' ELSE 'V' || {v} END" for c, v in _LINE_CELLS.items()
+) + ")), 1, 15) AS BIGINT) AS HUGEINT)) AS HUGEINT) AS VARCHAR) AS signature FROM lineitem"
 ORACLE["guarded_query_index"] = """
 SELECT 'status' AS name, 'ok' AS status, least(count(DISTINCT o_orderstatus), 30) AS row_count FROM orders
 UNION ALL SELECT 'open_limit', 'ok', least(count(*), 30) FROM lineitem
@@ -407,3 +417,18 @@ SELECT raster_id AS dataset_id, raster_id || '_x' || tc * 8 || '_y' || tr * 8 ||
        CAST(raster_id AS DOUBLE) * 1000 + tc * 8 + pc * 4 AS patch_min_x, CAST(1000 - tr * 8 - pr * 4 - 4 AS DOUBLE) AS patch_min_y,
        CAST(raster_id AS DOUBLE) * 1000 + tc * 8 + pc * 4 + 4 AS patch_max_x, CAST(1000 - tr * 8 - pr * 4 AS DOUBLE) AS patch_max_y,
        {_r('v1 / sqrt(v1 * v1 + v2 * v2 + v3 * v3)', 4)} AS v1, CAST(3 AS BIGINT) AS dim FROM vec"""
+ORACLE["repeated_path_queries"] = _with(PATCHES, PROTO, _ranked("best", "seeds", 2)) + f"""
+SELECT query_id, patch_id AS match_patch_id, {_r('score')} AS score, rank
+FROM best JOIN (SELECT unnest([1, 2, 3]) AS k) ON k <= CAST(substr(query_id, 7) AS INT) % 3 + 1"""
+ORACLE["same_name_rasters_topk"] = _with(PATCHES, PROTO, _ranked("best", "seeds", 6)) + f"""
+SELECT query_id, patch_id AS match_patch_id, {_r('score')} AS score, 2 * rank - 1 + far AS rank, x0 + 100000 * far AS match_min_x
+FROM best JOIN patches USING (patch_id), (SELECT unnest([0, 1]) AS far) WHERE rank <= 3"""
+ORACLE["knn_many_leaves"] = ORACLE["knn"]
+ORACLE["pointcloud_csv_files"] = f"""
+SELECT c_custkey AS point_id, {_r('c_acctbal / 100', 4)} AS x, CAST(c_custkey % 97 AS DOUBLE) AS y, CAST(c_nationkey AS DOUBLE) AS z FROM customer"""
+ORACLE["raster_ingest_log"] = _with(PIX) + """
+SELECT raster_id || '.tif' AS filename, CASE WHEN short THEN 'failed' ELSE 'ok' END AS ingest_status,
+       CASE WHEN short THEN 'unreadable: band 2 out of range for 1 bands' END AS error_message, CAST(CASE WHEN short THEN 0 ELSE 1000 END AS BIGINT) AS index_pixels
+FROM (SELECT DISTINCT raster_id, CAST(raster_id AS BIGINT) % 2 = 0 AS short FROM pix)"""
+ORACLE["ndvi_two_files"] = _with(PIX, IDX) + f"""
+SELECT raster_id, "row", "col", {_r('CAST(value AS FLOAT)', 5)} AS ndvi FROM idx"""

@@ -107,6 +107,26 @@ def unmatched_queries(spark: SparkSession, sf: str) -> DataFrame:
     return missed.select("query_x", "query_y")
 
 
+@query
+def repeated_path_queries(spark: SparkSession, sf: str) -> DataFrame:
+    """Image queries of which some are given two or three times: each is answered as often."""
+    asked = _prototypes(spark, sf).withColumn("_n", F.expr("CAST(substring(query_id, 7) AS INT) % 3 + 1"))
+    again = asked.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n")))).select("query_id", "vector")
+    return _longs(
+        similarity.matches(views.patches(spark, sf), again, 2).select("query_id", "match_patch_id", _r("score").alias("score"), "rank"), "rank"
+    )
+
+
+@query
+def same_name_rasters_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """Two folders with equal file names: every patch id stands twice, and both patches are ranked and told apart."""
+    one = views.patches(spark, sf).withColumn("raster_id", F.lit("s1/scene.tif"))
+    moved = {b: F.col(b) + 100_000 for b in ("patch_min_x", "patch_max_x")}
+    both = one.unionByName(one.withColumns({**moved, "raster_id": F.lit("s2/scene.tif")}))
+    found = similarity.matches(both, _prototypes(spark, sf), 6)
+    return _longs(found.select("query_id", "match_patch_id", _r("score").alias("score"), "rank", "match_min_x"), "rank")
+
+
 @query
 def qa_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Patches of tiles in odd rows lost their vector."""
@@ -360,6 +380,12 @@ def knn(spark: SparkSession, sf: str) -> DataFrame:
     return _longs(_rounded(neighbours.knn(views.points(spark, sf), 8).drop("cloud_id"), ["d2"]), "rank")
 
 
+@query
+def knn_many_leaves(spark: SparkSession, sf: str) -> DataFrame:
+    """The same search cut into many leaves, with probes into neighbouring ones."""
+    return neighbours.knn(views.points(spark, sf), 8, leaf_rows=64).select("point_id", F.col("rank").cast("bigint").alias("rank"), "neighbour_id", _r("d2").alias("d2"))
+
+
 @query
 def knn_eigen(spark: SparkSession, sf: str) -> DataFrame:
     lists = neighbours.neighbour_lists(views.points(spark, sf), 20)
@@ -429,18 +455,23 @@ def crs_by_row(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def dataset_profile(spark: SparkSession, sf: str) -> DataFrame:
-    out = reports.profile(views.table(spark, sf, "lineitem").drop("l_shipdate"), exact=True)
+    lines = views.table(spark, sf, "lineitem")
+    out = reports.profile(lines.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd")), exact=True)
     numeric = F.col("mean").isNotNull()
+    ends = {f"{end}_number": F.when(numeric, _r(F.col(f"{end}_value").cast("double"), 4)) for end in ("min", "max")}
     return out.select(
         "column_name", "rows", "nulls", "distinct_values",
-        *[_r(n, 4).alias(n) for n in ("mean", "std")],
+        *[_r(n, 4).alias(n) for n in ("mean", "std")], *[v.alias(n) for n, v in ends.items()],
         F.when(~numeric, F.col("min_value")).alias("min_text"), F.when(~numeric, F.col("max_value")).alias("max_text"),
     )
 
 
 @query
 def dataset_signature(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.signature(views.table(spark, sf, "lineitem"))
+    """Over all columns; prices as whole cents, whose text is the same in every engine."""
+    lines = views.table(spark, sf, "lineitem")
+    doubles = [f.name for f in lines.schema.fields if f.dataType.simpleString() == "double"]
+    return reports.signature(lines.withColumns({c: F.round(F.col(c) * 100).cast("bigint") for c in doubles} | {"l_shipdate": F.date_format("l_shipdate", "yyyy-MM-dd")}))
 
 
 @query
@@ -601,6 +632,43 @@ def pointcloud_files(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def pointcloud_csv_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Points written as CSV files with two orders of header columns and read back by name."""
+    folder = new_dir(spark, "csv-clouds")
+    points = views.points(spark, sf)
+    for name, even, order in (("even", 0, ("point_id", "x", "y", "z")), ("odd", 1, ("z", "x", "point_id", "y"))):
+        points.where(F.col("point_id") % 2 == even).select(*order).write.option("header", "true").csv(f"{folder}/{name}")
+    read = pointclouds.csv_points(spark, folder)
+    return read.select("point_id", _r("x", 4).alias("x"), _r("y", 4).alias("y"), _r("z", 4).alias("z"))
+
+
+@query
+def raster_ingest_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Every other raster has one band only: it is logged as failed, with the reason, and gives no index."""
+    short = F.col("raster_id").cast("bigint") % 2 == 0
+    mixed = _blocks(spark, sf).withColumn("bands", F.when(short, F.slice("bands", 1, 1)).otherwise(F.col("bands")))
+    folder = new_dir(spark, "mixed")
+    materialize(files.write_blobs(rasters.blocks_to_blobs(mixed, folder)), "written")
+    done = jobs.ingest_rasters(files.blob_scan(spark, folder), new_dir(spark, "ingest"), red_band=1, nir_band=2)
+    index = done["ndvi"].groupBy("raster_id").agg(F.sum(F.size(F.element_at("bands", 1))).alias("pixels"))
+    log = done["log"].join(index, F.col("file_id") == F.col("raster_id"), "left")
+    return log.select(paths.basename("source_path").alias("filename"), "ingest_status", "error_message", F.coalesce("pixels", F.lit(0)).alias("index_pixels"))
+
+
+@query
+def ndvi_two_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Red and near infrared in two files a scene, paired block by block while packed."""
+    sides = {}
+    for name, band in (("red", 1), ("nir", 2)):
+        sides[name] = _blocks(spark, sf).withColumns({"bands": F.slice("bands", band, 1), "raster_id": F.concat(F.lit(name + "_"), "raster_id")})
+    pairs = views.pixel_headers(spark, sf).select(
+        F.col("raster_id").alias("pair_id"), F.concat(F.lit("red_"), "raster_id").alias("red_id"), F.concat(F.lit("nir_"), "raster_id").alias("nir_id")
+    )
+    found = rasters.raster_pixels(raster.ndvi_pairs(sides["red"], sides["nir"], pairs))
+    return _longs(found.select("raster_id", "row", "col", _r("value", 5).alias("ndvi")), "row", "col")
+
+
 @query
 def catalog_table(spark: SparkSession, sf: str) -> DataFrame:
     """Ingest log appended to a catalog-style table in two runs and read back."""

@@ -78,8 +78,15 @@ def profile(df: DataFrame, exact: bool = False, quantiles: tuple[float, ...] = (
 
 
 def signature(df: DataFrame) -> DataFrame:
-    """Row count and an order-free content hash."""
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+    """Row count and an order-free content hash that other engines can repeat.
+
+    A row is the text of its columns by name, nulls as an empty cell after ``N`` and others
+    after ``V``; the first 15 hex digits of its md5 are a number, and the numbers are summed.
+    """
+    cells = [
+        F.when(F.col(f"`{c}`").isNull(), F.lit("N")).otherwise(F.concat(F.lit("V"), F.col(f"`{c}`").cast("string"))) for c in sorted(df.columns)
+    ]
+    row = F.conv(F.substring(F.md5(F.concat_ws("\x1f", *cells).cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
     return df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(row), F.lit(0)).cast("string").alias("signature"))
 
 

@@ -16,17 +16,20 @@ from ..sources import files, pointclouds, rasters, tables
 
 
 def tile_rasters(blobs: DataFrame, out_dir: str, size: int = 256) -> DataFrame:
-    """Cut raster files into full tiles; writes ``tiles`` (with pixels) and ``index`` tables, returns the index."""
+    """Cut raster files into full tiles; writes ``tiles`` (with pixels) and ``index`` tables, returns the index.
+
+    Tables have as many files as tasks, not a folder per raster; a raster's rows lie together.
+    """
     cut = raster.cut_tiles(rasters.raster_blocks(blobs, size), size)
-    stored = tables.write_table(cut, f"{out_dir}/tiles", "dataset_id")
+    stored = tables.write_table(cut, f"{out_dir}/tiles")
     index = stored.select("dataset_id", "raster_id", "tile_id", "min_x", "min_y", "max_x", "max_y", "crs", "tile_path")
-    return tables.write_table(index, f"{out_dir}/index", "dataset_id")
+    return tables.write_table(index, f"{out_dir}/index")
 
 
 def compute_embeddings(spark: SparkSession, tiles_dir: str, out_dir: str, model: Callable, grid: int | None = None) -> DataFrame:
     """Patch table of a tile folder written by ``tile_rasters``, with its quality summary beside it."""
     stored = spark.read.parquet(f"{tiles_dir}/tiles")
-    patches = tables.write_table(embed.embed_tiles(stored, model, grid), f"{out_dir}/patches", "dataset_id")
+    patches = tables.write_table(embed.embed_tiles(stored, model, grid), f"{out_dir}/patches")
     qa = catalog.qa_metrics(spark.read.parquet(f"{tiles_dir}/index"), patches, tiles_dir, out_dir)
     tables.write_json_summary(qa, f"{out_dir}/qa_metrics")
     return patches

@@ -406,13 +406,15 @@ ORACLE["pointcloud_files"] = """
 SELECT 'nation_' || c_nationkey || '_' || c_custkey // 10000 || '.las' AS cloud,
        row_number() OVER (PARTITION BY c_nationkey, c_custkey // 10000 ORDER BY c_custkey) - 1 AS point_id,
        ROUND(c_acctbal / 100, 4) AS x, CAST(c_custkey % 97 AS DOUBLE) AS y, CAST(c_nationkey AS DOUBLE) AS z FROM customer"""
-ORACLE["tile_and_embed"] = _with(
+# Channel means and deviations of indexed tiles (0.430 ...) and of image queries (0.485 ...).
+_VECTORS = (
     PIX,
     """cell AS (SELECT raster_id, "row" // 8 AS tr, "col" // 8 AS tc, ("row" % 8) // 4 AS pr, ("col" % 8) // 4 AS pc, b1,
        min(b1) OVER w AS lo, max(b1) OVER w AS hi FROM pix WHERE "row" < 24 WINDOW w AS (PARTITION BY raster_id, "row" // 8, "col" // 8))""",
     """mean AS (SELECT raster_id, tr, tc, pr, pc, avg(CASE WHEN hi = lo THEN 0 ELSE floor((b1 - lo) / (hi - lo) * 255) END) / 255 AS m FROM cell GROUP BY ALL)""",
     """vec AS (SELECT *, (m - 0.430::DOUBLE) / 0.213::DOUBLE AS v1, (m - 0.411::DOUBLE) / 0.156::DOUBLE AS v2, (m - 0.296::DOUBLE) / 0.143::DOUBLE AS v3 FROM mean)""",
-) + f"""
+)
+ORACLE["tile_and_embed"] = _with(*_VECTORS) + f"""
 SELECT raster_id AS dataset_id, raster_id || '_x' || tc * 8 || '_y' || tr * 8 || '_r' || pr || '_c' || pc AS patch_id,
        CAST(raster_id AS DOUBLE) * 1000 + tc * 8 + pc * 4 AS patch_min_x, CAST(1000 - tr * 8 - pr * 4 - 4 AS DOUBLE) AS patch_min_y,
        CAST(raster_id AS DOUBLE) * 1000 + tc * 8 + pc * 4 + 4 AS patch_max_x, CAST(1000 - tr * 8 - pr * 4 AS DOUBLE) AS patch_max_y,
@@ -432,3 +434,22 @@ SELECT raster_id || '.tif' AS filename, CASE WHEN short THEN 'failed' ELSE 'ok'
 FROM (SELECT DISTINCT raster_id, CAST(raster_id AS BIGINT) % 2 = 0 AS short FROM pix)"""
 ORACLE["ndvi_two_files"] = _with(PIX, IDX) + f"""
 SELECT raster_id, "row", "col", {_r('CAST(value AS FLOAT)', 5)} AS ndvi FROM idx"""
+_LENGTH = "sqrt(v1 * v1 + v2 * v2 + v3 * v3)"
+ORACLE["embedding_jobs"] = _with(*_VECTORS) + f"""
+SELECT raster_id AS dataset_id, raster_id || '_x' || tc * 8 || '_y' || tr * 8 || '_r' || pr || '_c' || pc AS patch_id,
+       CAST(raster_id AS DOUBLE) * 1000 + tc * 8 + pc * 4 AS patch_min_x, CAST(1000 - tr * 8 - pr * 4 - 4 AS DOUBLE) AS patch_min_y,
+       CAST(raster_id AS DOUBLE) * 1000 + tc * 8 + pc * 4 + 4 AS patch_max_x, CAST(1000 - tr * 8 - pr * 4 AS DOUBLE) AS patch_max_y,
+       {_r(f'v1 / {_LENGTH}', 4)} AS v1, {_r(f'v2 / {_LENGTH}', 4)} AS v2, {_r(f'v3 / {_LENGTH}', 4)} AS v3 FROM vec"""
+ORACLE["embedding_qa_json"] = _with(PIX) + """
+SELECT count(DISTINCT raster_id) * 15 AS tile_count, count(DISTINCT raster_id) * 60 AS embedding_count, CAST(0 AS BIGINT) AS missing_embeddings,
+       CAST(3 AS BIGINT) AS embedding_dim FROM pix"""
+ORACLE["image_queries"] = _with(
+    *_VECTORS,
+    """whole AS (SELECT raster_id, avg(CASE WHEN hi = lo THEN 0 ELSE floor((b1 - lo) / (hi - lo) * 255) END) / 255 AS m
+       FROM (SELECT raster_id, b1, min(b1) OVER (PARTITION BY raster_id) AS lo, max(b1) OVER (PARTITION BY raster_id) AS hi FROM pix) GROUP BY 1)""",
+    """q AS (SELECT raster_id, (m - 0.485::DOUBLE) / 0.229::DOUBLE AS q1, (m - 0.456::DOUBLE) / 0.224::DOUBLE AS q2, (m - 0.406::DOUBLE) / 0.225::DOUBLE AS q3 FROM whole)""",
+) + f"""
+SELECT query_path, rank, {_r('score', 4)} AS score FROM (
+  SELECT query_path, score, row_number() OVER (PARTITION BY query_path ORDER BY score DESC) AS rank FROM (
+    SELECT q.raster_id || '.tif' AS query_path, (q1 * v1 + q2 * v2 + q3 * v3) / sqrt(q1 * q1 + q2 * q2 + q3 * q3) / {_LENGTH} AS score FROM q, vec))
+WHERE rank <= 3"""

@@ -597,7 +597,7 @@ def tile_and_embed(spark: SparkSession, sf: str) -> DataFrame:
     out = new_dir(spark, "embed")
     blobs = files.blob_scan(spark, _raster_files(spark, sf)).withColumn("raster_id", paths.dataset_name("path"))
     blocks = rasters.raster_blocks(blobs, 8).withColumn("bands", F.slice("bands", 1, 1))
-    tiles = tables.write_table(raster.cut_tiles(blocks, 8), f"{out}/tiles", "dataset_id")
+    tiles = tables.write_table(raster.cut_tiles(blocks, 8), f"{out}/tiles")
     patches = embed.embed_tiles(tiles, embed.mean_colour_model(2))
     return _rounded(
         patches.select(
@@ -608,6 +608,44 @@ def tile_and_embed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _one_band_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The pixel view's first band as raster files, scanned with bytes."""
+    folder = new_dir(spark, "one-band")
+    materialize(files.write_blobs(rasters.blocks_to_blobs(_blocks(spark, sf).withColumn("bands", F.slice("bands", 1, 1)), folder)), "written")
+    return files.blob_scan(spark, folder).withColumn("raster_id", paths.dataset_name("path"))
+
+
+def _embedded(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
+    """Patch table written by the tiling and embedding jobs, and its folder."""
+    tiles, out = new_dir(spark, "tiles"), new_dir(spark, "patches")
+    jobs.tile_rasters(_one_band_files(spark, sf), tiles, 8)
+    return jobs.compute_embeddings(spark, tiles, out, embed.mean_colour_model(2)), out
+
+
+@query
+def embedding_jobs(spark: SparkSession, sf: str) -> DataFrame:
+    """Tiling and embedding jobs from files to the patch table, all components of every vector."""
+    patches, _ = _embedded(spark, sf)
+    parts = {f"v{k}": F.element_at("embedding", k).cast("double") for k in (1, 2, 3)}
+    return _rounded(patches.select("dataset_id", "patch_id", *PATCH_BOUNDS, *[v.alias(n) for n, v in parts.items()]), [*parts, *PATCH_BOUNDS], 4)
+
+
+@query
+def embedding_qa_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality summary of the embedding job, read back from its JSON file."""
+    _, out = _embedded(spark, sf)
+    return spark.read.json(f"{out}/qa_metrics").select("tile_count", "embedding_count", "missing_embeddings", "embedding_dim")
+
+
+@query
+def image_queries(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole image files as queries: stretched, standardized, embedded, searched; the best three scores of each."""
+    patches, _ = _embedded(spark, sf)
+    images = rasters.raster_blocks(_one_band_files(spark, sf), 64).withColumn("path", paths.basename("path"))
+    found = jobs.find_similar_patches(patches, embed.embed_images(images, embed.mean_colour_model(2)), k=3)
+    return _longs(found.select("query_path", "rank", _r("score", 4).alias("score")), "rank")
+
+
 @query
 def pointcloud_files(spark: SparkSession, sf: str) -> DataFrame:
     """Points written as one LAS file per nation and read back; coordinates keep their 0.0001 steps."""

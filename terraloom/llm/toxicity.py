@@ -25,9 +25,9 @@ GRAMS = (3, 4, 5, 6)
 TOP = 4
 #: n-grams of fewer texts of the sample get no vector: they say nothing about other texts.
 LEAST = 3
-#: The fit sees at most so many labelled rows, and at most so many word occurrences in all.
+#: The fit sees at most so many labelled rows, and their words take at most so many numbers.
 SAMPLE_ROWS = 4000
-SAMPLE_VALUES = 6_000_000
+SAMPLE_VALUES = 12_000_000
 THRESHOLD = 0.5
 _U = np.uint64
 
@@ -69,20 +69,40 @@ def _subwords(part: textops.Slice, starts: np.ndarray, ends: np.ndarray) -> tupl
 
 
 def encode(texts: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
-    """Each text as: its number of words, each word's place in its word list, then that list's subwords with their sizes."""
+    """Each text as numbers: how many words, distinct words and bytes of these; each word's place among the distinct ones; their lengths; their bytes."""
     out = []
     for part in textops.slices(texts):
         starts, ends, number, docs = _distinct_words(part)
-        bucket, begin = _subwords(part, starts, ends)
+        low = textops.LOWER[part.data]
         edge = np.searchsorted(docs, np.arange(part.n + 1))
         for k in range(part.n):
             own, local = np.unique(number[edge[k] : edge[k + 1]], return_inverse=True)
-            sizes = begin[own + 1] - begin[own]
-            flat = np.concatenate([bucket[begin[w] : begin[w + 1]] for w in own]) if len(own) else np.zeros(0)
-            out.append(np.concatenate([[len(local), len(own)], local, sizes, flat]).astype(np.uint32))
+            sizes = ends[own] - starts[own]
+            begin = np.cumsum(sizes) - sizes
+            raw = low[np.repeat(starts[own] - begin, sizes) + np.arange(sizes.sum())] if len(own) else np.zeros(0, np.uint8)
+            padded = np.concatenate([raw, np.zeros(-len(raw) % 4, np.uint8)]).view("<u4")
+            out.append(np.concatenate([[len(local), len(own), len(raw)], local, sizes, padded]).astype(np.uint32))
     return out
 
 
+def _vocabulary(rows: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Every text's words by number, and the subwords of each number with where they begin."""
+    places, sizes, raw = [], [np.zeros(0, np.int64)], [np.zeros(0, np.uint8)]
+    for row in rows:
+        n, w, size = (int(x) for x in row[:3])
+        places.append(row[3 : 3 + n].astype(np.int64))
+        sizes.append(row[3 + n : 3 + n + w].astype(np.int64))
+        raw.append(np.ascontiguousarray(row[3 + n + w :]).view(np.uint8)[:size])
+    counts = [len(s) for s in sizes[1:]]
+    size, data = np.concatenate(sizes), np.concatenate(raw)
+    ends = np.cumsum(size)
+    hashes = textops.run_hashes(textops.prefix_sums(data), ends - size, ends) if len(size) else np.zeros(0, np.uint64)
+    _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
+    bucket, begin = _subwords(textops.Slice(data, np.array([0, len(data)]), 0), (ends - size)[first], ends[first])
+    base = np.cumsum([0, *counts])
+    return [number[base[k] : base[k + 1]][p] for k, p in enumerate(places)], bucket, begin
+
+
 @dataclass
 class ToxicModel:
     """Per bucket the toxic-minus-clean logit that its vector adds, and an offset."""
@@ -119,7 +139,7 @@ def _top(z: np.ndarray, text: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit(y: np.ndarray, rows: list[np.ndarray], epochs: int = 12, rate: float = 0.5, batch: int = 64, seed: int = 11) -> ToxicModel:
+def fit(y: np.ndarray, rows: list[np.ndarray], epochs: int = 6, rate: float = 0.5, batch: int = 64, seed: int = 11) -> ToxicModel:
     """Adagrad on batches of texts. With one class only, every score is that class's smoothed share."""
     if not len(y) or y.min() == y.max():
         share = (float(np.sum(y)) + 1.0) / (len(y) + 2.0)
@@ -129,10 +149,11 @@ def fit(y: np.ndarray, rows: list[np.ndarray], epochs: int = 12, rate: float = 0
     softmax = rng.normal(0, 0.5, (WIDTH, 2)).astype(np.float32)
     offset = np.zeros(2, np.float32)
     gv, gs, go = np.full((BUCKETS, 1), 1e-6, np.float32), np.full_like(softmax, 1e-6), np.full(2, 1e-6, np.float32)
-    usable = [i for i, r in enumerate(rows) if r[0] > 0]
+    texts, bucket, begin = _vocabulary(rows)
+    usable = [i for i, t in enumerate(texts) if len(t)]
     seen = np.zeros(BUCKETS, np.int32)
     for i in usable:
-        seen[np.unique(rows[i][2 + int(rows[i][0]) + int(rows[i][1]) :])] += 1
+        seen[np.unique(_ranges(bucket, begin, np.unique(texts[i]))[0])] += 1
     fixed = seen < LEAST
     vectors[fixed] = 0
     weight = np.where(y == 1, 0.5 * len(y) / max(np.sum(y == 1), 1), 0.5 * len(y) / max(np.sum(y == 0), 1))
@@ -141,19 +162,11 @@ def fit(y: np.ndarray, rows: list[np.ndarray], epochs: int = 12, rate: float = 0
         order = rng.permutation(usable)
         for at in range(0, len(order), batch):
             chosen = order[at : at + batch]
-            place, owners, sizes, flats, words = [], [], [], [], 0
-            for k, i in enumerate(chosen):
-                n, w = int(rows[i][0]), int(rows[i][1])
-                place.append(rows[i][2 : 2 + n].astype(np.int64) + words)
-                owners.append(np.full(n, k))
-                sizes.append(rows[i][2 + n : 2 + n + w])
-                flats.append(rows[i][2 + n + w :])
-                words += w
-            place, docs = np.concatenate(place), np.concatenate(owners)
-            sizes, flat = np.concatenate(sizes).astype(np.int64), np.concatenate(flats).astype(np.int64)
-            begin = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+            docs = np.repeat(np.arange(len(chosen)), [len(texts[i]) for i in chosen])
+            own, place = np.unique(np.concatenate([texts[i] for i in chosen]), return_inverse=True)
+            flat, sizes = _ranges(bucket, begin, own)
             direction = softmax[:, 1] - softmax[:, 0]
-            word = np.add.reduceat((vectors @ direction)[flat], begin) / sizes
+            word = np.add.reduceat((vectors @ direction)[flat], np.cumsum(sizes) - sizes) / sizes
             z = word[place]
             edge = np.flatnonzero(np.append(True, docs[1:] != docs[:-1]))
             share = np.where(_top(z, docs), 1.0 / TOP, 0.0)
@@ -161,7 +174,7 @@ def fit(y: np.ndarray, rows: list[np.ndarray], epochs: int = 12, rate: float = 0
             ids = chosen[docs[edge]]
             error = ((labelled.sigmoid(pooled + offset[1] - offset[0]) - y[ids]) * weight[ids]).astype(np.float32)
             dz = np.repeat(error, np.diff(np.append(edge, len(z)))) * share
-            dword = np.bincount(place, weights=dz, minlength=words).astype(np.float32)
+            dword = np.bincount(place, weights=dz, minlength=len(own)).astype(np.float32)
             dflat = np.repeat(dword / sizes, sizes)
             keep = (np.abs(dflat) > 1e-9) & ~fixed[flat]
             flat_k, dflat = flat[keep], dflat[keep]
@@ -179,6 +192,13 @@ def fit(y: np.ndarray, rows: list[np.ndarray], epochs: int = 12, rate: float = 0
     return ToxicModel((vectors @ (softmax[:, 1] - softmax[:, 0])).astype(np.float32), float(offset[1] - offset[0]))
 
 
+def _ranges(bucket: np.ndarray, begin: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The subwords of the given words one after the other, and how many each has."""
+    sizes = begin[words + 1] - begin[words]
+    ends = np.cumsum(sizes)
+    return bucket[np.repeat(begin[words] - ends + sizes, sizes) + np.arange(sizes.sum())], sizes
+
+
 def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, values: int = SAMPLE_VALUES) -> ToxicModel:
     """Learn ``labels.toxic`` from the texts of at most ``rows`` labelled documents that are not held out."""
     y, encoded = labelled.gather_sample(labelled.training_texts(documents, labels, "toxic", rows), encode, values)

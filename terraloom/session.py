@@ -110,7 +110,7 @@ def lookup(facts: DataFrame, dim: DataFrame, keys: list[str], weight: str, how:
     key in it owns more rows than one task takes. Without heavy keys this is the plain join.
     """
     total, top = dim.agg(F.sum(weight), F.max(weight)).first()
-    bound = max(min((total or 0) // share, HEAVY_ROWS), 1000)
+    bound = max(min((total or 0) // share, HEAVY_ROWS), 10_000)
     if (top or 0) <= bound:
         return facts.join(dim, keys, how)
     heavy = dim.where(F.col(weight) > bound)

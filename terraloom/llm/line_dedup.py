@@ -125,7 +125,8 @@ def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     gone = removed_lines(documents.select("doc_id", "text"), min_words)
     gone = materialize(gone, "gone").select(*[F.col(c).alias("_" + c) for c in (*KEY, "gone")])
     docs = documents.select(*kept)
-    joined = docs.join(gone, [own == F.col("_" + c) for own, c in zip(_key(documents), KEY)], "left")
+    # The list of removals grows with the documents: the same merge join at every size.
+    joined = docs.join(gone.hint("merge"), [own == F.col("_" + c) for own, c in zip(_key(documents), KEY)], "left")
     left = F.filter(_lines("text"), lambda _, k: ~F.array_contains("_gone", k))
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     return joined.select(

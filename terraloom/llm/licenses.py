@@ -45,9 +45,9 @@ TEMPLATES = (
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license "
      "as published by the free software foundation",
      ("gnu general public license", "free software foundation")),
-    ("gpl-short", "this work is licensed under the gnu general public license version 3", ("gnu general public license version 3",)),
+    ("gpl-3.0", "this work is licensed under the gnu general public license version 3", ("gnu general public license version 3",)),
     ("apache-2.0", "licensed under the apache license version 2 0", ("apache license version 2 0",)),
-    ("mit-short", "released under the mit license", ("released under the mit license",)),
+    ("mit-notice", "released under the mit license", ("released under the mit license",)),
     ("cc-by-nc-4.0", "licensed under cc by nc 4 0", ("cc by nc 4 0",)),
     ("cc-by-4.0", "licensed under a creative commons attribution 4 0 international license", ("creative commons attribution 4 0 international",)),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the "

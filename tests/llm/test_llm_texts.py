@@ -85,7 +85,7 @@ def test_license_texts_are_found_in_place_and_edited(spark):
             (5, "Licensed under CC BY-NC 4.0."), (6, "Released under the MIT License."), (7, "permission is granted to any person " * 50)]
     docs = spark.createDataFrame(rows, "doc_id int, text string").selectExpr("*", "'mine' AS score")
     out = {r.doc_id: r for r in licenses.scan_licenses(docs).collect()}
-    assert [out[k].labels for k in range(1, 8)] == [["mit"], ["bsd"], [], [], ["cc-by-nc-4.0"], ["mit", "mit-short"], []]
+    assert [out[k].labels for k in range(1, 8)] == [["mit"], ["bsd"], [], [], ["cc-by-nc-4.0"], ["mit", "mit-notice"], []]
     assert out[1].matches[0]["first"] == 2 and out[1].score > 0.99 and out[4].n_words == 0 and out[3].score == 0
     assert licenses.license_report(docs.limit(0)).count() == 0 and licenses.license_report(odd_documents(spark)).count() == 11
 

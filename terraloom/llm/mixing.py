@@ -10,10 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 WEIGHTS = (5, 2, 1)
 #: A target stops at this many times its source's words.
 MOST_REPEATS = 3
 SEED = "mix"
+#: Up to this size the table of sources is broadcast.
+BROADCAST_BYTES = 16 << 20
 
 
 def words(text: Column | str) -> Column:
@@ -62,14 +66,16 @@ def copies(documents: DataFrame, seed: str = SEED, weights: tuple[int, ...] = WE
     agree; repeated rows get the same copies. A null text has size 0; sources without words
     have target 0 and give no copies. Input columns with the names of the new ones are replaced.
     """
-    kept = documents.drop("size", "source_size", "target", "copies").withColumn("size", words("text"))
+    kept = documents.drop("size", "source_size", "target", "copies").withColumns({"size": words("text"), "_draw": _draw(seed)})
     sizes = kept.groupBy("source").agg(F.sum("size").alias("source_size"))
-    # One row per source: as many as there are sources, never as documents. The engine broadcasts
-    # it only below its own size limit.
-    goal = targets(sizes, weights, most).withColumnRenamed("source", "_source")
+    # One row per source. Measured small, it goes to the documents, which then are not shuffled;
+    # else it is a join like any other.
+    goal = materialize(targets(sizes, weights, most).withColumnRenamed("source", "_source"), "targets")
+    held = goal.agg(F.coalesce(F.sum(F.coalesce(F.length("_source"), F.lit(0)) * 4 + 64), F.lit(0))).first()[0]
+    goal = F.broadcast(goal) if held <= BROADCAST_BYTES else goal
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     out = kept.join(goal, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    return out.withColumn("copies", (F.floor(rate) + (_draw(seed) < rate - F.floor(rate)).cast("bigint")).cast("bigint"))
+    return out.withColumn("copies", (F.floor(rate) + (F.col("_draw") < rate - F.floor(rate)).cast("bigint")).cast("bigint")).drop("_draw")
 
 
 def mix_report(documents: DataFrame) -> DataFrame:

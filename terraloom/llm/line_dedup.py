@@ -42,7 +42,7 @@ def _line_table(documents: DataFrame) -> DataFrame:
     """One row per line: the document's key, position, words, and the name ``a, b`` of the line without outer blanks."""
     docs = documents.select(*_key(documents), F.posexplode(_lines("text")).alias("p", "line"))
     line = F.trim(F.regexp_replace("line", "\r$", ""))
-    return docs.select(*KEY, "p", _words("line").alias("w"), F.xxhash64(line).alias("a"), F.xxhash64(line, F.lit(1)).alias("b"))
+    return docs.select(*KEY, "p", _words("line").alias("w"), F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b"))
 
 
 def _repeated(rows: DataFrame, name: list[str]) -> DataFrame:
@@ -74,7 +74,7 @@ def _doubled(rows: DataFrame, half: int) -> DataFrame:
     ahead = Window.partitionBy(*KEY).orderBy("p").rangeBetween(half, half)
     both = rows.withColumn("_next", F.first(F.struct("a", "b")).over(ahead)).where("_next IS NOT NULL")
     return both.select(
-        *KEY, "p", F.xxhash64("a", "b", "_next.a", "_next.b").alias("a"), F.xxhash64("b", "a", "_next.b", "_next.a", F.lit(1)).alias("b")
+        *KEY, "p", F.xxhash64("a", "b", "_next.a", "_next.b").alias("a"), F.xxhash64(F.lit(1), "b", "a", "_next.b", "_next.a").alias("b")
     )
 
 

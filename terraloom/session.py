@@ -74,15 +74,28 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
+def handed_out(spark: SparkSession) -> list[str]:
+    """Paths below the shared folder that this application was given so far."""
+    return list(_handed_out.get(spark.sparkContext.applicationId, []))
+
+
+def discard(spark: SparkSession, names: list[str]) -> None:
+    """Delete tables below the shared folder once nothing reads them any more."""
+    context = spark.sparkContext
+    own = _handed_out.get(context.applicationId, [])
+    for name in names:
+        if name in own:
+            own.remove(name)
+            path = context._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def sweep(spark: SparkSession) -> None:
     """Delete what this application wrote below the shared folder.
 
     Results that still read from there become unreadable: write them out first.
     """
-    context = spark.sparkContext
-    for name in _handed_out.pop(context.applicationId, []):
-        path = context._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    discard(spark, handed_out(spark))
 
 
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:

@@ -16,6 +16,17 @@ def test_sweep_removes_only_what_was_handed_out(spark, monkeypatch):
     assert not os.path.isdir(local) and os.path.isdir(os.path.dirname(local))
 
 
+def test_discard_takes_only_named_tables_of_this_application(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_handed_out", {})
+    one, two = (session.new_dir(spark, n) for n in ("one", "two"))
+    other = str(tmp_path / "other")
+    for path in (one, two, other):
+        spark.range(3).write.parquet(path)
+    session.discard(spark, [one, other])
+    assert session.handed_out(spark) == [two]
+    assert [os.path.isdir(p.removeprefix("file:")) for p in (one, two, other)] == [False, True, True]
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_lookup_with_heavy_keys_is_the_plain_join(spark, how):
     facts = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("k"), "id")

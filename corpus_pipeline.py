@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terraloom.llm import decontaminate, line_dedup, mixing, ngram_join, quality
 from terraloom.llm.queries import table
-from terraloom.session import materialize, ship
+from terraloom.session import discard, handed_out, new_dir, ship
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
@@ -54,9 +54,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = materialize(docs, name.replace(" ", "-"))
-    return docs
+    """All stages over ``documents``; what a stage wrote on the way goes once its result is stored."""
+    docs, earlier = table(spark, sf_dir, "documents"), []
+    for name, stage in STAGES[:-1]:
+        before = handed_out(spark)
+        path = new_dir(spark, name.replace(" ", "-"))
+        stage(spark, docs, sf_dir).write.parquet(path)
+        discard(spark, [*earlier, *(p for p in handed_out(spark) if p not in before and p != path)])
+        docs, earlier = spark.read.parquet(path), [path]
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -25,6 +25,8 @@ GRAMS = (3, 4, 5, 6)
 TOP = 4
 #: n-grams of fewer texts of the sample get no vector: they say nothing about other texts.
 LEAST = 3
+#: Words whose subwords are made at once.
+PART = 10_000
 #: The fit sees at most so many labelled rows, and their words take at most so many numbers.
 SAMPLE_ROWS = 4000
 SAMPLE_VALUES = 12_000_000
@@ -86,21 +88,30 @@ def encode(texts: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
 
 
 def _vocabulary(rows: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Every text's words by number, and the subwords of each number with where they begin."""
-    places, sizes, raw = [], [np.zeros(0, np.int64)], [np.zeros(0, np.uint8)]
+    """Every text's words by number, and the subwords of each number with where they begin.
+
+    Made text by text and then ``PART`` words at a time, so only the result is ever whole.
+    """
+    places, sizes, raw, hashes = [], [np.zeros(0, np.int64)], [np.zeros(0, np.uint8)], [np.zeros(0, np.uint64)]
     for row in rows:
         n, w, size = (int(x) for x in row[:3])
         places.append(row[3 : 3 + n].astype(np.int64))
         sizes.append(row[3 + n : 3 + n + w].astype(np.int64))
         raw.append(np.ascontiguousarray(row[3 + n + w :]).view(np.uint8)[:size])
-    counts = [len(s) for s in sizes[1:]]
-    size, data = np.concatenate(sizes), np.concatenate(raw)
+        ends = np.cumsum(sizes[-1])
+        hashes.append(textops.run_hashes(textops.prefix_sums(raw[-1]), ends - sizes[-1], ends) if w else np.zeros(0, np.uint64))
+    base = np.cumsum([0, *(len(s) for s in sizes[1:])])
+    size, whole = np.concatenate(sizes), textops.Slice(np.concatenate(raw), np.zeros(2, np.int64), 0)
     ends = np.cumsum(size)
-    hashes = textops.run_hashes(textops.prefix_sums(data), ends - size, ends) if len(size) else np.zeros(0, np.uint64)
-    _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
-    bucket, begin = _subwords(textops.Slice(data, np.array([0, len(data)]), 0), (ends - size)[first], ends[first])
-    base = np.cumsum([0, *counts])
-    return [number[base[k] : base[k + 1]][p] for k, p in enumerate(places)], bucket, begin
+    _, first, number = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    buckets, begins, total = [np.zeros(0, np.int32)], [], 0
+    for k in range(0, len(first), PART):
+        own = first[k : k + PART]
+        bucket, begin = _subwords(whole, ends[own] - size[own], ends[own])
+        buckets.append(bucket.astype(np.int32))
+        begins.append(begin[:-1] + total)
+        total += len(bucket)
+    return [number[base[k] : base[k + 1]][p] for k, p in enumerate(places)], np.concatenate(buckets), np.concatenate([*begins, [total]])
 
 
 @dataclass

@@ -12,7 +12,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
@@ -26,6 +26,8 @@ TARGET_RECALL = 0.9999
 MOST_HASHES = 128
 #: Text bytes that count as one member when groups are dealt into blocks.
 MEMBER_BYTES = 16_384
+#: A row's text is told by its id and two hashes of the text.
+KEY = ["_id", "_t1", "_t2"]
 _U = np.uint64
 _V = np.uint32
 
@@ -86,8 +88,12 @@ def _signatures(values: np.ndarray, starts: np.ndarray, bands: int, rows: int) -
     return out.view(np.int64)
 
 
+def _key() -> list[Column]:
+    return [F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.lit(1), "text").alias("_t1"), F.xxhash64(F.lit(2), "text").alias("_t2")]
+
+
 def _sign(documents: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """Per row ``doc_id, size`` (bytes) and, for texts with words, ``h1, h2`` (name of the n-gram set) and ``bands``."""
+    """Per row its ``KEY``, ``size`` (bytes) and, for texts with words, ``h1, h2`` (name of the n-gram set) and ``bands``."""
 
     def run(batches):
         for batch in batches:
@@ -104,13 +110,13 @@ def _sign(documents: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                 none = np.diff(edges) == 0
                 offsets = np.concatenate(([0], np.cumsum(np.where(none, 0, bands)))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(part.first, part.n), pa.array(np.diff(part.offsets)), pa.array(names[0], mask=none),
+                    [*(batch.column(c).slice(part.first, part.n) for c in KEY), pa.array(np.diff(part.offsets)), pa.array(names[0], mask=none),
                      pa.array(names[1], mask=none), pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.ravel()))],
-                    names=["doc_id", "size", "h1", "h2", "bands"],
+                    names=[*KEY, "size", "h1", "h2", "bands"],
                 )
 
-    rows_in = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows_in.mapInArrow(run, "doc_id long, size long, h1 long, h2 long, bands array<long>")
+    rows_in = documents.select(*_key(), "text")
+    return rows_in.mapInArrow(run, "_id long, _t1 long, _t2 long, size long, h1 long, h2 long, bands array<long>")
 
 
 def _name(values: np.ndarray) -> tuple[np.uint64, np.uint64]:
@@ -150,10 +156,10 @@ def _shared(values: list[np.ndarray]) -> np.ndarray:
 
 
 def _verify(n: int, similarity: float):
-    """Links inside one block, as ``doc_id, links, root``."""
+    """Links inside one block, as ``node, links, root``."""
 
     def work(block: pa.RecordBatch) -> pa.RecordBatch | None:
-        ids, weight = blocks.numbers(block.column("doc_id")), blocks.numbers(block.column("n"))
+        ids, weight = blocks.numbers(block.column("node")), blocks.numbers(block.column("n"))
         side, two = blocks.numbers(block.column("side")), bool(block.column("two")[0].as_py())
         values = []
         for part in textops.slices(block.column("text")):
@@ -161,7 +167,7 @@ def _verify(n: int, similarity: float):
             values += [some[a:b] for a, b in zip(edges[:-1], edges[1:])]
         name = np.array([_name(v) for v in values], np.uint64).reshape(-1, 2).view(np.int64)
         asked = np.stack([blocks.numbers(block.column("h1")), blocks.numbers(block.column("h2"))], 1)
-        # A repeated id brings other texts along, and the same text twice: neither is the row that was asked for.
+        # Only the text that was asked for, and once.
         own = np.unique(np.column_stack([ids, name]), axis=0, return_index=True)[1]
         own = own[(name[own] == asked[own]).all(1)]
         if len(own) < 2:
@@ -180,7 +186,7 @@ def _verify(n: int, similarity: float):
         root = ids[blocks.roots(len(ids), i, j)]  # ids ascend in a block
         own = np.flatnonzero(links)
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids[own]), pa.array(links[own].astype(np.int64)), pa.array(root[own])], names=["doc_id", "links", "root"]
+            [pa.array(ids[own]), pa.array(links[own].astype(np.int64)), pa.array(root[own])], names=["node", "links", "root"]
         )
 
     return work
@@ -194,11 +200,15 @@ def ngram_links(documents: DataFrame, n: int = N, similarity: float = SIMILARITY
     ``n_links`` counts the other documents linked directly, copies included; ``class_id`` is
     the smallest id reachable by links, ``copy_of`` the smallest id with the same n-gram set,
     and ``kept`` marks the document a class keeps. Null texts, texts without words and null
-    ids link with nothing and are kept. Repeated rows are copies of each other. Links are
-    never wrong; one at the very limit is found with probability ``recall``, closer ones
-    almost surely.
+    ids link with nothing and are kept. Repeated rows are copies of each other. Different
+    texts under one id are documents of their own: each has the links and the class of its
+    own text, so one id can stand in several classes and two classes can have the same
+    ``class_id``; if a class holds several texts under its smallest id, the one with the
+    smallest hash is kept. Links are never wrong; one at the very limit is found with
+    probability ``recall``, closer ones almost surely.
     """
-    return _links(_signed(documents, n, similarity, recall), documents, n, similarity)
+    links = _links(_signed(documents, n, similarity, recall), documents, n, similarity)
+    return links.select(F.col("_id").alias("doc_id"), "class_id", "n_links", "copy_of", "kept")
 
 
 def _signed(documents: DataFrame, n: int, similarity: float, recall: float) -> DataFrame:
@@ -206,55 +216,62 @@ def _signed(documents: DataFrame, n: int, similarity: float, recall: float) -> D
 
 
 def _links(signed: DataFrame, documents: DataFrame, n: int, similarity: float) -> DataFrame:
-    known = F.col("h1").isNotNull() & F.col("doc_id").isNotNull()
-    classes = materialize(
-        signed.where(known).groupBy("h1", "h2").agg(
-            F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.max("size").alias("size"), F.first("bands").alias("bands")
-        ),
-        "classes",
+    """The links of every row with its ``KEY``; ``judged`` is false for rows that link with nothing by themselves."""
+    known = F.col("h1").isNotNull() & F.col("_id").isNotNull()
+    rows = signed.where(known)
+    # A class is named by a number of its own: its smallest id may be that of another class, too.
+    classes = rows.groupBy("h1", "h2").agg(
+        F.min(F.struct(*KEY)).alias("rep"), F.count("*").alias("n"), F.max("size").alias("size"), F.first("bands").alias("bands")
     )
-    spots = classes.select("rep", F.explode("bands").alias("band"))
-    busy = materialize(spots.groupBy("band").agg(F.min("rep").alias("lead"), F.count("*").alias("members")).where("members > 1"), "bands")
-    pairs = lookup(spots, busy, ["band"], "members", "inner").where("rep <> lead")
-    groups = connected_components(pairs.select(F.lit("").alias("cloud_id"), F.col("rep").alias("a"), F.col("lead").alias("b")))
-    groups = groups.select(F.col("node").alias("rep"), F.col("label").alias("group"))
-    members = materialize(groups.join(classes.select("rep", "n", "size", "h1", "h2"), "rep"), "members")
+    classes = materialize(classes.select("h1", "h2", "rep.*", "n", "size", "bands", F.monotonically_increasing_id().alias("node")), "classes")
+    spots = classes.select("node", F.explode("bands").alias("band"))
+    busy = materialize(spots.groupBy("band").agg(F.min("node").alias("lead"), F.count("*").alias("members")).where("members > 1"), "bands")
+    pairs = lookup(spots, busy, ["band"], "members", "inner").where("node <> lead")
+    groups = connected_components(pairs.select(F.lit("").alias("cloud_id"), F.col("node").alias("a"), F.col("lead").alias("b")))
+    groups = groups.select("node", F.col("label").alias("group"))
+    members = materialize(groups.join(classes.select("node", *KEY, "n", "size", "h1", "h2"), "node"), "members")
     sizes = members.groupBy("group").agg(
         F.count("*").alias("_rows"), F.greatest(F.count("*"), F.ceil(F.sum("size") / MEMBER_BYTES)).alias("members")
     )
-    placed = lookup(members.drop("size"), materialize(sizes, "sizes"), ["group"], "_rows", "inner").withColumnRenamed("rep", "doc_id")
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(placed, "doc_id")
-    dealt = blocks.deal(texts, "group", "members", "doc_id").select(
-        "block", "doc_id", "n", "side", "two", "h1", "h2", "text"
+    placed = materialize(lookup(members.drop("size"), materialize(sizes, "sizes"), ["group"], "_rows", "inner"), "placed")
+    texts = lookup(documents.select(*_key(), "text"), placed, KEY, "n", "inner")
+    if not rows.groupBy(*KEY).count().where("count > 1").isEmpty():
+        texts = texts.dropDuplicates(["node"])
+    dealt = blocks.deal(texts, "group", "members", "node").select(
+        "block", "node", "n", "side", "two", "h1", "h2", "text"
     )
-    found = blocks.by_block(dealt, "doc_id", _verify(n, similarity), "doc_id long, links long, root long")
+    found = blocks.by_block(dealt, "node", _verify(n, similarity), "node long, links long, root long")
     found = materialize(found, "links")
-    edges = found.where("doc_id <> root").select(F.lit("").alias("cloud_id"), F.col("doc_id").alias("a"), F.col("root").alias("b"))
-    comps = connected_components(edges).select(F.col("node").alias("rep"), F.col("label").alias("_class"))
-    counts = found.groupBy(F.col("doc_id").alias("rep")).agg(F.sum("links").alias("_links"))
-    facts = classes.select("h1", "h2", "rep", "n").join(counts, "rep", "left").join(comps, "rep", "left")
-    linked = lookup(signed.where(known).select("doc_id", "h1", "h2"), materialize(facts, "facts"), ["h1", "h2"], "n", "inner").select(
-        "doc_id", F.coalesce("_class", "rep").alias("class_id"),
-        (F.coalesce("_links", F.lit(0).cast("long")) + F.col("n") - 1).alias("n_links"), F.col("rep").alias("copy_of"),
+    edges = found.where("node <> root").select(F.lit("").alias("cloud_id"), F.col("node").alias("a"), F.col("root").alias("b"))
+    comps = materialize(connected_components(edges).select("node", "label").join(classes.select("node", F.struct(*KEY).alias("rep")), "node"), "comps")
+    leads = materialize(comps.groupBy("label").agg(F.min("rep").alias("lead"), F.count("*").alias("_members")), "leads")
+    comps = lookup(comps.drop("rep"), leads, ["label"], "_members", "inner").select("node", "lead")
+    counts = found.groupBy("node").agg(F.sum("links").alias("_links"))
+    facts = classes.select("h1", "h2", "node", F.struct(*KEY).alias("rep"), "n").join(counts, "node", "left").join(comps, "node", "left").select(
+        "h1", "h2", "n", F.coalesce("lead", "rep").alias("lead"), F.col("rep._id").alias("copy_of"),
+        (F.coalesce("_links", F.lit(0).cast("long")) + F.col("n") - 1).alias("n_links"),
+    )
+    linked = lookup(rows.select(*KEY, "h1", "h2"), materialize(facts, "facts"), ["h1", "h2"], "n", "inner").select(
+        *KEY, F.col("lead._id").alias("class_id"), "n_links", "copy_of", (F.struct(*KEY) == F.col("lead")).alias("kept"), F.lit(True).alias("judged")
     )
     alone = signed.where(~known).select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("copy_of")
+        *KEY, F.col("_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("_id").alias("copy_of"),
+        F.lit(True).alias("kept"), F.lit(False).alias("judged"),
     )
-    return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+    return linked.unionByName(alone)
 
 
 def keep_one(documents: DataFrame, n: int = N, similarity: float = SIMILARITY, recall: float = TARGET_RECALL) -> DataFrame:
-    """One document of each class, the one with the smallest id, with all its columns.
+    """One document of each class, the one ``ngram_links`` marks as kept, with all its columns.
 
-    Of rows that repeat both id and text one is kept. Rows with a null id or without words stay.
+    A row goes by its own text, whatever else its id holds. Of rows that repeat both id and
+    text one is kept. Rows with a null id or without words stay.
     """
-    signed = _signed(documents, n, similarity, recall)
-    gone = _links(signed, documents, n, similarity).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    id_ = documents["doc_id"].cast("long")
-    left = documents.join(gone, id_ == gone["_gone"], "left_anti")
-    again = signed.where("h1 IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id", "h1", "h2").count().where("count > 1")
-    again = materialize(again.select(F.col("doc_id").alias("_again")).distinct(), "again")
-    if again.isEmpty():
-        return left
-    repeated = left.join(again, left["doc_id"].cast("long") == again["_again"], "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(again, left["doc_id"].cast("long") == again["_again"], "left_anti").unionByName(repeated)
+    links = _links(_signed(documents, n, similarity, recall), documents, n, similarity).where("judged")
+    marks = links.groupBy(*KEY).agg(F.first("kept").alias("_kept"), F.count("*").alias("_copies"))
+    marks = materialize(marks.where("NOT _kept OR _copies > 1"), "marks")
+    marked = lookup(documents.select("*", *_key()), marks, KEY, "_copies")
+    left = marked.where("_kept IS NULL")
+    if not marks.where("_kept").isEmpty():
+        left = left.unionByName(marked.where("_kept").dropDuplicates(KEY))
+    return left.drop(*KEY, "_kept", "_copies")

@@ -133,6 +133,23 @@ def test_ngram_links_of_odd_rows(spark):
     assert ngram_join.ngram_links(docs.limit(0)).count() == 0 and ngram_join.keep_one(docs.limit(0)).count() == 0
 
 
+def test_texts_under_one_id_are_documents_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join.blocks.deal, "__defaults__", (3,))
+    rng = random.Random(2)
+    a, b, c = (near_copies(rng, 4, 100, 1) for _ in range(3))
+    alone = near_copies(rng, 3, 40, 0)[0]
+    docs = [(1, a[0]), (2, a[1]), (2, alone), (1, b[0]), (3, b[1]), (4, b[2]), (5, c[0]), (5, c[1]), (5, c[2]), (5, c[2]), (6, c[3]),
+            (7, "One two"), (7, "One, two!"), (8, None), (8, None), (8, "more words")]
+    want = ngram_classes(list(enumerate(t for _, t in docs)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 AS n")
+    got = sorted((r.doc_id, r.class_id, r.n_links) for r in ngram_join.ngram_links(df).collect())
+    assert got == sorted((i, docs[want[k][0]][0], want[k][1]) for k, (i, _) in enumerate(docs))
+    left = [(r.doc_id, r.text) for r in ngram_join.keep_one(df).collect()]
+    assert sorted(i for i, _ in left) == [1, 1, 2, 5, 7, 8, 8, 8]
+    assert {(1, a[0]), (1, b[0]), (2, alone), (8, None), (8, "more words")} <= set(left)
+    assert ngram_join.keep_one(df).columns == df.columns
+
+
 def test_bands_reach_the_recall():
     for similarity in (0.5, 0.8, 0.95):
         bands, rows = ngram_join.bands_for(similarity)

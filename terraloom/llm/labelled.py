@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 import numpy as np
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
+log = logging.getLogger(__name__)
+
 
 def held_out(doc_id: Column | str) -> Column:
     """Rows never learned from: crc32 of the id's text leaves remainder 0 by 5. A null id is learned from."""
@@ -22,20 +25,25 @@ def training_texts(documents: DataFrame, labels: DataFrame, label: str, rows: in
 
     The labels with the smallest seeded hash are taken, so the choice is the same in
     every run and does not depend on order or partitions. Labels other than 0 and 1 and
-    null ids are left out; an id labelled both ways counts once for each.
+    null ids are left out; an id labelled both ways counts once for each. Of several rows
+    under a chosen id one is taken, the one whose text has the smallest hash.
     """
     known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("y"))
     known = known.where(F.col("_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out("_id")).distinct()
     order = F.xxhash64(F.lit(label), F.col("_id").cast("string"), F.col("y"))
     chosen = known.withColumn("order", order).orderBy("order", "_id", "y").limit(rows)
     texts = documents.select(F.col("doc_id").alias("_id"), "text")
-    return texts.join(F.broadcast(chosen), "_id").select("y", "order", F.coalesce("text", F.lit("")).alias("text"))
+    texts = texts.join(F.broadcast(chosen), "_id").select("_id", "y", "order", F.coalesce("text", F.lit("")).alias("text"))
+    one = texts.groupBy("_id", "y", "order").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one"))
+    return one.select("y", "order", F.col("one.text").alias("text"))
 
 
 def gather_sample(texts: DataFrame, encode: Callable[[pa.Array], list[np.ndarray]], values: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Labels and encoded texts of the sample on the driver, in hash order, until ``values`` numbers are held.
+    """Labels and encoded texts of the sample on the driver, in hash order, of at most ``values`` numbers in all.
 
-    Texts are encoded whole, on the executors; both the rows and the numbers gathered are bounded.
+    Texts are encoded whole, on the executors; both the rows and the numbers gathered are
+    bounded. A text that does not fit any more is left out and shorter ones after it are
+    still taken; if none fits, the shortest is taken. The rows used are logged.
     """
 
     def run(batches):
@@ -51,15 +59,22 @@ def gather_sample(texts: DataFrame, encode: Callable[[pa.Array], list[np.ndarray
 
     coded = materialize(texts.mapInArrow(run, "y int, order long, code binary, n long"), "sample")
     sizes = coded.select("order", "n", "y").orderBy("order", "y", "n").collect()
-    total, last = 0, None
-    for row in sizes:
-        total += row.n
-        if total > values and last is not None:
-            break
-        last = row.order
-    if last is None:
+    if not sizes:
         return np.zeros(0, np.int32), []
-    rows = coded.where(F.col("order") <= last).orderBy("order", "y", "n").collect()
+    total, left_out = 0, []
+    for row in sizes:
+        if total + row.n > values:
+            left_out.append(row.order)
+        else:
+            total += row.n
+    if len(left_out) == len(sizes):
+        left_out.remove(min(sizes, key=lambda row: row.n).order)
+    used = coded.where(~F.col("order").isin(left_out)) if left_out else coded
+    rows = used.orderBy("order", "y", "n").collect()
+    log.log(
+        logging.WARNING if left_out else logging.INFO, "fitted on %d of %d labelled rows; %d did not fit into %d values",
+        len(rows), len(sizes), len(left_out), values,
+    )
     return np.array([r.y for r in rows], np.int32), [np.frombuffer(r.code, np.uint32) for r in rows]
 
 

@@ -52,6 +52,21 @@ def test_odd_rows(spark, run, label, threshold):
     assert {r.score for r in run(docs, labels.limit(0)).collect()} == {0.5} and run(docs.limit(0), labels).count() == 0
 
 
+def test_sample_takes_one_row_a_label_and_passes_over_long_texts(spark, caplog):
+    labels = spark.range(40).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    first = labelled.training_texts(spark.range(40).selectExpr("id AS doc_id", "CAST(id AS STRING) AS text"), labels, "quality", 20)
+    first = [r.text for r in first.orderBy("order").collect()]
+    docs = spark.createDataFrame(
+        [(int(i), " ".join(f"w{i}x{k}" for k in range(400 if n == 2 else 3))) for n, i in enumerate(first)]
+        + [(int(first[0]), f"copy {k}") for k in range(50)], "doc_id long, text string",
+    )
+    texts = labelled.training_texts(docs, labels, "quality", 20)
+    whole = labelled.gather_sample(texts, quality.indicators, 10**6)[1]
+    assert len(first) == len(whole) == 20 and len(whole[2]) > 300
+    y, rows = labelled.gather_sample(texts, quality.indicators, len(whole[2]))
+    assert len(y) == 19 and all(np.array_equal(a, b) for a, b in zip(rows, whole[:2] + whole[3:])) and "19 of 20" in caplog.text
+
+
 def test_sample_is_bounded_and_repeatable(spark):
     docs = spark.range(400).selectExpr("id AS doc_id", "concat('word', id, ' more text') AS text")
     labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS quality")

@@ -196,7 +196,7 @@ def vector_links(vectors: DataFrame, similarity: float = SIMILARITY) -> DataFram
     components, null labels and null ids link with nothing: no links, a component of their own,
     kept. Repeated rows are vectors of their own and link with each other. Links found are
     always real; a pair close to the limit is missed where no table has it in one cell or
-    probes it, a share of about 1 in 1000 pairs. An empty table gives no rows.
+    probes it, a share that tests show to be below 1 in 100. An empty table gives no rows.
     """
     coded = materialize(_code(vectors), "coded")
     content = ["label_hash", "h1", "h2"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import permutations
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _SIZE = r"len(regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+'))"
@@ -103,6 +105,33 @@ x AS (SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size
 SELECT doc_id, size, source_size, target, size * CAST(floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) AS taken FROM x
 """
 
+_STEPS = ", ".join(f"'{''.join(p)}'" for p in permutations("ABCDE"))
+
+OP13 = rf"""
+WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+said AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY 1),
+d AS (SELECT part, CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * len(text) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN min(doc_id) OVER (PARTITION BY text) < doc_id THEN 'E' ELSE '' END AS fails,
+        coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+      FROM w LEFT JOIN said USING (doc_id)),
+c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS t FROM d GROUP BY 1, 2),
+o AS (SELECT unnest([{_STEPS}]) AS filter_order),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS earlier FROM o, (SELECT unnest(range(1, 6)) AS step)),
+x AS (SELECT part, filter_order, step, f, fails, n, g, t, contains(fails, f) AS failing,
+        len(list_filter(string_split(fails, ''), lambda k: k <> '' AND contains(earlier, k))) > 0 AS gone FROM c, s),
+r AS (SELECT part, filter_order, step, f, sum(CASE WHEN NOT gone AND NOT failing THEN n ELSE 0 END) AS kept,
+        sum(CASE WHEN NOT gone AND failing THEN n ELSE 0 END) AS removed, sum(CASE WHEN gone AND failing THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN fails = f THEN n ELSE 0 END) AS unique_fails, sum(CASE WHEN NOT gone AND failing THEN g ELSE 0 END) AS good_lost,
+        sum(CASE WHEN NOT gone AND failing THEN t ELSE 0 END) AS toxic_lost FROM x GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM r
+"""
+
 ORACLE = {
     "op4_decontaminate": OP4, "op5_vector_dedup": OP5, "op6_ngram_join": OP6, "op8_line_dedup": OP8, "op9_chat": OP9, "op10_mixing": OP10,
+    "op13_filter_audit": OP13,
 }

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, licenses, line_dedup, mixing, ngram_join, quality, tokens, toxicity, vector_dedup
+from . import (
+    chat, decontaminate, filter_audit, licenses, line_dedup, mixing, ngram_join, quality, tokens, toxicity, vector_dedup,
+)
 from .oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,9 +70,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (op1_quality, op2_tokens, op3_toxicity, op4_decontaminate, op5_vector_dedup, op6_ngram_join, op7_licenses, op8_line_dedup,
-               op9_chat, op10_mixing)
+               op9_chat, op10_mixing, op13_filter_audit)
 }
 __all__ = ["ORACLE", "QUERIES", "table"]

@@ -105,6 +105,48 @@ x AS (SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size
 SELECT doc_id, size, source_size, target, size * CAST(floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) AS taken FROM x
 """
 
+OP11 = rf"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS tab),
+fate AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_concat([4294967295], list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+      lambda ch: CAST(ascii(ch) AS BIGINT))), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS f FROM conversations, crc),
+r AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS copy FROM fate WHERE f <> 0)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, encode(role), encode(text)) AS p, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS ending FROM r),
+q AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) AS seen FROM o),
+g AS (SELECT *, ending = '' AS blank, ending <> '' AND seen > 1 AS dup, seen = 1 AND ending NOT IN ('', '.', '!', '?') AS cut, left(role, 1) AS s,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY p) AS before FROM q),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+hop AS (SELECT * FROM (VALUES (0, 0, ''), (0, 2, 'I'), (0, 3, 'II'), (1, 1, ''), (1, 2, 'I'), (1, 3, 'II'), (2, 2, ''), (2, 3, 'I'), (3, 3, ''), (3, 2, 'I')) AS v(a, b, ins)),
+nxt AS (SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)) AS v(b, sym, c)),
+edit AS (SELECT a, b AS c, ins || 'D' AS e, 2 * length(ins) + 3 AS w, NULL AS need, NULL AS sym FROM hop
+  UNION ALL SELECT a, c, ins || 'K', 2 * length(ins), true, sym FROM hop JOIN nxt USING (b)
+  UNION ALL SELECT a, c, ins || 'R', 2 * length(ins) + 2, false, sym FROM hop JOIN nxt USING (b) WHERE sym <> 's'),
+dp AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS p, 0 AS st, {{'cost': CAST(0 AS BIGINT), 'audit': ''}} AS best FROM ids
+  UNION ALL
+  SELECT dp.conv_id, dp.p + 1, c, min({{'cost': best.cost + w + CASE WHEN need IS NOT NULL AND cut THEN 1 ELSE 0 END, 'audit': best.audit || e}})
+  FROM dp JOIN g ON g.conv_id IS NOT DISTINCT FROM dp.conv_id AND g.p = dp.p + 1
+    JOIN edit ON a = st AND (need IS NULL OR (NOT blank AND NOT dup AND (NOT need OR s = sym)))
+  GROUP BY dp.conv_id, dp.p, c),
+n AS (SELECT ids.conv_id, count(p) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (dup) AS duplicate,
+    count(*) FILTER (cut) AS truncated, count(*) FILTER (before || s NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM ids LEFT JOIN g ON ids.conv_id IS NOT DISTINCT FROM g.conv_id GROUP BY 1),
+fin AS (SELECT n.conv_id, min({{'cost': best.cost + 2 * length(ins), 'audit': best.audit || ins}}) AS best
+  FROM n JOIN dp ON n.conv_id IS NOT DISTINCT FROM dp.conv_id AND dp.p = n.n JOIN hop ON a = st AND b IN (0, 3) GROUP BY 1),
+steps AS (SELECT conv_id, k, substr(best.audit, k, 1) AS e, length(replace(substr(best.audit, 1, k), 'I', '')) AS p
+  FROM (SELECT *, unnest(range(1, length(best.audit) + 1)) AS k FROM fin)),
+outs AS (SELECT steps.conv_id, k, e, row_number() OVER (PARTITION BY steps.conv_id ORDER BY k) AS place, role, text,
+    first_value(e = 'K' AND s = 's') OVER (PARTITION BY steps.conv_id ORDER BY k) AS sys
+  FROM steps LEFT JOIN g ON e <> 'I' AND g.conv_id IS NOT DISTINCT FROM steps.conv_id AND g.p = steps.p WHERE e <> 'D'),
+said AS (SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role || ':' || text ELSE CASE WHEN (place % 2 = 1) <> sys THEN 'user:' ELSE 'assistant:' END
+      || CASE WHEN e = 'I' THEN '' ELSE text END END, chr(10) ORDER BY k) AS body FROM outs GROUP BY 1)
+SELECT n.conv_id, CAST(gaps AS BIGINT) AS gaps, blank, duplicate, truncated, illegal, CAST(best.cost AS BIGINT) AS cost, best.audit AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM n JOIN fin ON n.conv_id IS NOT DISTINCT FROM fin.conv_id LEFT JOIN said ON n.conv_id IS NOT DISTINCT FROM said.conv_id
+"""
+
 _STEPS = ", ".join(f"'{''.join(p)}'" for p in permutations("ABCDE"))
 
 OP13 = rf"""
@@ -133,5 +175,5 @@ FROM r
 
 ORACLE = {
     "op4_decontaminate": OP4, "op5_vector_dedup": OP5, "op6_ngram_join": OP6, "op8_line_dedup": OP8, "op9_chat": OP9, "op10_mixing": OP10,
-    "op13_filter_audit": OP13,
+    "op11_conversation_repair": OP11, "op13_filter_audit": OP13,
 }

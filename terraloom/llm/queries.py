@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chat, conversation_repair, decontaminate, filter_audit, licenses, line_dedup, mixing, ngram_join, quality, tokens, toxicity,
-    vector_dedup,
+    chat, conversation_repair, decontaminate, filter_audit, html_extract, licenses, line_dedup, mixing, ngram_join, quality, tokens,
+    toxicity, vector_dedup,
 )
 from .oracle import ORACLE
 
@@ -75,6 +75,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_report(conversation_repair.damage(table(spark, sf_dir, "conversations")))
 
 
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -82,6 +86,6 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (op1_quality, op2_tokens, op3_toxicity, op4_decontaminate, op5_vector_dedup, op6_ngram_join, op7_licenses, op8_line_dedup,
-               op9_chat, op10_mixing, op11_conversation_repair, op13_filter_audit)
+               op9_chat, op10_mixing, op11_conversation_repair, op12_html_text, op13_filter_audit)
 }
 __all__ = ["ORACLE", "QUERIES", "table"]

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,8 +19,11 @@ from ..session import lookup, materialize
 from .spacetree import SpaceTree
 
 LEAF_ROWS = 4096
-MAX_LEAVES = 131_072
+#: Parts that all clouds together are cut into on the driver; larger parts are cut again inside tasks.
+MOST_PARTS = 32_768
 SAMPLE_PER_LEAF = 16
+#: Rows of one part that a task sends on to leaves.
+ROUTE_ROWS = 500_000
 PROBES_PER_GROUP = 50_000
 BLOCK = 128
 COLUMNS = 8192
@@ -111,42 +115,124 @@ def _xyz(pdf: pd.DataFrame) -> np.ndarray:
     return pdf[["x", "y", "z"]].to_numpy("float64")
 
 
-def _fit_trees(points: DataFrame, leaf_rows: int) -> dict[str, SpaceTree]:
-    """Trees of the clouds larger than a leaf; number of clouds and sample size are both bounded."""
-    sizes = materialize(points.groupBy("cloud_id").count(), "sizes")
-    total = sizes.agg(F.sum("count")).first()[0] or 0
-    leaf_rows = max(leaf_rows, math.ceil(total / MAX_LEAVES))
-    large = {r[0]: r[1] for r in sizes.where(F.col("count") > leaf_rows).collect()}
+def _sampled(points: DataFrame, share: float) -> DataFrame:
+    """A sample by content, so a rerun task samples the same points."""
+    hashed = F.pmod(F.xxhash64("cloud_id", "x", "y", "z", "point_id"), F.lit(2**40))
+    return points.where(hashed < math.ceil(min(1.0, share) * 2**40))
+
+
+def _fit_parts(points: DataFrame, sizes: DataFrame, part_rows: int) -> dict[str, SpaceTree]:
+    """Trees of the clouds larger than a part; there are ``MOST_PARTS`` of these at most, and the sample is bounded with them."""
+    large = {r[0]: r[1] for r in sizes.where(F.col("count") > part_rows).select("cloud_id", "count").collect()}
     if not large:
         return {}
-    wanted = SAMPLE_PER_LEAF * total / leaf_rows
-    part = min(1.0, wanted / total)
-    big = points
-    if len(large) <= 1000:
-        big = points.where(F.col("cloud_id").isin(list(large)))
-    else:
-        big = points.join(F.broadcast(sizes.where(F.col("count") > leaf_rows).select("cloud_id")), "cloud_id")
-    # Sampled by content, so a rerun task samples the same points.
-    hashed = F.pmod(F.xxhash64("cloud_id", "x", "y", "z", "point_id"), F.lit(2**40))
-    picked = hashed < math.ceil(part * 2**40)
-    sample = big.where(picked).select("cloud_id", "x", "y", "z").toPandas()
+    big = points.join(F.broadcast(sizes.where(F.col("count") > part_rows).select("cloud_id")), "cloud_id")
+    sample = _sampled(big, SAMPLE_PER_LEAF / part_rows).select("cloud_id", "x", "y", "z").toPandas()
     return {
-        cloud: SpaceTree.fit(_xyz(rows), math.ceil(large[cloud] / leaf_rows))
+        cloud: SpaceTree.fit(_xyz(rows), math.ceil(large[cloud] / part_rows))
         for cloud, rows in sample.groupby("cloud_id", sort=True)
     }
 
 
-def _with_leaf(points: DataFrame, trees) -> DataFrame:
+_POINT = "cloud_id string, point_id bigint, x double, y double, z double"
+
+
+def _with_part(points: DataFrame, trees) -> DataFrame:
+    """``part``, ``leaf`` (the part's only one so far), ``room`` to its nearest wall, and whether the cloud is ``cut`` at all."""
+
     def assign(batches):
         for pdf in batches:
-            leaf = np.zeros(len(pdf), "int32")
+            part, room, cut = np.zeros(len(pdf), "int32"), np.full(len(pdf), np.inf), np.zeros(len(pdf), bool)
             for cloud, rows in pdf.groupby("cloud_id").indices.items():
                 tree = trees.value.get(cloud)
                 if tree is not None:
-                    leaf[rows] = tree.leaf(_xyz(pdf.iloc[rows]))
-            yield pdf.assign(leaf=leaf)
+                    xyz = _xyz(pdf.iloc[rows])
+                    part[rows], cut[rows] = tree.leaf(xyz), True
+                    room[rows] = tree.room(xyz, part[rows])
+            yield pdf.assign(part=part, leaf=part.astype("int64") << 32, room=room, cut=cut)
+
+    return points.mapInPandas(assign, f"{_POINT}, seeks boolean, part int, leaf bigint, room double, cut boolean")
+
+
+def _fit_leaves(parts: DataFrame, leaf_rows: int) -> DataFrame:
+    """``cloud_id, part, tree, groups`` of every part of more than ``leaf_rows`` points.
+
+    Each tree is fitted in a task, on the part's share of the sample: a part of 100 million
+    points has 400 000 rows there.
+    """
+    counts = materialize(parts.groupBy("cloud_id", "part").count().where(F.col("count") > leaf_rows), "part-sizes")
+    sample = _sampled(parts, SAMPLE_PER_LEAF / leaf_rows).select("cloud_id", "part", "x", "y", "z").join(counts, ["cloud_id", "part"])
+
+    def fit(table: pa.Table) -> pa.Table:
+        xyz = np.stack([table[a].to_numpy() for a in "xyz"], axis=1)
+        tree = SpaceTree.fit(xyz[np.lexsort(xyz.T)], math.ceil(table["count"][0].as_py() / leaf_rows))
+        return table.slice(0, 1).select(["cloud_id", "part", "count"]).append_column("tree", pa.array([pickle.dumps(tree)], pa.binary()))
+
+    fitted = sample.groupBy("cloud_id", "part").applyInArrow(fit, "cloud_id string, part int, count bigint, tree binary")
+    return materialize(fitted.withColumn("groups", F.ceil(F.col("count") / ROUTE_ROWS).cast("int")).drop("count"), "leaf-trees")
+
+
+def _routed(rows: DataFrame, leaves: DataFrame, work: Callable[[pa.Table, SpaceTree], pa.Table], schema: str) -> DataFrame:
+    """``work`` over the rows of every part that has a tree of its own, ``ROUTE_ROWS`` or so at a time."""
+    key = ["cloud_id", "part", "salt"]
+    dealt = rows.join(leaves.select("cloud_id", "part", "groups"), ["cloud_id", "part"])
+    dealt = dealt.withColumn("salt", F.pmod(F.xxhash64("point_id"), F.col("groups")).cast("int")).drop("groups")
+    trees = leaves.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).select(*key, "tree")
+
+    def route(asked: pa.Table, tree: pa.Table) -> pa.Table:
+        return work(asked.drop_columns(["salt"]), pickle.loads(tree["tree"][0].as_py()))
+
+    return dealt.groupBy(*key).cogroup(trees.groupBy(*key)).applyInArrow(route, schema)
+
+
+def _with_leaf(parts: DataFrame, leaves: DataFrame) -> DataFrame:
+    """The points with the leaf of their part's own tree: leaves are named by part and place in it."""
+    columns = parts.columns
+
+    def assign(table: pa.Table, tree: SpaceTree) -> pa.Table:
+        xyz, _ = _columns(table)
+        leaf = tree.leaf(xyz)
+        fresh = {
+            "leaf": table["leaf"].to_numpy() + leaf, "cut": np.ones(len(leaf), bool), "room": np.minimum(table["room"].to_numpy(), tree.room(xyz, leaf)),
+        }
+        return pa.table({c: pa.array(fresh[c]) if c in fresh else table[c] for c in columns})
+
+    split = _routed(parts, leaves, assign, f"{_POINT}, seeks boolean, part int, leaf bigint, room double, cut boolean")
+    return split.unionByName(parts.join(leaves.select("cloud_id", "part"), ["cloud_id", "part"], "left_anti"))
+
+
+_ASK = f"{_POINT}, own bigint, bound double, part int"
+
+
+def _asked_leaves(asks: DataFrame, leaves: DataFrame | None) -> DataFrame:
+    """The leaves, but the own one, that the balls of squared radius ``bound`` enter within the asked parts."""
+    whole = asks.withColumn("leaf", F.shiftleft(F.col("part").cast("bigint"), 32))
+    if leaves is not None:
+
+        def enter(table: pa.Table, tree: SpaceTree) -> pa.Table:
+            who, leaf = tree.reach(_columns(table)[0], np.sqrt(table["bound"].to_numpy()) * (1 + 1e-9))
+            found = table.take(pa.array(who))
+            return found.append_column("leaf", pa.array((found["part"].to_numpy().astype("int64") << 32) + leaf))
+
+        split = _routed(asks, leaves, enter, f"{_ASK}, leaf bigint")
+        whole = split.select(*asks.columns, "leaf").unionByName(whole.join(leaves.select("cloud_id", "part"), ["cloud_id", "part"], "left_anti"))
+    return whole.where("leaf <> own")
+
+
+def _asked_parts(rows: DataFrame, trees) -> DataFrame:
+    """One row per point and part that its ball of ``radius`` enters."""
+
+    def enter(batches):
+        for pdf in batches:
+            for cloud, rows in pdf.groupby("cloud_id").indices.items():
+                own, tree = pdf.iloc[rows], trees.value.get(cloud)
+                who, part = np.arange(len(own)), np.zeros(len(own), "int64")
+                if tree is not None:
+                    who, part = tree.reach(_xyz(own), own["radius"].to_numpy() * (1 + 1e-9))
+                out = own.iloc[who].assign(part=part.astype("int32"))
+                yield out.assign(bound=out["radius"] ** 2)[["cloud_id", "point_id", "x", "y", "z", "own", "bound", "part"]]
 
-    return points.mapInPandas(assign, "cloud_id string, point_id bigint, x double, y double, z double, seeks boolean, leaf int")
+    return rows.select("cloud_id", "point_id", "x", "y", "z", F.col("leaf").alias("own"), "radius").mapInPandas(enter, _ASK)
 
 
 def _crowds(points: DataFrame, k: int) -> DataFrame:
@@ -155,14 +241,16 @@ def _crowds(points: DataFrame, k: int) -> DataFrame:
     return materialize(crowd, "crowds")
 
 
-def neighbour_lists(points: DataFrame, k: int = 20, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+def neighbour_lists(points: DataFrame, k: int = 20, leaf_rows: int = LEAF_ROWS, most_parts: int = MOST_PARTS) -> DataFrame:
     """Every point with ``nbrs``, its k nearest other points by (distance, id).
 
-    Points are cut into leaves of even size by a tree fitted on a bounded sample;
-    each leaf is searched in one task, and only points whose k-th distance reaches
-    into other leaves are sent there. Locations holding many copies are answered
-    from their own k + 1 smallest ids, and lend only these to other points, so
-    copies never meet pairwise. The result is exact.
+    Points are cut into leaves of even size, of ``leaf_rows`` points or twice the list's length: a
+    tree on the driver, fitted on a bounded sample, makes up to ``most_parts`` parts, and parts
+    larger than a leaf are cut by trees of their own inside tasks. Each leaf is searched in one
+    task, and only points whose k-th distance reaches its walls ask other leaves. Points with
+    fewer than k others in their leaf ask the leaves within a growing radius, round by round.
+    Locations holding many copies are answered from their own k + 1 smallest ids, and lend only
+    these to other points, so copies never meet pairwise. The result is exact.
     """
     points = points.select("cloud_id", F.col("point_id").cast("bigint").alias("point_id"),
                            *[coordinate(c).alias(c) for c in ("x", "y", "z")])
@@ -187,39 +275,63 @@ def neighbour_lists(points: DataFrame, k: int = 20, leaf_rows: int = LEAF_ROWS)
         data = alone.select(*points.columns, F.lit(True).alias("seeks")).unionByName(
             kept.select(*points.columns, F.lit(False).alias("seeks"))
         )
-    spark = points.sparkSession
-    trees = spark.sparkContext.broadcast(_fit_trees(points if crowded is None else data.drop("seeks"), leaf_rows))
-    if not trees.value:
-        whole = data.withColumn("leaf", F.lit(0))
-        return _union(_search(whole, k, trees).drop("leaf", "probes"), crowded)
-
-    placed = materialize(_with_leaf(data, trees), "placed")
-    local = materialize(_search(placed, k, trees), "local")
-    done = local.where(F.size("probes") == 0).select("cloud_id", "point_id", "x", "y", "z", "nbrs")
-    border = local.where(F.size("probes") > 0)
-    probes = border.select(
-        "cloud_id", "point_id", "x", "y", "z",
-        F.when(F.size("nbrs") >= k, F.element_at("nbrs", -1)["d2"]).alias("bound"),
-        F.explode("probes").alias("leaf"),
+    searched = data.drop("seeks")
+    extent = F.sqrt(sum((F.pow(F.max(a) - F.min(a), F.lit(2.0)) for a in ("x", "y", "z")), F.lit(0.0)))
+    sizes = materialize(searched.groupBy("cloud_id").agg(F.count("*").alias("count"), extent.alias("extent")), "sizes")
+    leaf_rows = max(leaf_rows, 2 * (k + 1))
+    part_rows = max(leaf_rows, math.ceil((sizes.agg(F.sum("count")).first()[0] or 0) / most_parts))
+    trees = points.sparkSession.sparkContext.broadcast(_fit_parts(searched, sizes, part_rows))
+    two_levels = part_rows > leaf_rows
+    if not trees.value and not two_levels:
+        whole = data.withColumns({"part": F.lit(0), "leaf": F.lit(0).cast("bigint"), "room": F.lit(math.inf), "cut": F.lit(False)})
+        return _union(_search(whole, k, trees, False).select(*points.columns, "nbrs"), crowded)
+
+    placed, leaves = materialize(_with_part(data, trees), "placed"), None
+    if two_levels:
+        leaves = _fit_leaves(placed, leaf_rows)
+        placed = materialize(_with_leaf(placed, leaves), "placed")
+    local = materialize(_search(placed, k, trees, two_levels), "local")
+    short = F.col("cut") & (F.size("nbrs") < k)
+    done = local.where(~short & (F.size("probes") == 0)).select(*points.columns, "nbrs")
+    border = local.where(~short & (F.size("probes") > 0))
+    asks = border.select(
+        *points.columns, F.col("leaf").alias("own"), F.element_at("nbrs", -1)["d2"].alias("bound"), F.explode("probes").alias("part")
     )
-    far = _probe(probes, placed, k)
-    merged = (
-        border.select("cloud_id", "point_id", "nbrs")
-        .unionByName(far)
-        .groupBy("cloud_id", "point_id")
-        .agg(F.slice(F.array_sort(F.flatten(F.collect_list("nbrs"))), 1, k).alias("nbrs"))
-        .join(border.select("cloud_id", "point_id", "x", "y", "z"), ["cloud_id", "point_id"])
-        .select("cloud_id", "point_id", "x", "y", "z", "nbrs")
+    found = done.unionByName(_merged(border, _probe(_asked_leaves(asks, leaves), placed, k), k).select(*points.columns, "nbrs"))
+    for more in _widening(local.where(short).join(sizes, "cloud_id"), placed, trees, leaves, k):
+        found = found.unionByName(more.select(*points.columns, "nbrs"))
+    return _union(found, crowded)
+
+
+def _merged(asking: DataFrame, far: DataFrame, k: int) -> DataFrame:
+    """The askers with the k nearest of their own and the lists found elsewhere."""
+    key = ["cloud_id", "point_id"]
+    lists = asking.select(*key, "nbrs").unionByName(far).groupBy(*key).agg(
+        F.slice(F.array_sort(F.flatten(F.collect_list("nbrs"))), 1, k).alias("nbrs")
     )
-    return _union(done.unionByName(merged), crowded)
+    return asking.drop("nbrs").join(lists, key)
+
+
+def _widening(short: DataFrame, placed: DataFrame, trees, leaves: DataFrame | None, k: int) -> Iterator[DataFrame]:
+    """Answers of points whose leaf holds too few others, by balls that grow until they hold k points or the whole cloud."""
+    guess = F.col("extent") * F.pow(F.lit(k) / F.col("count"), F.lit(1 / 3)) / 2
+    left = materialize(short.withColumns({"radius": guess, "own": F.col("nbrs")}).drop("probes"), "short")
+    while not left.isEmpty():
+        asks = materialize(_asked_leaves(_asked_parts(left, trees), leaves), "asks")
+        tried = materialize(_merged(left, _probe(asks, placed, k), k), "tried")
+        reached = (F.size("nbrs") >= k) & (F.element_at("nbrs", -1)["d2"] <= F.col("radius") * F.col("radius"))
+        settled = F.coalesce(reached, F.lit(False)) | (F.col("radius") >= F.col("extent"))
+        yield tried.where(settled)
+        # Wider balls enter the same leaves again, so each round adds to the own leaf's list alone.
+        left = tried.where(~settled).withColumns({"radius": F.col("radius") * 4, "nbrs": F.col("own")})
 
 
 def _union(found: DataFrame, crowded: DataFrame | None) -> DataFrame:
     return found if crowded is None else found.unionByName(crowded)
 
 
-def _search(placed: DataFrame, k: int, trees) -> DataFrame:
-    """Search inside each leaf; ``probes`` names the other leaves a point must still ask."""
+def _search(placed: DataFrame, k: int, trees, two_levels: bool) -> DataFrame:
+    """Search inside each leaf; ``probes`` names the parts a point with k neighbours must still ask."""
 
     def search(table: pa.Table) -> pa.Table:
         points, ids = _columns(table)
@@ -229,26 +341,26 @@ def _search(placed: DataFrame, k: int, trees) -> DataFrame:
         row, col, dist = row[other], col[other], dist[other]
         place = np.arange(len(row)) - np.searchsorted(row, row)
         row, col, dist, place = (v[place < k] for v in (row, col, dist, place))
-        reach = np.full(len(seek), np.inf)
+        reach = np.full(len(seek), -1.0)
         last = place == k - 1
         reach[row[last]] = np.sqrt(dist[last]) * (1 + 1e-9)
-        who = leaf = np.zeros(0, np.int64)
+        out_of = np.flatnonzero(reach >= table["room"].to_numpy()[seek])
+        who, part = out_of, np.zeros(len(out_of), np.int64)
         tree = trees.value.get(table["cloud_id"][0].as_py())
         if tree is not None:
-            who, leaf = tree.reach(points[seek], reach)
-            away = leaf != table["leaf"][0].as_py()
-            who, leaf = who[away], leaf[away]
+            who, part = tree.reach(points[seek[out_of]], reach[out_of])
+            away = np.ones(len(part), bool) if two_levels else part != table["part"][0].as_py()
+            who, part = out_of[who[away]], part[away]
             order = np.argsort(who, kind="stable")
-            who, leaf = who[order], leaf[order]
+            who, part = who[order], part[order]
         probes = pa.ListArray.from_arrays(
-            pa.array(np.searchsorted(who, np.arange(len(seek) + 1)), pa.int32()), pa.array(leaf, pa.int32())
+            pa.array(np.searchsorted(who, np.arange(len(seek) + 1)), pa.int32()), pa.array(part, pa.int32())
         )
-        out = table.select(["cloud_id", "point_id", "x", "y", "z", "leaf"]).take(pa.array(seek))
+        out = table.select(["cloud_id", "point_id", "x", "y", "z", "leaf", "cut"]).take(pa.array(seek))
         return out.append_column("nbrs", _lists(len(seek), row, col, dist, points, ids)).append_column("probes", probes)
 
     return placed.groupBy("cloud_id", "leaf").applyInArrow(
-        search,
-        f"cloud_id string, point_id bigint, x double, y double, z double, leaf int, nbrs {NEIGHBOURS}, probes array<int>",
+        search, f"{_POINT}, leaf bigint, cut boolean, nbrs {NEIGHBOURS}, probes array<int>"
     )
 
 
@@ -262,11 +374,10 @@ def _probe(probes: DataFrame, placed: DataFrame, k: int) -> DataFrame:
         probes.groupBy("cloud_id", "leaf").agg(F.ceil(F.count("*") / F.lit(PROBES_PER_GROUP)).cast("int").alias("groups")),
         "asked",
     )
-    # ``asked`` has at most one row per leaf, and leaves are bounded by MAX_LEAVES.
-    salted = probes.join(F.broadcast(asked), ["cloud_id", "leaf"]).withColumn(
+    salted = probes.join(asked, ["cloud_id", "leaf"]).withColumn(
         "salt", F.pmod(F.xxhash64("point_id"), F.col("groups")).cast("int")
     )
-    leaves = placed.join(F.broadcast(asked), ["cloud_id", "leaf"]).withColumn(
+    leaves = placed.join(asked, ["cloud_id", "leaf"]).withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))
     )
 
@@ -289,9 +400,9 @@ def _probe(probes: DataFrame, placed: DataFrame, k: int) -> DataFrame:
     )
 
 
-def knn(points: DataFrame, k: int = 20, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+def knn(points: DataFrame, k: int = 20, leaf_rows: int = LEAF_ROWS, most_parts: int = MOST_PARTS) -> DataFrame:
     """One row per point and neighbour: ``cloud_id, point_id, rank, neighbour_id, d2``."""
-    lists = neighbour_lists(points, k, leaf_rows)
+    lists = neighbour_lists(points, k, leaf_rows, most_parts)
     return lists.select("cloud_id", "point_id", F.posexplode("nbrs").alias("at", "n")).select(
         "cloud_id", "point_id", (F.col("at") + 1).alias("rank"), F.col("n.id").alias("neighbour_id"), F.col("n.d2").alias("d2")
     )

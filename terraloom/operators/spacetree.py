@@ -44,6 +44,18 @@ class SpaceTree:
             node = 2 * node + right
         return node - 2**self.depth
 
+    def room(self, points: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+        """How far each point is from the nearest wall of its leaf; smaller balls stay inside."""
+        low = np.full((2 ** (self.depth + 1), points.shape[1]), -np.inf)
+        high = -low
+        for node in range(1, 2**self.depth):
+            axis, cut = self.axes[node, 0], self.cuts[node, 0]
+            for child in (2 * node, 2 * node + 1):
+                low[child], high[child] = low[node], high[node]
+            high[2 * node, axis] = low[2 * node + 1, axis] = cut
+        own = leaf + 2**self.depth
+        return np.minimum(points - low[own], high[own] - points).min(axis=1)
+
     def reach(self, points: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(point, leaf) pairs for every leaf a ball around a point enters."""
         who = np.arange(len(points))

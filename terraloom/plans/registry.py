@@ -382,8 +382,8 @@ def knn(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def knn_many_leaves(spark: SparkSession, sf: str) -> DataFrame:
-    """The same search cut into many leaves, with probes into neighbouring ones."""
-    return neighbours.knn(views.points(spark, sf), 8, leaf_rows=64).select("point_id", F.col("rank").cast("bigint").alias("rank"), "neighbour_id", _r("d2").alias("d2"))
+    """The same search cut on two levels, into few parts and many leaves, with probes into neighbouring ones."""
+    return neighbours.knn(views.points(spark, sf), 8, leaf_rows=64, most_parts=16).select("point_id", F.col("rank").cast("bigint").alias("rank"), "neighbour_id", _r("d2").alias("d2"))
 
 
 @query

@@ -55,6 +55,36 @@ def test_knn_against_brute_force(spark, monkeypatch, name, leaf_rows):
     assert {k[1]: v for k, v in got.items()} == want
 
 
+@pytest.mark.parametrize("name", ["dense", "copies", "outliers"])
+@pytest.mark.parametrize("k", [8, 90])
+def test_knn_on_two_levels(spark, monkeypatch, name, k):
+    """Few parts on the driver, many leaves cut in tasks; lists shorter and longer than a leaf was asked to be."""
+    monkeypatch.setattr(neighbours, "PROBES_PER_GROUP", 50)
+    monkeypatch.setattr(neighbours, "ROUTE_ROWS", 100)
+    xyz = clouds()[name]
+    ids = np.random.default_rng(1).permutation(len(xyz)) * 2 + 1
+    df = frame(spark, xyz, ids).unionByName(frame(spark, xyz[:300] + 5, np.arange(300), "b")).unionByName(frame(spark, xyz[:5], np.arange(5), "c"))
+    got = got_knn(df, k, leaf_rows=32, most_parts=4)
+    assert {i: v for (c, i), v in got.items() if c == "a"} == brute_knn(xyz, ids, k)
+    assert {i: v for (c, i), v in got.items() if c == "b"} == brute_knn(xyz[:300] + 5, np.arange(300), k)
+    assert {i: v for (c, i), v in got.items() if c == "c"} == {i: v[:4] for i, v in brute_knn(xyz[:5], np.arange(5), 4).items()}
+
+
+@pytest.mark.parametrize("most_parts", [2, 1000])
+def test_knn_where_leaves_hold_too_few(spark, monkeypatch, most_parts):
+    """A sample that misjudges the cloud leaves parts with next to nothing: their points ask in widening balls, not everywhere."""
+    rng = np.random.default_rng(6)
+    xyz = np.concatenate([rng.normal(0, 1, (500, 3)), rng.uniform(900, 1000, (6, 3)), [[-4000.0, 0, 0]]])
+    fit = neighbours.SpaceTree.fit.__func__
+    monkeypatch.setattr(neighbours.SpaceTree, "fit", classmethod(lambda cls, sample, leaves: fit(cls, np.concatenate([sample, xyz[-7:], xyz[-7:] * 0.9]), leaves * 8)))
+    asked = []
+    probe = neighbours._probe
+    monkeypatch.setattr(neighbours, "_probe", lambda probes, placed, k: (asked.append(probes.count()), probe(probes, placed, k))[1])
+    got = got_knn(frame(spark, xyz, np.arange(507)), 9, leaf_rows=40, most_parts=most_parts)
+    assert {i: v for (_, i), v in got.items()} == brute_knn(xyz, np.arange(507), 9)
+    assert len(asked) > 1
+
+
 def test_knn_keeps_clouds_apart_and_small_clouds_whole(spark):
     rng = np.random.default_rng(2)
     one, two = rng.normal(size=(300, 3)), rng.normal(size=(4, 3))

@@ -15,6 +15,7 @@ from ..functions import text
 from ..session import materialize
 from ..sources.tables import PATCH_BOUNDS, require_columns
 from . import spatial
+from .prefilter import may_match
 
 # Query vectors held by one task, and scores it computes at once, in bytes.
 QUERY_BYTES = 64 << 20
@@ -163,10 +164,11 @@ def coords_to_vectors(coords: DataFrame, patches: DataFrame, tiles: DataFrame |
     Patch bounds decide where the table has them; otherwise the tile holding the
     point, and that tile's first patch. ``strict`` fails on points left over.
     """
-    patches = non_null_embedding(patches).withColumn("patch_key", patch_key(patches))
+    patches = non_null_embedding(patches).withColumn("patch_key", patch_key(patches)).withColumn("vector", F.col("embedding"))
+    facts = ("patch_id", "vector")
     spots = coords.groupBy("query_x", "query_y").agg(F.count("*").alias("copies"))
     if set(PATCH_BOUNDS) <= set(patches.columns):
-        hit = spatial.first_match(spots, patches, "patch_key", PATCH_BOUNDS)
+        hit = spatial.first_match(spots, patches, "patch_key", PATCH_BOUNDS, carry=facts)
     else:
         if tiles is None:
             raise ValueError("tiles are required to look up coordinates without patch bounds")
@@ -174,11 +176,14 @@ def coords_to_vectors(coords: DataFrame, patches: DataFrame, tiles: DataFrame |
         both = {"raster_id"} <= set(tiles.columns) & set(patches.columns)
         tile_key = patch_key(tiles, "tile_id") if both else F.col("tile_id").cast("string")
         tile = spatial.first_match(spots, tiles.withColumn("tile_key", tile_key), "tile_key", ("min_x", "min_y", "max_x", "max_y"))
+        tile = materialize(tile, "tiles-hit")
         own = patch_key(patches, "tile_id") if both else F.col("tile_id").cast("string")
-        first = patches.groupBy(own.alias("tile_key")).agg(F.min("patch_key").alias("patch_key"))
-        hit = tile.join(first, "tile_key").select("query_x", "query_y", "patch_key")
-    found = hit.join(patches.select("patch_key", "patch_id", F.col("embedding").alias("vector")), "patch_key")
-    vectors = found.join(spots, ["query_x", "query_y"]).select("query_x", "query_y", "copies", "patch_key", "patch_id", "vector")
+        # Only patches of the tiles hit are grouped.
+        inside = may_match(patches.select(own.alias("tile_key"), "patch_key", *facts), tile, ["tile_key"])
+        first = inside.groupBy("tile_key").agg(F.min(F.struct("patch_key", *facts)).alias("patch"))
+        hit = tile.join(first, "tile_key").select("query_x", "query_y", "patch.*")
+    hit = materialize(hit, "patches-hit")
+    vectors = hit.join(spots, ["query_x", "query_y"]).select("query_x", "query_y", "copies", "patch_key", *facts)
     missed = spatial.unmatched(coords, hit, ["query_x", "query_y"])
     if strict:
         lost = missed.first()

@@ -1,8 +1,10 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from terraloom.operators import raster, similarity, spatial
+from terraloom.operators import prefilter, raster, similarity, spatial
 from terraloom.plans import jobs
 from terraloom.sources.tables import PATCH_BOUNDS
 
@@ -105,6 +107,44 @@ def test_boxes_of_mixed_sizes(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_prefilter_loses_no_partner(spark):
+    rows = spark.range(50_000).selectExpr("id", "CAST(id % 977 AS INT) a", "IF(id % 5 = 0, NULL, CAST(id AS STRING)) b")
+    keys = rows.where("id % 1000 = 3").select("a", "b")
+    kept = prefilter.may_match(rows, keys, ["a", "b"])
+    assert kept.columns == rows.columns
+    assert {r.id for r in keys.join(rows, ["a", "b"]).collect()} <= {r.id for r in kept.collect()}
+    assert kept.count() < 100 and prefilter.may_match(rows, keys.where("false"), ["a", "b"]).count() == 0
+
+
+def between(plan, scan, wanted):
+    """Names of the plan's nodes above the scan whose line holds ``scan``, up to the first that is one of ``wanted``."""
+    lines = [line for line in plan.splitlines() if line.strip()]
+    at = next(k for k, line in enumerate(lines) if scan in line)
+    depth, out = len(lines[at]) - len(lines[at].lstrip(" :+-*()0123456789")), []
+    for line in lines[at - 1 :: -1]:
+        inner = len(line) - len(line.lstrip(" :+-"))
+        if inner < depth:
+            depth, name = inner, re.sub(r"^[ :+-]*(\*\(\d+\) )?", "", line).split()[0]
+            out.append(name)
+            if name in wanted:
+                break
+    return out
+
+
+def test_boxes_are_filtered_before_they_are_exchanged(spark, tmp_path):
+    boxes = spark.range(20_000).selectExpr("CAST(id AS STRING) id", "CAST(id % 200 AS DOUBLE) x0", "CAST(id DIV 200 AS DOUBLE) y0", "array(1.0D * id, 2.0D) vector")
+    boxes.selectExpr("*", "x0 + 1 x1", "y0 + 1 y1").write.parquet(f"{tmp_path}/boxes")
+    boxes = spark.read.parquet(f"{tmp_path}/boxes")
+    spots = spark.createDataFrame([(3.5, 4.5), (7.0, 7.0), (-1.0, 2.0)], "query_x double, query_y double")
+    found = spatial.first_match(spots, boxes, "id", ("x0", "y0", "x1", "y1"), carry=("vector",))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    above = between(plan, "FileScan parquet", {"Exchange", "BroadcastHashJoin"})
+    assert above[-1] == "BroadcastHashJoin"
+    assert {(r.query_x, r.id, tuple(r.vector)) for r in found.collect()} == {(3.5, "803", (803.0, 2.0)), (7.0, "1407", (1407.0, 2.0))}
+    seeking, filed = spatial._filed(spots, boxes, "query_x", "query_y", ("x0", "y0", "x1", "y1"))
+    assert filed.count() <= 30
+
+
 def test_repeated_coordinates_are_all_answered(spark, pair):
     coords = spark.range(20_500).selectExpr("CAST(IF(id % 3 = 0, 150, 50) AS DOUBLE) query_x", "CAST(50 AS DOUBLE) query_y")
     got = jobs.find_similar_patches(pair, coords=coords, k=1).groupBy("match_tile_id").count().collect()

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ..functions.geometry import coordinate
 from ..session import lookup, materialize
 from .components import connected_components
+from .prefilter import may_match
 
-# Points of one block joined in one group; fuller blocks are dealt over several.
+# Points of one cell joined in one group; fuller cells are dealt over several.
 GROUP_POINTS = 10_000
 # Cells per axis sharing a key where cells or points look for their neighbours.
 BLOCK = 3
@@ -106,21 +107,42 @@ def _full_pairs(full: DataFrame, grid: _Grid) -> DataFrame:
     )
 
 
-def _close_pairs(thin: DataFrame, others: DataFrame, blocks: DataFrame, grid: _Grid, keep: list[str]) -> DataFrame:
-    """(p, q): points of thin cells with the points of other cells within eps.
+def _near_cells(thin: DataFrame, cells: DataFrame, grid: _Grid) -> DataFrame:
+    """(p, q_cell): points of thin cells with the other cells whose box comes within eps, ``sure`` where it lies within eps wholly.
 
-    Only points of thin cells ask, and those are fewer than ``min_points`` a cell, so
-    a crowded cell meets a bounded number of points; a block's points are dealt over
-    ``groups``, so no key grows with them. Pairs are aggregated by the callers before
-    any further exchange.
+    Cells meet points through coarse blocks, which hold a fixed number of cells at most,
+    and thin cells fewer than ``min_points`` points each.
     """
-    names = ["point_id", "cell", *grid.c, *grid.g, *keep]
-    asking = _near_blocks(_prefixed(thin.select("cloud_id", *names), "p_", names), grid, "p_")
-    asking = asking.join(blocks, ["cloud_id", *grid.k]).withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
-    told = others.withColumn("group", F.pmod(F.xxhash64("point_id"), F.col("groups")).cast("int"))
-    told = _own_block(_prefixed(told.select("cloud_id", "group", *names), "q_", names), grid, "q_")
-    return asking.join(told, ["cloud_id", *grid.k, "group"]).where(
-        grid.touching("p_", "q_") & (F.col("p_cell") != F.col("q_cell")) & (grid.dist2("p_", "q_") <= grid.eps2)
+    mine, theirs = ["point_id", "cell", *grid.c, *grid.g], ["cell", "n", *grid.g, *grid.lo, *grid.hi]
+    asking = _near_blocks(_prefixed(thin.select("cloud_id", *mine), "p_", mine), grid, "p_")
+    asking = asking.withColumns({f"p_{end}": F.col(f"p_{c}") for ends in (grid.lo, grid.hi) for end, c in zip(ends, grid.c)})
+    told = _own_block(_prefixed(cells.select("cloud_id", *theirs), "q_", theirs), grid, "q_")
+    near = asking.join(told, ["cloud_id", *grid.k]).where(
+        grid.touching("p_", "q_") & (F.col("p_cell") != F.col("q_cell")) & (grid.gap2("p_", "q_") <= grid.eps2)
+    )
+    return near.select(
+        "cloud_id", "p_point_id", *["p_" + c for c in grid.c], "q_cell", "q_n", (grid.span2("p_", "q_") <= grid.eps2).alias("sure")
+    )
+
+
+def _close_pairs(asks: DataFrame, points: DataFrame, grid: _Grid) -> DataFrame:
+    """Per p and q_cell the number of points within eps, and the points themselves (``qs``) where the cell is thin.
+
+    A cell's points are dealt over ``groups``, so no key grows with them; points of cells
+    that nobody asks stay where they are.
+    """
+    def groups(n: str) -> Column:
+        return F.ceil(F.col(n) / F.lit(GROUP_POINTS)).cast("int")
+
+    dealt = asks.withColumn("group", F.explode(F.sequence(F.lit(0), groups("q_n") - 1)))
+    told = may_match(points.withColumnRenamed("cell", "q_cell"), asks, ["cloud_id", "q_cell"])
+    told = told.select(
+        "cloud_id", "q_cell", F.pmod(F.xxhash64("point_id"), groups("n")).cast("int").alias("group"), F.col("point_id").alias("q"),
+        *[F.col(c).alias("q_" + c) for c in grid.c],
+    )
+    close = dealt.join(told, ["cloud_id", "q_cell", "group"]).where(grid.dist2("p_", "q_") <= grid.eps2)
+    return close.groupBy("cloud_id", "p_point_id", "q_cell", "q_n").agg(
+        F.count("*").alias("near"), F.collect_list(F.when(F.col("q_n") < grid.min_points, F.col("q"))).alias("qs")
     )
 
 
@@ -194,41 +216,38 @@ def dbscan(points: DataFrame, min_points: int = 10, eps: float = 2.0, dims: tupl
         "cloud_id", F.col("point_id").cast("bigint").alias("point_id"),
         *[coordinate(d).alias(c) for d, c in zip(dims, grid.c)],
     ).withColumns({g: F.floor(F.col(c) / grid.side).cast("bigint") for g, c in zip(grid.g, grid.c)})
-    found = _own_block(
-        pts.groupBy(*key).agg(F.count("*").alias("n"), F.min("point_id").alias("cell"), *grid.bounds()), grid
-    )
-    # A window over one block sees at most BLOCK cells per axis.
-    in_block = Window.partitionBy("cloud_id", *grid.k)
-    groups = F.ceil(F.sum("n").over(in_block) / F.lit(GROUP_POINTS)).cast("int")
-    cells = materialize(found.withColumn("groups", groups), "cells")
-    blocks = cells.select("cloud_id", *grid.k, "groups").distinct()
-    tagged = materialize(lookup(pts, cells.select(*key, "n", "cell", "groups"), key, "n", "inner"), "tagged")
+    cells = materialize(pts.groupBy(*key).agg(F.count("*").alias("n"), F.min("point_id").alias("cell"), *grid.bounds()), "cells")
+    tagged = materialize(lookup(pts, cells.select(*key, "n", "cell"), key, "n", "inner"), "tagged")
     is_full = F.col("n") >= min_points
     seekers = tagged.where(~is_full)
-    near = (
-        _close_pairs(seekers, tagged, blocks, grid, [])
-        .groupBy("cloud_id", F.col("p_point_id").alias("point_id"))
-        .agg(F.count("*").alias("near"))
-    )
+    # Points meet once: what is near a point of a thin cell, by cells, gives its count and later what it touches.
+    asks = materialize(_near_cells(seekers, cells, grid), "asks")
+    whole = asks.where("sure").select("cloud_id", "p_point_id", "q_cell", "q_n", F.col("q_n").alias("near"), F.lit(None).cast("array<bigint>").alias("qs"))
+    near = materialize(_close_pairs(asks.where("NOT sure").drop("sure"), tagged, grid).unionByName(whole), "near")
+    counts = near.groupBy("cloud_id", F.col("p_point_id").alias("point_id")).agg(F.sum("near").alias("near"))
     core = F.coalesce("near", F.lit(0)) + F.col("n") >= min_points
     # A thin cell has fewer than min_points rows, so this window never grows.
     in_cell = Window.partitionBy("cloud_id", "cell")
     thin = materialize(
-        seekers.join(near, ["cloud_id", "point_id"], "left")
+        seekers.join(counts, ["cloud_id", "point_id"], "left")
         .withColumn("core", core)
         .withColumn("name", F.min(F.when(F.col("core"), F.col("point_id"))).over(in_cell))
         .drop("near", "n"),
         "thin",
     )
     # Core cells go by their smallest core id. A core point links cells; any other point needs its own row.
-    cores = tagged.where(is_full).withColumns({"name": F.col("cell"), "core": F.lit(True)}).unionByName(
-        thin.where("core"), allowMissingColumns=True
-    )
+    to_full = near.where(F.col("q_n") >= min_points).select("cloud_id", "p_point_id", F.col("q_cell").alias("b"))
+    named = thin.where("name IS NOT NULL").select("cloud_id", F.col("cell").alias("q_cell"), F.col("name").alias("b")).distinct()
+    beside = near.where(F.col("q_n") < min_points)
+    to_whole = beside.where("qs IS NULL").join(named, ["cloud_id", "q_cell"]).select("cloud_id", "p_point_id", "b")
+    own_core = thin.where("core").select("cloud_id", F.col("point_id").alias("q"), F.col("name").alias("b"))
+    to_point = beside.where("qs IS NOT NULL").select("cloud_id", "p_point_id", F.explode("qs").alias("q"))
+    to_point = to_point.join(own_core, ["cloud_id", "q"]).select("cloud_id", "p_point_id", "b")
+    asker = thin.select("cloud_id", F.col("point_id").alias("p_point_id"), "core", "name")
     touches = materialize(
-        _close_pairs(thin, cores, blocks, grid, ["name", "core"])
+        to_full.unionByName(to_whole).unionByName(to_point).join(asker, ["cloud_id", "p_point_id"])
         .select(
-            "cloud_id", F.when(~F.col("p_core"), F.col("p_point_id")).alias("point_id"),
-            F.when(F.col("p_core"), F.col("p_name")).alias("a"), F.col("q_name").alias("b"),
+            "cloud_id", F.when(~F.col("core"), F.col("p_point_id")).alias("point_id"), F.when(F.col("core"), F.col("name")).alias("a"), "b",
         )
         .distinct(),
         "touches",

@@ -107,26 +107,41 @@ def _full_pairs(full: DataFrame, grid: _Grid) -> DataFrame:
     )
 
 
-def _near_cells(thin: DataFrame, cells: DataFrame, grid: _Grid) -> DataFrame:
-    """(p, q_cell): points of thin cells with the other cells whose box comes within eps, ``sure`` where it lies within eps wholly.
+def _asking(thin: DataFrame, grid: _Grid) -> DataFrame:
+    """Points of thin cells (p), once per coarse block around them."""
+    names = ["point_id", "cell", *grid.c, *grid.g]
+    asking = _near_blocks(_prefixed(thin.select("cloud_id", *names), "p_", names), grid, "p_")
+    # The rows are few for the work that follows: adaptive execution would put them into too few tasks.
+    return asking.repartition(int(thin.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cloud_id", *grid.k)
 
-    Cells meet points through coarse blocks, which hold a fixed number of cells at most,
-    and thin cells fewer than ``min_points`` points each.
+
+def _thin_pairs(thin: DataFrame, grid: _Grid) -> DataFrame:
+    """(p, q): points of different thin cells within eps.
+
+    They meet through coarse blocks. A block has a fixed number of cells at most, and a thin cell fewer than
+    ``min_points`` points.
     """
-    mine, theirs = ["point_id", "cell", *grid.c, *grid.g], ["cell", "n", *grid.g, *grid.lo, *grid.hi]
-    asking = _near_blocks(_prefixed(thin.select("cloud_id", *mine), "p_", mine), grid, "p_")
-    asking = asking.withColumns({f"p_{end}": F.col(f"p_{c}") for ends in (grid.lo, grid.hi) for end, c in zip(ends, grid.c)})
-    told = _own_block(_prefixed(cells.select("cloud_id", *theirs), "q_", theirs), grid, "q_")
-    near = asking.join(told, ["cloud_id", *grid.k]).where(
-        grid.touching("p_", "q_") & (F.col("p_cell") != F.col("q_cell")) & (grid.gap2("p_", "q_") <= grid.eps2)
+    names = ["point_id", "cell", *grid.c, *grid.g]
+    told = _own_block(_prefixed(thin.select("cloud_id", *names), "q_", names), grid, "q_")
+    close = _asking(thin, grid).join(told, ["cloud_id", *grid.k]).where(
+        grid.touching("p_", "q_") & (F.col("p_cell") != F.col("q_cell")) & (grid.dist2("p_", "q_") <= grid.eps2)
     )
+    return close.select("cloud_id", "p_point_id", F.col("q_point_id").alias("q"))
+
+
+def _near_full(thin: DataFrame, full: DataFrame, grid: _Grid) -> DataFrame:
+    """Points of thin cells (p) with the full cells whose box comes within eps; ``near`` is all their points if it lies within eps wholly, else null."""
+    names = ["cell", "n", *grid.g, *grid.lo, *grid.hi]
+    asking = _asking(thin, grid).withColumns({f"p_{end}": F.col(f"p_{c}") for ends in (grid.lo, grid.hi) for end, c in zip(ends, grid.c)})
+    told = _own_block(_prefixed(full.select("cloud_id", *names), "q_", names), grid, "q_")
+    near = asking.join(told, ["cloud_id", *grid.k]).where(grid.touching("p_", "q_") & (grid.gap2("p_", "q_") <= grid.eps2))
     return near.select(
-        "cloud_id", "p_point_id", *["p_" + c for c in grid.c], "q_cell", "q_n", (grid.span2("p_", "q_") <= grid.eps2).alias("sure")
+        "cloud_id", "p_point_id", *["p_" + c for c in grid.c], "q_cell", "q_n", F.when(grid.span2("p_", "q_") <= grid.eps2, F.col("q_n")).alias("near")
     )
 
 
-def _close_pairs(asks: DataFrame, points: DataFrame, grid: _Grid) -> DataFrame:
-    """Per p and q_cell the number of points within eps, and the points themselves (``qs``) where the cell is thin.
+def _close_counts(asks: DataFrame, points: DataFrame, grid: _Grid) -> DataFrame:
+    """Per p and full q_cell the number of points within eps.
 
     A cell's points are dealt over ``groups``, so no key grows with them; points of cells
     that nobody asks stay where they are.
@@ -137,13 +152,10 @@ def _close_pairs(asks: DataFrame, points: DataFrame, grid: _Grid) -> DataFrame:
     dealt = asks.withColumn("group", F.explode(F.sequence(F.lit(0), groups("q_n") - 1)))
     told = may_match(points.withColumnRenamed("cell", "q_cell"), asks, ["cloud_id", "q_cell"])
     told = told.select(
-        "cloud_id", "q_cell", F.pmod(F.xxhash64("point_id"), groups("n")).cast("int").alias("group"), F.col("point_id").alias("q"),
-        *[F.col(c).alias("q_" + c) for c in grid.c],
+        "cloud_id", "q_cell", F.pmod(F.xxhash64("point_id"), groups("n")).cast("int").alias("group"), *[F.col(c).alias("q_" + c) for c in grid.c]
     )
     close = dealt.join(told, ["cloud_id", "q_cell", "group"]).where(grid.dist2("p_", "q_") <= grid.eps2)
-    return close.groupBy("cloud_id", "p_point_id", "q_cell", "q_n").agg(
-        F.count("*").alias("near"), F.collect_list(F.when(F.col("q_n") < grid.min_points, F.col("q"))).alias("qs")
-    )
+    return close.groupBy("cloud_id", "p_point_id", "q_cell").agg(F.count("*").alias("near"))
 
 
 def _resolve_full_pairs(
@@ -220,11 +232,14 @@ def dbscan(points: DataFrame, min_points: int = 10, eps: float = 2.0, dims: tupl
     tagged = materialize(lookup(pts, cells.select(*key, "n", "cell"), key, "n", "inner"), "tagged")
     is_full = F.col("n") >= min_points
     seekers = tagged.where(~is_full)
-    # Points meet once: what is near a point of a thin cell, by cells, gives its count and later what it touches.
-    asks = materialize(_near_cells(seekers, cells, grid), "asks")
-    whole = asks.where("sure").select("cloud_id", "p_point_id", "q_cell", "q_n", F.col("q_n").alias("near"), F.lit(None).cast("array<bigint>").alias("qs"))
-    near = materialize(_close_pairs(asks.where("NOT sure").drop("sure"), tagged, grid).unionByName(whole), "near")
-    counts = near.groupBy("cloud_id", F.col("p_point_id").alias("point_id")).agg(F.sum("near").alias("near"))
+    # Points meet once: what is near a point of a thin cell gives its count and later what it touches.
+    pairs = materialize(_thin_pairs(seekers, grid), "thin-pairs")
+    asks = materialize(_near_full(seekers, cells.where(is_full), grid), "asks")
+    counted = _close_counts(asks.where("near IS NULL").drop("near"), tagged.where(is_full), grid)
+    to_full = asks.where("near IS NOT NULL").select("cloud_id", "p_point_id", "q_cell", "near")
+    to_full = materialize(to_full.unionByName(counted), "near-full")
+    counts = pairs.select("cloud_id", "p_point_id", F.lit(1).cast("bigint").alias("near")).unionByName(to_full.drop("q_cell"))
+    counts = counts.groupBy("cloud_id", F.col("p_point_id").alias("point_id")).agg(F.sum("near").alias("near"))
     core = F.coalesce("near", F.lit(0)) + F.col("n") >= min_points
     # A thin cell has fewer than min_points rows, so this window never grows.
     in_cell = Window.partitionBy("cloud_id", "cell")
@@ -236,28 +251,24 @@ def dbscan(points: DataFrame, min_points: int = 10, eps: float = 2.0, dims: tupl
         "thin",
     )
     # Core cells go by their smallest core id. A core point links cells; any other point needs its own row.
-    to_full = near.where(F.col("q_n") >= min_points).select("cloud_id", "p_point_id", F.col("q_cell").alias("b"))
-    named = thin.where("name IS NOT NULL").select("cloud_id", F.col("cell").alias("q_cell"), F.col("name").alias("b")).distinct()
-    beside = near.where(F.col("q_n") < min_points)
-    to_whole = beside.where("qs IS NULL").join(named, ["cloud_id", "q_cell"]).select("cloud_id", "p_point_id", "b")
     own_core = thin.where("core").select("cloud_id", F.col("point_id").alias("q"), F.col("name").alias("b"))
-    to_point = beside.where("qs IS NOT NULL").select("cloud_id", "p_point_id", F.explode("qs").alias("q"))
-    to_point = to_point.join(own_core, ["cloud_id", "q"]).select("cloud_id", "p_point_id", "b")
+    to_thin = pairs.join(own_core, ["cloud_id", "q"]).select("cloud_id", "p_point_id", "b").distinct()
+    to_full = to_full.select("cloud_id", "p_point_id", F.col("q_cell").alias("b"))
     asker = thin.select("cloud_id", F.col("point_id").alias("p_point_id"), "core", "name")
     touches = materialize(
-        to_full.unionByName(to_whole).unionByName(to_point).join(asker, ["cloud_id", "p_point_id"])
+        to_full.unionByName(to_thin).join(asker, ["cloud_id", "p_point_id"])
         .select(
             "cloud_id", F.when(~F.col("core"), F.col("p_point_id")).alias("point_id"), F.when(F.col("core"), F.col("name")).alias("a"), "b",
         )
         .distinct(),
         "touches",
     )
-    pairs = materialize(_full_pairs(cells.where(is_full), grid), "pairs")
+    full = materialize(_full_pairs(cells.where(is_full), grid), "full-pairs")
     edges = touches.where("a IS NOT NULL").select("cloud_id", "a", "b").unionByName(
-        pairs.where("sure").select("cloud_id", "a", "b")
+        full.where("sure").select("cloud_id", "a", "b")
     )
     comps = connected_components(edges)
-    unsure = pairs.where("NOT sure").drop("sure")
+    unsure = full.where("NOT sure").drop("sure")
     # Pairs already connected some other way need no answer.
     for end in "ab":
         names = comps.select("cloud_id", F.col("node").alias(end), F.col("label").alias(f"l{end}"))

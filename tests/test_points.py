@@ -170,6 +170,17 @@ def test_normals_and_clusters_job(spark):
     assert out.count() == 200 and {"nx", "curvature", "cluster_id"} <= set(out.columns)
 
 
+@pytest.mark.parametrize("task_edges", [3, 40])
+def test_components_settled_by_rounds_and_by_one_task(spark, task_edges):
+    rng = np.random.default_rng(8)
+    links = [(c, int(a), int(b)) for c, n in (("p", 60), ("q", 90), (None, 40)) for a, b in rng.integers(0, 70, (n, 2)) * 3]
+    df = spark.createDataFrame(links, "cloud_id string, a bigint, b bigint").where("cloud_id IS NOT NULL")
+    whole = {(r.cloud_id, r.node): r.label for r in components.connected_components(df).collect()}
+    rounds = {(r.cloud_id, r.node): r.label for r in components.connected_components(df, task_edges).collect()}
+    assert whole == rounds
+    assert all(whole[c, a] == whole[c, b] <= min(a, b) for c, a, b in links if c and a != b)
+
+
 def test_components(spark):
     rng = np.random.default_rng(9)
     chain = [(i, i + 1) for i in range(0, 120)]

@@ -1,9 +1,10 @@
 """Similarity join of texts on word n-gram sets: MinHash bands find candidates, full sets decide.
 
 Texts with the same set of n-grams are one class. A class's MinHash values are cut into
-bands; classes that share a band belong to one candidate group. Inside a group every pair is
-compared on the full sets, block by block, and what leaves a block is, per class, a number
-of links and the root of its links there - never pairs.
+bands; classes that share a band are candidates, and each such pair is compared once on the
+full sets, in a block that holds both: of the group of classes that bands connect, or, where
+that takes fewer rows, of the first band they share. What leaves a block is, per class, a
+number of links and the root of its links there - never pairs.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
+from ..operators.prefilter import may_match
 from ..session import lookup, materialize
 from . import blocks, textops
 
@@ -155,12 +157,41 @@ def _shared(values: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def candidates(bands: np.ndarray, side: np.ndarray | None, band: int | None) -> np.ndarray:
+    """Which pairs (row before column) of a block share a band, as a matrix; with ``band``, those whose first common band it is."""
+    m = len(bands)
+    shared, out = np.zeros((m, m), bool), np.zeros((m, m), bool)
+    for name in bands.T:
+        same = name[:, None] == name[None, :]
+        if band is not None:
+            out |= same & ~shared & (name == band)[:, None]
+        shared |= same
+    out = np.triu(shared if band is None else out, 1)
+    if side is not None:
+        out &= side[:, None] != side[None, :]
+    return out
+
+
+def _near(values: list[np.ndarray], wanted: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """The wanted pairs that are similar enough; few are compared one by one, many all together."""
+    size = np.array([len(v) for v in values], np.float64)
+    least = similarity / (1 + similarity) * (size[:, None] + size[None, :]) - 1e-9
+    i, j = np.nonzero(wanted & (np.minimum(size[:, None], size[None, :]) >= least))
+    if len(i) * 16 < wanted.size:
+        both = np.array([np.intersect1d(values[a], values[b], assume_unique=True).size for a, b in zip(i, j)], np.float64)
+    else:
+        both = _shared(values)[i, j]
+    near = both >= similarity * (size[i] + size[j] - both) - 1e-9
+    return i[near], j[near]
+
+
 def _verify(n: int, similarity: float):
     """Links inside one block, as ``node, links, root``."""
 
     def work(block: pa.RecordBatch) -> pa.RecordBatch | None:
         ids, weight = blocks.numbers(block.column("node")), blocks.numbers(block.column("n"))
         side, two = blocks.numbers(block.column("side")), bool(block.column("two")[0].as_py())
+        bands, band = blocks.numbers(block.column("bands").flatten()).reshape(len(ids), -1), block.column("band")[0].as_py()
         values = []
         for part in textops.slices(block.column("text")):
             some, edges = ngram_sets(part, n)
@@ -173,13 +204,7 @@ def _verify(n: int, similarity: float):
         if len(own) < 2:
             return None
         ids, weight, side, values = ids[own], weight[own], side[own], [values[k] for k in own]
-        shared = _shared(values)
-        size = np.array([len(v) for v in values], np.float64)
-        near = shared >= similarity * (size[:, None] + size[None, :] - shared) - 1e-9
-        near &= ids[:, None] < ids[None, :]
-        if two:
-            near &= side[:, None] != side[None, :]
-        i, j = np.nonzero(near)
+        i, j = _near(values, candidates(bands[own], side if two else None, band), similarity)
         if not len(i):
             return None
         links = np.bincount(i, weights=weight[j], minlength=len(ids)) + np.bincount(j, weights=weight[i], minlength=len(ids))
@@ -192,6 +217,30 @@ def _verify(n: int, similarity: float):
     return work
 
 
+def _placed(classes: DataFrame) -> DataFrame:
+    """Every class that shares a band, with the ``keys`` its text is dealt by, each with its ``members``.
+
+    A group of classes connected by bands is one key; where its bands are so thin that they
+    take fewer rows than the group in chunks does, the bands are the keys.
+    """
+    measure = F.greatest(F.count("*"), F.ceil(F.sum("size") / MEMBER_BYTES)).alias("members")
+    rows = (F.col("_rows") * F.ceil(F.col("members") / blocks.CHUNK)).alias("dealt")
+    spots = classes.select("node", "size", F.explode("bands").alias("band"))
+    busy = spots.groupBy("band").agg(F.min("node").alias("lead"), F.count("*").alias("_rows"), measure)
+    busy = materialize(busy.where("_rows > 1").select("*", rows), "bands")
+    spots = materialize(lookup(spots.drop("size"), busy, ["band"], "_rows", "inner").select("node", "band", "lead", "members"), "spots")
+    pairs = spots.where("node <> lead").select(F.lit("").alias("cloud_id"), F.col("node").alias("a"), F.col("lead").alias("b"))
+    groups = materialize(connected_components(pairs).select("node", F.col("label").alias("group")), "groups")
+    whole = groups.join(classes.select("node", "size"), "node").groupBy("group").agg(F.count("*").alias("_rows"), measure).select("*", rows)
+    thin = busy.select(F.col("lead").alias("node"), F.col("dealt").alias("_dealt")).join(groups, "node").groupBy("group").agg(F.sum("_dealt").alias("_dealt"))
+    modes = whole.join(thin, "group").select("group", "_rows", "members", (F.col("_dealt") < F.col("dealt")).alias("by_band"))
+    grouped = lookup(groups, materialize(modes, "modes"), ["group"], "_rows", "inner")
+    own = spots.groupBy("node").agg(F.collect_list(F.struct(F.col("band").alias("key"), "band", "members")).alias("own"))
+    one = F.struct(F.xxhash64(F.lit("group"), "group").alias("key"), F.lit(None).cast("bigint").alias("band"), "members")
+    keys = F.when(F.col("by_band"), F.col("own")).otherwise(F.array(one)).alias("keys")
+    return materialize(grouped.join(own, "node").select("node", keys).join(classes.drop("size"), "node"), "placed")
+
+
 def ngram_links(documents: DataFrame, n: int = N, similarity: float = SIMILARITY, recall: float = TARGET_RECALL) -> DataFrame:
     """``doc_id, class_id, n_links, copy_of, kept`` of every row of ``documents`` (``doc_id, text``).
 
@@ -224,21 +273,15 @@ def _links(signed: DataFrame, documents: DataFrame, n: int, similarity: float) -
         F.min(F.struct(*KEY)).alias("rep"), F.count("*").alias("n"), F.max("size").alias("size"), F.first("bands").alias("bands")
     )
     classes = materialize(classes.select("h1", "h2", "rep.*", "n", "size", "bands", F.monotonically_increasing_id().alias("node")), "classes")
-    spots = classes.select("node", F.explode("bands").alias("band"))
-    busy = materialize(spots.groupBy("band").agg(F.min("node").alias("lead"), F.count("*").alias("members")).where("members > 1"), "bands")
-    pairs = lookup(spots, busy, ["band"], "members", "inner").where("node <> lead")
-    groups = connected_components(pairs.select(F.lit("").alias("cloud_id"), F.col("node").alias("a"), F.col("lead").alias("b")))
-    groups = groups.select("node", F.col("label").alias("group"))
-    members = materialize(groups.join(classes.select("node", *KEY, "n", "size", "h1", "h2"), "node"), "members")
-    sizes = members.groupBy("group").agg(
-        F.count("*").alias("_rows"), F.greatest(F.count("*"), F.ceil(F.sum("size") / MEMBER_BYTES)).alias("members")
-    )
-    placed = materialize(lookup(members.drop("size"), materialize(sizes, "sizes"), ["group"], "_rows", "inner"), "placed")
-    texts = lookup(documents.select(*_key(), "text"), placed, KEY, "n", "inner")
+    placed = _placed(classes)
+    # Only texts that are asked for are exchanged.
+    asked = may_match(documents.select(*_key(), "text"), placed, KEY)
+    texts = lookup(asked, placed, KEY, "n", "inner")
     if not rows.groupBy(*KEY).count().where("count > 1").isEmpty():
         texts = texts.dropDuplicates(["node"])
-    dealt = blocks.deal(texts, "group", "members", "node").select(
-        "block", "node", "n", "side", "two", "h1", "h2", "text"
+    texts = texts.withColumn("_key", F.explode("keys")).select("node", "n", "h1", "h2", "bands", "text", "_key.*")
+    dealt = blocks.deal(texts, "key", "members", "node").select(
+        "block", "band", "node", "n", "side", "two", "h1", "h2", "bands", "text"
     )
     found = blocks.by_block(dealt, "node", _verify(n, similarity), "node long, links long, root long")
     found = materialize(found, "links")

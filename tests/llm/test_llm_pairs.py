@@ -183,3 +183,33 @@ def test_line_dedup_of_odd_rows(spark):
     assert [r.text for r in rows[20]] == [run, run] and rows[21][0].text == "top" and rows[1][0].text is None and rows[2][0].text == ""
     assert sorted(len(r.gone) for r in rows[None]) == [0, 0, 20] and rows[1][0].n_lines == 0
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
+
+
+def test_only_pairs_that_share_a_band_are_compared():
+    """Texts of one boilerplate, far from near: chains of chance bands must not make all of them meet."""
+    rng = np.random.default_rng(4)
+    common = rng.integers(0, 1 << 62, 90, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(common, 70, replace=False), rng.integers(0, 1 << 62, 130, dtype=np.uint64)])) for _ in range(2000)]
+    starts = np.concatenate(([0], np.cumsum([len(s) for s in sets])[:-1]))
+    bands, rows = ngram_join.bands_for()
+    names = ngram_join._signatures(np.concatenate(sets), starts, bands, rows)
+    pairs = {(i, j) for name in names.T for i, j in zip(*np.nonzero(np.triu(name[:, None] == name[None, :], 1)))}
+    compared = ngram_join.candidates(names, None, None)
+    assert set(zip(*np.nonzero(compared))) == pairs and 0 < len(pairs) < 20_000
+    by_band = sum(ngram_join.candidates(names[own], None, int(value)).astype(int).sum() for name in names.T for value in np.unique(name) for own in [name == value])
+    assert by_band == len(pairs)
+
+
+@pytest.mark.parametrize("chunk", [2, 5])
+def test_thin_bands_are_compared_band_by_band(spark, monkeypatch, chunk):
+    """Chains of texts, each near the next alone: groups are long, bands are thin, and links are those of comparing all."""
+    monkeypatch.setattr(blocks, "CHUNK", chunk)
+    monkeypatch.setattr(blocks.deal, "__defaults__", (chunk,))
+    words = [f"w{k}" for k in range(900)]
+    docs = [(k, " ".join(words[4 * k : 4 * k + 80])) for k in range(150)] + [(500 + k, " ".join(words[:60]) + f" end{k}") for k in range(12)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    signed = ngram_join._signed(df, 5, 0.8, 0.9999).where("h1 IS NOT NULL").selectExpr("h1", "h2", "_id", "_t1", "_t2", "1L n", "size", "bands", "_id node")
+    modes = {tuple(k.band is None for k in r["keys"]) for r in ngram_join._placed(signed).collect()}
+    assert any(not all(m) for m in modes)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.ngram_links(df).collect()}
+    assert got == ngram_classes(docs)

@@ -196,10 +196,15 @@ def _pieces(benchmark: DataFrame) -> DataFrame:
                 names=["item", "whole", "words", "n"],
             )
 
-    named = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where(F.col("item").isNotNull())
+    named = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
     return named.mapInArrow(run, "item string, whole boolean, words string, n long").distinct()
 
 
+def _order(item: str | None) -> tuple[bool, str]:
+    """Items in order of their ids, those without one last."""
+    return item is None, item or ""
+
+
 def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, bool, str]]]:
     """The pieces in blocks of about ``block_bytes``, one block at a time on the driver."""
     pieces = materialize(_pieces(benchmark), "pieces")
@@ -207,15 +212,15 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str,
     n = max(1, -(-total // block_bytes))
     for k in range(n if total else 0):
         rows = pieces.where(F.pmod(F.xxhash64("item", "words"), F.lit(n)) == k).collect()
-        yield sorted((r.item, r.whole, r.words) for r in rows)
+        yield sorted(((r.item, r.whole, r.words) for r in rows), key=lambda piece: (_order(piece[0]), *piece[1:]))
 
 
 def find_contamination(documents: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """All columns of ``documents`` with ``n_words``, ``hit_spans`` and ``hit_items``.
 
     ``hit_spans`` holds the merged runs of hit words as first, last + 1, first, ... counted
-    from 0; ``hit_items`` the distinct ids of the items whose windows occur. A null or empty
-    text has no words and no hits. Items without words or id are never found; an empty
+    from 0; ``hit_items`` the distinct ids of the items whose windows occur, null among them for
+    items without an id. A null or empty text has no words and no hits. Items without words are never found; an empty
     benchmark finds nothing. Each block of the benchmark is one pass over the same rows,
     without a shuffle. Input columns with the names of the new ones are replaced.
     """
@@ -226,7 +231,7 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, block_bytes:
         schema = schema.add(name, T.DataType.fromDDL(kind))
     out, any_block = documents.select(*kept), False
     for block in _blocks(benchmark, block_bytes):
-        names = sorted({item for item, _, _ in block})
+        names = sorted({item for item, _, _ in block}, key=_order)
         number = {item: k for k, item in enumerate(names)}
         numbered = [(number[item], whole, text) for item, whole, text in block]
         shared = documents.sparkSession.sparkContext.broadcast((names, numbered))  # bounded by block_bytes
@@ -250,7 +255,7 @@ def _searcher(shared, kept: list[str], again: bool):
                 items += [[names[x] for x in own] for own in i]
             if again:
                 spans = [_merge(a, b) for a, b in zip(spans, batch.column("hit_spans").to_pylist())]
-                items = [sorted({*a, *b}) for a, b in zip(items, batch.column("hit_items").to_pylist())]
+                items = [sorted({*a, *b}, key=_order) for a, b in zip(items, batch.column("hit_items").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in kept]
                 + [pa.array(np.concatenate(n_words) if n_words else [], pa.int64()), pa.array([x.tolist() if len(x) else [] for x in spans], pa.list_(pa.int32())),

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import lookup, materialize
+from .shield import shielded
 
 #: Words from which a repeated run of lines is deleted.
 MIN_WORDS = 50
@@ -121,16 +122,15 @@ def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     that repeat both id and text count as one document and are treated alike. Input columns
     with the names of the new ones are replaced.
     """
-    kept = [c for c in documents.columns if c not in ("n_lines", "gone")]
     gone = removed_lines(documents.select("doc_id", "text"), min_words)
     gone = materialize(gone, "gone").select(*[F.col(c).alias("_" + c) for c in (*KEY, "gone")])
-    docs = documents.select(*kept)
+    docs, restore = shielded(documents.drop("n_lines", "gone"), ("doc_id", "text"))
     # The list of removals grows with the documents: the same merge join at every size.
     joined = docs.join(gone.hint("merge"), [own == F.col("_" + c) for own, c in zip(_key(documents), KEY)], "left")
     left = F.filter(_lines("text"), lambda _, k: ~F.array_contains("_gone", k))
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     return joined.select(
-        *[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in kept],
+        *restore(text=text),
         F.coalesce(F.size(_lines("text")), F.lit(0)).alias("n_lines"), F.coalesce("_gone", F.array().cast("array<int>")).alias("gone"),
     )
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .shield import shielded
 
 WEIGHTS = (5, 2, 1)
 #: A target stops at this many times its source's words.
@@ -85,7 +86,7 @@ def mix_report(documents: DataFrame) -> DataFrame:
 
 
 def mix(documents: DataFrame, seed: str = SEED) -> DataFrame:
-    """The mixed documents themselves: each row as often as it is taken, with ``copy`` counted from 0."""
-    kept = [c for c in documents.columns if c != "copy"]
-    out = copies(documents.select(*kept), seed).where(F.col("copies") > 0)
-    return out.select(*kept, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)).alias("copy"))
+    """The mixed documents themselves: each row as often as it is taken, with ``copy`` (which replaces a column of that name) counted from 0."""
+    safe, restore = shielded(documents.drop("copy"), ("doc_id", "text", "source"))
+    out = copies(safe, seed).where(F.col("copies") > 0)
+    return out.select(*restore(), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)).alias("copy"))

@@ -20,6 +20,7 @@ from ..operators.components import connected_components
 from ..operators.prefilter import may_match
 from ..session import lookup, materialize
 from . import blocks, textops
+from .shield import shielded
 
 N = 5
 SIMILARITY = 0.8
@@ -313,8 +314,9 @@ def keep_one(documents: DataFrame, n: int = N, similarity: float = SIMILARITY, r
     links = _links(_signed(documents, n, similarity, recall), documents, n, similarity).where("judged")
     marks = links.groupBy(*KEY).agg(F.first("kept").alias("_kept"), F.count("*").alias("_copies"))
     marks = materialize(marks.where("NOT _kept OR _copies > 1"), "marks")
-    marked = lookup(documents.select("*", *_key()), marks, KEY, "_copies")
+    safe, restore = shielded(documents, ("doc_id", "text"))
+    marked = lookup(safe.select("*", *_key()), marks, KEY, "_copies")
     left = marked.where("_kept IS NULL")
     if not marks.where("_kept").isEmpty():
         left = left.unionByName(marked.where("_kept").dropDuplicates(KEY))
-    return left.drop(*KEY, "_kept", "_copies")
+    return left.select(*restore())

@@ -2,12 +2,14 @@
 
 import os
 
+import duckdb
 import pytest
 from llm_plain import contamination, mix_targets, ngram_classes, odd_documents, removed_lines
 from llm_plain import SIZE
 
 import corpus_pipeline
-from terraloom.llm import quality
+from terraloom.llm import decontaminate, quality
+from terraloom.llm.oracle import ORACLE
 from terraloom.session import materialize
 
 SF = "/root/testdata/sf0.001"
@@ -90,3 +92,33 @@ def test_stages_take_odd_rows(spark):
 def test_run_is_the_stages_in_order(spark, steps):
     got = sorted(map(repr, corpus_pipeline.run(spark, SF).collect()))
     assert got == sorted(map(repr, steps[-1].collect()))
+
+
+CLASHING = ["score", "n_lines", "gone", "_id", "_gone", "_none", "_body", "_kept", "_t1", "_t2", "_copies", "size", "target", "_draw", "_source", "source_size",
+            "copies", "bands", "n", "y", "_own", "_row", "_bit", "hit_items", "n_words", "item", "h1", "node", "Gone_x"]
+
+
+def test_stages_leave_clashing_columns_alone(spark):
+    if not os.path.isdir(SF):
+        pytest.skip("shared tables are not here")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    docs = docs.unionByName(docs.limit(3)).selectExpr("*", *[f"doc_id * 10 + {k} AS `{c}`" for k, c in enumerate(CLASHING)])
+    for name, stage in corpus_pipeline.STAGES:
+        out = materialize(stage(spark, docs, SF), "clash")
+        assert out.columns[: len(docs.columns)] == docs.columns
+        found = out.collect()
+        assert found and all(r[c] == r.doc_id * 10 + k for r in found for k, c in enumerate(CLASHING))
+        docs = out.select(*docs.columns)
+
+
+def test_items_without_an_id_hit_words(spark):
+    words = " ".join(f"word{k}" for k in range(20))
+    docs = spark.createDataFrame([(1, f"here {words} there"), (2, "nothing of it")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(None, words), (7, "of it"), (None, words + " more")], "item_id bigint, text string")
+    got = {r.doc_id: r for r in decontaminate.contamination_report(docs, bench).collect()}
+    assert (got[1].n_hit, got[1].n_items, got[1].contaminated) == (20, 1, True) and (got[2].n_hit, got[2].n_items) == (2, 1)
+    con = duckdb.connect()
+    for name, df in (("documents", docs), ("benchmark", bench)):
+        con.register(name, df.toArrow())
+    want = {r[0]: r for r in con.execute(f"SELECT doc_id, n_hit, n_items, items_sha256, contaminated FROM ({ORACLE['op4_decontaminate']})").fetchall()}
+    assert {i: (r.doc_id, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for i, r in got.items()} == want

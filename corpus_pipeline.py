@@ -7,21 +7,25 @@ from pyspark.sql import functions as F
 
 from terraloom.llm import decontaminate, line_dedup, mixing, ngram_join, quality
 from terraloom.llm.queries import table
+from terraloom.llm.shield import shielded
 from terraloom.session import discard, handed_out, new_dir, ship
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     ship(spark)
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score_quality(docs, model).where(F.col("score") >= quality.THRESHOLD).select(*docs.columns)
+    safe, restore = shielded(docs, ("doc_id", "text"))
+    return quality.score_quality(safe, model).where(F.col("score") >= quality.THRESHOLD).select(*restore())
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of repeated line runs; ``n_chars`` follows the text. A document of copies only goes."""
-    out = line_dedup.dedup_lines(docs)
-    left = out.where(F.size("gone") < F.greatest("n_lines", F.lit(1)))
+    safe, restore = shielded(docs, ("doc_id", "text", "n_chars"))
+    left = line_dedup.dedup_lines(safe).where(F.size("gone") < F.greatest("n_lines", F.lit(1)))
+    if "n_chars" not in docs.columns:
+        return left.select(*restore())
     chars = F.when(F.size("gone") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    return left.withColumn("n_chars", chars).select(*docs.columns)
+    return left.select(*restore(n_chars=chars))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

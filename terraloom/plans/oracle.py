@@ -106,6 +106,11 @@ ORACLE["point_in_patch_pairs"] = _with(PATCHES, COORDS) + """
 SELECT query_x, query_y, patch_id FROM spots JOIN patches
   ON x0 <= query_x AND x1 > query_x AND y0 <= query_y AND y1 > query_y"""
 
+_WINDOW = "x0 < 900 AND x1 > 300 AND y0 < 9850 AND y1 > 9500"
+ORACLE["boxes_in_window"] = _with(PATCHES) + f"""
+SELECT patch_id AS box_id, tile_id, x0 AS min_x, y0 AS min_y, x1 AS max_x, y1 AS max_y, CAST(len(v) AS BIGINT) AS dims FROM patches WHERE {_WINDOW}
+UNION ALL SELECT tile_id || '.tif', tile_id, x0, y0, x1, y1, NULL FROM tiles WHERE {_WINDOW}"""
+
 ORACLE["union_query_results"] = _with(
     PATCHES, PROTO, COORDS, IN_PATCH, COORD_SEEDS, _ranked("by_path", "seeds", 3), _ranked("by_coord", "coord_seeds", 3, True)
 ) + f"""

@@ -90,6 +90,21 @@ def point_in_patch_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.select("query_x", "query_y", "patch_id")
 
 
+@query
+def boxes_in_window(spark: SparkSession, sf: str) -> DataFrame:
+    """Patches and tiles of a map window, from tables laid out along a curve, as their own readers give them."""
+    window, bounds = (300.0, 9500.0, 900.0, 9850.0), ("min_x", "min_y", "max_x", "max_y")
+    where = [new_dir(spark, name) for name in ("patches-by-place", "tiles-by-place")]
+    tables.write_by_place(views.patches(spark, sf), where[0], PATCH_BOUNDS, files=8)
+    tables.write_by_place(views.patch_tiles(spark, sf), where[1], bounds, files=2)
+    patches = tables.in_window(tables.read_patches(spark, where[0]), window, PATCH_BOUNDS)
+    tiles = tables.in_window(tables.read_tiles(spark, where[1]), window, bounds)
+    ends = [F.col(own).alias(name) for own, name in zip(PATCH_BOUNDS, bounds)]
+    return patches.select(F.col("patch_id").alias("box_id"), "tile_id", *ends, F.size("embedding").cast("bigint").alias("dims")).unionByName(
+        tiles.select(F.col("tile_path").alias("box_id"), "tile_id", *bounds, F.lit(None).cast("bigint").alias("dims"))
+    )
+
+
 @query
 def union_query_results(spark: SparkSession, sf: str) -> DataFrame:
     found = jobs.find_similar_patches(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import MATCH
@@ -52,6 +52,53 @@ def write_table(df: DataFrame, path: str, by: str | None = None, mode: str = "ov
     return df.sparkSession.read.parquet(path)
 
 
+#: Steps per axis of the curve that ``write_by_place`` follows: 2 to this power.
+CURVE_BITS = 16
+
+
+def _spread(value: Column) -> Column:
+    """The lowest 16 bits of a whole number, each followed by a free bit."""
+    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        value = value.bitwiseOR(F.shiftleft(value, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
+    return value
+
+
+def curve_key(x: Column, y: Column, low: tuple[float, float], high: tuple[float, float]) -> Column:
+    """Place of a point on a Z-shaped curve through the plane between two corners; neighbours on it are mostly neighbours in space.
+
+    Points outside count as on the edge; null and NaN coordinates give null.
+    """
+    steps = []
+    for value, a, b in zip((x, y), low, high):
+        part = (value - F.lit(float(a))) / F.lit(float(b - a)) if b > a else value * 0
+        inside = F.greatest(F.least(part, F.lit(1.0)), F.lit(0.0))
+        steps.append(F.when(~F.isnan(value), F.floor(inside * ((1 << CURVE_BITS) - 1)).cast("bigint")))
+    return _spread(steps[0]).bitwiseOR(F.shiftleft(_spread(steps[1]), 1))
+
+
+def write_by_place(df: DataFrame, path: str, bounds: tuple[str, str, str, str], files: int | None = None, group_bytes: int = 16 << 20,
+                   mode: str = "overwrite") -> DataFrame:
+    """Parquet table whose rows follow a space-filling curve through the centres of their boxes; returns it as read back.
+
+    Each file and row group then covers a small area, so that ``in_window`` skips most of
+    them by their statistics. One shuffle by range, into ``files`` files where given. Rows without bounds come first.
+    """
+    x, y = (F.col(bounds[k]) / 2 + F.col(bounds[k + 2]) / 2 for k in (0, 1))
+    ends = df.agg(*[f(c) for f in (F.min, F.max) for c in (F.nanvl(x, F.lit(None)), F.nanvl(y, F.lit(None)))]).first()
+    low, high = (tuple(0.0 if v is None else v for v in ends[k : k + 2]) for k in (0, 2))
+    placed = df.withColumn("_place", curve_key(x, y, low, high))
+    parts = placed.repartitionByRange(files, "_place") if files else placed.repartitionByRange("_place")
+    parts.sortWithinPartitions("_place").drop("_place").write.mode(mode).option("parquet.block.size", group_bytes).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def in_window(boxes: DataFrame, window: tuple[float, float, float, float], bounds: tuple[str, str, str, str]) -> DataFrame:
+    """Boxes that share area with the window (lower x, lower y, upper x, upper y), as comparisons that reach the scan."""
+    min_x, min_y, max_x, max_y = (F.col(b) for b in bounds)
+    x0, y0, x1, y1 = (float(v) for v in window)
+    return boxes.where((min_x < x1) & (max_x > x0) & (min_y < y1) & (max_y > y0))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(path)
 

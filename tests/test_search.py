@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from terraloom.operators import prefilter, raster, similarity, spatial
 from terraloom.plans import jobs
+from terraloom.sources import tables
 from terraloom.sources.tables import PATCH_BOUNDS
 
 PATCH = (
@@ -145,6 +146,20 @@ def test_boxes_are_filtered_before_they_are_exchanged(spark, tmp_path):
     assert filed.count() <= 30
 
 
+def test_window_scan_of_a_table_by_place_skips_files(spark, tmp_path):
+    """Of 64 files along the curve a small window reads rows of a few; the same rows in order of id would need them all."""
+    boxes = spark.range(65_536).selectExpr("id", "CAST(id * 7919 % 65536 AS INT) at").selectExpr("id", "CAST(at % 256 AS DOUBLE) x0", "CAST(at DIV 256 AS DOUBLE) y0")
+    boxes = boxes.selectExpr("*", "x0 + 1 x1", "y0 + 1 y1").unionByName(spark.createDataFrame([(-1, None, None, None, None), (-2, float("nan"), 1.0, 2.0, 3.0)], "id long, x0 double, y0 double, x1 double, y1 double"))
+    bounds = ("x0", "y0", "x1", "y1")
+    table = tables.write_by_place(boxes, f"{tmp_path}/boxes", bounds, files=64)
+    assert table.count() == 65_538
+    found = tables.in_window(table, (100, 40, 108, 48), bounds)
+    assert "PushedFilters: [IsNotNull(x0)" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.x0, r.y0) for r in found.collect()) == [(float(x), float(y)) for x in range(100, 108) for y in range(40, 48)]
+    hit = table.withColumn("file", F.input_file_name()).groupBy("file").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in bounds])
+    assert hit.where("min_x0 < 108 AND max_x1 > 100 AND min_y0 < 48 AND max_y1 > 40").count() <= 6
+
+
 def test_repeated_coordinates_are_all_answered(spark, pair):
     coords = spark.range(20_500).selectExpr("CAST(IF(id % 3 = 0, 150, 50) AS DOUBLE) query_x", "CAST(50 AS DOUBLE) query_y")
     got = jobs.find_similar_patches(pair, coords=coords, k=1).groupBy("match_tile_id").count().collect()

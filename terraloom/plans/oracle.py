@@ -377,6 +377,14 @@ SELECT 'status' AS name, 'ok' AS status, least(count(DISTINCT o_orderstatus), 30
 UNION ALL SELECT 'open_limit', 'ok', least(count(*), 30) FROM lineitem
 UNION ALL SELECT 'own_limit', 'ok', least(count(*), 45) FROM orders
 UNION ALL SELECT 'refused', 'failed', NULL UNION ALL SELECT 'broken', 'failed', NULL"""
+ORACLE["runs_index"] = """
+WITH c AS (SELECT count(DISTINCT o_custkey) AS n FROM orders)
+SELECT 'first' AS run_id, 'a' AS name, 'ok' AS status, n AS row_count FROM c
+UNION ALL SELECT 'second', 'b', 'ok', n FROM c UNION ALL SELECT 'second', 'broken', 'failed', NULL"""
+ORACLE["query_path_union"] = _with(PIX) + """
+SELECT CAST(0 AS BIGINT) AS source, 'a.tif' AS query_path, CAST(1 AS BIGINT) AS times UNION ALL SELECT 0, 'b.tif', 2
+UNION ALL SELECT 1, 'raw/part_' || p_partkey % 100 || '.tif', count(*) FROM part GROUP BY 2
+UNION ALL SELECT 2, raster_id || '.tif', 1 FROM (SELECT DISTINCT raster_id FROM pix)"""
 RATE = """rate AS (
   SELECT event_type, time_bucket(INTERVAL '5 minutes', ts) AS window_start, time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes' AS window_end,
          count(*) AS events FROM events GROUP BY 1, 2, 3)"""

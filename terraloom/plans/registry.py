@@ -504,6 +504,28 @@ def guarded_query_index(spark: SparkSession, sf: str) -> DataFrame:
     return index.select("name", "status", "row_count")
 
 
+@query
+def runs_index(spark: SparkSession, sf: str) -> DataFrame:
+    """The index over two runs, the first of which is given again with another query: it is replaced, the other stays."""
+    views.table(spark, sf, "orders").createOrReplaceTempView("orders")
+    by_status = "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus"
+    by_customer = "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey LIMIT 1000000000"
+    out, where = new_dir(spark, "reports"), new_dir(spark, "index")
+    for run, batch in (("first", {"a": by_status, "gone": by_status}), ("second", {"b": by_customer, "broken": "SELECT"}), ("first", {"a": by_customer})):
+        index = reports.append_run(reports.run_queries(spark, batch, new_dir(spark, "run") if run == "first" else out, run_id=run), where)
+    return index.select("run_id", "name", "status", "row_count")
+
+
+@query
+def query_path_union(spark: SparkSession, sf: str) -> DataFrame:
+    """Query paths given inline, in a list file with a line for every part, and by a folder of raster files; repeats kept."""
+    where = new_dir(spark, "paths")
+    views.table(spark, sf, "part").selectExpr("concat('  raw/part_', p_partkey % 100, '.tif ')").write.text(where)
+    found = queries.query_paths(spark, "b.tif, a.tif,, b.tif", where, _raster_files(spark, sf))
+    name = F.when(F.col("source") == 2, paths.basename("query_path")).otherwise(F.col("query_path"))
+    return found.groupBy(F.col("source").cast("bigint").alias("source"), name.alias("query_path")).agg(F.count("*").alias("times"))
+
+
 @query
 def rate_5m(spark: SparkSession, sf: str) -> DataFrame:
     out = streams.event_rate(views.table(spark, sf, "events"))

@@ -132,6 +132,10 @@ def run_queries(spark: SparkSession, queries: dict[str, str], out_dir: str, limi
 
 
 def append_run(index: DataFrame, table_dir: str) -> DataFrame:
-    """Add a run's index rows to the append-only table of all runs."""
-    index.write.mode("append").partitionBy("run_id").parquet(table_dir)
+    """Put a run's index rows into the table of all runs.
+
+    A run that is written again takes the place of its own rows and of no others, and its
+    rows show once the write commits, so a repeated or failed write neither doubles nor halves a run.
+    """
+    index.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(table_dir)
     return index.sparkSession.read.parquet(table_dir)

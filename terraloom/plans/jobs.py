@@ -127,6 +127,74 @@ def normals_and_clusters(points: DataFrame, knn: int = 8, min_points: int = 10,
     )
 
 
+#: Stages of point enrichment by name: each takes ``cloud_id, point_id, x, y, z`` and parameters, and gives columns per point.
+POINT_STAGES: dict[str, Callable[..., DataFrame]] = {
+    "features": neighbours.eigen_features,
+    "normals": neighbours.normals,
+    "clusters": dbscan.dbscan,
+}
+
+
+def run_point_stages(points: DataFrame, stages: list[tuple[str, dict]]) -> DataFrame:
+    """``points`` with the columns of each declared stage, in order; all their own columns stay as they are.
+
+    Stages see the coordinates alone, and their results come back by ``cloud_id, point_id``,
+    which must be unique. A stage that is not known, or would give a column that is there
+    already, fails before anything runs.
+    """
+    key, place = ["cloud_id", "point_id"], ["cloud_id", "point_id", "x", "y", "z"]
+    unknown = [name for name, _ in stages if name not in POINT_STAGES]
+    if unknown:
+        raise ValueError(f"unknown point stages {unknown}; known are {sorted(POINT_STAGES)}")
+    coordinates, out = points.select(*place), points
+    for name, parameters in stages:
+        found = POINT_STAGES[name](coordinates, **parameters)
+        added = [c for c in found.columns if c not in place]
+        clash = sorted(set(added) & set(out.columns))
+        if clash:
+            raise ValueError(f"stage {name} gives columns that are there already: {clash}")
+        out = out.join(found.select(*key, *added), key, "left")
+    return out
+
+
+def enrich_landed_clouds(landed: DataFrame, out_dir: str, file_ids: DataFrame | None = None,
+                         stages: list[tuple[str, dict]] | None = None) -> DataFrame:
+    """Enrich landed LAS clouds and write one folder ``file_id=...`` per cloud, with all dimensions of the source.
+
+    ``landed`` is a table of ``files.write_landed``; ``file_ids`` (column ``file_id``) selects clouds, all by default.
+    An id that was not landed, was landed twice, or whose file is not a readable LAS cloud fails the job. A cloud
+    written before is replaced, others stay. Returns one row per cloud with points: ``file_id, filename,
+    enriched_name, path, points``. Rows lie by cloud and point, so a large cloud is written by many tasks.
+    """
+    spark = landed.sparkSession
+    wanted = landed if file_ids is None else landed.join(file_ids.select("file_id").distinct(), "file_id", "left_semi")
+    if file_ids is not None:
+        lost = file_ids.select("file_id").join(landed.select("file_id"), "file_id", "left_anti").first()
+        if lost:
+            raise ValueError(f"no landed cloud has the id {lost[0]}")
+    twice = wanted.groupBy("file_id").count().where("count > 1").first()
+    if twice:
+        raise ValueError(f"{twice[1]} landed files have the id {twice[0]}")
+    odd = wanted.where(F.coalesce(paths.extension("filename"), F.lit("")) != ".las").select("filename").first()
+    if odd:
+        raise ValueError(f"not a LAS cloud: {odd[0]}")
+    broken = pointclouds.las_problems(wanted.select("path", "content")).first()
+    if broken:
+        raise ValueError(f"{broken[0]}: {broken[1]}")
+    points = materialize(pointclouds.las_records(wanted, "file_id"), "records")
+    names = wanted.select(F.col("file_id").alias("cloud_id"), "filename", paths.enriched_name("filename").alias("enriched_name"))
+    enriched = run_point_stages(points, stages or [("features", {"k": 20})])
+    placed = enriched.repartitionByRange("cloud_id", "point_id").sortWithinPartitions("cloud_id", "point_id")
+    placed.withColumnRenamed("cloud_id", "file_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "file_id"
+    ).parquet(out_dir)
+    counts = points.groupBy("cloud_id").agg(F.count("*").alias("points"))
+    return names.join(counts, "cloud_id").select(
+        F.col("cloud_id").alias("file_id"), "filename", "enriched_name",
+        F.concat(F.lit(f"{out_dir.rstrip('/')}/file_id="), "cloud_id").alias("path"), "points",
+    )
+
+
 def enrich_pointclouds(spark: SparkSession, root: str, out_dir: str, k: int = 20) -> DataFrame:
     """Features for every cloud file of a folder, written as one table keyed by the enriched file name."""
     points = materialize(pointclouds.pointcloud_scan(spark, root), "points")

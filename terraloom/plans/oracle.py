@@ -243,12 +243,12 @@ POINTS = """pts AS (
   SELECT c_custkey AS id, c_acctbal / 100 AS x, CAST(c_custkey % 97 AS DOUBLE) AS y, CAST(c_nationkey AS DOUBLE) AS z FROM customer)"""
 
 
-def _near(k: int) -> str:
+def _near(k: int, same: str = "") -> str:
     return f"""near AS (
   SELECT * FROM (
     SELECT a.id, b.id AS nid, b.x, b.y, b.z, d2, row_number() OVER (PARTITION BY a.id ORDER BY d2, b.id) AS rank
     FROM (SELECT a.id, b.id AS bid, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z) AS d2
-          FROM pts a JOIN pts b ON a.id <> b.id) a JOIN pts b ON b.id = a.bid)
+          FROM pts a JOIN pts b ON a.id <> b.id{same}) a JOIN pts b ON b.id = a.bid)
   WHERE rank <= {k})"""
 
 
@@ -296,9 +296,9 @@ ORACLE["normals"] = _with(POINTS, _near(8), COV) + "SELECT id AS point_id, " + "
 ) + " FROM normal"
 
 
-def _clusters(eps: float, min_points: int, dims: str) -> str:
+def _clusters(eps: float, min_points: int, dims: str, same: str = "") -> str:
     d2 = " + ".join(f"(a.{d} - b.{d}) * (a.{d} - b.{d})" for d in dims)
-    return f"""pairs AS (SELECT a.id AS a, b.id AS b FROM pts a JOIN pts b ON {d2} <= {eps} * {eps}),
+    return f"""pairs AS (SELECT a.id AS a, b.id AS b FROM pts a JOIN pts b ON {d2} <= {eps} * {eps}{same}),
 core AS (SELECT a AS id FROM pairs GROUP BY a HAVING count(*) >= {min_points}),
 links AS (SELECT a, b FROM pairs WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
 reach AS (SELECT id AS root, id FROM core UNION SELECT r.root, l.b FROM reach r JOIN links l ON l.a = r.id),
@@ -419,6 +419,15 @@ ORACLE["pointcloud_files"] = """
 SELECT 'nation_' || c_nationkey || '_' || c_custkey // 10000 || '.las' AS cloud,
        row_number() OVER (PARTITION BY c_nationkey, c_custkey // 10000 ORDER BY c_custkey) - 1 AS point_id,
        ROUND(c_acctbal / 100, 4) AS x, CAST(c_custkey % 97 AS DOUBLE) AS y, CAST(c_nationkey AS DOUBLE) AS z FROM customer"""
+_OWN = " AND a.cloud = b.cloud"
+ORACLE["enrich_landed_clouds"] = _with("""pts AS (
+  SELECT c_custkey AS id, c_nationkey % 5 || '_' || c_custkey // 10000 AS cloud, c_acctbal / 100 AS x, CAST(c_custkey % 97 AS DOUBLE) AS y,
+         CAST(c_nationkey AS DOUBLE) AS z FROM customer)""", """place AS (
+  SELECT id, row_number() OVER (PARTITION BY cloud ORDER BY id) - 1 AS point_id FROM pts)""", _near(8, _OWN), COV, _clusters(8.0, 10, "xyz", _OWN)) + f"""
+SELECT 'cloud_' || p.cloud || '_enriched.las' AS cloud, i.point_id, ROUND(p.x, 4) AS x, p.y, p.z, p.id % 65536 AS intensity,
+       CAST(p.z AS BIGINT) AS classification, ROUND(p.x, 4) AS gps_time, p.id * 7 % 65536 AS red,
+       {_r(_FEATURES['curvature'], 4)} AS curvature, l.is_core, coalesce(n.point_id, -1) AS cluster_id
+FROM pts p JOIN place i USING (id) JOIN eig USING (id) JOIN labels l USING (id) LEFT JOIN place n ON n.id = l.cluster_id"""
 # Channel means and deviations of indexed tiles (0.430 ...) and of image queries (0.485 ...).
 _VECTORS = (
     PIX,

@@ -707,6 +707,38 @@ def pointcloud_files(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def enrich_landed_clouds(spark: SparkSession, sf: str) -> DataFrame:
+    """Clouds with intensity, class, time and colour landed as LAS files, enriched by id, and read back with all of these."""
+    folder, out = new_dir(spark, "clouds"), new_dir(spark, "enriched")
+
+    def encode(pdf):
+        import pandas as pd
+
+        from ..sources import las
+
+        pdf = pdf.sort_values("point_id")
+        extra = {n: pdf[n].to_numpy() for n in ("intensity", "classification", "gps_time", "red")}
+        data = las.write(pdf[["x", "y", "z"]].to_numpy(), 0.0001, extra)
+        return pd.DataFrame({"path": [f"{folder}/cloud_{int(pdf['cut'].iloc[0])}_{int(pdf['part'].iloc[0])}.las"], "content": [data]})
+
+    # A file holds at most one range of 10000 ids, so no group grows with the table.
+    told = views.points(spark, sf).withColumns({
+        "cut": F.expr("CAST(z % 5 AS INT)"), "part": F.expr("CAST(point_id DIV 10000 AS INT)"), "intensity": F.expr("point_id % 65536"),
+        "classification": F.col("z").cast("int"), "gps_time": F.col("x"), "red": F.expr("point_id * 7 % 65536"),
+    })
+    blobs = told.groupBy("cut", "part").applyInPandas(encode, "path string, content binary")
+    materialize(files.write_blobs(blobs), "written")
+    landed = files.write_landed(files.land_files(files.blob_scan(spark, folder), "raw"), new_dir(spark, "landed"))
+    stages = [("features", {"k": 8}), ("clusters", {"min_points": 10, "eps": 8.0})]
+    index = jobs.enrich_landed_clouds(landed, out, landed.select("file_id"), stages)
+    rows = spark.read.parquet(out).join(index.select("file_id", "enriched_name"), "file_id")
+    return _longs(rows.select(
+        F.col("enriched_name").alias("cloud"), "point_id", *[_r(c, 4).alias(c) for c in ("x", "y", "z")], "intensity", "classification",
+        _r("gps_time", 4).alias("gps_time"), "red", _r("curvature", 4).alias("curvature"), "is_core", "cluster_id",
+    ), "intensity", "classification", "red")
+
+
 @query
 def pointcloud_csv_files(spark: SparkSession, sf: str) -> DataFrame:
     """Points written as CSV files with two orders of header columns and read back by name."""

@@ -31,4 +31,10 @@ INGEST_LOG = (
     "file_id string not null, source_path string not null, ingest_status string not null, error_message string"
 )
 POINT = "cloud_id string, point_id bigint, x double, y double, z double"
+#: What a record of a LAS file may have besides its coordinates; null where the file's point format lacks it.
+LAS_DIMENSIONS = (
+    "intensity int, return_number int, number_of_returns int, scan_direction int, edge_of_flight_line int, classification int, "
+    "class_flags int, scanner_channel int, scan_angle double, user_data int, point_source_id int, gps_time double, "
+    "red int, green int, blue int, nir int, extra_bytes binary"
+)
 BLOB = "path string, modificationTime timestamp, length bigint, content binary"

@@ -7,12 +7,13 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import paths
-from ..schemas import POINT
+from ..schemas import LAS_DIMENSIONS, POINT
 from . import las
 
 CHUNK = 65_536
@@ -32,6 +33,8 @@ def las_problems(blobs: DataFrame) -> DataFrame:
 def _problem(data: bytes) -> str | None:
     try:
         head = las.read_header(data)
+        if head["record_size"] < las.RECORD_SIZES.get(head["format"], 1 << 16):
+            return f"ValueError: point format {head['format']} with records of {head['record_size']} bytes"
         need = head["points_at"] + head["count"] * head["record_size"]
         return None if len(data) >= need else f"ValueError: {len(data)} of {need} bytes"
     except Exception as problem:
@@ -65,6 +68,38 @@ def las_points(blobs: DataFrame) -> DataFrame:
     return blobs.select("path", "content").mapInPandas(scan, POINT)
 
 
+_ARROW = {"int": pa.int32(), "double": pa.float64(), "binary": pa.binary()}
+
+
+def las_records(blobs: DataFrame, cloud: str = "path") -> DataFrame:
+    """Points of LAS files with every dimension of their point formats; ``cloud_id`` is the column ``cloud``.
+
+    A dimension that a file lacks is null. Malformed files have no points, as in ``las_points``.
+    """
+    dims = [d.split() for d in LAS_DIMENSIONS.split(", ")]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, data in zip(batch.column(0), batch.column(1)):
+                data = data.as_py()
+                if data is None or _problem(data):
+                    continue
+                head = las.read_header(data)
+                for first in range(0, head["count"], CHUNK):
+                    n = min(CHUNK, head["count"] - first)
+                    xyz, more = las.read_points(data, first, n, head), las.read_dimensions(data, first, n, head)
+                    columns = [pa.repeat(name, n), pa.array(np.arange(first, first + n)), *[pa.array(xyz[:, k]) for k in range(3)]]
+                    for dim, kind in dims:
+                        found = more.get(dim)
+                        if found is not None and kind == "binary":
+                            columns.append(pa.array([v.tobytes() for v in found], pa.binary()))
+                        else:
+                            columns.append(pa.nulls(n, _ARROW[kind]) if found is None else pa.array(found.astype(_ARROW[kind].to_pandas_dtype())))
+                    yield pa.RecordBatch.from_arrays(columns, names=["cloud_id", "point_id", "x", "y", "z", *[d for d, _ in dims]])
+
+    return blobs.select(F.col(cloud).cast("string"), "content").mapInArrow(scan, f"{POINT}, {LAS_DIMENSIONS}")
+
+
 def csv_points(spark: SparkSession, root: str) -> DataFrame:
     """Points of CSV files whose header names ``x, y, z`` in any order; ``cloud_id`` is the path.
 

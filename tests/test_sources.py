@@ -1,3 +1,5 @@
+import struct
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -144,6 +146,90 @@ def test_point_scan(spark, tmp_path):
         pointclouds.pointcloud_scan(spark, str(tmp_path))
 
 
+def _las_of_format(kind: int, extra: int = 0) -> bytes:
+    """Two records of any point format: known bytes in every field."""
+    size = las.RECORD_SIZES[kind] + extra
+    records = bytearray(2 * size)
+    for k in range(2):
+        at = k * size
+        struct.pack_into("<3iH", records, at, 100 + k, 200, 300, 1000 + k)
+        if kind < 6:
+            struct.pack_into("<BBbBH", records, at + 14, 0b11_010_001, 0b011_00110, -7, 9, 77)
+        else:
+            struct.pack_into("<BBBBhH", records, at + 14, 0b1110_0101, 0b11_10_1001, 200, 9, -500, 77)
+            struct.pack_into("<d", records, at + 22, 5.5)
+        if kind in las.GPS_AT:
+            struct.pack_into("<d", records, at + las.GPS_AT[kind], 5.5)
+        if kind in las.COLOUR_AT:
+            struct.pack_into("<3H", records, at + las.COLOUR_AT[kind], 11, 22, 33)
+        if kind in las.NIR_AT:
+            struct.pack_into("<H", records, at + las.NIR_AT[kind], 44)
+        records[at + las.RECORD_SIZES[kind] : at + size] = bytes([k + 1]) * extra
+    head = bytearray(las.write(np.zeros((0, 3)), 0.5))
+    struct.pack_into("<BHI", head, las.FORMAT_AT, kind, size, 2)
+    return bytes(head + records)
+
+
+def test_las_records_of_every_format(spark):
+    rows = [(f"{kind}.las", _las_of_format(kind, extra)) for kind in range(11) for extra in (0, 3)]
+    rows = [(f"{extra % 2}_{name}", data) for extra, (name, data) in enumerate(rows)]
+    rows += [("bad.las", _las_of_format(3)[:-1]), ("none.las", None), ("odd.las", _las_of_format(0)[:104] + b"\x0b" + _las_of_format(0)[105:])]
+    got = {(r.cloud_id, r.point_id): r for r in pointclouds.las_records(spark.createDataFrame(rows, "path string, content binary")).collect()}
+    assert len(got) == 44
+    for kind in range(11):
+        for extra in (0, 1):
+            r = got[f"{extra}_{kind}.las", 1]
+            assert (r.x, r.y, r.z, r.intensity, r.user_data, r.point_source_id) == (50.5, 100.0, 150.0, 1001, 9, 77)
+            new = kind >= 6
+            assert (r.return_number, r.number_of_returns) == ((5, 14) if new else (1, 2))
+            assert (r.scan_direction, r.edge_of_flight_line, r.class_flags) == (1, 1, 9 if new else 3)
+            assert (r.classification, r.scanner_channel) == ((200, 2) if new else (6, None))
+            assert abs(r.scan_angle - (-3.0 if new else -7.0)) < 1e-9
+            assert r.gps_time == (5.5 if new or kind in las.GPS_AT else None)
+            assert (r.red, r.green, r.blue) == ((11, 22, 33) if kind in las.COLOUR_AT else (None,) * 3)
+            assert r.nir == (44 if kind in las.NIR_AT else None)
+            assert r.extra_bytes == (b"\x02\x02\x02" if extra else None)
+
+
+def test_enrich_landed_clouds(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    data = {}
+    for name in ("a", "b"):
+        xyz = np.round(rng.normal(size=(40, 3)), 2)
+        data[name] = (xyz, {"intensity": rng.integers(0, 65536, 40), "classification": rng.integers(0, 32, 40), "gps_time": rng.normal(size=40)})
+    blobs = spark.createDataFrame([(f"in/{n}.las", las.write(x, 0.01, d)) for n, (x, d) in data.items()], "path string, content binary")
+    landed = files.write_landed(files.land_files(blobs, "raw"), str(tmp_path / "landed"))
+    ids = {r.filename: r.file_id for r in landed.select("filename", "file_id").collect()}
+    one = spark.createDataFrame([(ids["a.las"],)] * 2, "file_id string")
+    out = str(tmp_path / "enriched")
+    stages = [("features", {"k": 5}), ("clusters", {"min_points": 3, "eps": 0.8})]
+    index = jobs.enrich_landed_clouds(landed, out, one, stages).collect()
+    assert [(r.file_id, r.enriched_name, r.points, r.path) for r in index] == [(ids["a.las"], "a_enriched.las", 40, f"{out}/file_id={ids['a.las']}")]
+    jobs.enrich_landed_clouds(landed, out, None, stages)
+    jobs.enrich_landed_clouds(landed, out, one, stages)
+    rows = spark.read.parquet(out)
+    assert rows.count() == 80
+    for name, (xyz, dims) in data.items():
+        got = rows.where(F.col("file_id") == ids[f"{name}.las"]).orderBy("point_id").toPandas()
+        assert np.allclose(got[["x", "y", "z"]], xyz) and np.allclose(got["gps_time"], dims["gps_time"])
+        assert got["intensity"].tolist() == dims["intensity"].tolist() and got["classification"].tolist() == dims["classification"].tolist()
+        assert got["curvature"].notna().all() and got["cluster_id"].notna().all() and got["nir"].isna().all()
+    fresh = lambda rows: spark.createDataFrame(rows, "path string, content binary, file_id string, filename string")
+    for bad, message in (
+        ([("p", b"x", "1", "a.csv")], "not a LAS cloud"), ([("p", b"x", "1", "a.las")], "not a LAS file"),
+        ([("p", las.write(np.ones((2, 3))), "1", "a.las")] * 2, "have the id"),
+    ):
+        with pytest.raises(ValueError, match=message):
+            jobs.enrich_landed_clouds(fresh(bad), out)
+    with pytest.raises(ValueError, match="no landed cloud"):
+        jobs.enrich_landed_clouds(landed, out, spark.createDataFrame([("nope",)], "file_id string"))
+    points = pointclouds.las_points(blobs)
+    with pytest.raises(ValueError, match="unknown point stages"):
+        jobs.run_point_stages(points, [("magic", {})])
+    with pytest.raises(ValueError, match="there already"):
+        jobs.run_point_stages(points, [("features", {"k": 5}), ("normals", {})])
+
+
 def test_synthetic_points(spark):
     assert pointclouds.synthetic_points(spark).count() == 200
 

@@ -83,7 +83,8 @@ def ndvi_pairs(red: DataFrame, nir: DataFrame, pairs: DataFrame, red_band: int =
                inf: str = "keep") -> DataFrame:
     """NDVI of two different rasters, packed: blocks of the files of each pair meet on their place.
 
-    ``pairs`` has ``pair_id, red_id, nir_id`` (raster ids; check shapes by ``shape_check`` first).
+    ``pairs`` has ``pair_id, red_id, nir_id`` (raster ids). Blocks that only one side has give
+    nothing: ``covered_pairs`` tells such pairs apart first.
     Pixels stay packed; the result's blocks carry the pair as ``raster_id`` and the red file's facts.
     """
     place = ["raster_id", "row_off", "col_off", "height", "width"]
@@ -98,6 +99,32 @@ def ndvi_pairs(red: DataFrame, nir: DataFrame, pairs: DataFrame, red_band: int =
     return both.withColumns({"bands": F.array(values), "dtype": F.lit("float32")}).drop("_red", "_nir")
 
 
+def covered_pairs(red: DataFrame, nir: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split ``pairs`` (``pair_id, red_id, nir_id``) into those whose files have the same blocks and those with an ``error``.
+
+    Only the places of blocks are read, joined full outer and counted on both sides, so a pair
+    that would lose blocks in ``ndvi_pairs`` is named here instead. A file without blocks is missing.
+    """
+    def places(blocks: DataFrame, key: str, mark: str) -> DataFrame:
+        own = pairs.select(F.col(key).alias("_file"), "pair_id")
+        place = blocks.select(F.col("raster_id").alias("_file"), "row_off", "col_off", "height", "width")
+        return place.join(own, "_file").drop("_file").withColumn(mark, F.lit(1))
+
+    both = places(red, "red_id", "_r").join(places(nir, "nir_id", "_n"), ["pair_id", "row_off", "col_off", "height", "width"], "full")
+    found = both.groupBy("pair_id").agg(
+        F.count("_r").alias("red_blocks"), F.count("_n").alias("nir_blocks"), F.count_if(F.col("_r").isNotNull() & F.col("_n").isNotNull()).alias("common")
+    )
+    red_blocks, nir_blocks = F.coalesce("red_blocks", F.lit(0)), F.coalesce("nir_blocks", F.lit(0))
+    error = (
+        F.when((red_blocks == 0) | (nir_blocks == 0), F.format_string("no pixels of %s", F.concat_ws(
+            " and ", F.when(red_blocks == 0, F.lit("red")), F.when(nir_blocks == 0, F.lit("nir")))))
+        .when((F.col("common") < red_blocks) | (F.col("common") < nir_blocks), F.format_string(
+            "red and nir differ in shape: %d of %d and %d blocks in common", "common", red_blocks, nir_blocks))
+    )
+    checked = pairs.join(found, "pair_id", "left").withColumn("error", error).select(*pairs.columns, "error")
+    return checked.where("error IS NULL").drop("error"), checked.where("error IS NOT NULL")
+
+
 def shape_check(red: DataFrame, nir: DataFrame, on: str = "raster_id") -> tuple[DataFrame, DataFrame]:
     """Split header pairs into those with equal grids and those without."""
     r = red.select(on, F.col("width").alias("red_width"), F.col("height").alias("red_height"))

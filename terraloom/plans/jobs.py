@@ -119,6 +119,83 @@ def ingest_rasters(blobs: DataFrame, table_dir: str, dest: str = "raw", red_band
     }
 
 
+def ingest_raster_pairs(blobs: DataFrame, pairs: DataFrame, table_dir: str, dest: str = "raw", red_band: int = 1, nir_band: int = 1,
+                        skip_validation: bool = False, block: int = 256) -> dict[str, DataFrame]:
+    """``ingest_rasters`` for scenes whose red and near infrared lie in two files.
+
+    ``pairs`` names the source paths of each scene: ``pair_id, red_path, nir_path`` (``nir_path`` null: the red file
+    again); ids are unique. Files are landed once, however many pairs use them. Each pair has one row in the log, under
+    its id and red path: a path that is not among ``blobs``, a file that is not readable, lacks the band or
+    fails validation, and two files of different shape or blocks all give ``failed`` with the reason, and the other pairs go on.
+    Statistics are those of the red and the near infrared band (``red_stats``, ``nir_stats``) and of the index (``metrics``),
+    by ``pair_id``. Tables get one batch each, as in ``ingest_rasters``.
+    """
+    batch = uuid.uuid4().hex
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        return tables.write_table(df, f"{table_dir}/{name}/batch={batch}")
+
+    pairs = materialize(pairs.select("pair_id", "red_path", F.coalesce("nir_path", "red_path").alias("nir_path")), "pairs")
+    incoming = files.land_files(blobs, dest).withColumn("raster_id", F.col("file_id"))
+    kept = ("content", "file_id", "source_path", "filename", "ingested_at")
+    landed = files.write_landed(rasters.raster_headers(incoming, kept, pixels=True), f"{table_dir}/landed", batch)
+    headers = landed.drop("content")
+    checked = raster.header_errors() if not skip_validation else F.array().cast("array<string>")
+    told = headers.withColumn("_problem", F.coalesce(F.when(F.size(checked) > 0, F.concat_ws("; ", checked)), "error"))
+    facts = F.struct("file_id", "path", "band_count", "width", "height", "_problem")
+
+    def named(side: str) -> DataFrame:
+        return told.select(F.col("source_path").alias(f"{side}_path"), facts.alias(side))
+
+    def wrong(side: str, band: int):
+        f = F.col(side)
+        return (
+            F.when(f.isNull(), F.format_string(f"no {side} file %s", f"{side}_path"))
+            .when(f["_problem"].isNotNull(), F.concat(F.lit(f"{side}: "), f["_problem"]))
+            .when(f["band_count"] < band, F.format_string(f"{side}: band {band} out of range for %d bands", f["band_count"]))
+        )
+
+    unequal = (F.col("red.width") != F.col("nir.width")) | (F.col("red.height") != F.col("nir.height"))
+    shapes = F.format_string("red and nir differ in shape: %d x %d and %d x %d", "red.width", "red.height", "nir.width", "nir.height")
+    resolved = pairs.join(named("red"), "red_path", "left").join(named("nir"), "nir_path", "left").select(
+        "pair_id", "red_path", F.col("red.file_id").alias("red_id"), F.col("nir.file_id").alias("nir_id"),
+        F.coalesce(wrong("red", red_band), wrong("nir", nir_band), F.when(unequal, shapes)).alias("error"),
+    )
+    resolved = materialize(resolved, "resolved")
+    ready = resolved.where("error IS NULL").select("pair_id", "red_id", "nir_id")
+    used = ready.select(F.col("red_id").alias("file_id")).unionByName(ready.select(F.col("nir_id").alias("file_id"))).distinct()
+    readable = landed.join(used, "file_id", "left_semi").select("raster_id", "path", "content")
+    # Decoded once, the two bands only; places, index and statistics read their columns of it.
+    picked = F.array(F.get("bands", F.lit(red_band - 1)), F.get("bands", F.lit(nir_band - 1)))
+    blocks = materialize(rasters.raster_blocks(readable, block).withColumn("bands", picked), "blocks")
+    good, odd = raster.covered_pairs(blocks, blocks, ready)
+    good = materialize(good, "good")
+    index = raster.ndvi_pairs(blocks, blocks, good, 1, 2)
+    index = store(index.withColumn("path", paths.processed_path("path", F.col("raster_id"))), "ndvi")
+
+    def statistics(side: str, band: int) -> DataFrame:
+        own = good.select(F.col(f"{side}_id").alias("raster_id"), "pair_id")
+        single = blocks.withColumn("bands", F.array(F.element_at("bands", band)))
+        per_file = raster.block_stats(single.join(own.select("raster_id").distinct(), "raster_id", "left_semi"), headers.withColumn("band_count", F.lit(1)))
+        return store(per_file.join(own, "raster_id").drop("raster_id"), f"{side}_stats")
+
+    head = headers.withColumns({"band_count": F.lit(1), "dtype": F.lit("float32")}).withColumnRenamed("raster_id", "red_id")
+    index_headers = good.join(head, "red_id").withColumn("raster_id", F.col("pair_id"))
+    failed = resolved.where("error IS NOT NULL").select("pair_id", "error").unionByName(odd.select("pair_id", "error"))
+    log = resolved.drop("error").join(failed, "pair_id", "left").select(
+        F.col("pair_id").alias("file_id"), F.col("red_path").alias("source_path"),
+        F.when(F.col("error").isNull(), F.lit("ok")).otherwise(F.lit("failed")).alias("ingest_status"), F.col("error").alias("error_message"),
+    )
+    return {
+        "landed": landed,
+        "red_stats": statistics("red", 1),
+        "nir_stats": statistics("nir", 2),
+        "ndvi": index,
+        "metrics": store(raster.block_stats(index, index_headers).withColumnRenamed("raster_id", "pair_id"), "metrics"),
+        "log": store(log, "pc_metadata"),
+    }
+
+
 def normals_and_clusters(points: DataFrame, knn: int = 8, min_points: int = 10, eps: float = 2.0,
                          dims: tuple[str, ...] = ("x", "y", "z")) -> DataFrame:
     """Normals, curvature and cluster label per point."""

@@ -349,13 +349,17 @@ _NUMBERS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"
 
 
 def _profile(column: str, number: bool) -> str:
-    stats = [f"avg({column})", f"stddev_samp({column})"] if number else ["NULL"] * 2
-    names = ("mean", "std")
+    # The smallest value whose rank reaches the share.
+    cuts = [f"(SELECT v FROM (SELECT {column} AS v, row_number() OVER (ORDER BY {column}) AS n, count({column}) OVER () AS m FROM lineitem"
+            f" WHERE {column} IS NOT NULL) WHERE n = ceil({q} * m))" for q in (0.25, 0.5, 0.75)]
+    stats = [f"avg({column})", f"stddev_samp({column})", *cuts] if number else ["NULL"] * 5
+    names = ("mean", "std", "q25", "q50", "q75")
+    kind = "int" if column == "l_linenumber" else "bigint" if column.endswith("key") else "double" if number else "string"
     ends = (f"{_r(f'min({column})', 4)}", f"{_r(f'max({column})', 4)}") if number else ("NULL::DOUBLE", "NULL::DOUBLE")
     shown = f"strftime({column}, '%Y-%m-%d')" if column == "l_shipdate" else column
     text = ("NULL::VARCHAR", "NULL::VARCHAR") if number else (f"min({shown})", f"max({shown})")
     return (
-        f"SELECT '{column}' AS column_name, count(*) AS rows, count(*) - count({column}) AS nulls, count(DISTINCT {column}) AS distinct_values, "
+        f"SELECT '{column}' AS column_name, '{kind}' AS column_type, count(*) AS rows, count(*) - count({column}) AS nulls, count(DISTINCT {column}) AS distinct_values, "
         + ", ".join(f"{_r(s, 4)} AS {n}" for s, n in zip(stats, names))
         + f", {ends[0]} AS min_number, {ends[1]} AS max_number, {text[0]} AS min_text, {text[1]} AS max_text FROM lineitem"
     )
@@ -402,6 +406,16 @@ ORACLE["raster_header_scan"] = _with(PIX) + """
 SELECT raster_id, CAST(40 AS BIGINT) AS width, CAST(25 AS BIGINT) AS height, CAST(2 AS BIGINT) AS band_count, 'float64' AS dtype, 'EPSG:3857' AS crs,
        0.0::DOUBLE AS nodata, CAST(raster_id AS DOUBLE) * 1000 AS min_x, 975.0::DOUBLE AS min_y, CAST(raster_id AS DOUBLE) * 1000 + 40 AS max_x, 1000.0::DOUBLE AS max_y
 FROM (SELECT DISTINCT raster_id FROM pix)"""
+ORACLE["raster_ingest_pairs"] = _with(
+    PIX, BANDS, IDX, "scenes AS (SELECT DISTINCT raster_id, CAST(raster_id AS BIGINT) AS n FROM pix)",
+    "bad AS (SELECT raster_id, CASE WHEN n % 5 = 4 THEN 'no nir file none_' || raster_id || '.tif'"
+    " WHEN n % 3 = 1 THEN 'red and nir differ in shape: 40 x 25 and 40 x 24' END AS error FROM scenes)",
+    "side AS (SELECT raster_id, avg(nullif(value, 0)) FILTER (band = 1) AS red_mean, avg(nullif(value, 0)) FILTER (band = 2) AS nir_mean FROM bands GROUP BY raster_id)",
+    "done AS (SELECT raster_id, avg(nullif(CAST(value AS FLOAT)::DOUBLE, 0)) AS ndvi_mean, count(*) AS pixels FROM idx GROUP BY raster_id)",
+) + f"""
+SELECT b.raster_id AS file_id, 'red_' || b.raster_id || '.tif' AS source_path, CASE WHEN error IS NULL THEN 'ok' ELSE 'failed' END AS ingest_status,
+       error AS error_message, {_r('ndvi_mean', 5)} AS ndvi_mean, {_r('red_mean', 5)} AS red_mean, {_r('nir_mean', 5)} AS nir_mean, pixels
+FROM bad b LEFT JOIN side s ON s.raster_id = b.raster_id AND error IS NULL LEFT JOIN done d ON d.raster_id = b.raster_id AND error IS NULL"""
 ORACLE["raster_ingest"] = _with(
     PIX, BANDS, IDX, "raw AS (SELECT raster_id, nullif(value, 0) AS value FROM bands)",
     "done AS (SELECT raster_id, nullif(CAST(value AS FLOAT), 0)::DOUBLE AS value FROM idx)",

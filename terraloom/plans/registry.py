@@ -475,8 +475,8 @@ def dataset_profile(spark: SparkSession, sf: str) -> DataFrame:
     numeric = F.col("mean").isNotNull()
     ends = {f"{end}_number": F.when(numeric, _r(F.col(f"{end}_value").cast("double"), 4)) for end in ("min", "max")}
     return out.select(
-        "column_name", "rows", "nulls", "distinct_values",
-        *[_r(n, 4).alias(n) for n in ("mean", "std")], *[v.alias(n) for n, v in ends.items()],
+        "column_name", "column_type", "rows", "nulls", "distinct_values",
+        *[_r(n, 4).alias(n) for n in ("mean", "std", "q25", "q50", "q75")], *[v.alias(n) for n, v in ends.items()],
         F.when(~numeric, F.col("min_value")).alias("min_text"), F.when(~numeric, F.col("max_value")).alias("max_text"),
     )
 
@@ -763,6 +763,31 @@ def raster_ingest_log(spark: SparkSession, sf: str) -> DataFrame:
     return log.select(paths.basename("source_path").alias("filename"), "ingest_status", "error_message", F.coalesce("pixels", F.lit(0)).alias("index_pixels"))
 
 
+@query
+def raster_ingest_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Scenes of two files ingested by path: unequal and absent near infrared files are logged with the reason, the rest is indexed."""
+    folder, number = new_dir(spark, "scenes"), F.col("raster_id").cast("bigint")
+    whole = _blocks(spark, sf)
+    short = F.when(number % 3 == 1, F.lit(24)).otherwise(F.lit(25))
+    for name, band, height in (("red", 1, F.lit(25)), ("nir", 2, short)):
+        side = whole.withColumns({
+            "bands": F.array(F.slice(F.element_at("bands", band), F.lit(1), height * 40)), "height": height, "raster_id": F.concat(F.lit(name + "_"), "raster_id"),
+        })
+        materialize(files.write_blobs(rasters.blocks_to_blobs(side, folder)), "written")
+    blobs = files.blob_scan(spark, folder).withColumn("path", paths.basename("path"))
+    pairs = views.pixel_headers(spark, sf).select(
+        F.col("raster_id").alias("pair_id"), F.concat(F.lit("red_"), "raster_id", F.lit(".tif")).alias("red_path"),
+        F.concat(F.when(number % 5 == 4, F.lit("none_")).otherwise(F.lit("nir_")), "raster_id", F.lit(".tif")).alias("nir_path"),
+    )
+    done = jobs.ingest_raster_pairs(blobs, pairs, new_dir(spark, "ingest"))
+    means = [done[n].select(F.col("pair_id").alias("file_id"), _r("mean_val", 5).alias(m)) for n, m in (("metrics", "ndvi_mean"), ("red_stats", "red_mean"), ("nir_stats", "nir_mean"))]
+    pixels = done["ndvi"].groupBy(F.col("raster_id").alias("file_id")).agg(F.sum(F.size(F.element_at("bands", 1)).cast("bigint")).alias("pixels"))
+    out = done["log"]
+    for more in (*means, pixels):
+        out = out.join(more, "file_id", "left")
+    return out
+
+
 @query
 def ndvi_two_files(spark: SparkSession, sf: str) -> DataFrame:
     """Red and near infrared in two files a scene, paired block by block while packed."""

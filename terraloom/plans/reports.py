@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import re
 import time
 import uuid
+from fractions import Fraction
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,10 +29,92 @@ def distinct_counts(df: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [count(c) for c in df.columns])
 
 
+#: Relative error of the sketches that narrow a quantile's range, and from how many rows in it they are sorted out by value.
+SKETCH_ACCURACY = 10_000
+FEW_ROWS = 100_000
+
+
+def exact_quantiles(df: DataFrame, columns: list[str], quantiles: tuple[float, ...] = (0.25, 0.5, 0.75),
+                    accuracy: int = SKETCH_ACCURACY, few: int = FEW_ROWS) -> DataFrame:
+    """``column_name, quantile, value``: the smallest value that at least that share of a column's numbers does not exceed.
+
+    Distributed selection by value, without a sort. Each round narrows every open quantile's range to two values that
+    a sketch of the range puts on both sides of its rank, and counts the rows below, at and between
+    them, so a wrong sketch costs a round and never a wrong answer. A round reads the table twice and brings a few
+    numbers per quantile to the driver; the range shrinks about ``accuracy / 4`` times. Once at most ``few`` rows are
+    inside, they are grouped by value. Values count as doubles; null and NaN are left out, and a column without
+    numbers has a null quantile.
+    """
+    spark = df.sparkSession
+    schema = "column_name string, quantile double, value double"
+    if not columns or not quantiles:
+        return spark.createDataFrame([], schema)
+    numbers = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(f"c{i}") for i, c in enumerate(columns)])
+    first = numbers.agg(*[f(f"c{i}").alias(f"{n}{i}") for i in range(len(columns)) for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
+    found: dict[tuple[int, float], float | None] = {}
+    # Open ranges: both ends are known not to be the answer, or infinite; rank counts from the lower end.
+    opened: dict[tuple[int, float], tuple[float | None, float | None, int, int]] = {}
+    for i in range(len(columns)):
+        for q in quantiles:
+            rank = max(1, math.ceil(Fraction(str(q)) * first[f"n{i}"]))
+            if not first[f"n{i}"] or first[f"lo{i}"] == first[f"hi{i}"]:
+                found[i, q] = first[f"lo{i}"]
+            else:
+                opened[i, q] = (None, None, rank, first[f"n{i}"])
+
+    def inside(i: int, low: float | None, high: float | None):
+        c = F.col(f"c{i}")
+        return c.isNotNull() & (F.lit(True) if low is None else c > F.lit(low)) & (F.lit(True) if high is None else c < F.lit(high))
+
+    while wide := {key: span for key, span in opened.items() if span[3] > few}:
+        keys = list(wide)
+        slack = 2.0 / accuracy
+        sketches = []
+        for j, (i, _) in enumerate(keys):
+            low, high, rank, rows = wide[keys[j]]
+            cuts = F.array(*[F.lit(min(max(rank / rows + s, 0.0), 1.0)) for s in (-slack, slack)])
+            sketches.append(F.percentile_approx(F.when(inside(i, low, high), F.col(f"c{i}")), cuts, accuracy).alias(f"s{j}"))
+        ends = numbers.agg(*sketches).first()
+        counts = []
+        for j, (i, _) in enumerate(keys):
+            (low, high, _, _), (a, b), c = wide[keys[j]], ends[j], F.col(f"c{i}")
+            counts += [F.count_if(inside(i, low, a)), F.count_if(c == F.lit(a)), F.count_if(inside(i, a, b)), F.count_if(c == F.lit(b))]
+        seen = numbers.agg(*[c.alias(f"n{k}") for k, c in enumerate(counts)]).first()
+        for j, key in enumerate(keys):
+            low, high, rank, rows = wide[key]
+            (a, b), (below, at_a, between, at_b) = ends[j], seen[4 * j : 4 * j + 4]
+            if a == b:
+                between = at_b = 0
+            del opened[key]
+            if rank <= below:
+                opened[key] = (low, a, rank, below)
+            elif rank <= below + at_a:
+                found[key] = a
+            elif rank <= below + at_a + between:
+                opened[key] = (a, b, rank - below - at_a, between)
+            elif rank <= below + at_a + between + at_b:
+                found[key] = b
+            else:
+                rest = below + at_a + between + at_b
+                opened[key] = (b, high, rank - rest, rows - rest)
+    done = spark.createDataFrame([(columns[i], float(q), v) for (i, q), v in found.items()], schema)
+    if not opened:
+        return done
+    left = [
+        F.when(inside(i, low, high), F.struct(F.lit(columns[i]).alias("column_name"), F.lit(float(q)).alias("quantile"), F.lit(rank).alias("rank"), F.col(f"c{i}").alias("value")))
+        for (i, q), (low, high, rank, _) in opened.items()
+    ]
+    key = ["column_name", "quantile", "rank"]
+    values = numbers.select(F.inline(F.array_compact(F.array(*left)))).groupBy(*key, "value").agg(F.count("*").alias("copies"))
+    upto = Window.partitionBy(*key).orderBy("value")
+    reached = values.withColumn("upto", F.sum("copies").over(upto)).where("upto >= rank").groupBy(*key).agg(F.min("value").alias("value"))
+    return done.unionByName(reached.drop("rank"))
+
+
 def profile(df: DataFrame, exact: bool = False, quantiles: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
     """One row per column: type, rows, nulls, distinct values, extremes, mean, deviation, quantiles.
 
-    Quantiles are sketches, as are distinct counts unless ``exact``. Numbers, other
+    Quantiles and distinct counts are sketches unless ``exact``. Numbers, other
     columns and sketches are aggregated apart: together, the sketches would take the
     plain aggregates out of generated code. Nested columns are left out.
     """
@@ -51,6 +135,7 @@ def profile(df: DataFrame, exact: bool = False, quantiles: tuple[float, ...] = (
         add(numbers if number else others, i, filled=F.count(c), min_value=F.min(c).cast("string"), max_value=F.max(c).cast("string"))
         if number:
             add(numbers, i, mean=F.avg(c.cast("double")), std=F.stddev_samp(c.cast("double")))
+        if number and not exact:
             add(sketches, i, cuts=F.percentile_approx(c.cast("double"), cuts))
         if not exact:
             add(sketches, i, distinct_values=F.approx_count_distinct(c))
@@ -74,6 +159,9 @@ def profile(df: DataFrame, exact: bool = False, quantiles: tuple[float, ...] = (
     if exact:
         counts = distinct_counts(df.select(*[F.col(f"`{f.name}`") for f in columns]))
         out = out.drop("distinct_values").join(counts, "column_name", "left").fillna(0, ["distinct_values"])
+        found = exact_quantiles(df, [f.name for f in columns if isinstance(f.dataType, NUMBERS)], quantiles)
+        wide_cuts = found.groupBy("column_name").agg(*[F.max(F.when(F.col("quantile") == q, F.col("value"))).alias(n) for q, n in zip(quantiles, names[6:])])
+        out = out.drop(*names[6:]).join(wide_cuts, "column_name", "left")
     return out.select("column_name", "column_type", "rows", *names)
 
 

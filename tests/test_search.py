@@ -1,11 +1,13 @@
+import math
 import re
+from fractions import Fraction
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from terraloom.operators import prefilter, raster, similarity, spatial
-from terraloom.plans import jobs
+from terraloom.plans import jobs, reports
 from terraloom.sources import tables
 from terraloom.sources.tables import PATCH_BOUNDS
 
@@ -263,3 +265,29 @@ def test_equally_named_rasters_stay_apart(spark, pair):
     assert best[50.0].match_patch_id == best[1050.0].match_patch_id and best[50.0].match_min_x + 1000 == best[1050.0].match_min_x
     others = jobs.find_similar_patches(both, coords=coords, k=4, exclude_self=True).groupBy("query_x").count().collect()
     assert {r[0]: r[1] for r in others} == {50.0: 3, 1050.0: 3}
+
+
+def test_exact_quantiles(spark):
+    """Selection in many rounds equals sorting, whatever the spread, the repeats and the missing values."""
+    rng = np.random.default_rng(5)
+    n = 6000
+    heavy = np.where(rng.random(n) < 0.6, 7.0, rng.normal(size=n))
+    wide = np.exp(rng.normal(size=n) * 40) * rng.choice([-1, 1], n)
+    rows = [
+        (float(h), float(w), int(t), None if k % 3 else float(k), float("nan") if k % 5 == 0 else float(k % 11), None, 4)
+        for k, (h, w, t) in enumerate(zip(heavy, wide, rng.integers(0, 2, n)))
+    ]
+    df = spark.createDataFrame(rows, "heavy double, wide double, two int, holes double, nans double, none double, one int").repartition(4)
+    cuts = (0.0, 0.1, 0.25, 0.5, 0.9, 1.0)
+    columns = df.columns
+    for accuracy, few in ((20, 10), (10_000, 100_000)):
+        got = {(r.column_name, r.quantile): r.value for r in reports.exact_quantiles(df, columns, cuts, accuracy, few).collect()}
+        assert len(got) == len(columns) * len(cuts)
+        for i, name in enumerate(columns):
+            values = sorted(r[i] for r in rows if r[i] is not None and r[i] == r[i])
+            for q in cuts:
+                want = values[max(1, math.ceil(Fraction(str(q)) * len(values))) - 1] if values else None
+                assert got[name, q] == want, (name, q)
+    assert reports.exact_quantiles(df, []).count() == 0
+    empty = reports.profile(df.where("false"), exact=True).collect()
+    assert len(empty) == len(columns) and all(r.q50 is None and r.rows == 0 for r in empty)

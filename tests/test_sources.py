@@ -123,6 +123,35 @@ def test_ingest_job(spark, raster_dir, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t" / "pc_rasters")).count() == 4
 
 
+def test_paired_ingest(spark, tmp_path):
+    ramp = np.arange(16, dtype="uint8").reshape(1, 4, 4)
+    data = {
+        "in/red.tif": geotiff.write(ramp, 1.0, 0.0, -1.0, 0.0, 4326), "in/nir.tif": geotiff.write(ramp * 3, 1.0, 0.0, -1.0, 0.0, 4326),
+        "in/flat.tif": geotiff.write(ramp.reshape(1, 2, 8), 1.0, 0.0, -1.0, 0.0, 4326), "in/bad.tif": b"no raster",
+        "in/two.tif": geotiff.write(np.concatenate([ramp, ramp * 3]), 1.0, 0.0, -1.0, 0.0, 4326),
+    }
+    blobs = spark.createDataFrame(list(data.items()), "path string, content binary")
+    pairs = [("good", "in/red.tif", "in/nir.tif"), ("same", "in/red.tif", None), ("flat", "in/red.tif", "in/flat.tif"), ("bad", "in/bad.tif", "in/nir.tif"), ("gone", "in/red.tif", "in/gone.tif")]
+    told = spark.createDataFrame(pairs, "pair_id string, red_path string, nir_path string")
+    done = jobs.ingest_raster_pairs(blobs, told, str(tmp_path / "t"), block=2)
+    log = {r.file_id: r for r in done["log"].collect()}
+    assert {k: r.ingest_status for k, r in log.items()} == {"good": "ok", "same": "ok", "flat": "failed", "bad": "failed", "gone": "failed"}
+    assert log["flat"].error_message == "red and nir differ in shape: 4 x 4 and 8 x 2" and log["gone"].error_message == "no nir file in/gone.tif"
+    assert log["bad"].error_message.startswith("red: unreadable")
+    index = {r.raster_id: r for r in done["ndvi"].groupBy("raster_id").agg(F.sum(F.size(F.element_at("bands", 1))).alias("n"), F.max(F.array_max(F.element_at("bands", 1))).alias("top")).collect()}
+    assert {k: (r.n, r.top) for k, r in index.items()} == {"good": (16, 0.5), "same": (16, 0.0)}
+    assert {r.pair_id: (r.min_val, r.max_val) for r in done["nir_stats"].collect()} == {"good": (0.0, 45.0), "same": (0.0, 15.0)}
+    later = jobs.ingest_raster_pairs(blobs, told.limit(0).unionByName(spark.createDataFrame([("x", "in/two.tif", None), ("y", "in/red.tif", "in/red.tif")], told.schema)), str(tmp_path / "u"), nir_band=2)
+    assert {r.file_id: r.error_message for r in later["log"].collect()} == {"x": None, "y": "nir: band 2 out of range for 1 bands"}
+    # Files whose blocks differ although their headers agree are named by the coverage check.
+    blocks = rasters.raster_blocks(blobs.where("path <> 'in/bad.tif'").withColumn("raster_id", F.col("path")), 2)
+    lossy = blocks.where("raster_id <> 'in/nir.tif' OR row_off = 0")
+    ids = spark.createDataFrame([("a", "in/red.tif", "in/nir.tif"), ("b", "in/red.tif", "in/red.tif"), ("c", "in/none.tif", "in/red.tif")], "pair_id string, red_id string, nir_id string")
+    good, odd = raster.covered_pairs(blocks, lossy, ids)
+    assert [r.pair_id for r in good.collect()] == ["b"]
+    assert {r.pair_id: r.error for r in odd.collect()} == {"a": "red and nir differ in shape: 2 of 4 and 2 blocks in common", "c": "no pixels of red"}
+
+
 def test_landing_refuses_nameless_and_filters_extensions(spark):
     blobs = spark.createDataFrame([("a/x.LAS", b"1"), ("a/x.txt", b"2")], "path string, content binary")
     landed = files.land_files(blobs, "pointcloud/raw", allowed=(".las", ".csv")).collect()

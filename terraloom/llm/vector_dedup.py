@@ -66,7 +66,7 @@ def _fine(batch: pa.RecordBatch):
             yield rows[fine], x[fine] + 0.0  # no negative zero
 
 
-def _code(vectors: DataFrame) -> DataFrame:
+def _code(vectors: DataFrame, count: int, tables: int) -> DataFrame:
     """Per row ``vec_id``; where it can be compared, also ``label_hash, h1, h2`` (name of its content), ``cells`` and ``probes``."""
 
     def run(batches):
@@ -82,8 +82,8 @@ def _code(vectors: DataFrame) -> DataFrame:
                 name[:, rows] = _names(x)
                 unit = _unit(x)
                 homes, others = [], [[] for _ in rows]
-                for t in range(lattice.TABLES):
-                    home, row, other = lattice.cells(unit, t)
+                for t in range(tables):
+                    home, row, other = lattice.cells(unit, t, count)
                     own = label[rows].view(np.uint64)
                     homes.append(_labelled(home, own, t, x.shape[1]).view(np.int64))
                     other = _labelled(other, own[row], t, x.shape[1]).view(np.int64)
@@ -127,11 +127,11 @@ def _stored(vectors: DataFrame) -> str:
     return "<f4" if vectors.schema["embedding"].dataType.elementType == T.FloatType() else "<f8"
 
 
-def _met_before(unit: np.ndarray, ids: np.ndarray, i: np.ndarray, j: np.ndarray, table: int, home: bool) -> np.ndarray:
+def _met_before(unit: np.ndarray, ids: np.ndarray, i: np.ndarray, j: np.ndarray, table: int, home: bool, count: int) -> np.ndarray:
     """Whether pairs (ids ascending from i to j) met in an earlier table, or meet in another cell of this one that counts."""
     before = np.zeros(len(i), bool)
     for t in range(table + (not home)):
-        cell, row, other = lattice.cells(unit, t)
+        cell, row, other = lattice.cells(unit, t, count)
         number = np.unique(np.concatenate([cell, other]), return_inverse=True)[1]
         cell, other = number[: len(cell)].astype(np.int64), number[len(cell) :].astype(np.int64)
         probed = np.unique(row * (number.max() + 1) + other)
@@ -147,7 +147,7 @@ def _met_before(unit: np.ndarray, ids: np.ndarray, i: np.ndarray, j: np.ndarray,
     return before
 
 
-def _compare(similarity: float, kind: str):
+def _compare(similarity: float, kind: str, count: int):
     """Links inside one block, as ``vec_id, links, root``."""
 
     def work(block: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -167,11 +167,11 @@ def _compare(similarity: float, kind: str):
             return None
         keep = np.zeros(len(i), bool)
         both = home[i] & home[j]
-        keep[both] = ~_met_before(unit, ids, i[both], j[both], table, True)
+        keep[both] = ~_met_before(unit, ids, i[both], j[both], table, True, count)
         first = ~both & home[i]  # the smaller id is at home here: this cell counts
-        keep[first] = ~_met_before(unit, ids, i[first], j[first], table, True)
+        keep[first] = ~_met_before(unit, ids, i[first], j[first], table, True, count)
         last = ~both & home[j]
-        keep[last] = ~_met_before(unit, ids, i[last], j[last], table, False)
+        keep[last] = ~_met_before(unit, ids, i[last], j[last], table, False, count)
         i, j = i[keep], j[keep]
         if not len(i):
             return None
@@ -196,9 +196,13 @@ def vector_links(vectors: DataFrame, similarity: float = SIMILARITY) -> DataFram
     components, null labels and null ids link with nothing: no links, a component of their own,
     kept. Repeated rows are vectors of their own and link with each other. Links found are
     always real; a pair close to the limit is missed where no table has it in one cell or
-    probes it, a share that tests show to be below 1 in 100. An empty table gives no rows.
+    probes it, a share that tests show to be below 1 in 100. Cells are as fine, and tables as many, as the
+    rows of the largest label ask for (``lattice.resolution``). An empty table gives no rows.
     """
-    coded = materialize(_code(vectors), "coded")
+    # Strangers are those of one label, so the largest label sets how fine cells must be.
+    largest = vectors.where("label IS NOT NULL").groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    count, tables = lattice.resolution(largest, similarity)
+    coded = materialize(_code(vectors, count, tables), "coded")
     content = ["label_hash", "h1", "h2"]
     fine = F.col("h1").isNotNull()
     classes = materialize(
@@ -217,7 +221,7 @@ def vector_links(vectors: DataFrame, similarity: float = SIMILARITY) -> DataFram
     placed = _contents(vectors).dropDuplicates(["vec_id", "h1", "h2"]).join(met, ["vec_id", "h1", "h2"])
     dealt = blocks.deal(placed, "cell", "members", "vec_id").select("block", "vec_id", "n", "home", "side", "two", "table", "vec")
     found = materialize(
-        blocks.by_block(dealt, "vec_id", _compare(similarity, _stored(vectors)), "vec_id long, links long, root long"), "links"
+        blocks.by_block(dealt, "vec_id", _compare(similarity, _stored(vectors), count), "vec_id long, links long, root long"), "links"
     )
     edges = found.where("vec_id <> root").select(F.lit("").alias("cloud_id"), F.col("vec_id").alias("a"), F.col("root").alias("b"))
     comps = connected_components(edges).select(F.col("node").alias("rep"), F.col("label").alias("_comp"))

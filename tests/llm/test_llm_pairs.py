@@ -71,7 +71,10 @@ def test_vector_links_of_odd_tables(spark):
     assert vector_dedup.vector_links(df.limit(0)).count() == 0
 
 
-def test_recall_of_pairs_near_the_limit():
+@pytest.mark.parametrize("vectors", [0, 5000, 10**6, 10**8, 10**13])
+def test_recall_of_pairs_near_the_limit(vectors):
+    """The same recall at every resolution."""
+    count, tables = lattice.resolution(vectors, 0.98)
     rng = np.random.default_rng(4)
     a = rng.normal(size=(3000, 64))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
@@ -80,15 +83,42 @@ def test_recall_of_pairs_near_the_limit():
     side /= np.linalg.norm(side, axis=1, keepdims=True)
     b = 0.981 * a + np.sqrt(1 - 0.981**2) * side
     met = np.zeros(len(a), bool)
-    for t in range(lattice.TABLES):
-        ca, ra, pa_ = lattice.cells(a, t)
-        cb, rb, pb = lattice.cells(b, t)
+    for t in range(tables):
+        ca, ra, pa_ = lattice.cells(a, t, count)
+        cb, rb, pb = lattice.cells(b, t, count)
         met |= ca == cb
         met[ra[pa_ == cb[ra]]] = True
         met[rb[pb == ca[rb]]] = True
     assert met.mean() > 0.99
 
 
+def test_cells_get_finer_with_more_vectors():
+    """Strangers a vector meets in a table stay bounded: their share falls block by block, as the resolution assumes."""
+    x = np.random.default_rng(9).normal(size=(40_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    shares = []
+    for count in (1, 2, 3):
+        copies = np.unique(lattice.cells(x, 0, count)[0], return_counts=True)[1].astype(float)
+        shares.append((copies * (copies - 1)).sum() / len(x) ** 2)
+    assert shares[1] < shares[0] / 50 and shares[2] < shares[1] / 50
+    counts = [lattice.resolution(n, 0.98)[0] for n in (1000, 10**5, 10**6, 10**8, 10**10, 10**12, 10**13)]
+    assert counts == sorted(counts) and counts[0] == 2 and counts[-1] == 6
+    assert 10**6 * shares[lattice.resolution(10**6, 0.98)[0] - 1] < lattice.STRANGERS
+
+
+def test_links_at_a_finer_resolution(spark, monkeypatch):
+    """What a large table would use, on a small one: links, components and counts equal those at the coarse resolution."""
+    rng = np.random.default_rng(10)
+    centre = rng.normal(size=(40, 64))
+    x = (centre / np.linalg.norm(centre, axis=1, keepdims=True))[rng.integers(0, 40, 400)] + rng.normal(size=(400, 64)) * 0.008
+    df = spark.createDataFrame([(k, v.astype(float).tolist(), k % 2) for k, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    coarse = sorted(map(tuple, vector_dedup.vector_links(df).collect()))
+    fine = lattice.resolution(10**8, 0.98)
+    monkeypatch.setattr(lattice, "resolution", lambda *_: fine)
+    assert fine[0] == 4 and sorted(map(tuple, vector_dedup.vector_links(df).collect())) == coarse
+    assert sum(r[1] > 0 for r in coarse) > 300
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=60))
 def test_roots(pairs):

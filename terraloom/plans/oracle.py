@@ -200,6 +200,7 @@ ORACLE["validate_split"] = _with(HEAD, ERRORS) + "SELECT raster_id, errors FROM
 ORACLE["ingest_log"] = _with(HEAD, ERRORS) + """
 SELECT raster_id AS file_id, path AS source_path, CASE WHEN errors = '' THEN 'ok' ELSE 'failed' END AS ingest_status,
        nullif(errors, '') AS error_message FROM checked"""
+ORACLE["published_catalog"] = ORACLE["ingest_log"]
 ORACLE["catalog_table"] = _with(HEAD, ERRORS) + """
 SELECT CASE WHEN errors = '' THEN 'ok' ELSE 'failed' END AS ingest_status, count(*) AS files FROM checked GROUP BY 1"""
 
@@ -398,6 +399,7 @@ SELECT *, {_r('events / 300.0::DOUBLE')} AS per_second FROM rate
 WHERE window_end <= (SELECT max(date_trunc('milliseconds', ts)) - INTERVAL '10 minutes' FROM events)"""
 ORACLE["newest_sample"] = """
 SELECT event_type, ts, value FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1"""
+ORACLE["stream_newest_sample"] = ORACLE["newest_sample"]
 
 # --- files ------------------------------------------------------------------------------------
 

@@ -537,6 +537,15 @@ def newest_sample(spark: SparkSession, sf: str) -> DataFrame:
     return streams.newest_sample(views.table(spark, sf, "events"))
 
 
+@query
+def stream_newest_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest sample of each type, kept by a stream that runs twice."""
+    arriving = spark.readStream.schema(views.table(spark, sf, "events").schema).parquet(f"{sf}/events.parque[t]")
+    out, state = new_dir(spark, "newest"), new_dir(spark, "newest-state")
+    streams.newest_samples(arriving, out, state)
+    return streams.newest_samples(arriving, out, state)
+
+
 @query
 def stream_rate_5m(spark: SparkSession, sf: str) -> DataFrame:
     schema = views.table(spark, sf, "events").schema
@@ -809,3 +818,14 @@ def catalog_table(spark: SparkSession, sf: str) -> DataFrame:
     tables.write_table(log.where("ingest_status = 'ok'"), out, mode="append")
     tables.write_table(log.where("ingest_status <> 'ok'"), out, mode="append")
     return spark.read.parquet(out).groupBy("ingest_status").agg(F.count("*").alias("files"))
+
+
+@query
+def published_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """The log published in batches by outcome: one batch is repeated, another is written and never published."""
+    out = new_dir(spark, "published")
+    log = catalog.ingest_log(*raster.validate(views.headers(spark, sf)))
+    for batch, rows in (("ok", log), ("failed", log.where("ingest_status = 'failed'")), ("ok", log.where("ingest_status = 'ok'"))):
+        tables.publish(rows, out, batch)
+    log.write.parquet(f"{out}/data/unfinished")
+    return tables.read_published(spark, out)

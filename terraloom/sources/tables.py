@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,10 +119,49 @@ def write_json_summary(one_row: DataFrame, path: str) -> None:
     one_row.coalesce(1).write.mode("overwrite").json(path)
 
 
-def create_table(spark: SparkSession, name: str, ddl: str) -> None:
-    """Create (or replace) an empty catalog table with required and optional fields."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet")
+def publish(df: DataFrame, table_dir: str, batch: str) -> None:
+    """Put ``df`` into a table of batches, to be seen whole or not at all.
+
+    Rows go to a folder of their own first; then one small entry that names it is put into place by a rename. A run that
+    fails before leaves nothing that readers see, and a batch published again takes the place of its earlier rows and of no others.
+    Readers at work keep the folders they started with; nothing is deleted.
+    """
+    if not batch or any(c in batch for c in "\n\r\t"):
+        raise ValueError(f"not a batch name: {batch!r}")
+    folder = f"data/{uuid.uuid4().hex}"
+    df.write.parquet(f"{table_dir}/{folder}")
+    context = df.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path
+    entries = path(f"{table_dir}/entries")
+    system = entries.getFileSystem(context._jsc.hadoopConfiguration())
+    system.mkdirs(entries)
+    name = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    staged = path(entries, f"_{name}")
+    with_entry = system.create(staged, False)
+    with_entry.write(bytearray(f"{name}\t{batch}\t{folder}\n".encode()))
+    with_entry.close()
+    if not system.rename(staged, path(entries, name)):
+        raise OSError(f"cannot publish {batch} in {table_dir}")
+
+
+def published(spark: SparkSession, table_dir: str) -> dict[str, str]:
+    """Folder of each batch of a published table, by the last entry that names it."""
+    cells = F.split("value", "\t")
+    entries = spark.read.text(f"{table_dir}/entries").select(cells[0].alias("name"), cells[1].alias("batch"), cells[2].alias("folder"))
+    return {r.batch: f"{table_dir}/{r.folder}" for r in entries.groupBy("batch").agg(F.max_by("folder", "name").alias("folder")).collect()}
+
+
+def read_published(spark: SparkSession, table_dir: str) -> DataFrame:
+    """All rows of the batches that were published, with columns by name."""
+    folders = sorted(published(spark, table_dir).values())
+    return spark.read.option("mergeSchema", "true").parquet(*folders)
+
+
+def create_table(spark: SparkSession, name: str, ddl: str, replace: bool = True) -> None:
+    """Create an empty catalog table with required and optional fields; a table of that name is replaced, or kept with its rows."""
+    if replace:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet")
 
 
 def append_table(df: DataFrame, name: str) -> None:

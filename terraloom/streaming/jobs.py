@@ -67,6 +67,25 @@ def newest_sample(events: DataFrame, label: str = "event_type", ts: str = "ts",
     return events.groupBy(label).agg(newest).select(label, F.col(f"n.{ts}").alias(ts), F.col(f"n.{value}").alias(value))
 
 
+def newest_samples(stream: DataFrame, out_dir: str, checkpoint: str, label: str = "event_type", ts: str = "ts", value: str = "value",
+                   tie: str = "event_id", window: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
+    """Latest value per label of all that a stream has brought so far, over any number of runs with the same folders.
+
+    The stream keeps one row per label and window and forgets a window once it ended ``delay`` before the newest time
+    seen, so state is bounded by the labels of the last windows. Rows that come later than that for a forgotten window
+    are left out, and rows without a time always; others count whatever their order. A task reduces its rows first, so a hot label
+    sends one row per task and window. Each micro-batch is a folder of its own, written anew when it is repeated.
+    """
+    timed = stream.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", delay)
+    newest = timed.groupBy(F.window("_ts", window), label).agg(F.max_by(F.struct(ts, value, tie), F.struct(ts, tie)).alias("n")).select(label, "n.*")
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_dir}/batch={number}")
+
+    newest.writeStream.outputMode("update").trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(store).start().awaitTermination()
+    return newest_sample(stream.sparkSession.read.schema(newest.schema).parquet(out_dir), label, ts, value, tie)
+
+
 def run_to_table(stream: DataFrame, out_dir: str, checkpoint: str) -> DataFrame:
     """Drain what a stream has available into a table and return the table."""
     query = (

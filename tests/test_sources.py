@@ -433,3 +433,56 @@ def test_ndvi_of_two_files_stays_packed(spark):
 def test_null_pixels_count_alike_in_both_ndvi_forms(spark):
     p = spark.createDataFrame([("a", 0, 0, 1, 1.0), ("a", 0, 0, 2, None), ("a", 0, 1, 1, 1.0), ("a", 0, 1, 2, 3.0)], "raster_id string, row int, col int, band int, value double")
     assert sorted(raster.ndvi_bands(p, 1, 2).collect()) == sorted(raster.ndvi(p, p, 1, 2).collect())
+
+
+def test_published_batches(spark, tmp_path):
+    """A batch shows whole once it is published: not before, not after a failed run, and once however often it is repeated."""
+    folder = str(tmp_path / "table")
+    rows = lambda *v: spark.createDataFrame([(k,) for k in v], "k int")
+    tables.publish(rows(1, 2), folder, "a")
+    tables.publish(rows(3), folder, "b")
+    before = tables.read_published(spark, folder)
+    assert sorted(r.k for r in before.collect()) == [1, 2, 3]
+    with pytest.raises(Exception):
+        tables.publish(rows(9).select(F.raise_error(F.lit("lost"))), folder, "b")
+    rows(7).write.parquet(f"{folder}/data/staged")
+    (tmp_path / "table" / "entries" / "_left").write_text("99\ta\tdata/staged\n")
+    assert sorted(r.k for r in tables.read_published(spark, folder).collect()) == [1, 2, 3]
+    tables.publish(rows(4).withColumn("more", F.lit("x")), folder, "a")
+    assert sorted(map(tuple, tables.read_published(spark, folder).collect()), key=str) == [(3, None), (4, "x")]
+    assert sorted(r.k for r in before.collect()) == [1, 2, 3]
+    with pytest.raises(ValueError, match="batch name"):
+        tables.publish(rows(1), folder, "a\tb")
+
+
+def test_create_table_keeps_rows_if_asked(spark):
+    tables.create_table(spark, "kept_rows", "k int not null, note string")
+    tables.append_table(spark.createDataFrame([("n", 1)], "note string, k int"), "kept_rows")
+    tables.create_table(spark, "kept_rows", "k int not null, note string", replace=False)
+    assert [tuple(r) for r in spark.table("kept_rows").collect()] == [(1, "n")]
+    tables.create_table(spark, "kept_rows", "k int not null, note string")
+    assert spark.table("kept_rows").count() == 0
+    spark.sql("DROP TABLE kept_rows")
+
+
+def test_newest_samples_of_a_stream(spark, tmp_path):
+    """Later files, rows out of order, rows too late for a forgotten window, and a run without news."""
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    kind = "event_id bigint, ts timestamp_ntz, event_type string, value double"
+
+    def arrive(*rows):
+        spark.createDataFrame(rows, "event_id bigint, ts string, event_type string, value double").withColumn(
+            "ts", F.col("ts").cast("timestamp_ntz")
+        ).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(kind).parquet(source)
+        return {r.event_type: r.value for r in streams.newest_samples(stream, out, state).collect()}
+
+    first = arrive((1, "2024-01-01 10:00:00", "a", 1.0), (2, "2024-01-01 09:59:00", "a", 2.0), (3, "2024-01-01 10:00:00", "a", 3.0), (4, "2024-01-01 10:05:00", "b", 4.0), (5, None, "c", 5.0))
+    assert first == {"a": 3.0, "b": 4.0}
+    # The time moves on to 12:00; d is within the delay, though older than what was seen.
+    assert arrive((6, "2024-01-01 12:00:00", "b", 6.0), (7, "2024-01-01 10:01:00", "a", 7.0), (8, "2024-01-01 09:58:00", "d", 8.0)) == {"a": 7.0, "b": 6.0, "d": 8.0}
+    # Rows of windows that ended before 11:50 are late now; those of open windows count in any order.
+    assert arrive((9, "2024-01-01 10:30:00", "e", 9.0), (10, "2024-01-01 12:10:00", "a", 10.0), (11, "2024-01-01 12:05:00", "a", 11.0)) == {"a": 10.0, "b": 6.0, "d": 8.0}
+    stream = spark.readStream.schema(kind).parquet(source)
+    again = {r.event_type: r.value for r in streams.newest_samples(stream, out, state).collect()}
+    assert again == {"a": 10.0, "b": 6.0, "d": 8.0}

@@ -1,7 +1,7 @@
 """Mixing sources to target weights: repeat or thin each source's documents until its words meet its target.
 
 DataFrame functions only. Words are counted per document, summed per source before the
-shuffle, and targets are found on the small table of sources. Each document is emitted
+shuffle, and targets are found on the table of sources, dealt by ranges. Each document is emitted
 floor(rate) times, and once more when its seeded hash falls below the fraction.
 """
 
@@ -26,6 +26,24 @@ def words(text: Column | str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint"), F.lit(0).cast("bigint"))
 
 
+def _ranged(rows: DataFrame, order: list[str], sums: dict[str, str], label: str) -> DataFrame:
+    """``rows`` with ``_before_<name>``: the sum of a column over all rows that come earlier in the order, which must be strict.
+
+    Rows are dealt by ranges of the order; each task sums its own range, and the ranges before it add one number each. So no
+    task holds more than a range, and only one row per range meets in one place.
+    """
+    placed = materialize(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), label)
+    parts = placed.groupBy("_part").agg(*[F.sum(v).alias(f"_sum_{k}") for k, v in sums.items()])
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("_part", *[F.coalesce(F.sum(f"_sum_{k}").over(earlier), F.lit(0)).alias(f"_start_{k}") for k in sums])
+    within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    told = placed.withColumns({f"_own_{k}": F.coalesce(F.sum(v).over(within), F.lit(0)) for k, v in sums.items()})
+    told = told.join(F.broadcast(starts), "_part")  # one row per range of the shuffle
+    return told.withColumns({f"_before_{k}": F.col(f"_start_{k}") + F.col(f"_own_{k}") for k in sums}).drop(
+        "_part", *[f"_{n}_{k}" for n in ("start", "own") for k in sums]
+    )
+
+
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
     """``target`` of every row of ``sources`` (``source``, ``source_size``, one row each).
 
@@ -33,24 +51,22 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     together are shared by weight; no target passes ``most`` times its source's size, and
     the excess goes to the others by weight. Filling sources in order of cap per weight
     gives the level at which that ends: a source is full when its cap per weight is at
-    most the level of those after it.
+    most the level of those after it. Both orders are dealt by ranges, so sources may be many.
     """
-    whole = Window.partitionBy(F.lit(0))
-    ordered = sources.withColumn("_rank", F.row_number().over(whole.orderBy(F.col("source").isNull(), F.encode("source", "UTF-8"))) - 1)
+    named = sources.withColumns({"_none": F.col("source").isNull(), "_name": F.encode("source", "UTF-8"), "_one": F.lit(1).cast("bigint")})
+    ranked = _ranged(named, ["_none", "_name"], {"rank": "_one"}, "ranked").drop("_none", "_name", "_one").withColumnRenamed("_before_rank", "_rank")
     cycle = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("_rank") % len(weights) + 1).cast("int"))
-    caps = ordered.withColumn("_w", cycle).withColumn("_cap", (F.col("source_size") * most).cast("double"))
+    caps = ranked.withColumn("_w", cycle).withColumn("_cap", (F.col("source_size") * most).cast("double"))
     caps = caps.withColumn("_ratio", F.col("_cap") / F.col("_w"))
-    fill = whole.orderBy("_ratio", "_rank").rowsBetween(Window.unboundedPreceding, -1)
-    rest = whole.orderBy("_ratio", "_rank").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    levels = caps.withColumns({
-        "_level": (F.sum("source_size").over(whole) - F.coalesce(F.sum("_cap").over(fill), F.lit(0.0))) / F.sum("_w").over(rest),
-    }).withColumn("_open", F.col("_ratio") > F.col("_level"))
+    filled = materialize(_ranged(caps, ["_ratio", "_rank"], {"cap": "_cap", "w": "_w"}, "capped"), "filled")
+    size, weight = filled.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("_w"), F.lit(0.0))).first()
+    levels = filled.withColumn("_level", (F.lit(size) - F.col("_before_cap")) / (F.lit(weight) - F.col("_before_w")))
     # Levels only rise along the order, so the first source left open fixes the level of all open ones.
-    found = levels.withColumn("_first", F.min(F.when(F.col("_open"), F.struct("_ratio", "_rank", "_level"))).over(whole))
-    level = F.col("_first")["_level"]
-    return found.withColumn(
+    first = levels.where(F.col("_ratio") > F.col("_level")).agg(F.min(F.struct("_ratio", "_rank", "_level")).alias("f")).first()["f"]
+    level = F.lit(None if first is None else float(first["_level"])).cast("double")
+    return filled.withColumn(
         "target", F.when(level.isNull() | (F.col("_ratio") <= level), F.col("_cap")).otherwise(F.col("_w") * level)
-    ).drop("_rank", "_w", "_cap", "_ratio", "_level", "_open", "_first")
+    ).drop("_rank", "_w", "_cap", "_ratio", "_before_cap", "_before_w")
 
 
 def _draw(seed: str) -> Column:

@@ -110,7 +110,8 @@ def mix_targets(sizes, weights=(5, 2, 1), most=3):
     while True:
         left = total - sum(full.values())
         free = [s for s in names if s not in full]
-        share = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+        heavy = sum(weight[x] for x in free)
+        share = {s: left * weight[s] / heavy for s in free}
         over = [s for s in free if share[s] > most * sizes[s]]
         if not over:
             return full | share

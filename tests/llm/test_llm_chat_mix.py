@@ -6,6 +6,7 @@ import random
 
 import pytest
 from llm_plain import SIZE, mix_targets, odd_documents
+from pyspark.sql import functions as F
 
 from terraloom.llm import chat, mixing
 
@@ -65,6 +66,22 @@ def test_targets_are_those_of_sharing_again(spark, sizes):
     assert got.keys() == want.keys() and all(abs(got[s] - want[s]) <= 1e-6 * max(1, want[s]) for s in want)
 
 
+def test_targets_of_many_sources_are_found_by_ranges(spark):
+    """Ranks and fill levels of 200 000 sources, dealt to several tasks: equal to the plain ones, and no task has them all."""
+    rng = random.Random(8)
+    sizes = {f"https://site-{rng.randrange(10**9)}-{k}.example/": rng.choice([0, 1, 5, 5, 40, 10**6]) + rng.randrange(3) for k in range(200_000)}
+    df = spark.createDataFrame(list(sizes.items()), "source string, source_size long").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranges = mixing._ranged(df, ["source"], {"size": "source_size"}, "ranges").groupBy(F.spark_partition_id()).count().collect()
+        got = mixing.targets(df).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(r["count"] for r in ranges) < 100_000
+    want = mix_targets(sizes)
+    assert len(got) == len(want) and all(abs(r.target - want[r.source]) <= 1e-6 * max(1.0, want[r.source]) for r in got)
+
+
 def test_mix_takes_near_its_targets(spark):
     docs = spark.range(6000).selectExpr("id AS doc_id", "repeat('wort ', CAST(1 + id % 7 AS INT)) AS text", "concat('s', CAST(sqrt(id % 50) AS INT)) AS source", "1 AS copies")
     rows = mixing.mix_report(docs).collect()

@@ -17,9 +17,12 @@ from ..sources.tables import PATCH_BOUNDS, require_columns
 from . import spatial
 from .prefilter import may_match
 
-# Query vectors held by one task, and scores it computes at once, in bytes.
+# Query vectors held by one task, and scores it computes at once, in bytes; a few arrays of that size come with them.
 QUERY_BYTES = 64 << 20
-SCORE_BYTES = 64 << 20
+SCORE_BYTES = 16 << 20
+# Matches that one task holds, with their facts, and those it gives out at once.
+HELD_ROWS = 400_000
+OUT_ROWS = 10_000
 # Scores closer than this are the same score; it hides summation order from the ranks.
 SCORE_PLACES = 9
 
@@ -38,43 +41,71 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 class _Best:
-    """The k best patches seen so far for each query of a fixed set, with their facts."""
+    """The k best patches seen so far for each query of a fixed set, with their facts.
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, key: str | None):
+    Equal scores rank by ``order``, columns of the facts. A batch of patches meets a few queries at
+    a time and leaves k or so candidates a query, so memory does not grow with queries times patches or with ties.
+    """
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, order: list[str], key: str | None):
         self.ids, self.vectors, self.k, self.key = ids, vectors, k, key
+        self.order = [(name, "ascending") for name in order]
         self.known = pa.array(ids, pa.string())
         self.scores = np.full((len(ids), k), -np.inf)
         self.rows = np.zeros((len(ids), k), np.int64)  # places in ``facts``
         self.facts: pa.Table | None = None
 
     def add(self, facts: pa.RecordBatch, vectors: np.ndarray) -> None:
-        step = max(SCORE_BYTES // (8 * max(len(self.ids), 1)), 1)
-        for at in range(0, facts.num_rows if len(self.ids) else 0, step):
-            self._add(facts.slice(at, step), vectors[at : at + step])
-
-    def _add(self, facts: pa.RecordBatch, vectors: np.ndarray) -> None:
-        scores = np.round(self.vectors @ vectors.T, SCORE_PLACES) + 0.0
-        if self.key:
-            own = pc.index_in(facts.column(self.key), value_set=self.known).to_numpy(zero_copy_only=False)
-            hit = np.flatnonzero(~np.isnan(own.astype("float64")))
-            scores[own[hit].astype(int), hit] = -np.inf
-        # Keep everything level with the k-th score, so ties are settled by id below.
-        edge = self.scores[:, -1]
-        if facts.num_rows > self.k:
-            edge = np.maximum(edge, np.partition(scores, facts.num_rows - self.k, axis=1)[:, -self.k])
-        row, col = np.nonzero((scores >= edge[:, None]) & (scores > -np.inf))
-        if not len(row):
+        finite = np.flatnonzero(np.isfinite(vectors).all(axis=1))
+        if not len(self.ids) or not len(finite):
             return
+        # In the order of ties, so that the first of equal scores is the one to keep.
+        finite = finite[self._sorted(facts.take(pa.array(finite)))]
+        facts, vectors = facts.take(pa.array(finite)), vectors[finite]
+        own = np.full(len(vectors), -1)
+        if self.key:
+            own = pc.fill_null(pc.index_in(facts.column(self.key), value_set=self.known), -1).to_numpy(zero_copy_only=False)
+        step = max(SCORE_BYTES // (8 * len(vectors)), 1)
+        found = [self._candidates(at, vectors, own, step) for at in range(0, len(self.ids), step)]
+        row, col, score = (np.concatenate(part) for part in zip(*found))
+        if len(row):
+            self._merge(facts, row, col, score)
+
+    def _sorted(self, facts) -> np.ndarray:
+        return pc.sort_indices(facts, sort_keys=self.order, null_placement="at_start").to_numpy()
+
+    def _candidates(self, at: int, vectors: np.ndarray, own: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, patch, score) of a run of queries: all that can be among the k best, no more than 2k a query on average."""
+        scores = self.vectors[at : at + step] @ vectors.T
+        hit = np.flatnonzero((own >= at) & (own < at + len(scores)))
+        scores[own[hit] - at, hit] = -np.inf
+        edge, slack = self.scores[at : at + step, -1], 10.0**-SCORE_PLACES
+        near = scores >= (edge - slack)[:, None]
+        if len(vectors) > self.k and np.count_nonzero(near) > 2 * self.k * len(scores):
+            kth = np.partition(scores, len(vectors) - self.k, axis=1)[:, -self.k]
+            edge = np.maximum(edge, np.round(kth, SCORE_PLACES) + 0.0)
+            near = scores >= (edge - slack)[:, None]
+        row, col = np.divmod(np.flatnonzero(near), len(vectors))
+        score = np.round(scores[row, col], SCORE_PLACES) + 0.0
+        above = score > edge[row]
+        level = np.flatnonzero((score == edge[row]) & (score > -np.inf))
+        # Of those level with the k-th score only the first k of a query can follow.
+        level = level[np.arange(len(level)) - np.searchsorted(row[level], row[level]) < self.k]
+        above[level] = True
+        return row[above] + at, col[above], score[above]
+
+    def _merge(self, facts: pa.RecordBatch, row: np.ndarray, col: np.ndarray, score: np.ndarray) -> None:
         front, place = np.unique(col, return_inverse=True)
         new = pa.Table.from_batches([facts.take(pa.array(front))])
         before = self.facts.num_rows if self.facts else 0
         table = pa.concat_tables([self.facts, new]) if self.facts else new
         old_row, old_col = np.nonzero(self.scores > -np.inf)
         row = np.concatenate([old_row, row])
-        score = np.concatenate([self.scores[old_row, old_col], scores[row[len(old_row) :], col]])
+        score = np.concatenate([self.scores[old_row, old_col], score])
         fact = np.concatenate([self.rows[old_row, old_col], before + place])
-        names = np.array(table["patch_id"].to_pylist(), object).astype(str)
-        order = np.lexsort((names[fact], -score, row))
+        rank = np.empty(table.num_rows, np.int64)
+        rank[self._sorted(table)] = np.arange(table.num_rows)
+        order = np.lexsort((rank[fact], -score, row))
         row, score, fact = row[order], score[order], fact[order]
         place = np.arange(len(row)) - np.searchsorted(row, row)
         keep = place < self.k
@@ -84,13 +115,15 @@ class _Best:
         self.scores[:] = -np.inf
         self.scores[row, place], self.rows[row, place] = score, fact
 
-    def batches(self) -> list[pa.RecordBatch]:
+    def batches(self) -> Iterator[pa.RecordBatch]:
         if self.facts is None:
-            return []
+            return
         row, col = np.nonzero(self.scores > -np.inf)
-        facts = self.facts.take(pa.array(self.rows[row, col]))
-        out = facts.append_column("query_id", pa.array(self.ids[row], pa.string())).append_column("score", pa.array(self.scores[row, col]))
-        return out.combine_chunks().to_batches()
+        for at in range(0, len(row), OUT_ROWS):
+            r, c = row[at : at + OUT_ROWS], col[at : at + OUT_ROWS]
+            out = self.facts.take(pa.array(self.rows[r, c]))
+            out = out.append_column("query_id", pa.array(self.ids[r], pa.string())).append_column("score", pa.array(self.scores[r, c]))
+            yield from out.combine_chunks().to_batches()
 
 
 def top_k(patches: DataFrame, queries: DataFrame, k: int = 5, exclude_self: bool = False, query_bytes: int = QUERY_BYTES,
@@ -100,27 +133,28 @@ def top_k(patches: DataFrame, queries: DataFrame, k: int = 5, exclude_self: bool
     ``queries`` has ``query_id`` and ``vector``; a repeated query gets its matches as often
     as it is asked, and an id with two vectors fails. Equal scores rank by patch id. With
     ``exclude_self`` a query is never matched to the patch that has its id in ``key``.
-    Queries are broadcast in blocks of ``query_bytes`` and patches stay where they are: one
+    Queries are broadcast in blocks of ``query_bytes``, and of ``HELD_ROWS`` / k, and patches stay where they are: one
     scan per block. Each task keeps k rows per query, with the facts of the patches.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    names = list(dict.fromkeys(["patch_id", key, *carry]))
+    order_by = list(dict.fromkeys(["patch_id", key]))
+    names = list(dict.fromkeys([*order_by, *carry]))
     facts = non_null_embedding(patches).select(*names, "embedding")
     asked = queries.where(F.col("vector").isNotNull()).select(F.col("query_id").cast("string").alias("query_id"), "vector")
     one = F.when(F.min("vector") == F.max("vector"), F.min("vector")).otherwise(
         F.raise_error(F.concat(F.lit("two vectors for query "), F.coalesce("query_id", F.lit("NULL")))).cast(asked.schema["vector"].dataType)
     )
     seeds = materialize(asked.groupBy("query_id").agg(one.alias("vector"), F.count("*").alias("_times")), "queries")
-    size = seeds.agg(F.sum(F.size("vector") * 8)).first()[0] or 0
-    blocks = max(math.ceil(size / query_bytes), 1)
+    size, asking = seeds.agg(F.sum(F.size("vector") * 8), F.count("*")).first()
+    blocks = max(math.ceil((size or 0) / query_bytes), math.ceil(asking * k / HELD_ROWS), 1)
     schema = facts.drop("embedding").schema.add("query_id", "string").add("score", "double")
     partial = None
     for block in range(blocks):
         mine = seeds.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).select("query_id", "vector").toArrow()
-        found = facts.mapInArrow(_scanner(patches, mine, k, key if exclude_self else None), schema)
+        found = facts.mapInArrow(_scanner(patches, mine, k, order_by, key if exclude_self else None), schema)
         partial = found if partial is None else partial.unionByName(found)
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), *dict.fromkeys(["patch_id", key]))
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), *order_by)
     ranked = partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     often = seeds.where("_times > 1").select(F.col("query_id").alias("_again"), "_times")
     out = ranked.join(often, F.col("query_id").eqNullSafe(F.col("_again")), "left")
@@ -128,13 +162,13 @@ def top_k(patches: DataFrame, queries: DataFrame, k: int = 5, exclude_self: bool
     return out.select("query_id", "patch_id", "score", "rank", *[c for c in names if c != "patch_id" and c in carry])
 
 
-def _scanner(patches: DataFrame, queries: pa.Table, k: int, key: str | None):
+def _scanner(patches: DataFrame, queries: pa.Table, k: int, order: list[str], key: str | None):
     ids = np.array(queries["query_id"].to_pylist(), object)
     vectors = _matrix(queries["vector"].combine_chunks()) if len(ids) else np.zeros((0, 0))
     shared = patches.sparkSession.sparkContext.broadcast((ids, vectors))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _Best(*shared.value, k, key)
+        best = _Best(*shared.value, k, order, key)
         for batch in batches:
             best.add(batch.drop_columns(["embedding"]), _matrix(batch["embedding"]))
         yield from best.batches()

@@ -291,3 +291,31 @@ def test_exact_quantiles(spark):
     assert reports.exact_quantiles(df, []).count() == 0
     empty = reports.profile(df.where("false"), exact=True).collect()
     assert len(empty) == len(columns) and all(r.q50 is None and r.rows == 0 for r in empty)
+
+
+def test_top_k_within_one_task_ranks_equal_ids_by_key_and_outlasts_odd_vectors(spark):
+    """All in one batch: more patches of one name and vector than k, the smallest keys last, and a vector that is no number."""
+    rows = [("same", f"r{99 - i:02d}", [1.0, 2.0]) for i in range(40)] + [("odd", "r00", [float("nan"), 1.0]), ("else", "r00", [1.0, -2.0])]
+    df = spark.createDataFrame(rows, "patch_id string, key string, embedding array<double>").coalesce(1)
+    asked = spark.createDataFrame([("q", [1.0, 2.0])], "query_id string, vector array<double>")
+    got = similarity.top_k(df, asked, 3, carry=("key",), key="key").orderBy("rank").collect()
+    assert [(r.patch_id, r["key"], r.score) for r in got] == [("same", f"r{i}", 1.0) for i in (60, 61, 62)]
+
+
+def test_scores_of_many_queries_and_copies_take_little_memory():
+    """2000 queries and 4000 copies of one patch: every pair is level with the best."""
+    import inspect
+    import tracemalloc
+
+    import pyarrow as pa
+
+    order = [["patch_id"]] if "order" in inspect.signature(similarity._Best).parameters else []
+    best = similarity._Best(np.array([f"q{i}" for i in range(2000)], object), np.tile([[0.6, 0.8]], (2000, 1)), 3, *order, None)
+    facts = pa.RecordBatch.from_arrays([pa.array([f"some_long_name_of_a_patch_{i:05d}" for i in range(4000, 0, -1)])], ["patch_id"])
+    tracemalloc.start()
+    best.add(facts, np.tile([[0.6, 0.8]], (4000, 1)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    out = pa.Table.from_batches(list(best.batches()))
+    assert out.num_rows == 6000 and set(out["patch_id"].to_pylist()) == {f"some_long_name_of_a_patch_{i:05d}" for i in (1, 2, 3)}
+    assert peak < 250e6

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import lookup, materialize
+from ..session import lookup, materialize, shuffled
 
 #: Edges that one task takes; a graph shrinks on the cluster until no more are left.
 TASK_EDGES = 1_000_000
@@ -37,7 +37,7 @@ def connected_components(edges: DataFrame, task_edges: int = TASK_EDGES) -> Data
     for later in [*maps[1:], last]:
         step = later.select("cloud_id", F.col("node").alias("label"), F.col("parent").alias("_next"))
         weights = labels.groupBy("cloud_id", "label").agg(F.count("*").alias("_members"))
-        step = materialize(step.join(weights, ["cloud_id", "label"]), "relabel")
+        step = materialize(step.join(shuffled(weights), ["cloud_id", "label"]), "relabel")
         labels = lookup(labels, step, ["cloud_id", "label"], "_members").select(
             "cloud_id", "node", F.coalesce("_next", "label").alias("label")
         )
@@ -100,7 +100,7 @@ def _hook(edges: DataFrame) -> DataFrame:
         weights = parents.groupBy("cloud_id", "parent").agg(F.count("*").alias("_children"))
         above = parents.select("cloud_id", F.col("node").alias("parent"), F.col("parent").alias("_above"))
         jump = materialize(
-            weights.join(above, ["cloud_id", "parent"]).where(F.col("_above") != F.col("parent")), "jump"
+            weights.join(shuffled(above), ["cloud_id", "parent"]).where(F.col("_above") != F.col("parent")), "jump"
         )
         if jump.isEmpty():
             return parents

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import eigen
 from ..functions.geometry import coordinate
-from ..session import lookup, materialize
+from ..session import lookup, materialize, shuffled
 from .spacetree import SpaceTree
 
 LEAF_ROWS = 4096
@@ -309,7 +309,7 @@ def _merged(asking: DataFrame, far: DataFrame, k: int) -> DataFrame:
     lists = asking.select(*key, "nbrs").unionByName(far).groupBy(*key).agg(
         F.slice(F.array_sort(F.flatten(F.collect_list("nbrs"))), 1, k).alias("nbrs")
     )
-    return asking.drop("nbrs").join(lists, key)
+    return asking.drop("nbrs").join(shuffled(lists), key)
 
 
 def _widening(short: DataFrame, placed: DataFrame, trees, leaves: DataFrame | None, k: int) -> Iterator[DataFrame]:

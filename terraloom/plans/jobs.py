@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import paths
 from ..operators import catalog, dbscan, embed, neighbours, raster, similarity
 from ..schemas import RASTER_HEADER
-from ..session import lookup, materialize
+from ..session import lookup, materialize, shuffled
 from ..sources import files, pointclouds, rasters, tables
 
 
@@ -200,7 +200,7 @@ def normals_and_clusters(points: DataFrame, knn: int = 8, min_points: int = 10,
                          dims: tuple[str, ...] = ("x", "y", "z")) -> DataFrame:
     """Normals, curvature and cluster label per point."""
     return neighbours.normals(points, knn).join(
-        dbscan.dbscan(points, min_points, eps, dims), ["cloud_id", "point_id"]
+        shuffled(dbscan.dbscan(points, min_points, eps, dims)), ["cloud_id", "point_id"]
     )
 
 
@@ -230,7 +230,7 @@ def run_point_stages(points: DataFrame, stages: list[tuple[str, dict]]) -> DataF
         clash = sorted(set(added) & set(out.columns))
         if clash:
             raise ValueError(f"stage {name} gives columns that are there already: {clash}")
-        out = out.join(found.select(*key, *added), key, "left")
+        out = out.join(shuffled(found.select(*key, *added)), key, "left")
     return out
 
 

@@ -256,3 +256,12 @@ def test_dense_clouds_refine_only_what_is_not_connected(spark, monkeypatch):
     got = {r.point_id: (r.is_core, r.cluster_id) for r in dbscan.dbscan(df, 8, 2.0).collect()}
     assert got == {i: (True, 0 if i < 3000 else 3000) for i in range(6000)}
     assert written.count("pairs") <= 3
+
+
+def test_stages_join_points_by_shuffle(spark):
+    """However small a table of points is, none goes through the driver."""
+    rng = np.random.default_rng(12)
+    out = jobs.run_point_stages(frame(spark, rng.normal(size=(300, 3)), np.arange(300)), [("features", {"k": 4}), ("clusters", {"min_points": 4, "eps": 0.3})])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    on_points = [line for line in plan.splitlines() if "HashJoin" in line and "point_id" in line]
+    assert "SortMergeJoin" in plan and not on_points

@@ -35,3 +35,12 @@ def test_lookup_with_heavy_keys_is_the_plain_join(spark, how):
     want = facts.join(dim, ["k"], how)
     assert "Union" in got._jdf.queryExecution().analyzed().toString()
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_lookup_shuffles_tables_of_many_rows(spark, monkeypatch):
+    facts = spark.range(1000).selectExpr("id % 50 AS k", "id AS v")
+    dim = spark.range(50).selectExpr("id AS k", "CAST(20 AS BIGINT) AS n")
+    assert "BroadcastHashJoin" in session.lookup(facts, dim, ["k"], "n")._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 49)
+    out = session.lookup(facts, dim, ["k"], "n")
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString() and out.count() == 1000

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,16 +94,19 @@ def write_blobs(blobs: DataFrame, path: str = "path", content: str = "content")
     A retried task rewrites the same bytes to the same path, so the sink is idempotent.
     """
 
-    def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for target, data in zip(batch["path"], batch["content"]):
+            targets, sizes = batch["path"].to_pylist(), []
+            # Bytes go out of the batch as they lie, one file at a time.
+            for target, data in zip(targets, batch["content"]):
                 filesystem, local = _open_fs(target)
                 filesystem.create_dir(local.rsplit("/", 1)[0], recursive=True)
                 with filesystem.open_output_stream(local) as out:
-                    out.write(data)
-            yield pd.DataFrame({"path": batch["path"], "length": batch["content"].map(len)})
+                    out.write(data.as_buffer())
+                sizes.append(data.as_buffer().size)
+            yield pa.RecordBatch.from_arrays([pa.array(targets, pa.string()), pa.array(sizes, pa.int64())], ["path", "length"])
 
-    return blobs.select(F.col(path).alias("path"), F.col(content).alias("content")).mapInPandas(
+    return blobs.select(F.col(path).alias("path"), F.col(content).alias("content")).mapInArrow(
         put, "path string, length bigint"
     )
 

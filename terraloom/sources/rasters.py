@@ -14,6 +14,9 @@ from ..functions import paths
 from ..schemas import RASTER_BLOCK, RASTER_HEADER
 from . import geotiff
 
+#: Bytes of encoded files that a task gives on at once.
+OUT_BYTES = 8 << 20
+
 _ARROW = {"string": pa.string(), "int": pa.int32(), "double": pa.float64()}
 _HEADER = pa.schema([(name, _ARROW[kind]) for name, kind in (c.split() for c in RASTER_HEADER.split(", "))])
 
@@ -121,19 +124,31 @@ def raster_pixels(blocks: DataFrame) -> DataFrame:
 def blocks_to_blobs(blocks: DataFrame, dest: str) -> DataFrame:
     """Encode block rows as raster files below ``dest``, one per block, each with its own origin."""
     name = F.col("tile_path") if "tile_path" in blocks.columns else F.concat("raster_id", F.lit(".tif"))
-
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for r in batch.itertuples(index=False):
-                array = np.stack([np.asarray(b) for b in r.bands]).reshape(-1, r.height, r.width).astype(r.dtype)
-                code = int(r.crs.split(":")[1]) if isinstance(r.crs, str) and r.crs.startswith("EPSG:") else None
-                nodata = None if pd.isna(r.nodata) else r.nodata
-                x, y = r.c + r.col_off * r.a, r.f + r.row_off * r.e
-                out.append((r.out, geotiff.write(array, r.a, x, r.e, y, code, nodata)))
-            yield pd.DataFrame(out, columns=["path", "content"])
-
     return blocks.select(
         paths.join_uri(F.lit(dest), name).alias("out"),
         "dtype", "row_off", "col_off", "height", "width", "bands", "a", "c", "e", "f", "crs", "nodata",
-    ).mapInPandas(encode, "path string, content binary")
+    ).mapInArrow(_encoded, "path string, content binary")
+
+
+def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files of packed blocks, some ``OUT_BYTES`` of them at a time whatever the size of the batches."""
+    for batch in batches:
+        out, held = [], 0
+        facts, bands = batch.drop_columns(["bands"]), batch["bands"]
+        for r, packed in zip((row for at in range(0, batch.num_rows, 64) for row in facts.slice(at, 64).to_pylist()), bands):
+            array = packed.values.flatten().to_numpy(zero_copy_only=False).reshape(-1, r["height"], r["width"]).astype(r["dtype"])
+            code = int(r["crs"].split(":")[1]) if r["crs"] and r["crs"].startswith("EPSG:") else None
+            nodata = None if pd.isna(r["nodata"]) else r["nodata"]
+            x, y = r["c"] + r["col_off"] * r["a"], r["f"] + r["row_off"] * r["e"]
+            out.append((r["out"], geotiff.write(array, r["a"], x, r["e"], y, code, nodata)))
+            held += len(out[-1][1])
+            if held >= OUT_BYTES:
+                yield _blobs(out)
+                out, held = [], 0
+        if out:
+            yield _blobs(out)
+
+
+def _blobs(files: list[tuple[str, bytes]]) -> pa.RecordBatch:
+    paths_, contents = zip(*files)
+    return pa.RecordBatch.from_arrays([pa.array(paths_, pa.string()), pa.array(contents, pa.binary())], ["path", "content"])

@@ -486,3 +486,22 @@ def test_newest_samples_of_a_stream(spark, tmp_path):
     stream = spark.readStream.schema(kind).parquet(source)
     again = {r.event_type: r.value for r in streams.newest_samples(stream, out, state).collect()}
     assert again == {"a": 10.0, "b": 6.0, "d": 8.0}
+
+
+def test_blocks_are_encoded_a_few_at_a_time(monkeypatch):
+    """One batch of many blocks gives many small batches of files."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(rasters, "OUT_BYTES", 20_000)
+    rows = [
+        {"out": f"/r{i}.tif", "dtype": "float64", "row_off": 0, "col_off": 0, "height": 5, "width": 8, "bands": [[float(i)] * 40, [0.5] * 40],
+         "a": 1.0, "c": float(i), "e": -1.0, "f": 5.0, "crs": "EPSG:3857", "nodata": None if i % 2 else 0.0} for i in range(300)
+    ]
+    parts = list(rasters._encoded(iter([pa.RecordBatch.from_pylist(rows)])))
+    assert len(parts) > 5 and max(p.nbytes for p in parts) < 25_000
+    files_ = [f for p in parts for f in p.to_pylist()]
+    assert [f["path"] for f in files_] == [r["out"] for r in rows]
+    for f, r in zip(files_, rows):
+        head = geotiff.read_header(f["content"])
+        assert (head["c"], head["nodata"], head["crs"]) == (r["c"], r["nodata"], r["crs"])
+        assert geotiff.read_array(f["content"]).reshape(2, -1).tolist() == r["bands"]

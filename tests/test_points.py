@@ -243,9 +243,9 @@ def test_neighbours_on_a_wall(spark):
 def test_dense_clouds_refine_only_what_is_not_connected(spark, monkeypatch):
     """Full cells throughout, two slabs apart: one round settles each, and the far pairs of cells are never taken apart."""
     rng = np.random.default_rng(11)
-    xyz = rng.uniform(0, 1, (6000, 3)) * [12, 12, 3]
-    xyz[3000:, 0] += 14.5
-    df, written = frame(spark, xyz, np.arange(6000)), []
+    xyz = rng.uniform(0, 1, (20_000, 3)) * [6, 6, 2.4]
+    xyz[10_000:, 0] += 8.5
+    df, written = frame(spark, xyz, np.arange(20_000)), []
 
     def noted(table, label="step"):
         written.append(label)
@@ -254,7 +254,7 @@ def test_dense_clouds_refine_only_what_is_not_connected(spark, monkeypatch):
     kept = dbscan.materialize
     monkeypatch.setattr(dbscan, "materialize", noted)
     got = {r.point_id: (r.is_core, r.cluster_id) for r in dbscan.dbscan(df, 8, 2.0).collect()}
-    assert got == {i: (True, 0 if i < 3000 else 3000) for i in range(6000)}
+    assert got == {i: (True, 0 if i < 10_000 else 10_000) for i in range(20_000)}
     assert written.count("pairs") <= 3
 
 
